@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import exact_dedup, url_filters
+from . import byte_bpe, exact_dedup, url_filters
 from .common import table
 
 
@@ -18,7 +19,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_url_filters": op3_url_filters, "op7_exact_dedup": op7_exact_dedup}
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+QUERIES = {"op10_byte_bpe": op10_byte_bpe, "op3_url_filters": op3_url_filters, "op7_exact_dedup": op7_exact_dedup}
 
 ORACLES = {
     "op3_url_filters": url_filters.ORACLE,
