@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.broadcast import Broadcast
@@ -27,7 +28,7 @@ from .common import struct
 
 PACKED = struct(("key", "int"), ("block", "bigint"), ("bucket", "int"), ("ids", "array<bigint>"), ("sizes", "array<int>"), ("payload", "binary"))
 TOKENS = struct(("doc_id", "bigint"), ("ids", "array<int>"))
-BLOCK_BYTES = 4 << 20
+BLOCK_CHARS = 4 << 20
 ENCODERS: dict = {}
 
 
@@ -45,38 +46,118 @@ def share_ranks(spark: SparkSession, path: str, most: int = 1_000_000) -> Broadc
     return spark.sparkContext.broadcast(ranks)
 
 
-class Splitter:
-    """Pre-tokens of a text. A space between two other characters always starts one, so the parts between such spaces are cut separately and remembered."""
+#: Fixed value: the pattern whose matches the array form below finds; any other pattern is matched by the regex module.
+KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+OTHER, LETTER, NUMBER, SPACE = range(4)
+PIECE_CHARS = 1 << 20
+LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+
+
+def codes_of(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
-    def __init__(self, pattern: str, most: int = 200_000):
-        self.find, self.most = regex.compile(pattern).findall, most
-        self.doubled, self.lone = re.compile(r"\s\s"), regex.compile(r"(?<=\S) (?=\S)")
-        self.known: dict[str, tuple] = {}
 
-    def parts(self, text: str) -> list[str]:
-        if self.doubled.search(text) or text[:1].isspace() or text[-1:].isspace():
-            return self.lone.split(text)
-        return text.split(" ")
+def mixed(x: np.ndarray, salt: int) -> np.ndarray:
+    """A 64-bit number for each code, as good as random."""
+    x = (x.astype(np.uint64) + np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(27))
 
-    def cut(self, part: str, first: bool) -> list[str]:
-        return self.find(part if first else " " + part)
+
+class Splitter:
+    """Pre-tokens of a text as bounds in it, and two 64-bit hashes of each, computed over whole arrays of characters."""
+
+    BASES = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
+
+    def __init__(self, pattern: str):
+        self.regex = None if pattern == KNOWN_PATTERN else regex.compile(pattern)
+        every = np.arange(0x110000, dtype=np.uint32)
+        self.kinds = np.zeros(0x110000, np.uint8)
+        legal = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+        for kind, found in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+            for m in regex.finditer(found, legal):
+                a, b = (x if x < 0xD800 else x + 0x800 for x in m.span())
+                self.kinds[a:b] = kind
+        self.mixes = [mixed(every, salt) for salt in (1, 2)]
+        self.powers = [np.ones(1, np.uint64) for _ in range(4)]
+
+    def grow(self, n: int) -> None:
+        for i, base in enumerate((*self.BASES, *(pow(b, -1, 1 << 64) for b in self.BASES))):
+            steps = np.full(n, base, np.uint64)
+            steps[0] = 1
+            self.powers[i] = np.multiply.accumulate(steps)
+
+    def bounds(self, text: str, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the pre-tokens."""
+        if self.regex:
+            spans = [m.span() for m in self.regex.finditer(text) if m.end() > m.start()]
+            return np.array([s[0] for s in spans], np.int64), np.array([s[1] for s in spans], np.int64)
+        kind = self.kinds[codes]
+        n = len(kind)
+        begins = np.ones(n, bool)
+        begins[1:] = kind[1:] != kind[:-1]
+        # the last sign of white space before other text stands apart; if a space, it starts what follows
+        last = np.flatnonzero((kind[:-1] == SPACE) & (kind[1:] != SPACE))
+        begins[last] = True
+        begins[last[codes[last] == 32] + 1] = False
+        marks = np.flatnonzero(codes[:-1] == 39)
+        if len(marks):  # contractions, where the apostrophe starts a pre-token of its own
+            before = np.where(marks > 0, marks - 1, 0)
+            marks = marks[(marks == 0) | (kind[before] != OTHER) & (codes[before] != 32)]
+            for at in marks.tolist():
+                size = 3 if text[at + 1 : at + 3] in ("re", "ve", "ll") else 2 if text[at + 1] in "stmd" else 0
+                if size:
+                    begins[at + 1 : at + size] = False
+                    if at + size < n and kind[at + size] == LETTER:
+                        begins[at + size] = True
+        starts = np.flatnonzero(begins)
+        return starts, np.append(starts[1:], n)
+
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Starts, ends and both hashes."""
+        codes = codes_of(text)
+        n = len(codes)
+        if n >= len(self.powers[0]):
+            self.grow(max(n + 1, PIECE_CHARS + 1))
+        starts, ends = self.bounds(text, codes)
+        hashes = []
+        for mix, power, inverse in zip(self.mixes, self.powers[:2], self.powers[2:]):
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(mix[codes] * power[:n], out=sums[1:])
+            hashes.append(mixed((sums[ends] - sums[starts]) * inverse[starts], 3))
+        return starts, ends, *hashes
+
+
+def pieces_of(text: str) -> Iterator[str]:
+    """A long text in pieces that end where a pre-token does: before a space between two other signs."""
+    at = 0
+    while len(text) - at > PIECE_CHARS and (m := LONE_SPACE.search(text, at + PIECE_CHARS)):
+        yield text[at : m.start()]
+        at = m.start()
+    yield text[at:]
+
+
+def packed(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
 
 
 def pack_numbers(numbers: np.ndarray) -> bytes:
-    """Small numbers in a byte, others in four, each kind apart; compressed."""
+    """Small numbers in a byte, others in four, each byte place apart; compressed."""
     small = numbers < 255
     head = np.where(small, numbers, 255).astype(np.uint8).tobytes()
     rest = numbers[~small].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-    raw = len(head).to_bytes(8, "little") + head + rest
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    return packed(len(head).to_bytes(8, "little") + head + rest)
 
 
-def unpack_numbers(packed: bytes) -> np.ndarray:
-    raw = pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
+def unpack_numbers(data: bytes) -> np.ndarray:
+    raw = unpacked(data)
     n = int.from_bytes(raw[:8], "little")
     out = np.frombuffer(raw, np.uint8, n, 8).astype(np.int64)
-    rest = np.frombuffer(raw, np.uint8, -1, 8 + n).reshape(4, -1).T.copy().view("<u4").ravel()
-    out[out == 255] = rest
+    out[out == 255] = np.frombuffer(raw, np.uint8, -1, 8 + n).reshape(4, -1).T.copy().view("<u4").ravel()
     return out
 
 
@@ -108,87 +189,98 @@ def unframe(payload: bytes) -> list[bytes]:
     return out
 
 
-def split_words(docs: DataFrame, pattern: str, buckets: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per block: one row for each bucket of its distinct words, and one (bucket -1) with its documents' sequences."""
+def split_words(docs: DataFrame, pattern: str, buckets: int, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Per block: one row for each bucket of its distinct words, and one (bucket -1) with its documents' sequences.
+
+    Words are numbered as they first occur; in the sequences 0 means the next new word and n + 1 an earlier word by its rank of frequency.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        splitter, part_id, blocks = Splitter(pattern), TaskContext.get().partitionId(), 0
-        numbers: dict[str, int] = {}  # word to its number in this block
-        later: dict[str, tuple] = {}  # part after a space to the numbers of its words
-        ids, sizes, flat, filled = [], [], [], 0
-
-        def number(part: str, first: bool) -> tuple:
-            return tuple(numbers.setdefault(word, len(numbers)) for word in splitter.cut(part, first))
+        split, part_id, blocks = Splitter(pattern), TaskContext.get().partitionId(), 0
+        ids, sizes, texts, spans, filled = [], [], [], [], 0
 
         def flush() -> pa.RecordBatch:
             nonlocal blocks
             block = (part_id << 32) + blocks
-            sequence = np.array(flat, np.int64)
-            order = np.argsort(-np.bincount(sequence, minlength=len(numbers)), kind="stable")  # frequent words get small numbers
-            rank = np.empty(len(numbers), np.int64)
-            rank[order] = np.arange(len(numbers))
-            words = list(numbers)
-            dealt: dict[int, tuple[list, list]] = {}
-            for new, old in enumerate(order.tolist()):
-                word = words[old].encode()
-                into = dealt.setdefault(int.from_bytes(hashlib.blake2b(word, digest_size=4).digest(), "little") % buckets, ([], []))
-                into[0].append(word)
-                into[1].append(new)
-            rows = [(bucket, block, bucket, None, None, frame(pack_bytes(found), pack_numbers(np.diff(np.array(new), prepend=0)))) for bucket, (found, new) in dealt.items()]
-            rows.append((block % 1_000_003, block, -1, list(ids), list(sizes), pack_numbers(rank[sequence] if len(sequence) else sequence)))
             blocks += 1
+            rows = []
+            if spans:
+                first, second = (np.concatenate([s[i] for s in spans]) for i in (2, 3))
+                codes, found = pd.factorize(first)
+                n = len(codes)
+                origin = np.empty(len(found), np.int64)
+                origin[codes[::-1]] = np.arange(n)[::-1]
+                if (second != second[origin[codes]]).any():  # two words with one hash: both hashes together tell them apart
+                    codes, _ = pd.factorize(pd.MultiIndex.from_arrays([first, second]))
+                    origin = np.empty(codes.max() + 1, np.int64)
+                    origin[codes[::-1]] = np.arange(n)[::-1]
+                order = np.argsort(-np.bincount(codes), kind="stable")
+                rank = np.empty(len(order), np.int64)
+                rank[order] = np.arange(len(order))
+                sequence = rank[codes] + 1
+                sequence[origin] = 0
+                starts, ends = (np.concatenate([s[i] for s in spans]) for i in (0, 1))
+                piece = np.repeat(np.arange(len(spans)), [len(s[0]) for s in spans])
+                words = [texts[p][a:b].encode("utf-8", "surrogatepass") for p, a, b in zip(piece[origin].tolist(), starts[origin].tolist(), ends[origin].tolist())]
+                bucket = (first[origin] % np.uint64(buckets)).astype(np.int64)
+                dealt = np.argsort(bucket, kind="stable")
+                cuts = np.flatnonzero(np.diff(bucket[dealt], prepend=-1, append=-1))
+                for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                    own = dealt[a:b]
+                    rows.append((int(bucket[own[0]]), block, int(bucket[own[0]]), None, None, frame(pack_bytes([words[i] for i in own.tolist()]), pack_numbers(np.diff(own, prepend=0)))))
+                # ranks travel as the numbers of first occurrence in the order of frequency, for words that occur again
+                again = order[: int((np.bincount(codes) > 1).sum())]
+            else:
+                sequence = again = np.zeros(0, np.int64)
+            rows.append((block % 1_000_003, block, -1, list(ids), list(sizes), frame(pack_numbers(sequence), pack_numbers(again))))
             return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()))], PACKED.names)
 
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                before = len(flat)
-                if text:
-                    first, *rest = splitter.parts(text)
-                    flat.extend(number(first, True))
-                    for p in rest:
-                        known = later.get(p)
-                        if known is None:
-                            known = later[p] = number(p, False)
-                        flat.extend(known)
-                    filled += len(text)
+                size = 0
+                for piece in pieces_of(text) if text else ():
+                    texts.append(piece)
+                    spans.append(split(piece))
+                    size += len(spans[-1][0])
+                    filled += len(piece)
                 ids.append(doc)
-                sizes.append(len(flat) - before)
-                if filled >= block_bytes or len(ids) >= 50_000:
+                sizes.append(size)
+                if filled >= block_chars or len(ids) >= 50_000:
                     yield flush()
-                    numbers, later, ids, sizes, flat, filled = {}, {}, [], [], [], 0
+                    ids, sizes, texts, spans, filled = [], [], [], [], 0
         if ids:
             yield flush()
 
     return docs.mapInArrow(run, PACKED)
 
 
-def encode_words(packed: DataFrame, ranks: Broadcast, pattern: str) -> DataFrame:
+def encode_words(dealt: DataFrame, ranks: Broadcast, pattern: str) -> DataFrame:
     """Replaces the words by their ids. Rows are dealt by bucket before, so a word is encoded once; sequences pass through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, np.ndarray] = {}
-        encode = encoder(ranks, pattern)
+        known: dict[bytes, tuple] = {}
+        encode, here = encoder(ranks, pattern), -1
         for batch in batches:
             columns = batch.to_pydict()
             for i, (bucket, payload) in enumerate(zip(columns["bucket"], columns["payload"])):
                 if bucket < 0:
                     continue
+                if bucket != here:  # rows are sorted by bucket: no word comes back
+                    known, here = {}, bucket
                 words, numbers = unframe(payload)
                 found = []
                 for word in unpack_bytes(words):
                     ids = known.get(word)
                     if ids is None:
-                        if len(known) >= 1_000_000:
-                            known.clear()
                         ids = known[word] = tuple(encode(word))
                     found.append(ids)
                 flat = np.array([x for ids in found for x in ids], np.int64)
                 columns["payload"][i] = frame(pack_numbers(flat), pack_numbers(np.fromiter(map(len, found), np.int64, len(found))), numbers)
             yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in batch.schema], batch.schema.names)
 
-    return packed.mapInArrow(run, PACKED)
+    return dealt.mapInArrow(run, PACKED)
 
 
 def encoder(ranks: Broadcast, pattern: str):
@@ -201,13 +293,13 @@ def encoder(ranks: Broadcast, pattern: str):
     return ENCODERS[key]
 
 
-def reassemble(key: tuple, packed: pa.Table) -> pa.Table:
+def reassemble(key: tuple, rows: pa.Table) -> pa.Table:
     """The documents of one block, their ids in the order of the text."""
-    columns = packed.select(["bucket", "ids", "sizes", "payload"]).to_pydict()
-    flats, lengths, numbers, docs, sizes, sequence = [], [], [], [], [], None
+    columns = rows.select(["bucket", "ids", "sizes", "payload"]).to_pydict()
+    flats, lengths, numbers, docs, sizes, sequence, again = [], [], [], [], [], None, None
     for bucket, ids, size, payload in zip(*columns.values()):
         if bucket < 0:
-            docs, sizes, sequence = ids, size, unpack_numbers(payload)
+            docs, sizes, (sequence, again) = ids, size, map(unpack_numbers, unframe(payload))
         else:
             flat, length, number = map(unpack_numbers, unframe(payload))
             flats.append(flat)
@@ -215,52 +307,99 @@ def reassemble(key: tuple, packed: pa.Table) -> pa.Table:
             numbers.append(np.cumsum(number))
     if not len(sequence):
         return pa.table([pa.array(docs, pa.int64()), pa.array([[] for _ in docs], pa.list_(pa.int32()))], TOKENS.names)
+    new = sequence == 0
+    words = np.cumsum(new) - 1
+    words[~new] = again[sequence[~new] - 1]
     flat, length = np.concatenate(flats).astype(np.int32), np.concatenate(lengths)
     start, at = np.cumsum(length) - length, np.argsort(np.concatenate(numbers))
     start, length = start[at], length[at]  # by the word's number
-    each = length[sequence]
+    each = length[words]
     ends = np.cumsum(each)
-    taken = flat[np.repeat(start[sequence] - (ends - each), each) + np.arange(ends[-1])]
+    taken = flat[np.repeat(start[words] - (ends - each), each) + np.arange(ends[-1])]
     bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
     return pa.table([pa.array(docs, pa.int64()), pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), pa.array(taken)).cast(pa.list_(pa.int32()))], TOKENS.names)
 
 
-def encode(docs: DataFrame, ranks: Broadcast, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def encode(docs: DataFrame, ranks: Broadcast, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document: doc_id and its token ids. Null texts count as empty and have no ids; repeated rows and ids are kept each."""
     spark = docs.sparkSession
     buckets = 8 * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    packed = split_words(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")), pattern, buckets, block_bytes)
-    return encode_words(packed.repartition("key"), ranks, pattern).groupBy("block").applyInArrow(reassemble, TOKENS)
+    dealt = split_words(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")), pattern, buckets, block_chars).repartition("key").sortWithinPartitions("bucket")
+    return encode_words(dealt, ranks, pattern).groupBy("block").applyInArrow(reassemble, TOKENS)
 
 
-def decode(tokens: DataFrame, ranks: Broadcast, id_col: str = "doc_id", ids_col: str = "ids", keep_ids: bool = False) -> DataFrame:
-    """doc_id and the bytes that the ids stand for: the ids join the table of token bytes, held whole by each task. An id without token is an error."""
-    out = struct(("doc_id", "bigint"), *([("ids", "array<int>")] if keep_ids else []), ("decoded", "binary"))
+class TokenTable:
+    """Byte strings by id, laid end to end; joins arrays of ids to them."""
+
+    def __init__(self, items: list[bytes]):
+        self.length = np.fromiter(map(len, items), np.int64, len(items))
+        self.start = np.cumsum(self.length) - self.length
+        self.flat = np.frombuffer(b"".join(items), np.uint8)
+
+    def join(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The strings of the ids one after another, and where each ends."""
+        each = self.length[ids]
+        ends = np.cumsum(each)
+        taken = self.flat[np.repeat(self.start[ids] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
+        return taken.tobytes(), ends
+
+    def per_list(self, lists: pa.Array, most: int = 1 << 18) -> Iterator[Iterator[bytes]]:
+        """For each list of ids the byte strings that it joins to, in parts of at most so many ids."""
+        offsets, flat = lists.offsets.to_numpy().tolist(), lists.values.to_numpy(zero_copy_only=False)
+        for a, b in zip(offsets[:-1], offsets[1:]):
+            yield (self.join(flat[c : min(c + most, b)])[0] for c in range(a, b, most))
+
+
+def token_table(ranks: dict[bytes, int]) -> list[bytes]:
+    items = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        items[rank] = token
+    return items
+
+
+def lists_of(column: pa.Array) -> pa.Array:
+    """Null lists as empty ones, without slack before the first."""
+    return pa.concat_arrays([column.fill_null([])]) if column.null_count else column
+
+
+def decode(tokens: DataFrame, ranks: Broadcast, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """doc_id and the bytes that the ids stand for (none for null). The ids join the table of token bytes, which each task holds; an id beyond it is an error."""
+    out = struct(("doc_id", "bigint"), ("decoded", "binary"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = {rank: token for token, rank in ranks.value.items()}
+        table = TokenTable(token_table(ranks.value))
         for batch in batches:
-            decoded = [b"".join(map(table.__getitem__, ids or ())) for ids in batch.column("ids").to_pylist()]
-            kept = [batch.column("doc_id"), *([batch.column("ids")] if keep_ids else [])]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(decoded, pa.binary())], out.names)
+            decoded = [b"".join(parts) for parts in table.per_list(lists_of(batch.column("ids")))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(decoded, pa.binary())], out.names)
 
-    return tokens.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(run, out)
+    return tokens.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids")).mapInArrow(run, out)
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """Of doc_id, ids, decoded: number of tokens and digests of both."""
+def digests(tokens: DataFrame, ranks: Broadcast) -> DataFrame:
+    """Of doc_id and ids: number of tokens, digest of the ids as decimals, and digest of the bytes that they decode to."""
     out = struct(("doc_id", "bigint"), ("n_tokens", "bigint"), ("ids_sha256", "string"), ("decoded_sha256", "string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = token_table(ranks.value)
+        table, decimals = TokenTable(items), TokenTable([b" %d" % i for i in range(len(items))])
         for batch in batches:
-            ids, texts = (batch.column(c).to_pylist() for c in ("ids", "decoded"))
-            written = [hashlib.sha256(" ".join(map(str, x or ())).encode()).hexdigest() for x in ids]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x or ()) for x in ids], pa.int64()), pa.array(written), pa.array([hashlib.sha256(x).hexdigest() for x in texts])], out.names)
-
-    return decoded.mapInArrow(run, out)
+            lists = lists_of(batch.column("ids"))
+            written, decoded = [], []
+            for numbers, texts in zip(decimals.per_list(lists), table.per_list(lists)):
+                digest = hashlib.sha256()
+                for i, part in enumerate(numbers):
+                    digest.update(part if i else part[1:])
+                written.append(digest.hexdigest())
+                digest = hashlib.sha256()
+                for part in texts:
+                    digest.update(part)
+                decoded.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(lists.offsets.to_numpy()), pa.int64()), pa.array(written, pa.string()), pa.array(decoded, pa.string())], out.names)
+
+    return tokens.mapInArrow(run, out)
 
 
 def token_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encodes, decodes the ids, and returns one row of digests per document."""
     ranks = share_ranks(docs.sparkSession, path)
-    return digests(decode(encode(docs, ranks, pattern, id_col, text_col), ranks, keep_ids=True))
+    return digests(encode(docs, ranks, pattern, id_col, text_col), ranks)

@@ -64,6 +64,10 @@ def with_row_bytes(col: pa.Array) -> list[bytes]:
     return [b or b"" for b in col.cast(pa.large_binary()).to_pylist()]
 
 
+TYPES = {"bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType(), "binary": T.BinaryType(), "boolean": T.BooleanType(), "double": T.DoubleType(), "float": T.FloatType()}
+
+
 def struct(*fields: tuple[str, str]) -> T.StructType:
-    """A schema from (name, DDL type) pairs."""
-    return T.StructType([T.StructField(n, T.DataType.fromDDL(t), True) for n, t in fields])
+    """A schema from (name, type) pairs; needs no session. A type is one of TYPES or array<...> of one."""
+    of = lambda kind: T.ArrayType(TYPES[kind[6:-1]]) if kind.startswith("array<") else TYPES[kind]
+    return T.StructType([T.StructField(n, of(t), True) for n, t in fields])
