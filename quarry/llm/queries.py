@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, url_filters
+from . import byte_bpe, exact_dedup, quality, toxicity, url_filters
 from .common import table
 
 
@@ -23,7 +22,19 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {"op10_byte_bpe": op10_byte_bpe, "op3_url_filters": op3_url_filters, "op7_exact_dedup": op7_exact_dedup}
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality.score(docs.select("doc_id", "text"), quality.fit(docs, labels))
+    return scored.selectExpr("doc_id", "expected_grade", "tail_probability", "tail_probability >= 0.5 AS kept")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(~toxicity.held_out()))
+    return toxicity.score(docs, model).withColumn("held_out", toxicity.held_out())
+
+
+QUERIES = {"op2_quality": op2_quality, "op8_toxicity": op8_toxicity, "op10_byte_bpe": op10_byte_bpe, "op3_url_filters": op3_url_filters, "op7_exact_dedup": op7_exact_dedup}
 
 ORACLES = {
     "op3_url_filters": url_filters.ORACLE,
