@@ -49,7 +49,7 @@ def share_ranks(spark: SparkSession, path: str, most: int = 1_000_000) -> Broadc
 #: Fixed value: the pattern whose matches the array form below finds; any other pattern is matched by the regex module.
 KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 OTHER, LETTER, NUMBER, SPACE = range(4)
-PIECE_CHARS = 1 << 20
+PIECE_CHARS = 1 << 19
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -228,7 +228,7 @@ def split_words(docs: DataFrame, pattern: str, buckets: int, block_chars: int =
                 dealt = np.argsort(bucket, kind="stable")
                 cuts = np.flatnonzero(np.diff(bucket[dealt], prepend=-1, append=-1))
                 for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                    own = dealt[a:b]
+                    own = np.sort(dealt[a:b])
                     rows.append((int(bucket[own[0]]), block, int(bucket[own[0]]), None, None, frame(pack_bytes([words[i] for i in own.tolist()]), pack_numbers(np.diff(own, prepend=0)))))
                 # ranks travel as the numbers of first occurrence in the order of frequency, for words that occur again
                 again = order[: int((np.bincount(codes) > 1).sum())]
@@ -323,7 +323,7 @@ def reassemble(key: tuple, rows: pa.Table) -> pa.Table:
 def encode(docs: DataFrame, ranks: Broadcast, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document: doc_id and its token ids. Null texts count as empty and have no ids; repeated rows and ids are kept each."""
     spark = docs.sparkSession
-    buckets = 8 * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = 2 * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))  # few, as small lists of words compress badly
     dealt = split_words(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")), pattern, buckets, block_chars).repartition("key").sortWithinPartitions("bucket")
     return encode_words(dealt, ranks, pattern).groupBy("block").applyInArrow(reassemble, TOKENS)
 
