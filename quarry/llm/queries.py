@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, quality, simhash, toxicity, url_filters
+from . import byte_bpe, exact_dedup, html_extract, quality, simhash, toxicity, url_filters, warc
 from .common import table
 
 
@@ -38,10 +38,19 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), words=4, most=4)
 
 
-QUERIES = {"op6_simhash": op6_simhash, "op2_quality": op2_quality, "op8_toxicity": op8_toxicity, "op10_byte_bpe": op10_byte_bpe, "op3_url_filters": op3_url_filters, "op7_exact_dedup": op7_exact_dedup}
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {"op4_html_extract": op4_html_extract, "op5_warc": op5_warc, "op6_simhash": op6_simhash, "op2_quality": op2_quality, "op8_toxicity": op8_toxicity, "op10_byte_bpe": op10_byte_bpe, "op3_url_filters": op3_url_filters, "op7_exact_dedup": op7_exact_dedup}
 
 ORACLES = {
     "op3_url_filters": url_filters.ORACLE,
+    "op5_warc": warc.ORACLE,
     "op7_exact_dedup": """
 WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
