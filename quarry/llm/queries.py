@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, decontaminate, exact_dedup, html_extract, quality, simhash, toxicity, url_filters, warc
+from . import byte_bpe, decontaminate, exact_dedup, html_extract, quality, simhash, suffix_dedup, toxicity, url_filters, warc
 from .common import table
 
 
@@ -51,7 +51,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "windows", "share", "consistent")
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op4_html_extract": op4_html_extract, "op5_warc": op5_warc, "op6_simhash": op6_simhash, "op2_quality": op2_quality, "op8_toxicity": op8_toxicity, "op10_byte_bpe": op10_byte_bpe, "op3_url_filters": op3_url_filters, "op7_exact_dedup": op7_exact_dedup}
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_digests(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op9_suffix_dedup": op9_suffix_dedup, "op1_decontaminate": op1_decontaminate, "op4_html_extract": op4_html_extract, "op5_warc": op5_warc, "op6_simhash": op6_simhash, "op2_quality": op2_quality, "op8_toxicity": op8_toxicity, "op10_byte_bpe": op10_byte_bpe, "op3_url_filters": op3_url_filters, "op7_exact_dedup": op7_exact_dedup}
 
 ORACLES = {
     "op3_url_filters": url_filters.ORACLE,
