@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 # Cell texts that count as missing when a CSV file is read.
 NA_STRINGS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
+#: JSON forms of values that count as missing.
+FALSY = ["null", "false", "0", "-0", "0.0", "-0.0", '""', "{}", "[]"]
+
 
 def path_of(*keys: str) -> str:
     return "$" + "".join(f".{k}" for k in keys)
@@ -36,12 +39,9 @@ def is_object(doc: Column, *keys: str) -> Column:
 
 
 def truthy(doc: Column, *keys: str) -> Column:
-    """Present and neither null, false, zero, nor an empty string, list or object. A string "0" is present."""
-    kind = type_of(doc, *keys)
-    text = safe_get(doc, *keys)
-    number = F.when(kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL|INT|SMALLINT|TINYINT)"), text.cast("double") != 0)
-    filled = F.when(kind == "STRING", text != "").when(kind == "BOOLEAN", text == "true").when(kind.isin("VOID", "ARRAY<VOID>", "OBJECT<>"), False)
-    return F.coalesce(F.coalesce(number, filled), kind.isNotNull())
+    """Present and neither null, false, zero, nor an empty string, list or object. A string "0" is present. Never null."""
+    text = F.to_json(F.try_variant_get(doc, path_of(*keys), "variant"))
+    return F.coalesce(~text.isin(FALSY), F.lit(False))
 
 
 def is_filled(text: Column) -> Column:
@@ -61,7 +61,7 @@ def quote_key(doc: Column) -> Column:
 
 def root_component(components: Column) -> Column:
     """The first component flagged as root, or null."""
-    return F.get(F.filter(components, lambda c: F.coalesce(c["is_root_component"], F.lit(False))), F.lit(0))
+    return F.get(F.filter(components, lambda c: F.coalesce(~c["is_root_component"].isin("false", "0", ""), F.lit(False))), F.lit(0))
 
 
 def root_attributes(root: Column) -> dict[str, Column]:

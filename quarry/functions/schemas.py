@@ -16,11 +16,12 @@ COLUMNS: dict[str, list[str]] = {
 }
 KEYS = {"quotes": ["quote_number", "revision_number"], "orders": ["order_number"], "quotes_live": ["quote_number", "revision_number"], "orders_live": ["order_number"], "quote_items": ["quote_number", "quote_revision", "item_id", "quantity"]}
 
+#: Numbers and flags that may come as strings are read as strings.
 PRICE = "decimal(18,4)"
-COMPONENT = "is_root_component boolean, part_number string, part_uuid string, description string, revision string, type string, material struct<name string>, process struct<name string>"
-QUANTITY = f"quantity bigint, unit_price {PRICE}, total_price {PRICE}, total_price_with_required_add_ons {PRICE}, lead_time bigint"
+COMPONENT = "is_root_component string, part_number string, part_uuid string, description string, revision string, type string, material struct<name string>, process struct<name string>"
+QUANTITY = f"quantity string, unit_price {PRICE}, total_price {PRICE}, total_price_with_required_add_ons {PRICE}, lead_time string"
 QUOTE_ITEMS = f"array<struct<id string, workflow_status string, export_controlled boolean, components array<struct<{COMPONENT}, quantities array<struct<{QUANTITY}>>>>>>"
-ORDER_ITEMS = f"array<struct<id string, description string, quantity bigint, unit_price {PRICE}, total_price {PRICE}, export_controlled boolean, filename string, lead_days bigint, quote_item_id string, components array<struct<{COMPONENT}>>>>"
+ORDER_ITEMS = f"array<struct<id string, description string, quantity string, unit_price {PRICE}, total_price {PRICE}, export_controlled boolean, filename string, lead_days string, quote_item_id string, components array<struct<{COMPONENT}>>>>"
 
 RELATIONSHIP = (
     "ID bigint, ModelID int, Name string, IsActive boolean, Type int, CrossFilteringBehavior int, JoinOnDateBehavior int, RelyOnReferentialIntegrity boolean, FromTableID bigint, FromColumnID bigint, FromCardinality int, "

@@ -33,12 +33,13 @@ def supported_events(events: DataFrame, custom: tuple[str, ...] = ()) -> DataFra
 def triage(events: DataFrame, secret: str, custom: tuple[str, ...] = ()) -> DataFrame:
     """events with doc, type, status, reason, applied. The first check that fails decides; applied is whether a good event's required fields are set (custom types always)."""
     rows = events.withColumn("doc", F.try_parse_json("body")).withColumn("type", C.safe_get(F.col("doc"), "type"))
-    doc, kind = F.col("doc"), F.schema_of_variant("doc")
-    standard = F.col("type").isin(*QUOTE_EVENTS, *ORDER_EVENTS) & ~F.col("type").isin(*custom) if custom else F.col("type").isin(*QUOTE_EVENTS, *ORDER_EVENTS)
+    doc, kind = F.col("doc"), F.col("type")
+    types = [*QUOTE_EVENTS, *ORDER_EVENTS, *custom]
+    standard = kind.isin(*(t for t in types if t not in custom))
     named = F.when(~is_authentic(secret), "unauthorized").when(~C.is_filled(F.col("body")), "empty body").when(doc.isNull(), "malformed")
-    named = named.when(kind.isin("VOID", "OBJECT<>", "ARRAY<VOID>") | (F.col("body").isin("false", "0", '""')), "empty document").when(~C.is_object(doc), "not an object")
-    named = named.when(~C.truthy(doc, "type"), "missing type").when(~F.col("type").isin(*QUOTE_EVENTS, *ORDER_EVENTS, *custom), "unsupported")
-    named = named.when(standard & C.type_of(doc, "data").isNotNull() & ~C.is_object(doc, "data"), "data is no object").otherwise("ok")
+    named = named.when(~C.truthy(doc), "empty document").when(~C.is_object(doc), "not an object")
+    named = named.when(~C.truthy(doc, "type"), "missing type").when(~kind.isin(types), "unsupported")
+    named = named.when(standard & (F.substring(F.coalesce(F.to_json(F.try_variant_get(doc, "$.data", "variant")), F.lit("{")), 1, 1) != "{"), "data is no object").otherwise("ok")
     rows = rows.withColumn("reason", named)
     r = F.col("reason")
     status = F.when(r == "ok", 200).when(r == "unauthorized", 401).when(r.isin("malformed", "not an object", "data is no object"), 500).otherwise(400)
@@ -48,11 +49,11 @@ def triage(events: DataFrame, secret: str, custom: tuple[str, ...] = ()) -> Data
 
 def quote_complete(doc: Column, keep_base_revision: bool = False) -> Column:
     """number, revision and status set. keep_base_revision lets revision 0 pass."""
-    number = C.truthy(doc, "data", "quote_number") | (C.type_of(doc, "data", "number").isNotNull() & (C.type_of(doc, "data", "number") != "VOID") & (C.safe_get(doc, "data", "number") != ""))
+    number = C.truthy(doc, "data", "quote_number") | C.is_filled(C.safe_get(doc, "data", "number"))
     revision = C.truthy(doc, "data", "revision_number")
     if keep_base_revision:
         revision = revision | (C.safe_get(doc, "data", "revision_number") == "0")
-    return F.coalesce(number, F.lit(False)) & revision & C.truthy(doc, "data", "status")
+    return number & revision & C.truthy(doc, "data", "status")
 
 
 def order_complete(doc: Column) -> Column:

@@ -17,17 +17,23 @@ def parse(docs: DataFrame) -> DataFrame:
     return docs.withColumn("doc", F.try_parse_json("body"))
 
 
+def listed(field: str) -> Column:
+    """The JSON text of an item field that is a list, else null."""
+    text = C.safe_get(F.col("doc"), field)
+    return F.when(C.is_array(F.col("doc"), field), text)
+
+
 def with_items(parsed: DataFrame, field: str) -> DataFrame:
-    """parsed with the typed list of items (null unless a list, F7); field is quote_items or order_items."""
-    kind = QUOTE_ITEMS if field == "quote_items" else ORDER_ITEMS
-    return parsed.withColumn("items", C.safe_get(F.col("doc"), field, kind=kind))
+    """parsed with the typed list of items (null unless a list, F7); field is quote_items or order_items. A typed JSON parse of the list takes a third of the time of a cast from VARIANT."""
+    return parsed.withColumn("items", F.from_json(listed(field), QUOTE_ITEMS if field == "quote_items" else ORDER_ITEMS))
 
 
 def split_bad(parsed: DataFrame, field: str) -> tuple[DataFrame, DataFrame]:
     """F8: (good, bad). Bad are malformed bodies, bodies that are no object, and lists with an item or component that is no object. Good rows carry items."""
     rows = with_items(parsed, field)
     odd = F.exists("items", lambda i: i.isNull() | F.coalesce(F.exists(i["components"], lambda c: c.isNull()), F.lit(False)))
-    rows = rows.withColumn("bad", ~C.is_object(F.col("doc")) | F.coalesce(odd, F.lit(False)))
+    odd = F.coalesce(odd, C.is_array(F.col("doc"), field))  # a list that has no typed form
+    rows = rows.withColumn("bad", ~C.is_object(F.col("doc")) | odd)
     return rows.filter("NOT bad").drop("bad"), rows.filter("bad").drop("bad", "items")
 
 
@@ -68,7 +74,7 @@ def quote_items(good: DataFrame, keep_unpriced: bool = True) -> DataFrame:
     flat = flat.withColumn("is_fully_configured", C.is_fully_configured(*(F.col(n) for n in ("part_number", "description", "material", "process"))))
     each = F.explode_outer("breaks") if keep_unpriced else F.explode("breaks")
     rows = flat.select(*(c for c in flat.columns if c != "breaks"), each.alias("q"))
-    return rows.select("*", "q.quantity", "q.unit_price", "q.total_price", F.col("q.total_price_with_required_add_ons").alias("total_price_with_add_ons"), "q.lead_time").select(COLUMNS["quote_items"])
+    return rows.select("*", F.col("q.quantity").try_cast("bigint").alias("quantity"), "q.unit_price", "q.total_price", F.col("q.total_price_with_required_add_ons").alias("total_price_with_add_ons"), F.col("q.lead_time").try_cast("bigint").alias("lead_time")).select(COLUMNS["quote_items"])
 
 
 def order_headers(parsed: DataFrame) -> DataFrame:
@@ -83,7 +89,8 @@ def order_headers(parsed: DataFrame) -> DataFrame:
 def order_items(good: DataFrame) -> DataFrame:
     """A row per order item, 15 columns; the description is the item's, not the component's."""
     items = good.select(C.safe_get(F.col("doc"), "number").alias("order_number"), F.explode("items").alias("i"))
-    own = [F.col(f"i.{n}") for n in "description quantity unit_price total_price export_controlled filename lead_days quote_item_id".split()]
+    own = [F.col(f"i.{n}") for n in "description unit_price total_price export_controlled filename quote_item_id".split()]
+    own += [F.col(f"i.{n}").try_cast("bigint").alias(n) for n in ("quantity", "lead_days")]
     root = items.select("order_number", F.col("i.id").alias("item_id"), *own, C.root_component(F.col("i.components")).alias("root"))
     found = C.root_attributes(F.col("root"))
     return root.select("*", *(found[n].alias(n) for n in ("part_number", "part_uuid", "revision", "material", "process"))).select(COLUMNS["order_items"])

@@ -14,7 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """item_id, revision, body: orders with their lines as items. A line's root component is flagged on odd line numbers, of two; on multiples of four there are no components."""
+    """item_id, revision, body: orders with their lines as items. Of a line's two components the second is the root; lines whose number is a multiple of four have no components."""
     component = lambda flag, part: F.struct(F.lit(flag).alias("is_root_component"), part.alias("part_number"), F.concat(F.lit("u"), F.col("l_partkey")).alias("part_uuid"), F.lit("A").alias("revision"), F.struct(F.col("l_returnflag").alias("name")).alias("material"), F.struct(F.col("l_linestatus").alias("name")).alias("process"))
     part = F.concat(F.lit("P"), F.col("l_partkey"))
     components = F.when(F.col("l_linenumber") % 4 != 0, F.array(component(False, F.lit("other")), component(True, part)))
