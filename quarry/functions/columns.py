@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Cell texts that count as missing when a CSV file is read.
@@ -97,3 +97,12 @@ def hmac_sha256(body: Column, secret: str) -> Column:
     inner, outer = hmac_pads(secret)
     digest = F.sha2(F.concat(F.unhex(F.lit(inner)), F.encode(body, "UTF-8")), 256)
     return F.sha2(F.concat(F.unhex(F.lit(outer)), F.unhex(digest)), 256)
+
+
+def rows_where(df: DataFrame, condition: Column) -> DataFrame:
+    """df filtered, with the condition and the columns it needs computed once.
+
+    A plain filter moves below the projections that it refers to, and each parse in them would run again for every reference; a generator keeps it above.
+    """
+    row = F.when(condition, F.struct(*(F.col(c) for c in df.columns)))
+    return df.select(F.explode_outer(F.array(row)).alias("row")).filter("row IS NOT NULL").select("row.*")

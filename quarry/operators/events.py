@@ -63,8 +63,8 @@ def order_complete(doc: Column) -> Column:
 
 def route(triaged: DataFrame) -> dict[str, DataFrame]:
     """Quote and order events that apply, and the dead letters."""
-    good = triaged.filter("applied")
-    return {"quotes": good.filter(F.col("type").isin(*QUOTE_EVENTS)), "orders": good.filter(F.col("type").isin(*ORDER_EVENTS)), "dead": triaged.filter("NOT applied").drop("doc")}
+    of = lambda types: C.rows_where(triaged, F.col("applied") & F.col("type").isin(*types))
+    return {"quotes": of(QUOTE_EVENTS), "orders": of(ORDER_EVENTS), "dead": C.rows_where(triaged.drop("doc"), ~F.col("applied"))}
 
 
 def contact_fields(doc: Column, flat_fallback: bool) -> dict[str, Column]:

@@ -49,7 +49,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 
 
 def good_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.split_bad(P.parse(R.order_documents(spark, sf_dir)), "order_items")[0]
+    return P.split_bad(R.order_documents(spark, sf_dir), "order_items")[0]
 
 
 @register("n8_order_items", ORDER_ITEMS)
@@ -77,7 +77,7 @@ def n2_root_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("l10_childless_orders", "SELECT CAST(o_orderkey AS VARCHAR) AS order_number FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
 def l10_childless_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = good_orders(spark, sf_dir)
-    return A.childless(P.order_headers(good), P.order_items(good), "order_number")
+    return A.childless(P.order_headers(P.parse(good)), P.order_items(good), "order_number")
 
 
 # Quotes -------------------------------------------------------------------------------------------------------------
@@ -108,22 +108,22 @@ HEAD = "h.* EXCLUDE (payload)"
 
 
 def good_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.split_bad(P.parse(R.quote_documents(spark, sf_dir)), "quote_items")[0]
+    return P.split_bad(R.quote_documents(spark, sf_dir), "quote_items")[0]
 
 
 @register("p1_quote_headers", QUOTE_BASE + f"SELECT {HEAD} FROM h WHERE revision_number IS NULL")
 def p1_quote_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.quote_headers(good_quotes(spark, sf_dir).filter("revision IS NULL"))
+    return P.quote_headers(P.parse(good_quotes(spark, sf_dir).filter("revision IS NULL")))
 
 
 @register("p2_revised_quote_headers", QUOTE_BASE + f"SELECT quote_number || '-' || revision_number AS quote_id, {HEAD} FROM h WHERE revision_number IS NOT NULL")
 def p2_revised_quote_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.revised_quote_headers(good_quotes(spark, sf_dir).filter("revision IS NOT NULL"))
+    return P.revised_quote_headers(P.parse(good_quotes(spark, sf_dir).filter("revision IS NOT NULL")))
 
 
 @register("p9_payload_revision", QUOTE_BASE + f"SELECT {HEAD} REPLACE (CAST(payload AS VARCHAR) AS revision_number) FROM h")
 def p9_payload_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.quote_headers(good_quotes(spark, sf_dir), revision_from="payload")
+    return P.quote_headers(P.parse(good_quotes(spark, sf_dir)), revision_from="payload")
 
 
 @register("n5_quote_items", QUOTE_BASE + "SELECT * FROM items WHERE quote_revision IS NULL")
@@ -148,7 +148,7 @@ def f7_unusable_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("f8_bad_documents", QUOTE_BASE + "SELECT o_orderkey AS item_id FROM q WHERE malformed OR strings")
 def f8_bad_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.split_bad(P.parse(R.quote_documents(spark, sf_dir)), "quote_items")[1].select("item_id")
+    return P.split_bad(R.quote_documents(spark, sf_dir), "quote_items")[1].select("item_id")
 
 
 @register("f9_fully_configured", QUOTE_BASE + "SELECT is_fully_configured, count(*) AS n FROM items GROUP BY is_fully_configured")
@@ -158,19 +158,19 @@ def f9_fully_configured(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("u1_all_quotes", QUOTE_BASE + f"SELECT {HEAD} FROM h")
 def u1_all_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good = good_quotes(spark, sf_dir)
+    good = P.parse(good_quotes(spark, sf_dir))
     return P.all_quotes(P.quote_headers(good.filter("revision IS NULL")), P.revised_quote_headers(good.filter("revision IS NOT NULL")))
 
 
 @register("l6_run_summary", QUOTE_BASE + "SELECT (SELECT count(*) FROM h) AS processed, (SELECT count(*) FROM q WHERE malformed OR strings) AS failed, (SELECT count(*) FROM items) AS child_rows")
 def l6_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, bad = P.split_bad(P.parse(R.quote_documents(spark, sf_dir)), "quote_items")
+    good, bad = P.split_bad(R.quote_documents(spark, sf_dir), "quote_items")
     return A.run_summary(good, bad, P.quote_items(good))
 
 
 @register("l1_new_failures", QUOTE_BASE + "SELECT CAST(o_orderkey AS VARCHAR) AS id FROM q WHERE (malformed OR strings) AND o_orderkey % 2 = 1")
 def l1_new_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bad = P.split_bad(P.parse(R.quote_documents(spark, sf_dir)), "quote_items")[1].selectExpr("item_id AS id")
+    bad = P.split_bad(R.quote_documents(spark, sf_dir), "quote_items")[1].selectExpr("item_id AS id")
     known = table(spark, sf_dir, "orders").filter("o_orderkey % 2 = 0").selectExpr("concat(' ', o_orderkey) AS id")
     return A.new_failures(bad.unionAll(bad), known)
 
