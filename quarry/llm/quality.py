@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, free_name, struct
+from .common import cut, free_name, map_arrow, struct
 
 DIMS = 1 << 15
 #: At most about this many labelled rows are fitted on (a fraction by hash of the id, so the bound holds in expectation).
@@ -33,7 +33,7 @@ FEATURES = struct(("at", "array<int>"), ("value", "array<float>"), ("grade", "do
 class Featurizer:
     """Hashed features of a text: root shares of words and of runs of other signs, of repeats, capitals and digits, and steps of vocabulary richness and length."""
 
-    def __init__(self, dims: int = DIMS, most: int = 300_000):
+    def __init__(self, dims: int = DIMS, most: int = 100_000):
         self.dims, self.most, self.known = dims, most, {}
 
     def slot(self, token: str) -> int:
@@ -108,10 +108,10 @@ def labelled_features(docs: DataFrame, labels: DataFrame, grade_col: str, sample
             found = [featurize(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float32())), batch.column("grade").cast(pa.float64())], FEATURES.names)
 
-    return chosen.select("text", "grade").mapInArrow(run, FEATURES)
+    return map_arrow(chosen.select("text", "grade"), run, FEATURES)
 
 
-def fit(docs: DataFrame, labels: DataFrame, grade_col: str = "quality", sample: int = SAMPLE, dims: int = DIMS, steps: int = 40, ridge: float = 1e-6) -> OrdinalModel:
+def fit(docs: DataFrame, labels: DataFrame, grade_col: str = "quality", sample: int = SAMPLE, dims: int = DIMS, steps: int = 40, ridge: float = 1e-4) -> OrdinalModel:
     """Fits on documents that have a grade. Several ratings of a document are averaged and rounded to the next grade that occurs.
 
     Without labelled rows all weights are zero and the only grade is 1; with a single grade every document gets it.
@@ -161,7 +161,7 @@ def gradient(rows: DataFrame, model: OrdinalModel) -> tuple[np.ndarray, int]:
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([total.astype("<f8").tobytes()], pa.binary()), pa.array([n], pa.int64())], ["total", "n"])
 
-    parts = rows.mapInArrow(run, struct(("total", "binary"), ("n", "bigint"))).collect()
+    parts = map_arrow(rows, run, struct(("total", "binary"), ("n", "bigint"))).collect()
     return sum(np.frombuffer(r["total"], "<f8") for r in parts), sum(r["n"] for r in parts)
 
 
@@ -181,7 +181,7 @@ def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text", grade: f
             scores = np.bincount(np.repeat(np.arange(len(sizes)), sizes), model.weights[slots] * values, len(sizes))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.expected(scores)), pa.array(model.tail(scores, at_least))], [*names, expected_col, tail_col])
 
-    return docs.mapInArrow(run, out)
+    return map_arrow(docs, run, out)
 
 
 def select_good(docs: DataFrame, labels: DataFrame, least: float = 0.5, grade_col: str = "quality") -> DataFrame:
