@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Rows in a batch that goes to Python.
+BATCH_ROWS = 1_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -59,6 +62,14 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def map_arrow(df: DataFrame, run, schema: T.StructType) -> DataFrame:
+    """df.mapInArrow with batches of at most BATCH_ROWS rows (a session setting), as rows are whole texts and Python works beside the executor's heap."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def with_row_bytes(col: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each string; null counts as empty."""
     return [b or b"" for b in col.cast(pa.large_binary()).to_pylist()]

@@ -5,8 +5,10 @@ prefix doubling, but from a sample of positions that the content itself chooses:
 Equal strings choose alike, so positions with one choice form a block, ranked as one:
 1. by the 81 bytes from the chosen position, which every string of the block holds: unique ones are done;
 2. by the whole block with the 400 bytes of its last string: repeated ones are done, all their strings are repeated;
-3. the rest, at the edges of repeats, by each of their 400-byte strings, in groups of equal rank, split into chunks if large.
-Ranks are names by hash, counted by shuffles; steps 2 and 3 compare 128 bits. Matches never cross documents.
+3. the rest, at the edges of repeats, by each of their 400-byte strings among blocks of equal first rank, sorted by
+   what stands before the chosen position. Strings that agree to the left are neighbours, so only those that agree with the end of a batch stay undecided; they
+   are sorted by what follows, and what is then still undecided is counted by its hash.
+Ranks of 1 and 2 are names by hash, counted by shuffles; steps 2 and 3 compare 128 bits. Matches never cross documents.
 """
 
 from __future__ import annotations
@@ -19,15 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, is_empty, struct, with_row_bytes
+from .common import cut, is_empty, map_arrow, struct, with_row_bytes
 
 LENGTH, CHOICE, GRAM = 400, 320, 16
 STEM = LENGTH - CHOICE + 1
-PIECE, CHUNK = 1 << 19, 1_000
+PIECE, BATCH_BYTES = 1 << 19, 1 << 21
 STEMS = struct(("stem", "bigint"))
-BLOCKS = struct(("stem", "bigint"), ("b1", "bigint"), ("b2", "bigint"), ("doc_id", "bigint"), ("key", "bigint"), ("start", "bigint"), ("n", "int"))
-CONTEXTS = struct(("stem", "bigint"), ("chunk", "int"), ("chunks", "int"), ("doc_id", "bigint"), ("key", "bigint"), ("start", "bigint"), ("n", "int"), ("context", "binary"))
-SPANS = struct(("doc_id", "bigint"), ("key", "bigint"), ("starts", "array<bigint>"), ("ends", "array<bigint>"), ("h1", "bigint"), ("h2", "bigint"), ("place", "bigint"))
+BLOCKS = struct(("stem", "bigint"), ("b1", "bigint"), ("b2", "bigint"), ("doc_id", "bigint"), ("key", "bigint"), ("start", "bigint"), ("n", "int"), ("offset", "int"))
+CONTEXTS = struct(("stem", "bigint"), ("doc_id", "bigint"), ("key", "bigint"), ("start", "bigint"), ("n", "int"), ("left", "binary"), ("mid", "binary"), ("right", "binary"))
+EDGES = struct(("stem", "bigint"), ("doc_id", "bigint"), ("key", "bigint"), ("start", "bigint"), ("starts", "array<bigint>"), ("ends", "array<bigint>"), ("open", "binary"), ("done", "binary"), ("h1", "bigint"), ("h2", "bigint"), ("place", "bigint"))
 KEPT = struct(("doc_id", "bigint"), ("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept_sha256", "string"))
 
 
@@ -94,7 +96,7 @@ def blocks(text: bytes, hasher: Hasher, stems_only: bool = False) -> Iterator[tu
             continue
         ends = np.append(starts[1:], count) - 1 + LENGTH
         more = hasher.sums(data, 1)
-        yield stem.view(np.int64), hasher.of(sums, 0, starts, ends).view(np.int64), hasher.of(more, 1, starts, ends).view(np.int64), starts + at, ends - LENGTH + 1 - starts
+        yield stem.view(np.int64), hasher.of(sums, 0, starts, ends).view(np.int64), hasher.of(more, 1, starts, ends).view(np.int64), starts + at, ends - LENGTH + 1 - starts, chosen - starts
 
 
 def all_stems(docs: DataFrame) -> DataFrame:
@@ -105,7 +107,7 @@ def all_stems(docs: DataFrame) -> DataFrame:
                 for (stem,) in blocks(text, hasher, True):
                     yield pa.RecordBatch.from_arrays([pa.array(stem)], STEMS.names)
 
-    return docs.select("text").mapInArrow(merged(run), STEMS)
+    return map_arrow(docs.select("text"), merged(run), STEMS)
 
 
 def all_blocks(docs: DataFrame) -> DataFrame:
@@ -113,11 +115,11 @@ def all_blocks(docs: DataFrame) -> DataFrame:
         hasher = Hasher()
         for batch in batches:
             for doc, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), with_row_bytes(batch.column("text"))):
-                for stem, b1, b2, start, n in blocks(text, hasher):
+                for stem, b1, b2, start, n, offset in blocks(text, hasher):
                     same = lambda v: pa.array([v], pa.int64()).take(pa.array(np.zeros(len(stem), np.int64)))  # noqa: B023, E731
-                    yield pa.RecordBatch.from_arrays([pa.array(stem), pa.array(b1), pa.array(b2), same(doc), same(key), pa.array(start), pa.array(n.astype(np.int32))], BLOCKS.names)
+                    yield pa.RecordBatch.from_arrays([pa.array(stem), pa.array(b1), pa.array(b2), same(doc), same(key), pa.array(start), pa.array(n.astype(np.int32)), pa.array(offset.astype(np.int32))], BLOCKS.names)
 
-    return docs.select("doc_id", "key", "text").mapInArrow(merged(run), BLOCKS)
+    return map_arrow(docs.select("doc_id", "key", "text"), merged(run), BLOCKS)
 
 
 def merged(run, most: int = 20_000):
@@ -138,13 +140,15 @@ def merged(run, most: int = 20_000):
 
 
 def contexts(edges: DataFrame, docs: DataFrame) -> DataFrame:
-    """The bytes of the blocks at edges, read from their documents. edges: doc_id, key, at: array of (stem, chunk, chunks, start, n)."""
+    """The bytes of blocks before the chosen position (backwards), of its stem, and after it. edges: doc_id, key, at: array of (stem, start, n, offset)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc, key, text, found in zip(batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), with_row_bytes(batch.column("text")), batch.column("at").to_pylist()):
-                rows += [(f["stem"], f["chunk"], f["chunks"], doc, key, f["start"], f["n"], text[f["start"] : f["start"] + f["n"] + LENGTH - 1]) for f in found]
+                for f in found:
+                    a, c = f["start"], f["start"] + f["offset"]
+                    rows.append((f["stem"], doc, key, a, f["n"], text[a:c][::-1], text[c : c + STEM], text[c + STEM : a + f["n"] + LENGTH - 1]))
                 if len(rows) > 10_000:
                     yield batch_of(rows)
                     rows = []
@@ -152,85 +156,130 @@ def contexts(edges: DataFrame, docs: DataFrame) -> DataFrame:
                 yield batch_of(rows)
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], CONTEXTS.names)
 
     mine = edges.select(F.col("doc_id").alias("e_id"), F.col("key").alias("e_key"), "at")
     held = docs.join(mine, F.col("doc_id").eqNullSafe(F.col("e_id")) & (F.col("key") == F.col("e_key")))
-    return held.select("doc_id", "key", "text", "at").mapInArrow(run, CONTEXTS)
+    return map_arrow(held.select("doc_id", "key", "text", "at"), run, CONTEXTS)
 
 
-def edge_spans(found: DataFrame) -> DataFrame:
-    """Spans of the repeated strings of contexts, dealt by stem and chunk. Of stems with several chunks also rows with a hash: a place still without
-    a partner, or (place null) a string that has one here and may be one elsewhere."""
+def shared_with(sides: list[bytes], other: bytes) -> np.ndarray:
+    """How many first bytes each side has in common with the other."""
+    width = CHOICE
+    rows = np.zeros((len(sides), width), np.int16)
+    for i, side in enumerate(sides):
+        rows[i, : len(side)] = np.frombuffer(side, np.uint8)
+        rows[i, len(side) :] = -1
+    one = np.full(width + 1, -2, np.int16)
+    one[: len(other)] = np.frombuffer(other, np.uint8)
+    differs = np.ones((len(sides), width + 1), bool)
+    differs[:, :width] = rows != one[None, :width]
+    return differs.argmax(1)
+
+
+def judge(found: DataFrame, side: str) -> DataFrame:
+    """Repeated strings among blocks sorted by stem and one side; what a batch can't decide, as its neighbours may hold a partner.
+
+    Rows are spans of repeated strings; for side left also bits of the positions that are open and those that are done, of every block
+    whose stem may go on beyond the batch. For side right (found then has those bits) also hashes: with a place, of positions open on both sides; without, of others that may be their partners.
+    """
+    first = side == "left"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, held, size, last = Hasher(), [], 0, None
+        hasher, held, size = Hasher(), [], 0
         for batch in batches:
             for row in batch.to_pylist():
-                group = row["stem"], row["chunk"]
-                if size > 1 << 21 and group != last:
-                    yield from spans_of(held, hasher)
-                    held, size = [], 0
                 held.append(row)
-                size += len(row["context"])
-                last = group
+                size += len(row["left"]) + STEM + len(row["right"])
+                if size > BATCH_BYTES:
+                    yield from judged(held, hasher)
+                    held, size = [], 0
         if held:
-            yield from spans_of(held, hasher)
+            yield from judged(held, hasher)
 
-    def spans_of(rows: list[dict], hasher: Hasher) -> Iterator[pa.RecordBatch]:
-        data = np.frombuffer(b"".join(r["context"] for r in rows), np.uint8)
-        first = np.cumsum([0, *(len(r["context"]) for r in rows[:-1])])
+    def judged(rows: list[dict], hasher: Hasher) -> Iterator[pa.RecordBatch]:
+        texts = [r["left"][::-1] + r["mid"] + r["right"] for r in rows]
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        begin = np.cumsum([0, *map(len, texts[:-1])])
         n = np.array([r["n"] for r in rows])
         row = np.repeat(np.arange(len(rows)), n)
         offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        places = np.repeat(first, n) + offset
+        places = np.repeat(begin, n) + offset
         h1, h2 = (hasher.of(hasher.sums(data, w), w, places, places + LENGTH) for w in (0, 1))
         _, code = np.unique(np.stack([h1, h2], 1).view([("a", np.uint64), ("b", np.uint64)]).ravel(), return_inverse=True)
         code = code.ravel()
-        counts = np.bincount(code)
-        repeated = counts[code] > 1
+        repeated = np.bincount(code)[code] > 1
         out = []
         at = np.flatnonzero(repeated)
-        breaks = np.flatnonzero((np.diff(row[at], prepend=-1) != 0) | (np.diff(places[at], prepend=-2) != 1)) if len(at) else at
+        breaks = np.flatnonzero((np.diff(row[at], prepend=-1) != 0) | (np.diff(offset[at], prepend=-2) != 1))
         for a, b in zip(breaks.tolist(), np.append(breaks[1:], len(at)).tolist()):
             r = rows[row[at[a]]]
-            out.append((r["doc_id"], r["key"], [r["start"] + int(offset[at[a]])], [r["start"] + int(offset[at[b - 1]]) + LENGTH], None, None, None))
-        several = np.array([r["chunks"] > 1 for r in rows])[row]
-        if several.any():
-            for i in np.flatnonzero(several & ~repeated).tolist():
+            out.append((r["stem"], r["doc_id"], r["key"], r["start"], [r["start"] + int(offset[at[a]])], [r["start"] + int(offset[at[b - 1]]) + LENGTH], None, None, None, None, None))
+        # blocks whose stem is the batch's first or last: how far do they agree with the block at that end?
+        sides = [r[side] for r in rows]
+        agreed = np.full(len(rows), -1)
+        for end in (0, len(rows) - 1):
+            own = [i for i, r in enumerate(rows) if r["stem"] == rows[end]["stem"]]
+            agreed[own] = np.maximum(agreed[own], shared_with([sides[i] for i in own], sides[end]))
+        before = np.array([len(r["left"]) for r in rows])[row] - offset
+        beyond = (before if first else LENGTH - STEM - before) <= agreed[row]
+        starts = np.cumsum(n) - n
+        ends_of = np.flatnonzero(agreed >= 0).tolist()
+        if first:
+            for i in ends_of:
+                r, own = rows[i], slice(starts[i], starts[i] + n[i])
+                bits = [np.packbits(x[own]).tobytes() for x in (beyond & ~repeated, repeated)]
+                out.append((r["stem"], r["doc_id"], r["key"], r["start"], None, None, *bits, None, None, None))
+        else:
+            open_, done = np.zeros(len(row), bool), np.zeros(len(row), bool)
+            for i in ends_of:
+                own = slice(starts[i], starts[i] + n[i])
+                open_[own], done[own] = (np.unpackbits(np.frombuffer(rows[i][x], np.uint8), count=n[i]).astype(bool) for x in ("open", "done"))
+            for i in np.flatnonzero(open_ & beyond & ~repeated).tolist():
                 r = rows[row[i]]
-                out.append((r["doc_id"], r["key"], None, None, int(h1[i].view(np.int64)), int(h2[i].view(np.int64)), r["start"] + int(offset[i])))
-            known, where = np.unique(code[several & repeated], return_index=True)
-            for i in np.flatnonzero(several & repeated)[where].tolist():
-                out.append((None, None, None, None, int(h1[i].view(np.int64)), int(h2[i].view(np.int64)), None))
+                out.append((r["stem"], r["doc_id"], r["key"], r["start"], None, None, None, None, int(h1[i].view(np.int64)), int(h2[i].view(np.int64)), r["start"] + int(offset[i])))
+            partners = np.flatnonzero(beyond & (repeated | done))
+            for i in partners[np.unique(code[partners], return_index=True)[1]].tolist():
+                out.append((None, None, None, None, None, None, None, None, int(h1[i].view(np.int64)), int(h2[i].view(np.int64)), None))
+        whole = pa.int64()
+        kinds = (whole, whole, whole, whole, pa.list_(whole), pa.list_(whole), pa.binary(), pa.binary(), whole, whole, whole)
         for at in range(0, len(out), 10_000):
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out[at : at + 10_000]), kinds)], SPANS.names)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out[at : at + 10_000]), kinds)], EDGES.names)
 
-    return found.repartition("stem", "chunk").sortWithinPartitions("stem", "chunk").mapInArrow(run, SPANS)
+    other = F.substring("right" if first else "left", 1, 32)  # tells blocks apart that agree on the side
+    return map_arrow(found.repartitionByRange("stem", side, other).sortWithinPartitions("stem", side, other), run, EDGES)
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, key, starts, ends: spans that repeated strings cover. docs: doc_id, key (tells rows with one id apart), text."""
-    stems = all_stems(docs).groupBy("stem").agg(F.count("*").alias("holders")).filter("holders > 1")
+    # counts are written before they are joined: Spark then splits the partition of a frequent stem
+    stems = cut(all_stems(docs).groupBy("stem").agg(F.count("*").alias("holders")).filter("holders > 1").select("stem"), "stems")
     alive = cut(all_blocks(docs).join(stems, "stem"), "alive")
-    place = F.struct("doc_id", "key", "start", "n", "holders")
+    place = F.struct("doc_id", "key", "start", "n", "offset")
     whole = alive.groupBy("stem", "b1", "b2").agg(F.count("*").alias("same"), F.min(place).alias("one")).filter("same > 1")
+    whole = cut(whole, "whole")
     told = cut(alive.join(whole.drop("one"), ["stem", "b1", "b2"], "left"), "told")
     covered = told.filter("same IS NOT NULL").select("doc_id", "key", F.array("start").alias("starts"), F.array(F.col("start") + F.col("n") - 1 + LENGTH).alias("ends"))
-    edges = told.filter("same IS NULL").select("stem", "doc_id", "key", "start", "n", "holders")
+    edges = told.filter("same IS NULL").select("stem", "doc_id", "key", "start", "n", "offset")
     # a string at an edge may be repeated inside a block that is repeated as a whole: one of each such block is a partner
     partners = whole.join(edges.select("stem").distinct(), "stem", "left_semi").select("stem", "one.*")
-    chunks = F.ceil(F.col("holders") / CHUNK).cast("int")
-    chosen = edges.unionByName(partners).withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "key", "start"), F.col("chunks")).cast("int"))
-    at = chosen.groupBy("doc_id", "key").agg(F.collect_list(F.struct("stem", "chunk", "chunks", "start", "n")).alias("at"))
-    found = cut(edge_spans(contexts(at, docs)), "edges")
-    spans = covered.unionByName(found.filter("starts IS NOT NULL").select("doc_id", "key", "starts", "ends"))
-    open_ = found.filter("h1 IS NOT NULL")
-    if not is_empty(open_):
-        twice = open_.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1")
-        more = open_.filter("place IS NOT NULL").join(twice, ["h1", "h2"], "left_semi")
+    at = edges.unionByName(partners).groupBy("doc_id", "key").agg(F.collect_list(F.struct("stem", "start", "n", "offset")).alias("at"))
+    found = cut(contexts(at, docs), "contexts")
+    left = cut(judge(found, "left"), "edges")
+    spans = covered.unionByName(left.filter("starts IS NOT NULL").select("doc_id", "key", "starts", "ends"))
+    bits = left.filter("open IS NOT NULL")
+    # positions with an open bit: blocks of their stems are sorted once more, by the other side
+    again = bits.filter(F.hex("open").rlike("[1-9A-F]")).select("stem").distinct()
+    if not is_empty(again):
+        marks = bits.join(again, "stem", "left_semi").select("stem", F.col("doc_id").alias("m_id"), F.col("key").alias("m_key"), F.col("start").alias("m_start"), "open", "done").distinct()
+        same = F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("key") == F.col("m_key")) & (F.col("start") == F.col("m_start"))
+        marked = found.withColumnRenamed("stem", "f_stem").join(marks, same & (F.col("f_stem") == F.col("stem"))).select(*CONTEXTS.names, "open", "done")
+        right = cut(judge(cut(marked, "marked"), "right"), "edges")
+        counted = right.filter("h1 IS NOT NULL")
+        twice = counted.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1")
+        more = counted.filter("place IS NOT NULL").join(twice, ["h1", "h2"], "left_semi")
+        spans = spans.unionByName(right.filter("starts IS NOT NULL").select("doc_id", "key", "starts", "ends"))
         spans = spans.unionByName(more.select("doc_id", "key", F.array("place").alias("starts"), F.array(F.col("place") + LENGTH).alias("ends")))
     return spans.groupBy("doc_id", "key").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))
 
@@ -280,4 +329,4 @@ def _kept(docs: DataFrame, id_col: str, text_col: str, out, row_of) -> DataFrame
             yield pa.RecordBatch.from_arrays([pa.array(list(c), kinds[str(f.dataType)]) for f, c in zip(out.fields, zip(*found))], out.names)
 
     held = rows.join(spans, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("key") == F.col("s_key")), "left")
-    return held.select("doc_id", "text", "starts", "ends").mapInArrow(run, out)
+    return map_arrow(held.select("doc_id", "text", "starts", "ends"), run, out)
