@@ -46,8 +46,11 @@ def read_batches(spark: SparkSession, path: str, pattern: str = "*.csv") -> Data
     for header, files in sorted(headers.items()):
         columns = next(csv.reader([header]), [])
         schema = ", ".join(f"`{c}` string" for c in [*columns, "_corrupt_record"])
-        read = spark.read.schema(schema).csv(files, header=True, multiLine=True, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", enforceSchema=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-        groups.append(read.withColumn("file", F.col("_metadata.file_path")))
+        read = spark.read.schema(schema).option("columnPruning", False).csv(files, header=True, multiLine=True, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", enforceSchema=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        # all cells are referred to (the remainder is always 0), as Spark refuses to read the corrupt column alone
+        touched = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in columns)), F.lit(1)) == 0
+        corrupt = F.when(F.col("_corrupt_record").isNotNull() & touched, F.col("_corrupt_record"))
+        groups.append(read.withColumn("file", F.col("_metadata.file_path")).withColumn("_corrupt_record", corrupt))
     if not groups:
         raise FileNotFoundError(f"no file matches {pattern} in {path}")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)
