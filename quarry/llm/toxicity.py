@@ -1,6 +1,6 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine, found with a block-max inverted index (operator 8).
 
-Terms are words and five-letter pieces of words; those whose presence depends on the label (chi-square over a bounded sample of labelled rows) make the
+Terms are words and five-letter pieces of words; those whose presence speaks for the label (chi-square and lift over a bounded sample of labelled rows) make the
 vocabulary. Document frequencies are counted over all documents. The index holds a bounded sample of
 labelled examples in blocks: per term and block the largest weight bounds what the block can reach, so blocks are
 visited from the highest bound down until no other can hold a nearer example; the result is exact. Votes are weighted by
@@ -20,11 +20,11 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, struct
+from .common import cut, map_arrow, struct
 
 #: Bounds of the fit: labelled rows read for terms and calibration, examples in the index, terms.
 SAMPLE, EXAMPLES, TERMS = 20_000, 4_096, 4_096
-LEAST_CHI, LEAST_ROWS = 30.0, 5
+LEAST_CHI, LEAST_ROWS, LEAST_LIFT = 30.0, 5, 2.0
 NEIGHBOURS, BLOCK, PIECE, BINS = 15, 64, 5, 10
 WORD = re.compile(r"\w+")
 STATS = struct(("term", "string"), ("n", "bigint"), ("toxic", "bigint"))
@@ -41,7 +41,7 @@ def pieces(word: str) -> list[str]:
 class Terms:
     """Counts of vocabulary terms in a text (of all terms without vocabulary). Distinct words are looked up once and remembered, up to a bound."""
 
-    def __init__(self, vocabulary: dict[str, int] | None = None, most: int = 300_000):
+    def __init__(self, vocabulary: dict[str, int] | None = None, most: int = 100_000):
         self.vocabulary, self.most, self.known = vocabulary, most, {}
 
     def of(self, word: str) -> tuple:
@@ -102,9 +102,10 @@ def choose_terms(rows: DataFrame, most: int = TERMS) -> list[str]:
         return []
     n, p = float(total.n), float(total.p)
     a, b = F.col("toxic").cast("double"), (F.col("n") - F.col("toxic")).cast("double")
-    counted = rows.select("text", "toxic").mapInArrow(run, STATS).groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).filter(F.col("n") >= LEAST_ROWS)
+    counted = map_arrow(rows.select("text", "toxic"), run, STATS).groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).filter(F.col("n") >= LEAST_ROWS)
     chi = n * (a * (n - p - b) - b * (p - a)) ** 2 / (p * (n - p) * (a + b) * (n - a - b))
-    best = counted.filter(F.col("n") < n).withColumn("chi", chi).filter(F.col("chi") >= LEAST_CHI).orderBy(F.desc("chi"), "term").limit(most)
+    # terms that speak for the label: their holders are toxic at least LEAST_LIFT times as often as all
+    best = counted.filter(F.col("n") < n).filter(F.col("toxic") * n >= LEAST_LIFT * p * F.col("n")).withColumn("chi", chi).filter(F.col("chi") >= LEAST_CHI).orderBy(F.desc("chi"), "term").limit(most)
     return [r["term"] for r in best.collect()]
 
 
@@ -122,7 +123,7 @@ def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[n
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, size)), pa.array(np.append(seen[at], n))], ["term", "n"])
 
     out = np.zeros(size + 1, np.int64)
-    for r in docs.select("text").mapInArrow(run, struct(("term", "bigint"), ("n", "bigint"))).groupBy("term").agg(F.sum("n").alias("n")).collect():
+    for r in map_arrow(docs.select("text"), run, struct(("term", "bigint"), ("n", "bigint"))).groupBy("term").agg(F.sum("n").alias("n")).collect():
         out[r["term"]] = r["n"]
     return out[:size], int(out[size])
 
@@ -240,7 +241,7 @@ def vectorize(texts: DataFrame, vocabulary: dict[str, int], idf: np.ndarray) ->
             found = [weigh(terms.count(t), idf) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("toxic").cast(pa.int32()), pa.array([f[0].tolist() for f in found], pa.list_(pa.int32())), pa.array([f[1].tolist() for f in found], pa.list_(pa.float64()))], VECTORS.names)
 
-    return texts.select("doc_id", "text", "toxic").mapInArrow(run, VECTORS)
+    return map_arrow(texts.select("doc_id", "text", "toxic"), run, VECTORS)
 
 
 def votes(vectors: DataFrame, model: ToxicityModel, leave_out: bool = False) -> DataFrame:
@@ -254,7 +255,7 @@ def votes(vectors: DataFrame, model: ToxicityModel, leave_out: bool = False) ->
             found = [own.vote((np.array(t, np.int64), np.array(w)), i if leave_out else None) for i, t, w in zip(ids, batch.column("terms").to_pylist(), batch.column("weights").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.int32()), pa.array([f[2] for f in found], pa.list_(pa.int64())), batch.column("toxic")], SCORES.names)
 
-    return vectors.mapInArrow(run, SCORES)
+    return map_arrow(vectors, run, SCORES)
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
