@@ -24,7 +24,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import struct
+from .common import map_arrow, struct
 
 PACKED = struct(("key", "int"), ("block", "bigint"), ("bucket", "int"), ("ids", "array<bigint>"), ("sizes", "array<int>"), ("payload", "binary"))
 TOKENS = struct(("doc_id", "bigint"), ("ids", "array<int>"))
@@ -253,7 +253,7 @@ def split_words(docs: DataFrame, pattern: str, buckets: int, block_chars: int =
         if ids:
             yield flush()
 
-    return docs.mapInArrow(run, PACKED)
+    return map_arrow(docs, run, PACKED)
 
 
 def encode_words(dealt: DataFrame, ranks: Broadcast, pattern: str) -> DataFrame:
@@ -280,7 +280,7 @@ def encode_words(dealt: DataFrame, ranks: Broadcast, pattern: str) -> DataFrame:
                 columns["payload"][i] = frame(pack_numbers(flat), pack_numbers(np.fromiter(map(len, found), np.int64, len(found))), numbers)
             yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in batch.schema], batch.schema.names)
 
-    return dealt.mapInArrow(run, PACKED)
+    return map_arrow(dealt, run, PACKED)
 
 
 def encoder(ranks: Broadcast, pattern: str):
@@ -372,7 +372,7 @@ def decode(tokens: DataFrame, ranks: Broadcast, id_col: str = "doc_id", ids_col:
             decoded = [b"".join(parts) for parts in table.per_list(lists_of(batch.column("ids")))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(decoded, pa.binary())], out.names)
 
-    return tokens.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids")).mapInArrow(run, out)
+    return map_arrow(tokens.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids")), run, out)
 
 
 def digests(tokens: DataFrame, ranks: Broadcast) -> DataFrame:
@@ -396,7 +396,7 @@ def digests(tokens: DataFrame, ranks: Broadcast) -> DataFrame:
                 decoded.append(digest.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(lists.offsets.to_numpy()), pa.int64()), pa.array(written, pa.string()), pa.array(decoded, pa.string())], out.names)
 
-    return tokens.mapInArrow(run, out)
+    return map_arrow(tokens, run, out)
 
 
 def token_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

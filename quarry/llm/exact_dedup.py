@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import cut, free_name, is_empty, struct, with_row_bytes
+from .common import cut, free_name, is_empty, map_arrow, struct, with_row_bytes
 
 CHANGE = struct(("digest", "binary"), ("n_bytes", "bigint"), ("keep_id", "bigint"), ("n", "bigint"), ("deleted", "boolean"))
 LIVE = struct(("digest", "binary"), ("n_bytes", "bigint"), ("keep_id", "bigint"), ("n", "bigint"))
@@ -116,7 +116,7 @@ def with_digest(df: DataFrame, text_col: str = "text", digest_col: str = "digest
             added = [pa.array([hashlib.sha256(b).digest() for b in texts], pa.binary()), pa.array([len(b) for b in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *added], [*names, digest_col, bytes_col])
 
-    return df.mapInArrow(run, out)
+    return map_arrow(df, run, out)
 
 
 def combined(rows: DataFrame, most: int = 200_000) -> DataFrame:
@@ -141,7 +141,7 @@ def combined(rows: DataFrame, most: int = 200_000) -> DataFrame:
         if seen:
             yield flush()
 
-    return rows.select("doc_id", "digest", "n_bytes").mapInArrow(run, CHANGE)
+    return map_arrow(rows.select("doc_id", "digest", "n_bytes"), run, CHANGE)
 
 
 def apply_changes(changes: DataFrame, live: DataFrame | None = None) -> DataFrame:
@@ -179,7 +179,7 @@ def apply_changes(changes: DataFrame, live: DataFrame | None = None) -> DataFram
     def rows_of(block: list[list]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*block), (pa.binary(), pa.int64(), pa.int64(), pa.int64()))], LIVE.names)
 
-    return changes.select(*CHANGE.names).repartition("digest").mapInArrow(run, LIVE)
+    return map_arrow(changes.select(*CHANGE.names).repartition("digest"), run, LIVE)
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

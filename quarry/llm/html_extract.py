@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import struct
+from .common import map_arrow, struct
 
 # Element and name lists.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -206,4 +206,4 @@ def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text", ch
             texts = [main_text(h) for h in batch.column(html_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*names, text_col, chars_col])
 
-    return pages.mapInArrow(run, T.StructType([*kept, *struct((text_col, "string"), (chars_col, "bigint")).fields]))
+    return map_arrow(pages, run, T.StructType([*kept, *struct((text_col, "string"), (chars_col, "bigint")).fields]))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import cut, free_name, is_empty, struct, with_row_bytes
+from .common import cut, free_name, is_empty, map_arrow, struct, with_row_bytes
 from .components import components
 
 SEED, BITS, SEGMENTS = 42, 64, 32
@@ -44,8 +44,8 @@ def fingerprint(text: bytes, words: int) -> int:
     count = max(1, n - words + 1)
     digest = xxhash.xxh64_intdigest
     totals = np.zeros(BITS, np.int64)
-    for at in range(0, count, 1 << 16):  # long texts in steps
-        a, b = starts[at : min(at + (1 << 16), count)].tolist(), ends[min(at + words, n) - 1 :].tolist()
+    for at in range(0, count, 1 << 14):  # long texts in steps
+        a, b = starts[at : min(at + (1 << 14), count)].tolist(), ends[min(at + words, n) - 1 :].tolist()
         hashes = np.fromiter((digest(joined[x:y], SEED) for x, y in zip(a, b)), np.uint64, len(a))
         totals += np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
     return int(np.packbits(2 * totals > count).view(">i8")[0])
@@ -61,7 +61,7 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", fp_col: str = "fp"
             found = [fingerprint(t, words) for t in with_row_bytes(batch.column(text_col))]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(found, pa.int64())], [*names, fp_col])
 
-    return docs.mapInArrow(run, T.StructType([*kept, T.StructField(fp_col, T.LongType(), True)]))
+    return map_arrow(docs, run, T.StructType([*kept, T.StructField(fp_col, T.LongType(), True)]))
 
 
 def grids(n: int, most: int) -> tuple[list[list[int]], list[tuple[int, ...]]]:
@@ -93,7 +93,7 @@ def grid_points(fps: DataFrame, most: int, n: int) -> DataFrame:
                 cell = (points & np.uint64(mask)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(grid)
                 yield pa.RecordBatch.from_arrays([pa.array((cell ^ (cell >> np.uint64(29))).view(np.int64)), pa.array(values)], POINTS.names)
 
-    return fps.select("fp").mapInArrow(run, POINTS)
+    return map_arrow(fps.select("fp"), run, POINTS)
 
 
 def forest(points: np.ndarray, most: int) -> list[tuple[int, int]]:
@@ -103,8 +103,8 @@ def forest(points: np.ndarray, most: int) -> list[tuple[int, int]]:
     embedded = unary(fps)
     label = np.arange(n)
     out = []
-    for at in range(0, n, 512):
-        near = np.bitwise_count(embedded[at : at + 512, None] ^ embedded[None, :]) <= most  # the lower bound
+    for at in range(0, n, 128):
+        near = np.bitwise_count(embedded[at : at + 128, None] ^ embedded[None, :]) <= most  # the lower bound
         i, j = np.nonzero(near)
         i, j = i[i + at < j], j[i + at < j]
         exact = np.bitwise_count(fps[i + at] ^ fps[j]) <= most
@@ -151,7 +151,7 @@ def cell_links(points: DataFrame, most: int, large: int) -> DataFrame:
     def linked(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*rows)], LINKS.names)
 
-    return points.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, LINKS)
+    return map_arrow(points.repartition("cell").sortWithinPartitions("cell"), run, LINKS)
 
 
 def links(fps: DataFrame, most: int = 4, large: int = LARGE_CELL) -> DataFrame:
@@ -183,7 +183,8 @@ def simhash_groups(docs: DataFrame, words: int = 4, most: int = 4, id_col: str =
     """One row per document: doc_id, fingerprint, component_id. Null texts count as empty (fingerprint zero, linked like any other); null ids count last; repeated rows stay."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     prints = cut(with_fingerprint(rows, words=words, drop_text=True), "prints")
-    return prints.join(near_groups(prints, most), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    # the groups are written before the join, so that Spark can split the partition of a frequent fingerprint
+    return prints.join(cut(near_groups(prints, most), "groups"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, words: int = 4, most: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

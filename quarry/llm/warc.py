@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, struct
+from .common import map_arrow, new_path, struct
 
 LEAST_REVISIT_BYTES = 100
 RECORDS_PER_FILE = 3_000
@@ -86,7 +86,7 @@ def write_warc(pages: DataFrame, path: str) -> None:
                 out += records_of(page_id, url, payload, digest, first_id, first_url, revisit)
             yield pa.RecordBatch.from_arrays([pa.array([r[:-1] for r in out], pa.binary())], ["record"])
 
-    lines = told.select("page_id", "url", "digest", "first_id", "first_url", "revisit", "html").mapInArrow(run, WRITTEN).select(F.col("record").cast("string").alias("value"))
+    lines = map_arrow(told.select("page_id", "url", "digest", "first_id", "first_url", "revisit", "html"), run, WRITTEN).select(F.col("record").cast("string").alias("value"))
     lines.write.option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
@@ -138,7 +138,7 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
         kinds = {"payload": pa.binary(), "payload_bytes": pa.int64()}
         return pa.RecordBatch.from_arrays([pa.array(list(c), kinds.get(n, pa.string())) for n, c in zip(RECORDS.names, zip(*rows))], RECORDS.names)
 
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content").mapInArrow(run, RECORDS)
+    return map_arrow(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content"), run, RECORDS)
 
 
 def assemble(records: DataFrame) -> DataFrame:
