@@ -1,7 +1,7 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine, found with a block-max inverted index (operator 8).
 
-Terms are words and five-letter pieces of words; those whose presence speaks for the label (chi-square and lift over a bounded sample of labelled rows) make the
-vocabulary. Document frequencies are counted over all documents. The index holds a bounded sample of
+Terms are words and five-letter pieces of words; those that speak most for either label (chi-square of their presence over a bounded sample of labelled rows,
+half of them for each label) make the vocabulary; no cut-off but their number leaves one out. Document frequencies are counted over all documents. The index holds a bounded sample of
 labelled examples in blocks: per term and block the largest weight bounds what the block can reach, so blocks are
 visited from the highest bound down until no other can hold a nearer example; the result is exact. Votes are weighted by
 closeness and calibrated on the labelled rows, each without itself. Index and vocabulary are bounded, so they are broadcast.
@@ -13,6 +13,7 @@ import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,8 @@ from .common import cut, map_arrow, struct
 
 #: Bounds of the fit: labelled rows read for terms and calibration, examples in the index, terms.
 SAMPLE, EXAMPLES, TERMS = 20_000, 4_096, 4_096
-LEAST_CHI, LEAST_ROWS, LEAST_LIFT = 30.0, 5, 2.0
-NEIGHBOURS, BLOCK, PIECE, BINS = 15, 64, 5, 10
+LEAST_ROWS = 5
+NEIGHBOURS, BLOCK, FIRST, PIECE, BINS = 15, 64, 4, 5, 10
 WORD = re.compile(r"\w+")
 STATS = struct(("term", "string"), ("n", "bigint"), ("toxic", "bigint"))
 VECTORS = struct(("doc_id", "bigint"), ("toxic", "int"), ("terms", "array<int>"), ("weights", "array<double>"))
@@ -56,11 +57,15 @@ class Terms:
         return found
 
     def count(self, text: str | None) -> Counter:
-        out: Counter = Counter()
+        out: dict = {}
         for word, n in Counter(WORD.findall(text or "")).items():
             for term in self.of(word):
-                out[term] += n
-        return out
+                out[term] = out.get(term, 0) + n
+        return Counter(out)
+
+    def present(self, text: str | None) -> set:
+        """The terms that a text holds."""
+        return set(chain.from_iterable(map(self.of, set(WORD.findall(text or "")))))
 
 
 def held_out() -> Column:
@@ -75,7 +80,7 @@ def chosen_labels(labels: DataFrame, most: int, salt: str, label_col: str = "tox
 
 
 def choose_terms(rows: DataFrame, most: int = TERMS) -> list[str]:
-    """The terms of labelled texts (text, toxic) that depend most on the label, by chi-square of their presence."""
+    """The terms of labelled texts (text, toxic) that speak most for either label, by chi-square of their presence: half of `most` for each, more where the other has fewer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, seen, toxic = Terms(), Counter(), Counter()
@@ -89,7 +94,7 @@ def choose_terms(rows: DataFrame, most: int = TERMS) -> list[str]:
 
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                found = set(terms.count(text))
+                found = terms.present(text)
                 seen.update(found)
                 if label:
                     toxic.update(found)
@@ -104,9 +109,10 @@ def choose_terms(rows: DataFrame, most: int = TERMS) -> list[str]:
     a, b = F.col("toxic").cast("double"), (F.col("n") - F.col("toxic")).cast("double")
     counted = map_arrow(rows.select("text", "toxic"), run, STATS).groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).filter(F.col("n") >= LEAST_ROWS)
     chi = n * (a * (n - p - b) - b * (p - a)) ** 2 / (p * (n - p) * (a + b) * (n - a - b))
-    # terms that speak for the label: their holders are toxic at least LEAST_LIFT times as often as all
-    best = counted.filter(F.col("n") < n).filter(F.col("toxic") * n >= LEAST_LIFT * p * F.col("n")).withColumn("chi", chi).filter(F.col("chi") >= LEAST_CHI).orderBy(F.desc("chi"), "term").limit(most)
-    return [r["term"] for r in best.collect()]
+    told = cut(counted.filter(F.col("n") < n).select("term", chi.alias("chi"), (F.col("toxic") * n >= p * F.col("n")).alias("toxic")), "terms")
+    sides = [told.filter(side).orderBy(F.desc("chi"), "term").limit(most).collect() for side in (F.col("toxic"), ~F.col("toxic"))]
+    room = [max(most // 2, most - len(sides[1])), max(most - most // 2, most - len(sides[0]))]
+    return [r["term"] for side, size in zip(sides, room) for r in side[:size]]
 
 
 def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[np.ndarray, int]:
@@ -117,7 +123,7 @@ def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[n
         terms, seen, n = Terms(vocabulary), np.zeros(size, np.int64), 0
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                seen[list(terms.count(text))] += 1
+                seen[list(terms.present(text))] += 1
                 n += 1
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, size)), pa.array(np.append(seen[at], n))], ["term", "n"])
@@ -130,8 +136,10 @@ def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[n
 
 def weigh(counts: Counter, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Terms in order and their unit-length weights."""
-    terms = np.array(sorted(counts), np.int64)
-    weights = np.array([1 + np.log(counts[t]) for t in terms.tolist()]) * idf[terms] if len(terms) else np.zeros(0)
+    terms, n = np.fromiter(counts.keys(), np.int64, len(counts)), np.fromiter(counts.values(), np.float64, len(counts))
+    order = terms.argsort()
+    terms = terms[order]
+    weights = (1 + np.log(n[order])) * idf[terms] if len(terms) else np.zeros(0)
     norm = np.sqrt((weights**2).sum())
     return (terms, weights / norm) if norm else (terms[:0], weights[:0])
 
@@ -145,34 +153,46 @@ class BlockMaxIndex:
         self.ids, self.labels = np.array([ids[i] for i in order], np.int64), np.array([labels[i] for i in order], np.int64)
         self.blocks = -(-len(order) // BLOCK)
         self.top = np.zeros((size, self.blocks), np.float32)
-        gathered: dict[tuple[int, int], list] = {}
-        for at, i in enumerate(order):
-            for term, weight in zip(vectors[i][0].tolist(), vectors[i][1].tolist()):
-                gathered.setdefault((term, at // BLOCK), []).append((at % BLOCK, weight))
-        self.postings = {}
-        for (term, block), found in gathered.items():
-            self.postings[term, block] = np.array([f[0] for f in found]), np.array([f[1] for f in found])
-            self.top[term, block] = max(f[1] for f in found) * (1 + 1e-6)
+        self.starts = np.zeros((size, self.blocks + 1), np.int64)
+        if not order:
+            return
+        terms, weights = (np.concatenate([vectors[i][k] for i in order]) for k in (0, 1))
+        places = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
+        by_term = np.lexsort((places, terms))
+        terms, self.places, self.weights = terms[by_term], places[by_term], weights[by_term]
+        np.maximum.at(self.top, (terms, self.places // BLOCK), self.weights * (1 + 1e-6))
+        # postings of term t in block b: from starts[t, b] to starts[t, b + 1]
+        self.starts = np.searchsorted(terms * self.blocks + self.places // BLOCK, np.arange(size)[:, None] * self.blocks + np.arange(self.blocks + 1))
+
+    def scan(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in these blocks with a positive cosine, in order, and the cosines."""
+        begins = self.starts[terms[:, None], blocks].ravel()
+        sizes = self.starts[terms[:, None], blocks + 1].ravel() - begins
+        at = np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        found = np.bincount(self.places[at], np.repeat(np.repeat(weights, len(blocks)), sizes) * self.weights[at], len(self.ids))
+        places = np.flatnonzero(found > 0)
+        return places, np.round(found[places], 9)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples with a positive cosine, the nearest first, ties by place; never the example `but`."""
+        places, scores = np.zeros(0, np.int64), np.zeros(0)
         if not len(terms) or not self.blocks:
-            return np.zeros(0, np.int64), np.zeros(0)
+            return places, scores
         bounds = weights @ self.top[terms]
-        places, scores = np.zeros(0, np.int64), np.zeros(0)
-        pairs = list(zip(terms.tolist(), weights.tolist()))
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[block] <= 0 or len(scores) == k and bounds[block] < scores[-1]:
+        order = np.argsort(-bounds, kind="stable")
+        # the blocks with the highest bounds first, then all others that can hold a nearer example
+        for blocks in (order[:FIRST], order[FIRST:]):
+            least = scores[-1] if len(scores) == k else 0.0
+            blocks = blocks[(bounds[blocks] > 0) & (bounds[blocks] >= least)]
+            if not len(blocks):
                 break
-            found = np.zeros(BLOCK)
-            for term, weight in pairs:
-                if (posting := self.postings.get((term, block))) is not None:
-                    found[posting[0]] += weight * posting[1]
-            at = np.flatnonzero(found > 0)
-            here = at + block * BLOCK
+            here, found = self.scan(terms, weights, blocks)
             if but is not None:
-                at, here = at[self.ids[here] != but], here[self.ids[here] != but]
-            places, scores = np.append(places, here), np.append(scores, np.round(found[at], 9))
+                here, found = here[self.ids[here] != but], found[self.ids[here] != but]
+            places, scores = np.append(places, here), np.append(scores, found)
+            if len(scores) > k:
+                near = scores >= np.partition(scores, -k)[-k]
+                places, scores = places[near], scores[near]
             best = np.lexsort((places, -scores))[:k]
             places, scores = places[best], scores[best]
         return places, scores
@@ -239,11 +259,16 @@ def vectorize(texts: DataFrame, vocabulary: dict[str, int], idf: np.ndarray) ->
         terms = Terms(vocabulary)
         for batch in batches:
             found = [weigh(terms.count(t), idf) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("toxic").cast(pa.int32()), pa.array([f[0].tolist() for f in found], pa.list_(pa.int32())), pa.array([f[1].tolist() for f in found], pa.list_(pa.float64()))], VECTORS.names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("toxic").cast(pa.int32()), pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float64()))], VECTORS.names)
 
     return map_arrow(texts.select("doc_id", "text", "toxic"), run, VECTORS)
 
 
+def arrays(lists: pa.ListArray) -> list[np.ndarray]:
+    """Each row's list as an array."""
+    return np.split(lists.flatten().to_numpy(), (lists.offsets.to_numpy() - lists.offsets[0].as_py())[1:-1]) if len(lists) else []
+
+
 def votes(vectors: DataFrame, model: ToxicityModel, leave_out: bool = False) -> DataFrame:
     """doc_id, vote, found (neighbours), evidence (ids of the nearest examples), toxic. leave_out: no text is its own neighbour."""
     shared = vectors.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
@@ -252,7 +277,7 @@ def votes(vectors: DataFrame, model: ToxicityModel, leave_out: bool = False) ->
         own = pickle.loads(shared.value)
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            found = [own.vote((np.array(t, np.int64), np.array(w)), i if leave_out else None) for i, t, w in zip(ids, batch.column("terms").to_pylist(), batch.column("weights").to_pylist())]
+            found = [own.vote((t.astype(np.int64), w), i if leave_out else None) for i, t, w in zip(ids, arrays(batch.column("terms")), arrays(batch.column("weights")))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.int32()), pa.array([f[2] for f in found], pa.list_(pa.int64())), batch.column("toxic")], SCORES.names)
 
     return map_arrow(vectors, run, SCORES)
