@@ -2,13 +2,14 @@
 
 Numbers, units after numbers and names (capitalised words inside a sentence) become typed placeholders; what remains is lower-cased and cut into words.
 Windows of eight template words are hashed and joined with those of the benchmark. A document that holds at
-least half of an item's windows, or twenty of them, is a candidate. Where an item has placeholders, the values in the
+least half of an item's windows, or twenty of them, is a candidate. Where matched windows have placeholders, the values in the
 document must answer to the item's values consistently: a re-parameterised question puts one value for each of the item's.
+Each window is read where it was found, so partial, shifted and repeated copies keep their evidence.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, free_name, is_empty, is_small, sized
@@ -62,25 +63,46 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     rows = items.select("item_id", "size", "t_words", F.posexplode(hashes).alias("at", "h"))
     literal = F.size(F.filter(F.slice("t_words", F.col("at") + 1, F.col("size")), lambda w: ~w.isin(NUM, UNIT, NAME)))
     rows = rows.withColumn("literal", literal).filter(F.col("literal") >= LEAST_LITERAL)
-    counts = rows.groupBy("item_id", "size").agg(F.countDistinct("h").alias("n"))
-    return rows.join(counts, ["item_id", "size"]).select("h", "size", "item_id", "at", "n", (F.col("literal") < F.col("size")).alias("has_slots"))
+    counts = rows.groupBy("item_id", "size").agg(F.countDistinct("h").alias("n"), F.max(F.col("literal") < F.col("size")).alias("item_slots"))
+    return rows.join(counts, ["item_id", "size"]).select("h", "size", "item_id", "at", "n", (F.col("literal") < F.col("size")).alias("has_slots"), "item_slots")
 
 
 def matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """doc_id, key, item_id, at, place, n, has_slots: the benchmark's windows found in docs (doc_id, key, text)."""
+    """doc_id, key, item_id, size, at, place, h, n, has_slots, item_slots: the benchmark's windows found in docs (doc_id, key, text)."""
     small = sized(windows, MOST_BROADCAST)
     sizes = [r["size"] for r in windows.select("size").distinct().collect()]  # four values at most
     hashed = templates(docs, "text").select("doc_id", "key", "t_hashes")
     found = None
     for size in sorted(sizes):
         exploded = hashed.select("doc_id", "key", F.posexplode(window_hashes("t_hashes", size)).alias("place", "h"))
-        part = exploded.join(small.filter(F.col("size") == size), "h").select("doc_id", "key", "item_id", "at", "place", "h", "n", "has_slots")
+        part = exploded.join(small.filter(F.col("size") == size), "h").select("doc_id", "key", "item_id", "size", "at", "place", "h", "n", "has_slots", "item_slots")
         found = part if found is None else found.unionByName(part)
     return found
 
 
+def enough(windows: Column, n: Column) -> Column:
+    """Whether so many of an item's n windows make a candidate."""
+    return (windows >= LEAST_SHARE * n) | (windows >= LEAST_RUN)
+
+
+def copies(pairs: DataFrame) -> DataFrame:
+    """doc_id, key, item_id, copy, whole, size, at, place: the places of pairs, dealt to the copies of the item in the document; whole tells that the copy alone has enough windows.
+
+    A place that answers to several windows of the item keeps the one whose shift most windows share. A copy ends where the item's windows stop rising.
+    """
+    pair = ["doc_id", "key", "item_id"]
+    rows = pairs.select(*pair, "n", F.explode("places").alias("p")).select(*pair, "n", "p.*")
+    rows = rows.withColumn("support", F.count("*").over(Window.partitionBy(*pair, F.col("place") - F.col("at"))))
+    rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*pair, "place").orderBy(F.desc("support"), "at"))).filter("rank = 1")
+    order = Window.partitionBy(*pair).orderBy("place")
+    rows = rows.withColumn("back", F.coalesce((F.col("at") <= F.lag("at").over(order)).cast("int"), F.lit(0))).withColumn("copy", F.sum("back").over(order))
+    held = F.size(F.collect_set("h").over(Window.partitionBy(*pair, "copy")))
+    return rows.withColumn("whole", enough(held, F.col("n"))).select(*pair, "copy", "whole", "size", "at", "place")
+
+
 def slot_shares(docs: DataFrame, pairs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, key, item_id, consistent: the share of slots whose value is the one that most often stands for the item's value. pairs: doc_id, key, item_id, shift."""
+    """doc_id, key, item_id, consistent: the share of slots in matched windows whose value is the one that most often stands for the item's value in the same copy,
+    over all copies or in the best of the copies that have enough windows. pairs: doc_id, key, item_id, n, places."""
     words = lambda df, text: templates(df, text).withColumn("raw", words_of(prepared(F.col(text))))
     wanted = pairs.select("doc_id", "key").distinct()
     held = docs.join(F.broadcast(wanted) if is_small(wanted, 50_000) else wanted, (docs["doc_id"].eqNullSafe(wanted["doc_id"])) & (docs["key"] == wanted["key"]), "left_semi")
@@ -88,11 +110,13 @@ def slot_shares(docs: DataFrame, pairs: DataFrame, benchmark: DataFrame) -> Data
     items = words(benchmark.select("item_id", F.col("text").alias("i_text")).filter("item_id IS NOT NULL").distinct(), "i_text")
     slots = items.select("item_id", F.posexplode(F.arrays_zip(F.col("t_words").alias("t"), F.col("raw").alias("r"))).alias("at", "w"))
     slots = slots.filter(F.col("w.t").isin(NUM, UNIT, NAME)).select("item_id", "at", F.lower("w.r").alias("asked"))
-    aligned = pairs.join(doc_words, F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("key") == F.col("d_key"))).join(slots, "item_id")
-    told = aligned.select("doc_id", "key", "item_id", "asked", F.lower(F.get("d_raw", F.col("at") + F.col("shift"))).alias("told"))
-    counts = told.filter("told IS NOT NULL").groupBy("doc_id", "key", "item_id", "asked", "told").count()
-    best = counts.groupBy("doc_id", "key", "item_id", "asked").agg(F.max("count").alias("most"), F.sum("count").alias("all"))
-    return best.groupBy("doc_id", "key", "item_id").agg((F.sum("most") / F.sum("all")).alias("consistent"))
+    copy = ["doc_id", "key", "item_id", "copy", "whole"]
+    read = copies(pairs).select(*copy, "at", "place", F.explode(F.sequence(F.lit(0), F.col("size") - 1)).alias("i")).select(*copy, (F.col("at") + F.col("i")).alias("at"), (F.col("place") + F.col("i")).alias("spot")).distinct()
+    aligned = read.join(slots, ["item_id", "at"]).join(doc_words, F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("key") == F.col("d_key")))
+    counts = aligned.select(*copy, "asked", F.lower(F.get("d_raw", F.col("spot"))).alias("told")).groupBy(*copy, "asked", "told").count()
+    best = counts.groupBy(*copy, "asked").agg(F.max("count").alias("most"), F.sum("count").alias("all")).groupBy(*copy).agg(F.sum("most").alias("most"), F.sum("all").alias("all"))
+    share = F.greatest(F.sum("most") / F.sum("all"), F.max(F.when(F.col("whole"), F.col("most") / F.col("all"))))
+    return best.groupBy("doc_id", "key", "item_id").agg(share.alias("consistent"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -105,14 +129,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     windows = cut(item_windows(benchmark), "windows")
     if is_empty(windows):
         return docs.select("doc_id", "key").limit(0).selectExpr("doc_id", "key", "CAST(NULL AS BIGINT) AS item_id", "0L AS windows", "0D AS share", "0D AS consistent")
-    found = matches(docs, windows).groupBy("doc_id", "key", "item_id", "n").agg(F.countDistinct("h").alias("windows"), F.max("has_slots").alias("has_slots"), F.mode(F.col("place") - F.col("at"), True).alias("shift"))
-    enough = (F.col("windows") >= LEAST_SHARE * F.col("n")) | (F.col("windows") >= LEAST_RUN)
-    pairs = cut(found.filter(enough), "leaks")
+    found = matches(docs, windows).groupBy("doc_id", "key", "item_id", "n").agg(F.countDistinct("h").alias("windows"), F.max("has_slots").alias("has_slots"), F.collect_set(F.when(F.col("item_slots"), F.struct("place", "at", "size", "h"))).alias("places"))
+    pairs = cut(found.filter(enough(F.col("windows"), F.col("n"))), "leaks")
     plain = pairs.filter("NOT has_slots").select("doc_id", "key", "item_id", "windows", (F.col("windows") / F.col("n")).alias("share"), F.lit(None).cast("double").alias("consistent"))
     slotted = pairs.filter("has_slots")
     if is_empty(slotted):
         return plain
-    shares = slot_shares(docs, slotted.select("doc_id", "key", "item_id", "shift"), benchmark).select(F.col("doc_id").alias("s_id"), F.col("key").alias("s_key"), F.col("item_id").alias("s_item"), "consistent")
+    shares = slot_shares(docs, slotted.select("doc_id", "key", "item_id", "n", "places"), benchmark).select(F.col("doc_id").alias("s_id"), F.col("key").alias("s_key"), F.col("item_id").alias("s_item"), "consistent")
     checked = slotted.join(shares, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("key") == F.col("s_key")) & (F.col("item_id") == F.col("s_item")), "left")
     checked = checked.filter(F.coalesce("consistent", F.lit(1.0)) >= LEAST_CONSISTENT)
     return plain.unionByName(checked.select("doc_id", "key", "item_id", "windows", (F.col("windows") / F.col("n")).alias("share"), "consistent"))

@@ -51,6 +51,19 @@ def test_slots_must_be_consistent(spark):
     assert [r.doc_id for r in found.collect()] == [1]
 
 
+def test_partial_shifted_and_repeated_copies_keep_their_slots(spark):
+    item = "every day the baker {0} bakes {1} small loaves of bread for sale before {0} walks home to eat and then the tired {0} counts all of those coins that were paid while neighbours of {0} sing some old songs"
+    own = item.format("Martin", 40)
+    words = own.split()
+    half = " ".join(words[:26]) + " nothing else of this was ever written down by anybody who lived near there or anywhere at all in that land"
+    inserted, deleted = " ".join([*words[:19], "quite", *words[19:]]), " ".join([*words[:19], *words[20:]])
+    twice = item.format("Olga", 70) + ". Some other words come here. " + item.format("Peter", 90)
+    mixed = own.replace("Martin", "{}").format("Olga", "Peter", "Nina", "Boris").replace("40", "70")
+    texts = [own, half, inserted, deleted, twice, mixed]
+    found = decontaminate.contaminated(spark.createDataFrame(list(enumerate(texts)), DOCS), spark.createDataFrame([(1, own)], "item_id long, text string")).collect()
+    assert sorted(r.doc_id for r in found) == [0, 1, 2, 3, 4] and {r.consistent for r in found} == {1.0}
+
+
 # 2 ------------------------------------------------------------------------------------------------------------------
 
 
