@@ -20,7 +20,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from .common import cut, free_name, is_empty, map_arrow, struct, with_row_bytes
 from .components import components
@@ -170,7 +169,7 @@ def links(fps: DataFrame, most: int = 4, large: int = LARGE_CELL) -> DataFrame:
 
 
 def near_groups(prints: DataFrame, most: int = 4) -> DataFrame:
-    """fp, component_id of every fingerprint in prints (doc_id, fp); component_id is the smallest doc_id reachable."""
+    """fp, component_id of every fingerprint in prints (doc_id, fp); component_id is the smallest doc_id reachable; doc_id may be of any ordered type."""
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "prints")
     roots = components(links(distinct, most)).withColumnRenamed("node", "fp")
     rooted = distinct.join(roots, "fp")
@@ -188,12 +187,13 @@ def simhash_groups(docs: DataFrame, words: int = 4, most: int = 4, id_col: str =
 
 
 def drop_near_copies(docs: DataFrame, words: int = 4, most: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one document of each component, that with the smallest id; columns as they were."""
+    """docs with one row of each component, that with the smallest id (null ids last, ties by the text's hash); columns as they were.
+
+    Each row has a number of its own, so rows that share an id, or have none, are told apart.
+    """
     fp, number = free_name(docs, "q_fp"), free_name(docs, "q_number")
-    marked = cut(with_fingerprint(docs, text_col, fp, words), "marked")
-    groups = near_groups(marked.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(fp).alias("fp")), most)
-    # few are the groups' own rows: (id, fingerprint) of those that stay
-    stay = groups.select(F.col("component_id").alias("l_id"), F.col("fp").alias("l_fp"))
-    kept = marked.join(stay, F.col(id_col).eqNullSafe(F.col("l_id")) & (F.col(fp) == F.col("l_fp")), "left_semi")
-    one = kept.withColumn(number, F.row_number().over(Window.partitionBy(id_col).orderBy(F.col(fp))))
-    return one.filter((F.col(number) == 1) | F.col(id_col).isNull()).select(*docs.columns)
+    marked = cut(with_fingerprint(docs, text_col, fp, words).withColumn(number, F.monotonically_increasing_id()), "marked")
+    key = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text_col).alias("hash"), F.col(number).alias("number"))
+    groups = near_groups(marked.select(key.alias("doc_id"), F.col(fp).alias("fp")), most)
+    stay = groups.select(F.col("component_id.number").alias(number)).distinct()
+    return marked.join(stay, number, "left_semi").select(*docs.columns)

@@ -208,6 +208,14 @@ def test_simhash_groups(spark, odd):
     assert simhash.simhash_groups(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_near_copies_of_repeated_and_null_ids(spark):
+    rnd = random.Random(8)
+    one, two, three = (" ".join(str(rnd.randint(0, 9999)) for _ in range(80)) for _ in range(3))
+    docs = [(1, one), (1, two), (2, two), (None, three), (None, three), (None, one), (1, one)]
+    left = simhash.drop_near_copies(spark.createDataFrame(docs, DOCS)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == sorted([(1, one), (1, two), (0, three)])
+
+
 @pytest.mark.parametrize("large", [8, 4096])
 def test_links_connect_all(spark, large):
     rng = np.random.default_rng(0)
