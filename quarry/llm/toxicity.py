@@ -1,19 +1,25 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine, found with a block-max inverted index (operator 8).
 
-Terms are words and five-letter pieces of words; those that speak most for either label (chi-square of their presence over a bounded sample of labelled rows,
-half of them for each label) make the vocabulary; no cut-off but their number leaves one out. Document frequencies are counted over all documents. The index holds a bounded sample of
-labelled examples in blocks: per term and block the largest weight bounds what the block can reach, so blocks are
+Terms are the lower-cased words of a text; every word counts, none is cut off. A term's weight is (1 + log tf) times its inverse document
+frequency over all documents times its bearing on the label: a floor plus the squared z-score of how far the share of toxic rows
+among labelled rows with the term departs from that among all (a supervised TF-IDF: no term falls out, but those that say nothing of the label weigh little).
+Terms are hashed to a fixed number of slots, so both statistics are two arrays of bounded size.
+The index holds a bounded sample of labelled examples in blocks: per term and block the largest weight bounds what the block can reach, so blocks are
 visited from the highest bound down until no other can hold a nearer example; the result is exact. Votes are weighted by
-closeness and calibrated on the labelled rows, each without itself. Index and vocabulary are bounded, so they are broadcast.
+closeness and calibrated on the labelled rows, each without itself. Index and weights are bounded, so they are broadcast.
+
+Null and empty texts have no terms and get the calibrated share of such labelled texts. Rows that repeat each get their row. Ties are
+broken by the examples' texts and labels, never by ids. Rows with a null id are scored; labels of null ids or null labels are ignored.
+Without labels of both kinds every score is the share of toxic labels (0 without labels).
 """
 
 from __future__ import annotations
 
 import pickle
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,53 +29,50 @@ from pyspark.sql import functions as F
 
 from .common import cut, map_arrow, struct
 
-#: Bounds of the fit: labelled rows read for terms and calibration, examples in the index, terms.
-SAMPLE, EXAMPLES, TERMS = 20_000, 4_096, 4_096
-LEAST_ROWS = 5
-NEIGHBOURS, BLOCK, FIRST, PIECE, BINS = 15, 64, 4, 5, 10
+#: Bounds of the fit: labelled rows read for the weights of terms and for calibration, examples in the index, slots of terms.
+SAMPLE, EXAMPLES, SLOTS = 20_000, 4_096, 1 << 18
+NEIGHBOURS, BLOCK, FIRST, BINS = 15, 64, 4, 10
+#: The length of the part of a query whose terms are read only for examples that the other terms found.
+NEGLIGIBLE = 0.04
+#: What a term weighs that says nothing of the label.
+FLOOR = 0.02
 WORD = re.compile(r"\w+")
-STATS = struct(("term", "string"), ("n", "bigint"), ("toxic", "bigint"))
-VECTORS = struct(("doc_id", "bigint"), ("toxic", "int"), ("terms", "array<int>"), ("weights", "array<double>"))
+COUNTS = struct(("slot", "int"), ("n", "bigint"), ("toxic", "bigint"))
+VECTORS = struct(("doc_id", "bigint"), ("toxic", "int"), ("digest", "bigint"), ("terms", "array<int>"), ("weights", "array<double>"))
 SCORES = struct(("doc_id", "bigint"), ("vote", "double"), ("found", "int"), ("evidence", "array<bigint>"), ("toxic", "int"))
 
 
-def pieces(word: str) -> list[str]:
-    """The word itself and every five letters of it, its ends marked."""
-    marked = f"_{word}_"
-    return [f"={word}", *{marked[i : i + PIECE] for i in range(len(marked) - PIECE + 1)}]
-
-
 class Terms:
-    """Counts of vocabulary terms in a text (of all terms without vocabulary). Distinct words are looked up once and remembered, up to a bound."""
+    """Slots of a text's words. Distinct words are hashed once and remembered, up to a bound."""
 
-    def __init__(self, vocabulary: dict[str, int] | None = None, most: int = 100_000):
-        self.vocabulary, self.most, self.known = vocabulary, most, {}
+    def __init__(self, most: int = 200_000):
+        self.most, self.known = most, {}
 
-    def of(self, word: str) -> tuple:
-        found = self.known.get(word)
-        if found is None:
+    def of(self, word: str) -> int:
+        slot = self.known.get(word)
+        if slot is None:
             if len(self.known) >= self.most:
                 self.known.clear()
-            found = pieces(word.lower())
-            if self.vocabulary is not None:
-                found = [self.vocabulary[p] for p in found if p in self.vocabulary]
-            found = self.known[word] = tuple(found)
-        return found
+            slot = self.known[word] = zlib.crc32(word.encode("utf-8", "surrogatepass")) % SLOTS
+        return slot
 
-    def count(self, text: str | None) -> Counter:
-        out: dict = {}
-        for word, n in Counter(WORD.findall(text or "")).items():
-            for term in self.of(word):
-                out[term] = out.get(term, 0) + n
-        return Counter(out)
+    def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Slots of the text in order, and how often each occurs."""
+        words = Counter(WORD.findall((text or "").lower()))
+        slots, n = np.fromiter(map(self.of, words), np.int64, len(words)), np.fromiter(words.values(), np.float64, len(words))
+        order = slots.argsort()
+        slots, n = slots[order], n[order]
+        first = np.flatnonzero(np.diff(slots, prepend=-1))
+        return slots[first], np.add.reduceat(n, first) if len(first) else n
 
-    def present(self, text: str | None) -> set:
-        """The terms that a text holds."""
-        return set(chain.from_iterable(map(self.of, set(WORD.findall(text or "")))))
+    def present(self, text: str | None) -> np.ndarray:
+        """The distinct slots of a text."""
+        return np.unique(np.fromiter(map(self.of, set(WORD.findall((text or "").lower()))), np.int64))
 
 
 def held_out() -> Column:
-    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    """Whether a row belongs to the held-out fold; a null id doesn't."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False))
 
 
 def chosen_labels(labels: DataFrame, most: int, salt: str, label_col: str = "toxic") -> DataFrame:
@@ -79,128 +82,127 @@ def chosen_labels(labels: DataFrame, most: int, salt: str, label_col: str = "tox
     return rated if share >= 1 else rated.filter(F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1_000_000)) < int(share * 1_000_000))
 
 
-def choose_terms(rows: DataFrame, most: int = TERMS) -> list[str]:
-    """The terms of labelled texts (text, toxic) that speak most for either label, by chi-square of their presence: half of `most` for each, more where the other has fewer."""
+def term_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Per slot the rows (text, toxic or null) that hold it, and the toxic ones; rows in all, and toxic ones. Each partition sends its counts of at most SLOTS slots."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, seen, toxic = Terms(), Counter(), Counter()
-
-        def flush() -> pa.RecordBatch:
-            names = list(seen)
-            out = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([seen[t] for t in names], pa.int64()), pa.array([toxic[t] for t in names], pa.int64())], STATS.names)
-            seen.clear()
-            toxic.clear()
-            return out
-
+        terms, seen = Terms(), np.zeros((2, SLOTS + 1), np.int64)
         for batch in batches:
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                found = terms.present(text)
-                seen.update(found)
-                if label:
-                    toxic.update(found)
-                if len(seen) > 400_000:
-                    yield flush()
-        yield flush()
-
-    total = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("p")).first()
-    if not total.p or total.p == total.n:
-        return []
-    n, p = float(total.n), float(total.p)
-    a, b = F.col("toxic").cast("double"), (F.col("n") - F.col("toxic")).cast("double")
-    counted = map_arrow(rows.select("text", "toxic"), run, STATS).groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).filter(F.col("n") >= LEAST_ROWS)
-    chi = n * (a * (n - p - b) - b * (p - a)) ** 2 / (p * (n - p) * (a + b) * (n - a - b))
-    told = cut(counted.filter(F.col("n") < n).select("term", chi.alias("chi"), (F.col("toxic") * n >= p * F.col("n")).alias("toxic")), "terms")
-    sides = [told.filter(side).orderBy(F.desc("chi"), "term").limit(most).collect() for side in (F.col("toxic"), ~F.col("toxic"))]
-    room = [max(most // 2, most - len(sides[1])), max(most - most // 2, most - len(sides[0]))]
-    return [r["term"] for side, size in zip(sides, room) for r in side[:size]]
-
-
-def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[np.ndarray, int]:
-    """In how many of all documents each term occurs, and the number of documents. Each partition sends one vector."""
-    size = len(vocabulary)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, seen, n = Terms(vocabulary), np.zeros(size, np.int64), 0
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                seen[list(terms.present(text))] += 1
-                n += 1
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, size)), pa.array(np.append(seen[at], n))], ["term", "n"])
-
-    out = np.zeros(size + 1, np.int64)
-    for r in map_arrow(docs.select("text"), run, struct(("term", "bigint"), ("n", "bigint"))).groupBy("term").agg(F.sum("n").alias("n")).collect():
-        out[r["term"]] = r["n"]
-    return out[:size], int(out[size])
-
-
-def weigh(counts: Counter, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Terms in order and their unit-length weights."""
-    terms, n = np.fromiter(counts.keys(), np.int64, len(counts)), np.fromiter(counts.values(), np.float64, len(counts))
-    order = terms.argsort()
-    terms = terms[order]
-    weights = (1 + np.log(n[order])) * idf[terms] if len(terms) else np.zeros(0)
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+                held = np.append(terms.present(text), SLOTS)
+                seen[0, held] += 1
+                if toxic:
+                    seen[1, held] += 1
+        at = np.flatnonzero(seen[0])
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[0, at]), pa.array(seen[1, at])], COUNTS.names)
+
+    # at most SLOTS + 1 rows of three numbers
+    sums = map_arrow(rows.select("text", "toxic"), run, COUNTS).groupBy("slot").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).toArrow()
+    out = np.zeros((2, SLOTS + 1), np.int64)
+    out[:, sums["slot"].to_numpy()] = sums["n"].to_numpy(), sums["toxic"].to_numpy()
+    return out[0, :SLOTS], out[1, :SLOTS], int(out[0, SLOTS]), int(out[1, SLOTS])
+
+
+def bearing(seen: np.ndarray, toxic: np.ndarray, rows: int, bad: int) -> np.ndarray:
+    """How much a term says of the label: FLOOR, and the squared z-score of its share of toxic rows (less half a row, as counts are whole)."""
+    share = bad / max(1, rows)
+    z = np.maximum(0, np.abs(toxic - seen * share) - 0.5) / np.sqrt(seen * share * (1 - share) + 0.5)
+    return FLOOR + z**2
+
+
+def weigh(slots: np.ndarray, n: np.ndarray, worth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and their unit-length weights."""
+    weights = (1 + np.log(n)) * worth[slots]
     norm = np.sqrt((weights**2).sum())
-    return (terms, weights / norm) if norm else (terms[:0], weights[:0])
+    return (slots, weights / norm) if norm else (slots[:0], weights[:0])
 
 
 class BlockMaxIndex:
-    """Examples in blocks, postings by term and block, and for each term and block the largest weight."""
+    """Examples in blocks. An entry is a term in a block: its largest weight there, and its postings; entries lie in the order of terms, then blocks.
+
+    A search reads the postings of the terms that can add most. What all others together can add is bounded, which leaves few
+    examples whose cosine is then computed in full. Where that bound doesn't suffice, all terms are read.
+    """
 
-    def __init__(self, ids: list, labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], size: int):
+    def __init__(self, ids: list, labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], size: int, digests: list[int] | None = None):
         # examples with the same strongest term lie together, which makes the blocks' bounds tight
-        order = sorted(range(len(ids)), key=lambda i: (int(vectors[i][0][vectors[i][1].argmax()]), ids[i]))
+        ties = digests or [hash((v[0].tobytes(), v[1].tobytes())) for v in vectors]
+        order = sorted(range(len(ids)), key=lambda i: (int(vectors[i][0][vectors[i][1].argmax()]), ties[i], labels[i]))
         self.ids, self.labels = np.array([ids[i] for i in order], np.int64), np.array([labels[i] for i in order], np.int64)
         self.blocks = -(-len(order) // BLOCK)
-        self.top = np.zeros((size, self.blocks), np.float32)
-        self.starts = np.zeros((size, self.blocks + 1), np.int64)
+        self.first = np.zeros(size + 1, np.int32)  # entries of term t: from first[t] to first[t + 1]
+        self.query = np.zeros(size)
         if not order:
             return
         terms, weights = (np.concatenate([vectors[i][k] for i in order]) for k in (0, 1))
-        places = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
+        sizes = [len(vectors[i][0]) for i in order]
+        places = np.repeat(np.arange(len(order)), sizes)
+        self.bounds, self.own_terms, self.own_weights = np.append(0, np.cumsum(sizes)), terms.astype(np.int32), weights
         by_term = np.lexsort((places, terms))
-        terms, self.places, self.weights = terms[by_term], places[by_term], weights[by_term]
-        np.maximum.at(self.top, (terms, self.places // BLOCK), self.weights * (1 + 1e-6))
-        # postings of term t in block b: from starts[t, b] to starts[t, b + 1]
-        self.starts = np.searchsorted(terms * self.blocks + self.places // BLOCK, np.arange(size)[:, None] * self.blocks + np.arange(self.blocks + 1))
-
-    def scan(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in these blocks with a positive cosine, in order, and the cosines."""
-        begins = self.starts[terms[:, None], blocks].ravel()
-        sizes = self.starts[terms[:, None], blocks + 1].ravel() - begins
-        at = np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-        found = np.bincount(self.places[at], np.repeat(np.repeat(weights, len(blocks)), sizes) * self.weights[at], len(self.ids))
-        places = np.flatnonzero(found > 0)
-        return places, np.round(found[places], 9)
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the k nearest examples with a positive cosine, the nearest first, ties by place; never the example `but`."""
-        places, scores = np.zeros(0, np.int64), np.zeros(0)
-        if not len(terms) or not self.blocks:
-            return places, scores
-        bounds = weights @ self.top[terms]
+        terms, self.places, self.weights = terms[by_term], places[by_term].astype(np.int32), weights[by_term]
+        keys = terms * self.blocks + self.places // BLOCK
+        starts = np.flatnonzero(np.diff(keys, prepend=-1))
+        self.block = (self.places[starts] // BLOCK).astype(np.int32)
+        self.top = np.maximum.reduceat(self.weights, starts)
+        self.starts = np.append(starts, len(keys)).astype(np.int32)
+        self.first = np.searchsorted(terms[starts], np.arange(size + 1)).astype(np.int32)
+
+    def partial(self, terms: np.ndarray, weights: np.ndarray, k: int, rest: float) -> tuple[np.ndarray, float]:
+        """The cosine of every example as far as these terms go, in blocks that may hold one of the k nearest if others add at most `rest`; and the k-th highest."""
+        begins = self.first[terms]
+        entries, sizes = spread(begins, self.first[terms + 1] - begins)
+        weights, block = np.repeat(weights, sizes), self.block[entries]
+        bounds = np.bincount(block, weights * self.top[entries], self.blocks) * (1 + 1e-9) + 1e-9  # above what rounding can make of a sum
         order = np.argsort(-bounds, kind="stable")
+        found, least = np.zeros(len(self.ids)), 0.0
         # the blocks with the highest bounds first, then all others that can hold a nearer example
         for blocks in (order[:FIRST], order[FIRST:]):
-            least = scores[-1] if len(scores) == k else 0.0
-            blocks = blocks[(bounds[blocks] > 0) & (bounds[blocks] >= least)]
-            if not len(blocks):
-                break
-            here, found = self.scan(terms, weights, blocks)
-            if but is not None:
-                here, found = here[self.ids[here] != but], found[self.ids[here] != but]
-            places, scores = np.append(places, here), np.append(scores, found)
-            if len(scores) > k:
-                near = scores >= np.partition(scores, -k)[-k]
-                places, scores = places[near], scores[near]
-            best = np.lexsort((places, -scores))[:k]
-            places, scores = places[best], scores[best]
-        return places, scores
+            chosen = np.zeros(self.blocks, bool)
+            chosen[blocks[bounds[blocks] + rest >= least]] = True
+            mine = chosen[block]
+            at, each = spread(self.starts[entries[mine]], self.starts[entries[mine] + 1] - self.starts[entries[mine]])
+            found += np.bincount(self.places[at], np.repeat(weights[mine], each) * self.weights[at], len(self.ids))
+            least = float(np.partition(found, -k)[-k]) if len(found) >= k else 0.0
+        return found, least
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Places and cosines of the k nearest examples with a positive cosine, the nearest first, ties by place; never the example `but`."""
+        known = self.first[terms + 1] > self.first[terms]
+        terms, weights = terms[known], weights[known]
+        if not len(terms):
+            return np.zeros(0, np.int64), np.zeros(0)
+        more = k + (but is not None)  # one of those found may be the example left out
+        order = np.argsort(-weights)
+        # all other terms add at most the length of their part of the query (Cauchy-Schwarz, as examples have length 1)
+        left = np.sqrt(np.maximum(0, np.cumsum(weights[order][::-1] ** 2)[::-1]))
+        part = max(1, int(np.searchsorted(-left, -NEGLIGIBLE)))
+        lead, rest = order[:part], (float(left[part]) if part < len(left) else 0.0) + 1e-9
+        found, least = self.partial(terms[lead], weights[lead], more, rest)
+        if least <= rest:  # an example without any of these terms could be among the nearest
+            rest = 1e-9
+            found, least = self.partial(terms, weights, more, rest)
+        places = np.flatnonzero((found >= least - rest) & (found > 0))
+        if but is not None:
+            places = places[self.ids[places] != but]
+        if not len(places):
+            return np.zeros(0, np.int64), np.zeros(0)
+        self.query[terms] = weights
+        at, sizes = spread(self.bounds[places], self.bounds[places + 1] - self.bounds[places])
+        scores = np.round(np.add.reduceat(self.query[self.own_terms[at]] * self.own_weights[at], np.cumsum(sizes) - sizes), 9)
+        self.query[terms] = 0
+        best = np.lexsort((places, -scores))[:k]
+        return places[best], scores[best]
+
+
+def spread(begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges one after another, and the sizes."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0), sizes
 
 
 class ToxicityModel:
-    def __init__(self, vocabulary: dict[str, int], idf: np.ndarray, index: BlockMaxIndex, prior: float):
-        self.vocabulary, self.idf, self.index, self.prior = vocabulary, idf, index, prior
+    def __init__(self, worth: np.ndarray, index: BlockMaxIndex, prior: float):
+        self.worth, self.index, self.prior = worth, index, prior
         self.curve: list[float] = []
 
     def vote(self, vector: tuple[np.ndarray, np.ndarray], but: int | None = None) -> tuple[float, int, list[int]]:
@@ -217,22 +219,25 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, examples: int = EXAMPLES) -> ToxicityModel:
-    """Vocabulary, frequencies, index and calibration. Without labels of both kinds the vocabulary is empty and every score is the prior (0 without labels)."""
-    rated = chosen_labels(labels, sample, "terms")
-    texts = cut(labelled_texts(docs, rated), "rated")
-    names = choose_terms(texts)
-    vocabulary = {t: i for i, t in enumerate(names)}
-    df, n = document_frequencies(docs, vocabulary) if names else (np.zeros(0), 0)
-    idf = np.log((1 + n) / (1 + df)) + 1
-    counts = texts.agg(F.count("*").alias("n"), F.sum("toxic").alias("p")).first()
-    prior = (counts.p or 0) / max(1, counts.n)
-    vectors = cut(vectorize(texts, vocabulary, idf), "vectors")
+    """Weights of terms, index and calibration. Document frequencies are those of all documents, the terms' bearing is that of the label sample."""
+    texts = cut(labelled_texts(docs, chosen_labels(labels, sample, "terms")), "rated")
+    seen, toxic, rows, bad = term_counts(texts)
+    prior = bad / max(1, rows)
+    both = 0 < bad < rows
+    if both:
+        df, _, n, _ = term_counts(docs.select("text", F.lit(None).cast("int").alias("toxic")))
+        worth = ((np.log((1 + n) / (1 + df)) + 0.1) * bearing(seen, toxic, rows, bad)).astype(np.float32)
+    else:
+        worth = np.zeros(SLOTS, np.float32)
+    vectors = cut(vectorize(texts, worth), "vectors")
     filled = vectors.filter(F.size("terms") > 0)
     share = examples / max(1, filled.count())
     indexed = filled if share >= 1 else filled.filter(F.pmod(F.xxhash64("doc_id", F.lit("index")), F.lit(1_000_000)) < int(share * 1_000_000))
-    rows = indexed.collect()  # at most about `examples` short vectors
-    index = BlockMaxIndex([r["doc_id"] for r in rows], [r["toxic"] for r in rows], [(np.array(r["terms"], np.int64), np.array(r["weights"])) for r in rows], len(names))
-    model = ToxicityModel(vocabulary, idf, index, prior)
+    held = indexed.toArrow()  # at most about `examples` vectors
+    index = BlockMaxIndex(
+        held["doc_id"].to_pylist(), held["toxic"].to_pylist(), [(np.array(t, np.int64), np.array(w)) for t, w in zip(held["terms"].to_pylist(), held["weights"].to_pylist())], SLOTS, held["digest"].to_pylist()
+    )
+    model = ToxicityModel(worth, index, prior)
     bins = votes(vectors, model, leave_out=True).groupBy(bin_of().alias("bin")).agg(F.count("*").alias("n"), F.sum("toxic").alias("p")).collect()
     model.curve = rising([(next((r["n"] for r in bins if r["bin"] == b), 0), next((r["p"] for r in bins if r["bin"] == b), 0)) for b in range(BINS + 1)], prior)
     return model
@@ -254,14 +259,18 @@ def bin_of() -> Column:
     return F.when(F.col("found") == 0, 0).otherwise(1 + F.least(F.floor(F.col("vote") * BINS), F.lit(BINS - 1))).cast("int")
 
 
-def vectorize(texts: DataFrame, vocabulary: dict[str, int], idf: np.ndarray) -> DataFrame:
+def vectorize(texts: DataFrame, worth: np.ndarray) -> DataFrame:
+    """doc_id, toxic, digest (of the text, which orders ties), terms and weights of every row."""
+    shared = texts.sparkSession.sparkContext.broadcast(worth)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms(vocabulary)
+        terms = Terms()
         for batch in batches:
-            found = [weigh(terms.count(t), idf) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("toxic").cast(pa.int32()), pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float64()))], VECTORS.names)
+            found = [weigh(*terms.count(t), shared.value) for t in batch.column("text").to_pylist()]
+            vectors = [pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("toxic").cast(pa.int32()), batch.column("digest"), *vectors], VECTORS.names)
 
-    return map_arrow(texts.select("doc_id", "text", "toxic"), run, VECTORS)
+    return map_arrow(texts.select("doc_id", "text", "toxic", F.xxhash64("text").alias("digest")), run, VECTORS)
 
 
 def arrays(lists: pa.ListArray) -> list[np.ndarray]:
@@ -269,18 +278,23 @@ def arrays(lists: pa.ListArray) -> list[np.ndarray]:
     return np.split(lists.flatten().to_numpy(), (lists.offsets.to_numpy() - lists.offsets[0].as_py())[1:-1]) if len(lists) else []
 
 
-def votes(vectors: DataFrame, model: ToxicityModel, leave_out: bool = False) -> DataFrame:
-    """doc_id, vote, found (neighbours), evidence (ids of the nearest examples), toxic. leave_out: no text is its own neighbour."""
-    shared = vectors.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+def votes(rows: DataFrame, model: ToxicityModel, leave_out: bool = False) -> DataFrame:
+    """doc_id, vote, found (neighbours), evidence (ids of the nearest examples), toxic, of vectors or of texts. leave_out: no text is its own neighbour."""
+    shared = rows.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+    ready = "terms" in rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = pickle.loads(shared.value)
+        own, terms = pickle.loads(shared.value), Terms()
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            found = [own.vote((t.astype(np.int64), w), i if leave_out else None) for i, t, w in zip(ids, arrays(batch.column("terms")), arrays(batch.column("weights")))]
+            if ready:
+                vectors = ((t.astype(np.int64), w) for t, w in zip(arrays(batch.column("terms")), arrays(batch.column("weights"))))
+            else:
+                vectors = (weigh(*terms.count(t), own.worth) for t in batch.column("text").to_pylist())
+            found = [own.vote(v, i if leave_out else None) for i, v in zip(ids, vectors)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.int32()), pa.array([f[2] for f in found], pa.list_(pa.int64())), batch.column("toxic")], SCORES.names)
 
-    return map_arrow(vectors, run, SCORES)
+    return map_arrow(rows, run, SCORES)
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
@@ -292,7 +306,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     here, after = F.element_at(curve, bin_of() + 1), F.element_at(curve, F.least(bin_of() + 2, F.lit(BINS + 1)))
     value = F.when(F.col("found") == 0, F.element_at(curve, 1)).otherwise(here + (after - here) * inside * 0.5)
     return (
-        votes(vectorize(texts, model.vocabulary, model.idf), model)
+        votes(texts, model)
         .withColumn("score", F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0)))
         .select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.col("found").alias("neighbours"), "evidence")
     )
