@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quarry.sources.scratch import staged
+
 
 def new_failures(failed: DataFrame, ledger: DataFrame, key: str = "id") -> DataFrame:
     """L1: failed keys not yet in the ledger, each once; null keys are dropped."""
@@ -24,23 +26,31 @@ def classify_attempts(log: DataFrame, max_attempts: int = 3) -> DataFrame:
     return found.select("item_id", outcome.alias("outcome"), F.coalesce("d.attempt", "last").cast("bigint").alias("attempts"))
 
 
+def ranged(df: DataFrame, order: list[str]) -> DataFrame:
+    """df in ranges of the order, written once so that every reader sees the same ranges; q_part numbers them."""
+    return staged(df.repartitionByRange(*order).withColumn("q_part", F.spark_partition_id()), "ranges")
+
+
+def before_each(parts: DataFrame, value: Column) -> DataFrame:
+    """q_part, before: the sum of value over all earlier ranges; a small row per range."""
+    sums = parts.groupBy("q_part").agg(value.alias("n"))
+    return sums.select("q_part", F.coalesce(F.sum("n").over(Window.orderBy("q_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+
+
 def numbered(df: DataFrame, order: list[str], name: str = "index") -> DataFrame:
     """df with a dense index from 0 in the given order (which must be total), without a sort in one task: ranges are sorted apart, and each adds the rows of those before it."""
-    ranged = df.repartitionByRange(*order).withColumn("q_part", F.spark_partition_id())
-    local = ranged.withColumn("q_row", F.row_number().over(Window.partitionBy("q_part").orderBy(*order)))
-    sizes = ranged.groupBy("q_part").agg(F.count("*").alias("n"))
-    # one small row per partition
-    before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("q_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    return local.join(F.broadcast(before), "q_part").withColumn(name, F.col("before") + F.col("q_row") - 1).drop("q_part", "q_row", "before")
+    parts = ranged(df, order)
+    local = parts.withColumn("q_row", F.row_number().over(Window.partitionBy("q_part").orderBy(*order)))
+    return local.join(before_each(parts, F.count("*")), "q_part").withColumn(name, F.col("before") + F.col("q_row") - 1).drop("q_part", "q_row", "before")
 
 
-def batch_progress(df: DataFrame, order: list[str], batch_size: int) -> DataFrame:
-    """L3: per batch of batch_size rows in order: batch, total_batches, processed so far, percent of all."""
-    rows = numbered(df.select(*order), order)
-    batches = rows.groupBy((F.floor(F.col("index") / batch_size) + 1).cast("bigint").alias("batch")).agg(F.count("*").alias("n"))
-    every = Window.partitionBy()
-    running = Window.orderBy("batch")  # over a row per batch
-    return batches.select("batch", F.count("*").over(every).alias("total_batches"), F.sum("n").over(running).alias("processed"), F.round(F.sum("n").over(running) * 100.0 / F.sum("n").over(every), 1).cast("double").alias("percent"))
+def batch_progress(df: DataFrame, batch_size: int) -> DataFrame:
+    """L3: per batch of batch_size rows: batch, total_batches, processed so far, percent of all. It follows from the number of rows alone, so nothing is sorted."""
+    n = df.count()
+    total = -(-n // batch_size)
+    done = F.least(F.col("batch") * batch_size, F.lit(n))
+    rows = df.sparkSession.range(1, total + 1).withColumnRenamed("id", "batch")
+    return rows.select("batch", F.lit(total).cast("bigint").alias("total_batches"), done.cast("bigint").alias("processed"), F.round(done * 100.0 / max(n, 1), 1).cast("double").alias("percent"))
 
 
 def slice_rows(df: DataFrame, order: list[Column | str], first: int, last: int) -> DataFrame:
@@ -66,8 +76,10 @@ def preview(df: DataFrame, order: list[str], n: int) -> DataFrame:
 
 
 def page_stats(rows: DataFrame, page: str = "page") -> DataFrame:
-    """Rows per page, and so far."""
-    return rows.groupBy(page).agg(F.count("*").alias("n")).withColumn("so_far", F.sum("n").over(Window.orderBy(page)))
+    """Rows per page, and so far; pages are summed in ranges, and each adds the rows of those before it."""
+    parts = ranged(rows.groupBy(page).agg(F.count("*").alias("n")), [page])
+    local = parts.withColumn("own", F.sum("n").over(Window.partitionBy("q_part").orderBy(page)))
+    return local.join(before_each(parts, F.sum("n")), "q_part").select(page, "n", (F.col("own") + F.col("before")).alias("so_far"))
 
 
 def childless(parent: DataFrame, child: DataFrame, key: str) -> DataFrame:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as C
+from quarry.sources.readers import read_batches
+from quarry.sources.writers import write_clean
 
 
 def strings_of(df: DataFrame) -> list[str]:
@@ -62,6 +64,23 @@ def clean(batches: list[DataFrame], blank_as_null: bool = False) -> DataFrame:
     return dedup_rows(union_batches([trim_all(na_to_null(b)) for b in batches]), blank_as_null)
 
 
+def consolidate(spark: SparkSession, tables: list[tuple[str, str, str, str]], blank_as_null: bool = False) -> DataFrame:
+    """The job over a list of tables (name, folder, file pattern, target): S5, U5, U4 and U8, U2, U3, K5 for each.
+
+    A table without files is skipped; one that fails leaves the others alone. Returns name, outcome (merged, empty, skipped or failed), detail: a row per table.
+    """
+    outcomes = []
+    for name, folder, pattern, target in tables:
+        try:
+            rows = drop_bad_files(read_batches(spark, folder, pattern)).drop("file")
+            outcomes.append((name, "merged" if write_clean(clean([rows], blank_as_null), target) else "empty", target))
+        except FileNotFoundError as absent:
+            outcomes.append((name, "skipped", str(absent)))
+        except Exception as error:  # one table's fault must not stop the others
+            outcomes.append((name, "failed", str(error).splitlines()[0]))
+    return spark.createDataFrame(outcomes, "name string, outcome string, detail string")
+
+
 def merge_stats(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows before and after consolidation, in one row."""
     counts = before.agg(F.count("*").alias("n")).select(F.lit("rows_in").alias("k"), "n").unionByName(after.agg(F.count("*").alias("n")).select(F.lit("rows_out").alias("k"), "n"))

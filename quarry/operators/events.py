@@ -43,7 +43,7 @@ def triage(events: DataFrame, secret: str, custom: tuple[str, ...] = ()) -> Data
     rows = rows.withColumn("reason", named)
     r = F.col("reason")
     status = F.when(r == "ok", 200).when(r == "unauthorized", 401).when(r.isin("malformed", "not an object", "data is no object"), 500).otherwise(400)
-    complete = F.when(F.col("type").isin(*QUOTE_EVENTS), quote_complete(doc)).when(F.col("type").isin(*ORDER_EVENTS), order_complete(doc)).otherwise(True)
+    complete = F.when(F.col("type").isin(*custom), True).when(F.col("type").isin(*QUOTE_EVENTS), quote_complete(doc)).when(F.col("type").isin(*ORDER_EVENTS), order_complete(doc)).otherwise(True)
     return rows.withColumn("status", status).withColumn("applied", (r == "ok") & F.coalesce(complete, F.lit(False)))
 
 
@@ -83,7 +83,7 @@ def live_quotes(events: DataFrame, flat_fallback: bool = False) -> DataFrame:
     doc = F.col("doc")
     get = lambda n: C.safe_get(doc, "data", n)
     found = contact_fields(doc, flat_fallback) | {n: get(n) for n in "revision_number status created due_date rfq_number priority private_notes".split()}
-    found["quote_number"] = F.coalesce(F.nullif(get("quote_number"), F.lit("")), get("number"))
+    found["quote_number"] = C.quote_key(F.try_variant_get(doc, "$.data", "variant"))
     return events.select("seq", *(found[n].alias(n) for n in COLUMNS["quotes_live"]))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +15,7 @@ from quarry.operators import flatten as P
 from quarry.operators import model as M
 from quarry.plans import reshape as R
 from quarry.plans.reshape import table
+from quarry.sources.scratch import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -297,7 +297,7 @@ SELECT batch, count(*) OVER () AS total_batches, CAST(sum(n) OVER (ORDER BY batc
 """,
 )
 def l3_batch_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.batch_progress(table(spark, sf_dir, "orders"), ["o_orderkey"], 20)
+    return A.batch_progress(table(spark, sf_dir, "orders"), 20)
 
 
 @register("l4_slice", "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 51 OFFSET 50")
@@ -405,26 +405,13 @@ def s6_stream_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.sources.readers import read_events, read_snapshot
     from quarry.streaming.live import LiveTables
 
-    root = f"{scratch(spark)}/live-{uuid.uuid4().hex}"
+    root = new_path(spark, "live")
     R.event_rows(spark, sf_dir).write.json(f"{root}/landed")
     tables = LiveTables(spark, f"{root}/tables", R.SECRET)
     tables.start(read_events(spark, f"{root}/landed"), f"{root}/checkpoint", once=True).awaitTermination()
     return read_snapshot(spark, f"{root}/tables/quotes_live")
 
 
-def scratch(spark: SparkSession) -> str:
-    """The folder that all executors share; a local session without one gets a temporary folder."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        import tempfile
-
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        where = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
-
 # The model ----------------------------------------------------------------------------------------------------------
 
 

@@ -20,6 +20,11 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.nullif(name[0], F.lit("")).cast("bigint").alias("item_id"), F.nullif(name[1], F.lit("")).alias("revision"), F.col("value").alias("body"))
 
 
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """item_id, revision, body of documents landed as JSON lines, many to a file."""
+    return spark.read.schema("item_id bigint, revision string, body string").json(path)
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Page, body of landed listing pages, a file each; page is the number in the file's name."""
     files = spark.read.text(path, wholetext=True, pathGlobFilter="*.json")
@@ -28,14 +33,19 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def read_revision_index(spark: SparkSession, path: str) -> DataFrame:
     """S3: quote, revision; a JSON list or an object per line."""
-    return spark.read.schema("quote bigint, revision bigint").json(path, multiLine=True)
+    return spark.read.schema("quote bigint, revision bigint").json(path, multiLine=True).select("quote", "revision")
 
 
 def read_batches(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
     """CSV files with headers, all columns strings, aligned by name; with file and _corrupt_record (a row that doesn't fit its header).
 
-    Files are grouped by header first, from their first lines only, and each group is read with its own columns; the distinct headers are few.
+    Files are grouped by header first, and each group is read with its own columns; the distinct headers are few. The list of files is on
+    the driver, where Spark's own listing has it too. Raises FileNotFoundError where no file matches.
     """
+    from quarry.sources.writers import exists
+
+    if not exists(spark, path):
+        raise FileNotFoundError(f"no folder {path}")
     lines = spark.read.text(path, pathGlobFilter=pattern, lineSep="\n", wholetext=False).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
     # the first line of a file is the first row of its first block
     first = lines.filter("at = 0").groupBy("file").agg(F.first("value").alias("header"))
@@ -61,12 +71,16 @@ def read_events(spark: SparkSession, path: str, schema: str = EVENT, files_per_t
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(path)
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
-    """The current version of a live table, or None before the first."""
-    from quarry.sources.writers import current_version
+def read_snapshot(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame | None:
+    """The current version of a live table (or those buckets of it that it has), or None before the first."""
+    from quarry.sources.writers import current_version, manifest
 
     version = current_version(spark, path)
-    return None if version is None else spark.read.parquet(f"{path}/v={version}")
+    if version is None:
+        return None
+    held = manifest(spark, path, version)
+    paths = [f"{path}/v={w}/bucket={b}" for b, w in held.items() if buckets is None or b in buckets]
+    return spark.read.parquet(*paths) if paths else None
 
 
 def read_ledger(spark: SparkSession, path: str, key: str = "id") -> DataFrame:

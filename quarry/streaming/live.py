@@ -11,13 +11,16 @@ from pyspark.sql.streaming.query import StreamingQuery
 from quarry.functions.schemas import COLUMNS, KEYS
 from quarry.operators import events as E
 from quarry.sources.readers import read_snapshot
-from quarry.sources.writers import current_version, publish, write_snapshot
+from quarry.sources.writers import bucket_of, current_version, manifest, publish, vacuum, write_buckets
 
 Handler = Callable[[DataFrame], None]
 
 
 class LiveTables:
-    """quotes_live and orders_live below root. A registered handler replaces the default for its event type; its error stops only its own events of that batch."""
+    """quotes_live and orders_live below root. A registered handler replaces the default for its event type; its error stops only its own events of that batch, which go to the dead letters.
+
+    A table lies in buckets by key; a micro-batch rewrites only the buckets that its keys fall into.
+    """
 
     def __init__(self, spark: SparkSession, root: str, secret: str, publish_to: str | None = None):
         self.spark, self.root, self.secret, self.publish_to = spark, root.rstrip("/"), secret, publish_to
@@ -30,16 +33,23 @@ class LiveTables:
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch; the same batch_id again changes nothing, since a live table's version is the batch."""
         triaged = E.triage(batch, self.secret, tuple(self.handlers)).persist()
+        failed: list[str] = []
         try:
             for event_type, handler in self.handlers.items():
                 try:
                     handler(triaged.filter((F.col("type") == event_type) & F.col("applied")))
                 except Exception as error:  # a handler's fault must not lose other events
                     self.errors.append((event_type, str(error)))
+                    failed.append(event_type)
             routed = E.route(triaged.filter(~F.col("type").isin(*self.handlers) | F.col("type").isNull()) if self.handlers else triaged)
             self.write("quotes_live", E.live_quotes(routed["quotes"]), batch_id)
             self.write("orders_live", E.live_orders(routed["orders"]), batch_id)
-            routed["dead"].select("seq", "body", "status", "reason").write.mode("overwrite").parquet(f"{self.root}/dead/batch={batch_id}")
+            dead = routed["dead"].select("seq", "body", "status", "reason")
+            if self.handlers:
+                own = triaged.filter(F.col("type").isin(*self.handlers))
+                unfit = own.filter(~F.col("applied")).select(*dead.columns)
+                dead = dead.unionByName(unfit).unionByName(own.filter(F.col("applied") & F.col("type").isin(failed)).select("seq", "body", F.lit(500).alias("status"), F.lit("handler failed").alias("reason")))
+            dead.write.mode("overwrite").parquet(f"{self.root}/dead/batch={batch_id}")
         finally:
             triaged.unpersist()
 
@@ -48,11 +58,16 @@ class LiveTables:
         version = current_version(self.spark, path)
         if version is not None and version >= batch_id:
             return
-        merged = E.upsert(read_snapshot(self.spark, path), rows, KEYS[table])
-        write_snapshot(merged, path, batch_id)
+        keys = KEYS[table]
+        # at most BUCKETS numbers
+        touched = [r[0] for r in rows.select(bucket_of(keys)).distinct().collect()]
+        if touched:
+            merged = E.upsert(read_snapshot(self.spark, path, touched), rows, keys)
+            write_buckets(merged, path, batch_id, keys, {} if version is None else manifest(self.spark, path, version))
+            vacuum(self.spark, path)
         if self.publish_to:
             current = read_snapshot(self.spark, path)
-            publish(current.orderBy("seq").select(COLUMNS[table]), f"{self.publish_to.rstrip('/')}/{table}")
+            publish((rows if current is None else current).orderBy("seq").select(COLUMNS[table]), f"{self.publish_to.rstrip('/')}/{table}")
 
     def start(self, events: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
         writer = events.writeStream.foreachBatch(self.apply).option("checkpointLocation", checkpoint)

@@ -83,7 +83,7 @@ def test_bad_documents_and_unlisted_items(spark):
     good, bad = P.split_bad(rows, "quote_items")
     assert sorted(r.item_id for r in bad.collect()) == [1, 2, 3, 4, 5, 9] and sorted(r.item_id for r in good.collect()) == [0, 6, 7, 8]
     assert P.quote_items(good).count() == 0 and P.quote_headers(P.parse(good)).count() == 4
-    assert [r.item_id for r in P.unusable_items(P.parse(rows), "quote_items").collect()] == [0, 8] or [r.item_id for r in P.unusable_items(P.parse(rows), "quote_items").collect()] == [0]
+    assert [r.item_id for r in P.unusable_items(P.parse(rows), "quote_items").collect()] == [0, 8]
 
 
 def test_order_items(spark):
@@ -151,7 +151,7 @@ def test_ledger_and_attempts(spark):
 
 def test_progress_slices_gaps(spark):
     ids = spark.range(45).repartition(7)
-    assert [tuple(r) for r in A.batch_progress(ids, ["id"], 20).orderBy("batch").collect()] == [(1, 3, 20, 44.4), (2, 3, 40, 88.9), (3, 3, 45, 100.0)]
+    assert [tuple(r) for r in A.batch_progress(ids, 20).orderBy("batch").collect()] == [(1, 3, 20, 44.4), (2, 3, 40, 88.9), (3, 3, 45, 100.0)]
     assert [r.id for r in A.slice_rows(ids, ["id"], 3, 5).collect()] == [3, 4, 5]
     assert sorted(r.id for r in A.missing_ids(ids.filter("id % 2 = 0"), "id", 40, 46).collect()) == [41, 43, 45, 46]
     assert [(r.id, r.row) for r in A.preview(ids, ["id"], 2).collect()] == [(0, 1), (1, 2)]

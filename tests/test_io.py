@@ -107,10 +107,57 @@ def test_live_tables(spark, tmp_path):
     before = W.current_version(spark, f"{root}/quotes_live")
     tables.write("quotes_live", R.read_snapshot(spark, f"{root}/quotes_live").withColumn("status", F.lit("again")), before)  # the same batch again
     assert status() == [("7838", "sent", 3)]
-    assert [r.reason for r in spark.read.parquet(f"{root}/dead").collect()] == ["unsupported"]
+    assert sorted((r.seq, r.reason) for r in spark.read.parquet(f"{root}/dead").collect()) == [(5, "handler failed"), (6, "unsupported")]
     assert spark.read.csv(f"file://{tmp_path}/out/quotes_live", header=True).columns == COLUMNS["quotes_live"]
 
 
+def test_snapshots_survive_a_stop_before_the_commit(spark, tmp_path, monkeypatch):
+    path, keys = f"file://{tmp_path}/t", ["k"]
+    rows = lambda *ks, v: spark.createDataFrame([(k, v) for k in ks], "k string, v string")
+    current = lambda: sorted((r.k, r.v) for r in R.read_snapshot(spark, path).select("k", "v").collect())
+    assert R.read_snapshot(spark, path) is None
+    W.write_snapshot(rows("a", "b", "c", v="1"), path, 1, keys)
+    monkeypatch.setattr(W, "commit", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        W.write_snapshot(rows("a", v="2"), path, 2, keys)
+    assert W.current_version(spark, path) == 1 and current() == [("a", "1"), ("b", "1"), ("c", "1")]
+    monkeypatch.undo()
+    W.write_snapshot(rows("a", v="3"), path, 2, keys)
+    assert current() == [("a", "3")]
+    with pytest.raises(OSError):
+        W.commit(spark, path, 2, {})
+
+
+def test_live_tables_rewrite_touched_buckets_only(spark, tmp_path):
+    tables = LiveTables(spark, f"file://{tmp_path}", SECRET)
+    order = lambda seq, key: (seq, key, *[None] * 9)
+    schema = "seq long, " + ", ".join(f"{c} string" for c in COLUMNS["orders_live"])
+    for batch in range(5):
+        tables.write("orders_live", spark.createDataFrame([order(10 * batch + i, str(i + batch)) for i in range(3)], schema), batch)
+    path = tmp_path / "orders_live"
+    found = R.read_snapshot(spark, f"file://{path}")
+    assert sorted((r.order_number, r.seq) for r in found.collect()) == [("0", 0), ("1", 10), ("2", 20), ("3", 30), ("4", 40), ("5", 41), ("6", 42)]
+    assert sorted(p.name for p in (path / "manifests").iterdir() if not p.name.startswith(".")) == ["3", "4"]
+    held = W.manifest(spark, f"file://{path}", 4)
+    assert set(held.values()) <= {0, 1, 2, 3, 4} and len(set(held.values())) > 1
+    assert len(list(path.glob("v=4/bucket=*"))) <= 3
+    tables.write("orders_live", spark.createDataFrame([], schema), 5)
+    assert W.current_version(spark, f"file://{path}") == 4
+
+
+def test_consolidation_job(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a_1.csv").write_text("x,y\n1, a\n2,NA\n")
+    (tmp_path / "in/a_2.csv").write_text("y,x\na,1\n")
+    (tmp_path / "in/b_1.csv").write_text("x\n1\n")
+    base = f"file://{tmp_path}"
+    (tmp_path / "file").write_text("in the way")
+    tables = [("a", f"{base}/in", "a_*.csv", f"{base}/a"), ("none", f"{base}/in", "c_*.csv", f"{base}/c"), ("no folder", f"{base}/no", "*", f"{base}/d"), ("broken", f"{base}/in", "b_*.csv", f"{base}/file/sub"), ("b", f"{base}/in", "b_*.csv", f"{base}/b")]
+    done = {r.name: r.outcome for r in U.consolidate(spark, tables).collect()}
+    assert done == {"a": "merged", "none": "skipped", "no folder": "skipped", "broken": "failed", "b": "merged"}
+    assert sorted((r.x, r.y) for r in spark.read.csv(f"{base}/a", header=True).collect()) == sorted([("1", "a"), ("2", None)])
+
+
 def test_latest_by_key(spark, tmp_path):
     source = tmp_path / "s"
     source.mkdir()
