@@ -19,6 +19,7 @@ from itertools import accumulate
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
@@ -263,10 +264,10 @@ def encode_words(dealt: DataFrame, ranks: Broadcast, pattern: str) -> DataFrame:
         known: dict[bytes, tuple] = {}
         encode, here = encoder(ranks, pattern), -1
         for batch in batches:
-            columns = batch.to_pydict()
+            passing = pc.less(batch.column("bucket"), 0)
+            yield batch.filter(passing)
+            columns = batch.filter(pc.invert(passing)).to_pydict()
             for i, (bucket, payload) in enumerate(zip(columns["bucket"], columns["payload"])):
-                if bucket < 0:
-                    continue
                 if bucket != here:  # rows are sorted by bucket: no word comes back
                     known, here = {}, bucket
                 words, numbers = unframe(payload)

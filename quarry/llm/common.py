@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows in a batch that goes to Python.
-BATCH_ROWS = 1_000
+#: Bytes of a batch whose rows become Python objects at once.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,12 +63,25 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def slices(batch: pa.RecordBatch, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of at most so many bytes, or of one row."""
+    todo = [batch]
+    while todo:
+        part = todo.pop()
+        if part.num_rows <= 1 or part.nbytes <= most:
+            yield part
+        else:
+            half = part.num_rows // 2
+            todo += [part.slice(half), part.slice(0, half)]
+
+
 def map_arrow(df: DataFrame, run, schema: T.StructType) -> DataFrame:
-    """df.mapInArrow with batches of at most BATCH_ROWS rows (a session setting), as rows are whole texts and Python works beside the executor's heap."""
-    conf = df.sparkSession.conf
-    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.mapInArrow(run, schema)
+    """df.mapInArrow, with batches cut to at most BATCH_BYTES before Python makes objects of them. What Spark sends at once is bounded by its own setting, spark.sql.execution.arrow.maxBytesPerBatch."""
+
+    def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(part for batch in batches for part in slices(batch))
+
+    return df.mapInArrow(in_parts, schema)
 
 
 def with_row_bytes(col: pa.Array) -> list[bytes]:
