@@ -12,13 +12,14 @@ import gzip
 import hashlib
 import io
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, new_path, struct
+from .common import cut, map_arrow, new_path, struct
 
 LEAST_REVISIT_BYTES = 100
 RECORDS_PER_FILE = 3_000
@@ -108,8 +109,19 @@ def parse(archive: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
         yield fields, block
 
 
+def readable(archive: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
+    """As parse; where an archive is damaged, what stands before the damage and then one record of type damaged, whose block says why."""
+    try:
+        yield from parse(archive)
+    except (ValueError, KeyError, EOFError, OSError, zlib.error) as error:
+        yield {"warc-type": "damaged"}, f"{type(error).__name__}: {error}".encode()
+
+
 def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """One row per record of the archives below path (gzipped or not); payload is null without `payloads`, its length and digest are always those of the whole payload."""
+    """One row per record of the archives below path (gzipped or not, each below Spark's 2 GB for a value); payload is null without `payloads`, its length and digest are always those of the whole payload.
+
+    Of a damaged archive the records before the damage come back, and one of type damaged whose fields say what is wrong; the others aren't affected.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,7 +130,7 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
                 archive = gzip.open(io.BytesIO(raw)) if raw[:2] == b"\x1f\x8b" else io.BytesIO(raw)
                 rows: list[tuple] = []
                 held = 0
-                for fields, block in parse(archive):
+                for fields, block in readable(archive):
                     kind = fields.get("warc-type")
                     http, payload = block, b""
                     if kind in ("response", "revisit", "request"):
@@ -126,7 +138,7 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
                     stored = kind == "response"
                     digest = hashlib.sha256(payload).hexdigest() if stored else fields.get("warc-payload-digest", "").removeprefix("sha256:") or None
                     text = http.decode("utf-8", "replace")
-                    rows.append((fields.get("warc-record-id"), kind, fields.get("warc-concurrent-to"), fields.get("warc-refers-to"), fields.get("warc-target-uri"), fields.get("warc-date"), None if kind == "metadata" else text, text if kind == "metadata" else None, payload if stored and payloads else None, len(payload) if stored else None, digest))
+                    rows.append((fields.get("warc-record-id"), kind, fields.get("warc-concurrent-to"), fields.get("warc-refers-to"), fields.get("warc-target-uri"), fields.get("warc-date"), None if kind in ("metadata", "damaged") else text, text if kind in ("metadata", "damaged") else None, payload if stored and payloads else None, len(payload) if stored else None, digest))
                     held += len(block)
                     if held > 8 << 20 or len(rows) >= 5_000:
                         yield batch_of(rows)
@@ -142,7 +154,7 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: capture_id, target_uri, record_type, request, response, metadata.
+    """One nested row per capture (records are read several times, so pass a table): capture_id, target_uri, record_type, request, response, metadata.
 
     Request and metadata join the response or revisit that they name as concurrent (null where there is none; of several, one with the least id). A
     revisit's payload is that of the response it refers to; payload fields are null if that is missing. Captures written twice come back twice.
@@ -178,7 +190,7 @@ def round_trip(pages: DataFrame) -> DataFrame:
     """Writes the pages to archives in the shared folder, reads them back, and returns one row per page: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     path = new_path(pages.sparkSession, "warc")
     write_warc(pages, path)
-    captures = assemble(read_records(pages.sparkSession, path, payloads=False))
+    captures = assemble(cut(read_records(pages.sparkSession, path, payloads=False), "records"))
     return captures.select(F.col("metadata.page_id").alias("page_id"), "response.payload_bytes", "response.payload_digest", "record_type", F.col("response.refers_to_page").alias("refers_to"))
 
 
