@@ -111,13 +111,25 @@ def labelled_features(docs: DataFrame, labels: DataFrame, grade_col: str, sample
     return map_arrow(chosen.select("text", "grade"), run, FEATURES)
 
 
+def binned(counts: list[tuple[float, int]], most: int = MOST_GRADES) -> list[tuple[float, int]]:
+    """Grades and their rows, at most `most` of them: the lowest, the highest and those at even quantiles between; the rows of others count with the nearest, as gradient does."""
+    if len(counts) <= most:
+        return counts
+    grades, n = np.array([g for g, _ in counts]), np.array([c for _, c in counts])
+    at = np.searchsorted(np.cumsum(n), np.linspace(0, 1, most) * n.sum())
+    kept = grades[np.unique(np.concatenate([[0, len(grades) - 1], np.minimum(at, len(grades) - 1)]))]
+    nearest = np.abs(grades[:, None] - kept[None]).argmin(1)
+    return [(float(g), int(n[nearest == i].sum())) for i, g in enumerate(kept)]
+
+
 def fit(docs: DataFrame, labels: DataFrame, grade_col: str = "quality", sample: int = SAMPLE, dims: int = DIMS, steps: int = 40, ridge: float = 1e-4) -> OrdinalModel:
     """Fits on documents that have a grade. Several ratings of a document are averaged and rounded to the next grade that occurs.
 
-    Without labelled rows all weights are zero and the only grade is 1; with a single grade every document gets it.
+    More than MOST_GRADES grades are binned at quantiles, the lowest and the highest kept. Without labelled rows all weights are zero and the only grade is 1; with a single grade every document gets it.
     """
     rows = cut(labelled_features(docs, labels, grade_col, sample, dims).coalesce(8), "rated")
-    counts = sorted((r["grade"], r["count"]) for r in rows.groupBy("grade").count().orderBy(F.desc("count")).limit(MOST_GRADES).collect())
+    # the sample is bounded, so its distinct grades are
+    counts = binned(sorted((r["grade"], r["count"]) for r in rows.groupBy("grade").count().collect()))
     grades = [g for g, _ in counts] or [1.0]
     if len(grades) < 2:
         return OrdinalModel(grades, np.zeros(dims), np.zeros(0))
