@@ -70,14 +70,11 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 def matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """doc_id, key, item_id, size, at, place, h, n, has_slots, item_slots: the benchmark's windows found in docs (doc_id, key, text)."""
     small = sized(windows, MOST_BROADCAST)
-    sizes = [r["size"] for r in windows.select("size").distinct().collect()]  # four values at most
-    hashed = templates(docs, "text").select("doc_id", "key", "t_hashes")
-    found = None
-    for size in sorted(sizes):
-        exploded = hashed.select("doc_id", "key", F.posexplode(window_hashes("t_hashes", size)).alias("place", "h"))
-        part = exploded.join(small.filter(F.col("size") == size), "h").select("doc_id", "key", "item_id", "size", "at", "place", "h", "n", "has_slots", "item_slots")
-        found = part if found is None else found.unionByName(part)
-    return found
+    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # four values at most
+    # a document is made a template once; its windows of every size come out of the same word hashes
+    windowed = templates(docs, "text").select("doc_id", "key", F.posexplode(F.array(*(window_hashes("t_hashes", n) for n in sizes))).alias("which", "hashes"))
+    exploded = windowed.select("doc_id", "key", F.element_at(F.array(*map(F.lit, sizes)), F.col("which") + 1).alias("size"), F.posexplode("hashes").alias("place", "h"))
+    return exploded.join(small, ["h", "size"]).select("doc_id", "key", "item_id", "size", "at", "place", "h", "n", "has_slots", "item_slots")
 
 
 def enough(windows: Column, n: Column) -> Column:
@@ -101,7 +98,7 @@ def copies(pairs: DataFrame) -> DataFrame:
 
 
 def slot_shares(docs: DataFrame, pairs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, key, item_id, consistent: the share of slots in matched windows whose value is the one that most often stands for the item's value in the same copy,
+    """doc_id, key, item_id, consistent: the share of slots in matched windows whose value is the one that most often stands for the item's value in the same copy (and the item's for it, the lesser counts),
     over all copies or in the best of the copies that have enough windows. pairs: doc_id, key, item_id, n, places."""
     words = lambda df, text: templates(df, text).withColumn("raw", words_of(prepared(F.col(text))))
     wanted = pairs.select("doc_id", "key").distinct()
@@ -114,7 +111,11 @@ def slot_shares(docs: DataFrame, pairs: DataFrame, benchmark: DataFrame) -> Data
     read = copies(pairs).select(*copy, "at", "place", F.explode(F.sequence(F.lit(0), F.col("size") - 1)).alias("i")).select(*copy, (F.col("at") + F.col("i")).alias("at"), (F.col("place") + F.col("i")).alias("spot")).distinct()
     aligned = read.join(slots, ["item_id", "at"]).join(doc_words, F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("key") == F.col("d_key")))
     counts = aligned.select(*copy, "asked", F.lower(F.get("d_raw", F.col("spot"))).alias("told")).groupBy(*copy, "asked", "told").count()
-    best = counts.groupBy(*copy, "asked").agg(F.max("count").alias("most"), F.sum("count").alias("all")).groupBy(*copy).agg(F.sum("most").alias("most"), F.sum("all").alias("all"))
+    # both ways: one value of the document for each of the item's, and one of the item's for each of the document's
+    most = lambda side: counts.groupBy(*copy, side).agg(F.max("count").alias("most"), F.sum("count").alias("all"))
+    ways = most("asked").withColumn("way", F.lit(1)).drop("asked").unionByName(most("told").withColumn("way", F.lit(2)).drop("told"))
+    sums = ways.groupBy(*copy, "way").agg(F.sum("most").alias("most"), F.sum("all").alias("all"))
+    best = sums.groupBy(*copy).agg(F.min("most").alias("most"), F.max("all").alias("all"))
     share = F.greatest(F.sum("most") / F.sum("all"), F.max(F.when(F.col("whole"), F.col("most") / F.col("all"))))
     return best.groupBy("doc_id", "key", "item_id").agg(share.alias("consistent"))
 
