@@ -1,15 +1,17 @@
 """HTML main text by tree scoring (operator 4).
 
 Paragraphs pass points for their length and commas to their parent and, halved, on to the ancestors; a container's
-points are discounted by the share of its text that lies in links. The best container and those of its siblings that score well
-are kept, without what is no article text: menus, headers, footers, sidebars, notices, adverts, forms, comments of readers.
-Pages are judged one by one where they lie, without a shuffle; a page becomes a small tree while it is read.
+points are discounted by the share of its text that lies in links. The best container and those of its siblings that aren't mostly links
+are kept, without what is no article text: menus, headers, footers, sidebars, notices, adverts, forms, comments of readers. Names (class, id, role) and
+forms never take away what holds an article or main element, or most of the page's text.
+Pages are judged one by one where they lie, without a shuffle; a page becomes a small tree while it is read, in time linear in its length.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,87 +33,190 @@ UNWANTED_NAMES = frozenset(
     " comment comments commentlist reply replies respond disqus discussion share sharing social related recommended newsletter subscribe signup login popup modal overlay"
     " cookie cookies consent gdpr notice notices alert warning breadcrumb breadcrumbs pagination pager tagcloud widget search form toolbar copyright legal disclaimer skip".split()
 )
+NEUTRAL_NAMES = frozenset(
+    "list box inner outer wrapper wrap container section block area bar item items links link top bottom left right main site page global primary secondary content module slot unit panel text button buttons"
+    " post posts article articles user reader thread card row col column group title heading image img icon icons media the by my sub small large fixed sticky mobile desktop and in of for".split()
+)
 #: Closing one of these elements is implied when such another opens.
 CLOSES_P = BLOCKS - frozenset("br option optgroup body html caption tbody td tfoot th thead tr".split())
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 STOPS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
-TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
-ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+TAG_NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
+TAG_STOP = re.compile(r"[>\"']")
+HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 SPACES = re.compile(r"\s+")
+#: Elements nest at most so deep; those below lie in the last one, as in browsers.
+DEEPEST = 512
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "unwanted", "points", "size", "linked")
+    __slots__ = ("tag", "parent", "items", "unwanted", "doubted", "depth", "block", "points", "size", "linked")
 
-    def __init__(self, tag: str, parent: Node | None, unwanted: bool = False):
-        self.tag, self.parent, self.unwanted = tag, parent, unwanted
+    def __init__(self, tag: str, parent: Node | None, unwanted: bool = False, doubted: bool = False):
+        self.tag, self.parent, self.unwanted, self.doubted = tag, parent, unwanted, doubted
+        self.depth = parent.depth + 1 if parent else 0
+        self.block = self if tag in BLOCKS else parent.block if parent else None  # the nearest block, itself included
         self.items: list = []
         self.points = 0.0
         self.size = self.linked = 0
 
 
-def is_unwanted(tag: str, attributes: str) -> bool:
-    if tag in UNWANTED:
-        return True
-    if not attributes:
-        return False
-    for name, *values in ATTRIBUTE.findall(attributes):
+def is_named_unwanted(value: str) -> bool:
+    """Whether one of the names says that an element is no article text: a name all of whose parts are unwanted or neutral words, one at least unwanted."""
+    for name in value.split():
+        parts = [p.lower() for p in NAME_PART.findall(name)]
+        if any(p in UNWANTED_NAMES for p in parts) and all(p in UNWANTED_NAMES or p in NEUTRAL_NAMES or len(p) == 1 for p in parts):
+            return True
+    return False
+
+
+def judged(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether an element is unwanted for certain, and whether it is so only by its name, role or as a form."""
+    doubted = tag == "form"
+    if tag in UNWANTED and not doubted:
+        return True, False
+    for name, *values in ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), next(filter(None, values), "")
+        if name == "hidden" or name == "style" and HIDING.search(value) or name == "aria-hidden" and value.lower() == "true":
+            return True, False
         if name == "role" and value.lower() in ROLES:
-            return True
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main") and any(part.lower() in UNWANTED_NAMES for part in NAME_PART.findall(value)):
-            return True
-        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value) or name == "aria-hidden" and value == "true":
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?=\s|$|=)", attributes))
+            doubted = True
+        if name in ("class", "id") and tag not in ("body", "html", "article", "main") and is_named_unwanted(value):
+            doubted = True
+    return False, doubted
 
 
-def tree(page: str) -> Node:
-    """Elements and texts of a page. Comments, scripts and the like leave nothing; unclosed and misplaced tags are closed as browsers would, by and large."""
-    root = at = Node("#", None)
-    place, end = 0, len(page)
+def tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """Texts ("", text, "") and tags (name, with a slash before it if it closes, attributes, ""), in order; comments, scripts and the like leave nothing.
+
+    Every search goes forward only, and one that reaches the end in vain isn't made again, so the time is linear.
+    """
+    place, end, quoted = 0, len(page), True
+    without: set[str] = set()
     while place < end:
-        m = TAG.search(page, place)
-        if m is None:
-            at.items.append(page[place:])
+        at = page.find("<", place)
+        if at < 0:
             break
-        if m.start() > place:
-            at.items.append(page[place : m.start()])
-        place = m.end()
-        tag = (m[2] or "").lower()
-        if not tag:
+        if at > place:
+            yield "", page[place:at], ""
+        place = at
+        if page.startswith("<!--", at):
+            close = page.find("-->", at + 2)
+            place = end if close < 0 else close + 3
             continue
-        if m[1]:
-            up = at
-            while up.parent is not None and up.tag != tag:
-                up = up.parent
-            if up.parent is not None:
-                at = up.parent
+        found = TAG_NAME.match(page, at + 1)
+        if not found:
+            if page.startswith(("<!", "<?", "</"), at):
+                close = page.find(">", at)
+                place = end if close < 0 else close + 1
+            else:  # a sign, not a tag
+                yield "", "<", ""
+                place = at + 1
             continue
-        if tag in RAW or tag == "title":
-            closing = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, place)
-            place = closing.end() if closing else place if tag in ("object", "noscript") else end
+        close = found.end()
+        while quoted and (stop := TAG_STOP.search(page, close)):
+            close = stop.start()
+            if stop[0] == ">":
+                break
+            close = page.find(stop[0], close + 1) + 1
+            if not close:
+                stop = None
+                break
+        if not quoted or not stop:  # a quote that never ends: from here on a tag ends at the next >
+            quoted = False
+            close = page.find(">", found.end())
+            if close < 0:
+                yield "", page[at:], ""
+                return
+        place = close + 1
+        name = found[0].lower()
+        if name in RAW or name == "title":
+            over = None if name in without else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, place)
+            if over:
+                place = over.end()
+            else:
+                without.add(name)
+                place = place if name in ("object", "noscript") else end
             continue
-        if tag in CLOSES_P:
-            up = at
-            while up.parent is not None and up.tag not in BLOCKS:
-                up = up.parent
-            if up.tag == "p":
-                at = up.parent
+        yield name, page[found.end() : close], ""
+    if place < end:
+        yield "", page[place:], ""
+
+
+def tree(page: str) -> Node:
+    """Elements and texts of a page. Unclosed and misplaced tags are closed as browsers would, by and large."""
+    root = at = Node("#", None)
+    open_tags: Counter = Counter()
+    buried: Counter = Counter()  # open elements below the deepest level
+
+    def close(up: Node) -> Node:
+        """Closes the elements from here up to one, and gives its parent."""
+        here = at
+        while here is not up:
+            open_tags[here.tag] -= 1
+            here = here.parent
+        open_tags[up.tag] -= 1
+        return up.parent
+
+    for name, text, _ in tokens(page):
+        if not name:
+            at.items.append(text)
+            continue
+        if name[0] == "/":
+            tag = name[1:]
+            if buried[tag]:
+                buried[tag] -= 1
+            elif open_tags[tag]:
+                up = at
+                while up.tag != tag:
+                    up = up.parent
+                at = close(up)
+            continue
+        tag = name
+        if tag in CLOSES_P and at.block is not None and at.block.tag == "p":
+            at = close(at.block)
         if tag in SAME:
             up = at
             while up.parent is not None and up.tag not in SAME[tag] and up.tag not in STOPS[tag]:
                 up = up.parent
             while up.parent is not None and up.tag in SAME[tag]:
-                at = up = up.parent
-        node = Node(tag, at, is_unwanted(tag, m[3]))
+                at = up = close(up)
+        node = Node(tag, at, *judged(tag, text))
         at.items.append(node)
-        if tag not in VOID and not m[3].endswith("/"):
-            at = node
+        if tag not in VOID and not text.endswith("/"):
+            if node.depth < DEEPEST:
+                at = node
+                open_tags[tag] += 1
+            else:
+                buried[tag] += 1
+    settle(root)
     return root
 
 
+def settle(root: Node) -> None:
+    """Decides the elements in doubt: they are unwanted, unless they hold an article or main element or most of the page's text that isn't unwanted for certain."""
+    held: dict[int, tuple[int, bool]] = {}
+    doubted = []
+    todo = [(root, True)]
+    while todo:
+        node, begins = todo.pop()
+        inner = [x for x in node.items if isinstance(x, Node) and not x.unwanted]
+        if begins:
+            todo.append((node, False))
+            todo += [(x, True) for x in inner]
+            continue
+        size = sum(len(x.strip()) for x in node.items if isinstance(x, str)) + sum(held[id(x)][0] for x in inner)
+        article = any(held[id(x)][1] or x.tag in ("article", "main") for x in inner)
+        held[id(node)] = size, article
+        if node.doubted:
+            doubted.append(node)
+    for node in doubted:
+        size, article = held[id(node)]
+        node.unwanted = not article and 2 * size <= held[id(root)][0]
+
+
 def in_order(node: Node) -> Iterator[tuple[Node, bool]]:
     """Every wanted node below with True as it begins and False as it ends; without recursion, as pages may nest deeply."""
     todo = [(node, True)]
@@ -182,15 +287,19 @@ def main_text(page: str | None) -> str:
     marked = [n for n in found if n.tag in ("article", "main")]
     if not found:
         kept = [root]
+    elif marked:
+        best = max(marked, key=lambda n: n.points)
+        # articles of one main element, or side by side, belong together
+        if best.parent is not None and best.parent.tag in ("article", "main"):
+            best = best.parent
+        kept = [n for n in (best.parent.items if best.parent is not None else [best]) if isinstance(n, Node) and not n.unwanted and (n is best or n.tag in ("article", "main"))]
     else:
-        best = max(marked or found, key=lambda n: n.points)
-        beside = best.parent.items if best.parent is not None else [best]
-        least = max(2.0, 0.2 * best.points)
-        # siblings: containers that score well, paragraphs beside the best container that are long and not links
-        kept = [n for n in beside if isinstance(n, Node) and not n.unwanted and (n is best or n.points >= least or n.tag == "p" and not marked and n.size > 80 and n.linked < 0.25 * n.size)]
+        best = max(found, key=lambda n: n.points)
+        # whatever lies beside the best container, in page order, unless it is mostly links
+        kept = [n for n in (best.parent.items if best.parent is not None else [best]) if isinstance(n, str) or not n.unwanted and (n is best or n.size and n.linked < 0.5 * n.size)]
     out = []
     for node in kept:
-        for block in blocks_of(node):
+        for block in [node] if isinstance(node, str) else blocks_of(node):
             if text := SPACES.sub(" ", html.unescape(block)).strip():
                 out.append(text)
     return "\n".join(out)
