@@ -7,6 +7,15 @@ from pyspark.sql import functions as F
 
 from .common import cut, is_empty
 
+#: Parts that the rows of one node are dealt to in a join, as one node may have very many neighbours.
+SALTS = 16
+
+
+def salted_join(rows: DataFrame, by_key: DataFrame, key: str, spread: str) -> DataFrame:
+    """rows with the columns of by_key (one row per key), the rows of a key dealt by the column `spread` to SALTS parts, each with a copy of the key's row."""
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
+    return dealt.join(by_key.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>"))), [key, "salt"]).drop("salt")
+
 
 def components(links: DataFrame) -> DataFrame:
     """node, root of every node with a link; root is the smallest node reachable. links: a, b (bigint), in either direction, repeats and loops allowed.
@@ -21,9 +30,9 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.selectExpr("b AS a", "a AS b"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").filter("b > a").selectExpr("b AS a", "m AS b").filter("a <> b").distinct()
+        large = salted_join(both, least, "a", "b").filter("b > a").selectExpr("b AS a", "m AS b").filter("a <> b").distinct()
         small = large.groupBy("a").agg(F.min("b").alias("m"))
-        stars = large.join(small, "a").selectExpr("a", "b", "m")
+        stars = salted_join(large, small, "a", "b").selectExpr("a", "b", "m")
         edges = cut(stars.selectExpr("b AS a", "m AS b").unionByName(stars.selectExpr("a", "m AS b")).filter("a <> b").distinct(), "links")
         after = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if after == before:

@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import cut, free_name, is_empty, map_arrow, struct, with_row_bytes
-from .components import components
+from .components import components, salted_join
 
 SEED, BITS, SEGMENTS = 42, 64, 32
-LARGE_CELL = 4096
+LARGE_CELL, MOST_FIXED = 4096, 5
 POINTS = struct(("cell", "bigint"), ("fp", "bigint"))
 LINKS = struct(("cell", "bigint"), ("a", "bigint"), ("b", "bigint"))
 
@@ -63,10 +63,10 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", fp_col: str = "fp"
     return map_arrow(docs, run, T.StructType([*kept, T.StructField(fp_col, T.LongType(), True)]))
 
 
-def grids(n: int, most: int) -> tuple[list[list[int]], list[tuple[int, ...]]]:
-    """Groups of dimensions and the choices of groups that the grids fix: the fewest grids whose cells hold eight of n points on average, were they spread evenly."""
+def grids(n: int, most: int, least_fixed: int = 1) -> tuple[list[list[int]], list[tuple[int, ...]]]:
+    """Groups of dimensions and the choices of groups that the grids fix: the fewest grids whose cells hold eight of n points on average, were they spread evenly, and that fix so many groups at least."""
     information = -math.log2(3 / 8)  # bits of one dimension: counts 0, 1, 2 come as 1, 2, 1
-    for fixed in range(1, 6):
+    for fixed in range(least_fixed, MOST_FIXED + 1):
         groups = np.array_split(np.arange(SEGMENTS), most + fixed)
         if n * 2 ** -(information * fixed * SEGMENTS / (most + fixed)) <= 8:
             break
@@ -79,20 +79,22 @@ def unary(fps: np.ndarray) -> np.ndarray:
     return ((high & low) << np.uint64(1)) | high | low
 
 
-def grid_points(fps: DataFrame, most: int, n: int) -> DataFrame:
-    """cell, fp: every fingerprint in one cell of each grid."""
-    groups, choices = grids(n, most)
+def grid_points(fps: DataFrame, most: int, n: int, least_fixed: int = 1) -> DataFrame:
+    """cell, fp: every fingerprint in one cell of each grid; where fps has cells already, in one cell within its own."""
+    groups, choices = grids(n, most, least_fixed)
     masks = [sum(3 << (2 * d) for g in choice for d in groups[g]) for choice in choices]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column("fp").to_numpy()
             points = unary(values.view(np.uint64))
+            outer = batch.column("cell").to_numpy().view(np.uint64) * np.uint64(0xD6E8FEB86659FD93) if within else np.uint64(0)
             for grid, mask in enumerate(masks):
-                cell = (points & np.uint64(mask)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(grid)
+                cell = (points & np.uint64(mask)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(grid) + outer
                 yield pa.RecordBatch.from_arrays([pa.array((cell ^ (cell >> np.uint64(29))).view(np.int64)), pa.array(values)], POINTS.names)
 
-    return map_arrow(fps.select("fp"), run, POINTS)
+    within = "cell" in fps.columns
+    return map_arrow(fps.select("fp", "cell") if within else fps.select("fp"), run, POINTS)
 
 
 def forest(points: np.ndarray, most: int) -> list[tuple[int, int]]:
@@ -155,12 +157,19 @@ def cell_links(points: DataFrame, most: int, large: int) -> DataFrame:
 
 def links(fps: DataFrame, most: int = 4, large: int = LARGE_CELL) -> DataFrame:
     """a, b: links that connect all fingerprints at most `most` bits apart. fps: distinct column fp."""
-    found = cut(cell_links(grid_points(fps, most, fps.count()), most, large), "links")
+    n = fps.count()
+    found = cut(cell_links(grid_points(fps, most, n), most, large), "links")
     left = found.filter("b IS NULL").selectExpr("cell", "a AS fp")
     out = found.filter("b IS NOT NULL").select("a", "b")
     if is_empty(left):
         return out
-    # large cells: chunks by hash, one task per pair of chunks, so that every pair of points still meets
+    # large cells: a finer grid within each, as its points still agree in enough groups of one of the choices
+    finer = cut(cell_links(grid_points(left, most, n, least_fixed=MOST_FIXED), most, large), "links")
+    out = out.unionByName(finer.filter("b IS NOT NULL").select("a", "b"))
+    left = finer.filter("b IS NULL").selectExpr("cell", "a AS fp")
+    if is_empty(left):
+        return out
+    # cells that are still large: chunks by hash, one task per pair of chunks, so that every pair of points still meets
     counts = left.groupBy("cell").agg(F.ceil(F.count("*") * 4 / large).cast("int").alias("chunks"))
     mine = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
     dealt = left.join(counts, "cell").select("cell", "fp", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
@@ -174,7 +183,7 @@ def near_groups(prints: DataFrame, most: int = 4) -> DataFrame:
     roots = components(links(distinct, most)).withColumnRenamed("node", "fp")
     rooted = distinct.join(roots, "fp")
     least = rooted.groupBy("root").agg(F.min("first").alias("least"))
-    linked = rooted.join(least, "root").select("fp", "least")
+    linked = salted_join(rooted, least, "root", "fp").select("fp", "least")
     return distinct.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
 
 
