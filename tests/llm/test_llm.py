@@ -2,8 +2,11 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
+import time
+import zlib
 
 import numpy as np
 import public_tokenizers as P
@@ -384,3 +387,149 @@ def test_other_patterns_and_hash_ties():
     starts, ends, first, second = split(text)
     assert [text[a:b] for a, b in zip(starts, ends)] == ["one", " ", "two", ", ", "three"]
     assert len(set(first.tolist())) == len(set(second.tolist())) == 5
+
+
+# 4, odd pages -------------------------------------------------------------------------------------------------------
+
+LONG = "Good words, here and there, that make a text. " * 8
+PLAIN = LONG.strip()
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f'<div class="layout has-sidebar"><article><p>{LONG}</p></article></div>', PLAIN),
+        (f'<div class="no-comments"><p>{LONG}</p></div>', PLAIN),
+        (f'<div class="search-page"><article><p>{LONG}</p></article></div>', PLAIN),
+        (f'<div class="overflow hidden x"><p>{LONG}</p></div>', PLAIN),
+        (f"<div hidden><p>{LONG}</p></div><p>Shown.</p>", "Shown."),
+        (f"<form><article><p>{LONG}</p></article></form>", PLAIN),
+        (f'<article><p>{LONG}</p><div class="legal-analysis"><p>Legal text.</p></div></article>', f"{PLAIN}\nLegal text."),
+        (f"<main><article><p>{LONG}</p></article><article><p>Second.</p></article></main>", f"{PLAIN}\nSecond."),
+        (f"<body><h1>Title</h1><div><p>{LONG}</p><p>{LONG}</p></div><ul><li>one</li></ul></body>", f"Title\n{PLAIN}\n{PLAIN}\none"),
+        (f'<body><div id="nav-bar"><a href=x>Menu</a></div><p>{LONG}</p><form><p>Your name</p></form></body>', PLAIN),
+        ("<p>a &lt; b &amp;&#x20;c<!-- no --> <script>x</script>d", "a < b & c d"),
+        ("1 < 2 <b>and</b> <", "1 < 2 and <"),
+    ],
+)
+def test_odd_pages(page, want):
+    assert html_extract.main_text(page) == want
+
+
+@pytest.mark.parametrize("page", ['<a "' * 250_000, "<div>" * 8_000 + "</p></b>" * 100_000, "<p><tbody>" + "<b>" * 90_000 + "<hr>" * 150_000, "<noscript>" * 100_000, "<!" * 500_000, "<div>" * 90_000 + "x" + "</div>" * 90_000, "<a '\">\"" * 150_000])
+def test_hostile_pages_take_linear_time(page):
+    began = time.process_time()
+    html_extract.main_text(page)
+    assert time.process_time() - began < 10
+
+
+# 5, 7, 8, 9, 10: odd tables -------------------------------------------------------------------------------------------
+
+
+def test_damaged_archive(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"<p>{i}" * 99) for i in range(20)], "page_id long, url string, html string")
+    warc.write_warc(pages.coalesce(1), f"file://{tmp_path}/w")
+    whole = next((tmp_path / "w").glob("part-*"))
+    raw = whole.read_bytes()
+    (tmp_path / "w" / "half.warc.gz").write_bytes(raw[: len(raw) // 2])
+    (tmp_path / "w" / "no.warc").write_bytes(b"nothing")
+    rows = warc.read_records(spark, f"file://{tmp_path}/w").collect()
+    damaged = [r.fields for r in rows if r.type == "damaged"]
+    assert len(damaged) == 2 and any("EOFError" in d for d in damaged) and sum(r.type == "response" for r in rows) >= 20
+
+
+def test_toxicity_against_dense_search(spark):
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(rnd.choices(words, k=rnd.randint(1, 60)) + (["zounds"] * rnd.randint(1, 3) if i % 4 == 0 else []))) for i in range(240)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = toxicity.fit(docs, spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int"))
+    # the weights from their definition
+    slot = lambda w: zlib.crc32(w.encode()) % toxicity.SLOTS
+    held = [collections.Counter(slot(w) for w in t.split()) for _, t in rows]
+    worth = {}
+    for s in {s for h in held for s in h}:
+        df, n, a = sum(s in h for h in held), sum(s in h for h in held[:200]), sum(s in held[i] for i in range(0, 200, 4))
+        z = max(0, abs(a - n / 4) - 0.5) / math.sqrt(n * 3 / 16 + 0.5)
+        worth[s] = (math.log(241 / (1 + df)) + 0.1) * (toxicity.FLOOR + z * z)
+
+    def unit(h):
+        v = {s: (1 + math.log(n)) * worth[s] for s, n in h.items()}
+        length = math.sqrt(sum(x * x for x in v.values()))
+        return {s: x / length for s, x in v.items()}
+
+    units = [unit(h) for h in held]
+    for i in range(200, 240):
+        cosines = sorted((sum(x * units[j].get(s, 0) for s, x in units[i].items()) for j in range(200)), reverse=True)
+        slots, n = toxicity.Terms().count(rows[i][1])
+        found = model.index.nearest(*toxicity.weigh(slots, n, model.worth), toxicity.NEIGHBOURS)[1]
+        assert np.allclose(found, [c for c in cosines[: toxicity.NEIGHBOURS] if c > 0], atol=1e-5)
+    scored = toxicity.score(docs, model).collect()
+    assert len({r.score for r in scored}) > 10
+
+
+def test_toxicity_of_odd_tables(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 21)] + [(None, 1), (2, None)], "doc_id long, toxic int")
+    rows = [(i, f"bad{'' if i % 2 else ' fine'} word{i}") for i in range(1, 21)]
+    docs = spark.createDataFrame([(a, t, 1) for a, t in [*rows, rows[0], rows[0], (None, "bad"), (None, None), (30, "")]], "doc_id long, text string, score int")
+    model = toxicity.fit(docs, labels)
+    scored = toxicity.score(docs, model).collect()
+    assert len(scored) == 25 and len({r.score for r in scored if r.doc_id == 1}) == 1 and all(0 <= r.score <= 1 for r in scored)
+    assert toxicity.score(docs.limit(0), toxicity.fit(docs.limit(0), labels)).collect() == []
+    assert {r.held_out for r in docs.filter("doc_id IS NULL").select(toxicity.held_out().alias("held_out")).collect()} == {False}
+
+
+def test_grades_are_binned_with_both_ends():
+    counts = [(float(g), 1 if g in (0, 99) else 50) for g in range(100)]
+    found = quality.binned(counts)
+    assert len(found) <= quality.MOST_GRADES and found[0][0] == 0 and found[-1][0] == 99 and sum(n for _, n in found) == sum(n for _, n in counts)
+    assert quality.binned(counts[:5]) == counts[:5]
+
+
+def test_slots_are_consistent_both_ways(spark):
+    item = "A train leaves Paris at 7 and another leaves Rome at 9 while a third waits in Paris until 7 and then goes on to Rome by 9 oclock sharp"
+    swap = lambda *v: item.replace("Paris", v[0]).replace("Rome", v[1]).replace("7", v[2]).replace("9", v[3])
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    mixed = item.replace("Paris", "Oslo").replace("Rome", "Oslo").replace("7", "4").replace("9", "4")
+    docs = spark.createDataFrame([(1, swap("Oslo", "Bern", "3", "5")), (2, mixed), (3, "a plain text of no matter")], DOCS)
+    assert {r.doc_id for r in decontaminate.contaminated(docs, bench).collect()} == {1}
+
+
+def test_batches_are_cut_by_bytes():
+    import pyarrow as pa
+    from quarry.llm.common import slices
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 50_000_000, *["y" * 1000] * 20_000])], ["text"])
+    parts = list(slices(batch))
+    assert parts[0].num_rows == 1 and all(p.nbytes <= 4 << 20 or p.num_rows == 1 for p in parts) and pa.Table.from_batches(parts).column("text").to_pylist() == batch.column("text").to_pylist()
+
+
+def test_one_very_long_text(spark):
+    """50 MB of text in one row, and one in which a letter repeats."""
+    long = " ".join(f"word{i % 9973} and{i % 31}" for i in range(3_500_000))
+    docs = spark.createDataFrame([(1, long), (2, "z" * 300_000), (3, "short")], DOCS)
+    assert exact_dedup.exact_groups(docs).count() == 3 and simhash.simhash_groups(docs).count() == 3
+    assert {r.doc_id: r.n_removed for r in suffix_dedup.repeat_digests(docs.filter("doc_id > 1")).collect()} == {2: 300_000, 3: 0}
+
+
+def test_large_cells_are_refined_without_losing_links(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 62, 6, dtype=np.int64)
+    fps = sorted({int(b) ^ sum(1 << int(k) for k in rng.choice(62, rng.integers(0, 6), replace=False)) for b in base for _ in range(80)})
+    label = {f: f for f in fps}
+
+    def root(f):
+        while label[f] != f:
+            f = label[f]
+        return f
+
+    for i, a in enumerate(fps):
+        for b in fps[:i]:
+            if bin(a ^ b).count("1") <= 4:
+                x, y = root(a), root(b)
+                label[max(x, y)] = min(x, y)
+    table = spark.createDataFrame([(f,) for f in fps], "fp long")
+    for large in (4096, 16, 4):
+        found = components(simhash.links(table, 4, large))
+        got = {r.node: r.root for r in found.collect()}
+        assert {f: got.get(f, f) for f in fps} == {f: root(f) for f in fps}
