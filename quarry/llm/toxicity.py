@@ -16,15 +16,14 @@ Without labels of both kinds every score is the share of toxic labels (0 without
 from __future__ import annotations
 
 import pickle
-import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark import Broadcast, cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, map_arrow, struct
@@ -36,38 +35,28 @@ NEIGHBOURS, BLOCK, FIRST, BINS = 15, 64, 4, 10
 NEGLIGIBLE = 0.04
 #: What a term weighs that says nothing of the label.
 FLOOR = 0.02
-WORD = re.compile(r"\w+")
+SEPARATOR = r"[^\pL\pN_]+"
 COUNTS = struct(("slot", "int"), ("n", "bigint"), ("toxic", "bigint"))
-VECTORS = struct(("doc_id", "bigint"), ("toxic", "int"), ("digest", "bigint"), ("terms", "array<int>"), ("weights", "array<double>"))
+VECTORS = struct(("doc_id", "bigint"), ("toxic", "int"), ("digest", "bigint"), ("terms", "array<int>"), ("weights", "array<float>"))
 SCORES = struct(("doc_id", "bigint"), ("vote", "double"), ("found", "int"), ("evidence", "array<bigint>"), ("toxic", "int"))
 
 
-class Terms:
-    """Slots of a text's words. Distinct words are hashed once and remembered, up to a bound."""
+def slot_counts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a column of texts: row, slot and number of each slot that a text holds, in the order of rows and slots. A batch's distinct words are hashed once."""
+    lists = pc.split_pattern_regex(pc.utf8_lower(texts.cast(pa.large_string()).fill_null("")), SEPARATOR)
+    words = lists.flatten().dictionary_encode()
+    known = np.fromiter((zlib.crc32(w.encode()) % SLOTS if w else -1 for w in words.dictionary.to_pylist()), np.int64, len(words.dictionary))
+    row = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+    slot = known[words.indices.to_numpy()] if len(row) else np.zeros(0, np.int64)
+    keys, n = np.unique((row * SLOTS + slot)[slot >= 0], return_counts=True)
+    return keys // SLOTS, keys % SLOTS, n.astype(np.float64)
 
-    def __init__(self, most: int = 200_000):
-        self.most, self.known = most, {}
 
-    def of(self, word: str) -> int:
-        slot = self.known.get(word)
-        if slot is None:
-            if len(self.known) >= self.most:
-                self.known.clear()
-            slot = self.known[word] = zlib.crc32(word.encode("utf-8", "surrogatepass")) % SLOTS
-        return slot
-
-    def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Slots of the text in order, and how often each occurs."""
-        words = Counter(WORD.findall((text or "").lower()))
-        slots, n = np.fromiter(map(self.of, words), np.int64, len(words)), np.fromiter(words.values(), np.float64, len(words))
-        order = slots.argsort()
-        slots, n = slots[order], n[order]
-        first = np.flatnonzero(np.diff(slots, prepend=-1))
-        return slots[first], np.add.reduceat(n, first) if len(first) else n
-
-    def present(self, text: str | None) -> np.ndarray:
-        """The distinct slots of a text."""
-        return np.unique(np.fromiter(map(self.of, set(WORD.findall((text or "").lower()))), np.int64))
+def per_text(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Slots of each text in order, and how often each occurs."""
+    row, slot, n = slot_counts(texts)
+    bounds = np.searchsorted(row, np.arange(len(texts) + 1)).tolist()
+    return ((slot[a:b], n[a:b]) for a, b in zip(bounds[:-1], bounds[1:]))
 
 
 def held_out() -> Column:
@@ -86,13 +75,13 @@ def term_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
     """Per slot the rows (text, toxic or null) that hold it, and the toxic ones; rows in all, and toxic ones. Each partition sends its counts of at most SLOTS slots."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, seen = Terms(), np.zeros((2, SLOTS + 1), np.int64)
+        seen = np.zeros((2, SLOTS + 1), np.int64)
         for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                held = np.append(terms.present(text), SLOTS)
-                seen[0, held] += 1
-                if toxic:
-                    seen[1, held] += 1
+            row, slot, _ = slot_counts(batch.column("text"))
+            toxic = batch.column("toxic").fill_null(0).to_numpy() > 0
+            seen[0, :SLOTS] += np.bincount(slot, minlength=SLOTS)
+            seen[1, :SLOTS] += np.bincount(slot[toxic[row]], minlength=SLOTS)
+            seen[:, SLOTS] += batch.num_rows, toxic.sum()
         at = np.flatnonzero(seen[0])
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[0, at]), pa.array(seen[1, at])], COUNTS.names)
 
@@ -128,31 +117,38 @@ class BlockMaxIndex:
         # examples with the same strongest term lie together, which makes the blocks' bounds tight
         ties = digests or [hash((v[0].tobytes(), v[1].tobytes())) for v in vectors]
         order = sorted(range(len(ids)), key=lambda i: (int(vectors[i][0][vectors[i][1].argmax()]), ties[i], labels[i]))
-        self.ids, self.labels = np.array([ids[i] for i in order], np.int64), np.array([labels[i] for i in order], np.int64)
-        self.blocks = -(-len(order) // BLOCK)
-        self.first = np.zeros(size + 1, np.int32)  # entries of term t: from first[t] to first[t + 1]
-        self.query = np.zeros(size)
-        if not order:
-            return
-        terms, weights = (np.concatenate([vectors[i][k] for i in order]) for k in (0, 1))
-        sizes = [len(vectors[i][0]) for i in order]
-        places = np.repeat(np.arange(len(order)), sizes)
-        self.bounds, self.own_terms, self.own_weights = np.append(0, np.cumsum(sizes)), terms.astype(np.int32), weights
-        by_term = np.lexsort((places, terms))
-        terms, self.places, self.weights = terms[by_term], places[by_term].astype(np.int32), weights[by_term]
-        keys = terms * self.blocks + self.places // BLOCK
-        starts = np.flatnonzero(np.diff(keys, prepend=-1))
+        self.ids, self.labels = np.array([ids[i] for i in order], np.int64), np.array([labels[i] for i in order], np.int8)
+        self.sizes, self.slots = np.array([len(vectors[i][0]) for i in order], np.int64), size
+        self.own_terms, self.own_weights = (np.concatenate([vectors[i][k] for i in order]).astype(t) if order else np.zeros(0, t) for k, t in ((0, np.int32), (1, np.float32)))
+        self.invert()
+
+    def __getstate__(self) -> dict:
+        """What is broadcast: the examples; each worker inverts them again, which takes less than sending the postings."""
+        return {k: getattr(self, k) for k in ("ids", "labels", "sizes", "slots", "own_terms", "own_weights")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.invert()
+
+    def invert(self) -> None:
+        self.blocks = -(-len(self.ids) // BLOCK)
+        self.query = np.zeros(self.slots, np.float32)
+        self.bounds = np.append(0, np.cumsum(self.sizes))
+        places = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.sizes)
+        by_term = np.argsort(self.own_terms, kind="stable")
+        terms, self.places, self.weights = self.own_terms[by_term].astype(np.int64), places[by_term], self.own_weights[by_term]
+        starts = np.flatnonzero(np.diff(terms * self.blocks + self.places // BLOCK, prepend=-1))
         self.block = (self.places[starts] // BLOCK).astype(np.int32)
-        self.top = np.maximum.reduceat(self.weights, starts)
-        self.starts = np.append(starts, len(keys)).astype(np.int32)
-        self.first = np.searchsorted(terms[starts], np.arange(size + 1)).astype(np.int32)
+        self.top = np.maximum.reduceat(self.weights, starts) if len(starts) else self.weights
+        self.starts = np.append(starts, len(terms)).astype(np.int32)
+        self.first = np.searchsorted(terms[starts], np.arange(self.slots + 1)).astype(np.int32)  # entries of term t: from first[t] to first[t + 1]
 
     def partial(self, terms: np.ndarray, weights: np.ndarray, k: int, rest: float) -> tuple[np.ndarray, float]:
         """The cosine of every example as far as these terms go, in blocks that may hold one of the k nearest if others add at most `rest`; and the k-th highest."""
         begins = self.first[terms]
         entries, sizes = spread(begins, self.first[terms + 1] - begins)
         weights, block = np.repeat(weights, sizes), self.block[entries]
-        bounds = np.bincount(block, weights * self.top[entries], self.blocks) * (1 + 1e-9) + 1e-9  # above what rounding can make of a sum
+        bounds = np.bincount(block, weights * self.top[entries], self.blocks) * (1 + 1e-6) + 1e-6  # above what rounding can make of a sum
         order = np.argsort(-bounds, kind="stable")
         found, least = np.zeros(len(self.ids)), 0.0
         # the blocks with the highest bounds first, then all others that can hold a nearer example
@@ -176,10 +172,10 @@ class BlockMaxIndex:
         # all other terms add at most the length of their part of the query (Cauchy-Schwarz, as examples have length 1)
         left = np.sqrt(np.maximum(0, np.cumsum(weights[order][::-1] ** 2)[::-1]))
         part = max(1, int(np.searchsorted(-left, -NEGLIGIBLE)))
-        lead, rest = order[:part], (float(left[part]) if part < len(left) else 0.0) + 1e-9
+        lead, rest = order[:part], (float(left[part]) if part < len(left) else 0.0) + 1e-6
         found, least = self.partial(terms[lead], weights[lead], more, rest)
         if least <= rest:  # an example without any of these terms could be among the nearest
-            rest = 1e-9
+            rest = 1e-6
             found, least = self.partial(terms, weights, more, rest)
         places = np.flatnonzero((found >= least - rest) & (found > 0))
         if but is not None:
@@ -188,7 +184,7 @@ class BlockMaxIndex:
             return np.zeros(0, np.int64), np.zeros(0)
         self.query[terms] = weights
         at, sizes = spread(self.bounds[places], self.bounds[places + 1] - self.bounds[places])
-        scores = np.round(np.add.reduceat(self.query[self.own_terms[at]] * self.own_weights[at], np.cumsum(sizes) - sizes), 9)
+        scores = np.round(np.add.reduceat(self.query[self.own_terms[at]] * self.own_weights[at], np.cumsum(sizes) - sizes, dtype=np.float64), 7)
         self.query[terms] = 0
         best = np.lexsort((places, -scores))[:k]
         return places[best], scores[best]
@@ -204,6 +200,16 @@ class ToxicityModel:
     def __init__(self, worth: np.ndarray, index: BlockMaxIndex, prior: float):
         self.worth, self.index, self.prior = worth, index, prior
         self.curve: list[float] = []
+        self.sent = None
+
+    def shared(self, spark: SparkSession) -> Broadcast:
+        """What votes need of the model, broadcast once."""
+        if self.sent is None:
+            self.sent = spark.sparkContext.broadcast(cloudpickle.dumps(self))
+        return self.sent
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"sent": None}
 
     def vote(self, vector: tuple[np.ndarray, np.ndarray], but: int | None = None) -> tuple[float, int, list[int]]:
         """Share of toxic neighbours weighted by closeness, drawn towards the prior; number of neighbours; the five nearest."""
@@ -264,10 +270,9 @@ def vectorize(texts: DataFrame, worth: np.ndarray) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(worth)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms()
         for batch in batches:
-            found = [weigh(*terms.count(t), shared.value) for t in batch.column("text").to_pylist()]
-            vectors = [pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float64()))]
+            found = [weigh(slots, n, shared.value) for slots, n in per_text(batch.column("text"))]
+            vectors = [pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())), pa.array([f[1].astype(np.float32) for f in found], pa.list_(pa.float32()))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("toxic").cast(pa.int32()), batch.column("digest"), *vectors], VECTORS.names)
 
     return map_arrow(texts.select("doc_id", "text", "toxic", F.xxhash64("text").alias("digest")), run, VECTORS)
@@ -280,17 +285,17 @@ def arrays(lists: pa.ListArray) -> list[np.ndarray]:
 
 def votes(rows: DataFrame, model: ToxicityModel, leave_out: bool = False) -> DataFrame:
     """doc_id, vote, found (neighbours), evidence (ids of the nearest examples), toxic, of vectors or of texts. leave_out: no text is its own neighbour."""
-    shared = rows.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+    shared = model.shared(rows.sparkSession)
     ready = "terms" in rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, terms = pickle.loads(shared.value), Terms()
+        own = pickle.loads(shared.value)
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             if ready:
                 vectors = ((t.astype(np.int64), w) for t, w in zip(arrays(batch.column("terms")), arrays(batch.column("weights"))))
             else:
-                vectors = (weigh(*terms.count(t), own.worth) for t in batch.column("text").to_pylist())
+                vectors = (weigh(slots, n, own.worth) for slots, n in per_text(batch.column("text")))
             found = [own.vote(v, i if leave_out else None) for i, v in zip(ids, vectors)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.int32()), pa.array([f[2] for f in found], pa.list_(pa.int64())), batch.column("toxic")], SCORES.names)
 
