@@ -32,7 +32,7 @@ from .common import cut, map_arrow, struct
 SAMPLE, EXAMPLES, SLOTS = 20_000, 4_096, 1 << 18
 NEIGHBOURS, BLOCK, FIRST, BINS = 15, 64, 4, 10
 #: The length of the part of a query whose terms are read only for examples that the other terms found.
-NEGLIGIBLE = 0.04
+NEGLIGIBLE = 0.02
 #: What a term weighs that says nothing of the label.
 FLOOR = 0.02
 SEPARATOR = r"[^\pL\pN_]+"
@@ -48,8 +48,10 @@ def slot_counts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     known = np.fromiter((zlib.crc32(w.encode()) % SLOTS if w else -1 for w in words.dictionary.to_pylist()), np.int64, len(words.dictionary))
     row = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
     slot = known[words.indices.to_numpy()] if len(row) else np.zeros(0, np.int64)
-    keys, n = np.unique((row * SLOTS + slot)[slot >= 0], return_counts=True)
-    return keys // SLOTS, keys % SLOTS, n.astype(np.float64)
+    keys = np.sort((row * SLOTS + slot)[slot >= 0])
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    n = np.diff(first, append=len(keys))
+    return keys[first] // SLOTS, keys[first] % SLOTS, n.astype(np.float64)
 
 
 def per_text(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -150,15 +152,16 @@ class BlockMaxIndex:
         weights, block = np.repeat(weights, sizes), self.block[entries]
         bounds = np.bincount(block, weights * self.top[entries], self.blocks) * (1 + 1e-6) + 1e-6  # above what rounding can make of a sum
         order = np.argsort(-bounds, kind="stable")
-        found, least = np.zeros(len(self.ids)), 0.0
+        found, least = np.zeros(self.blocks * BLOCK), 0.0
         # the blocks with the highest bounds first, then all others that can hold a nearer example
         for blocks in (order[:FIRST], order[FIRST:]):
             chosen = np.zeros(self.blocks, bool)
             chosen[blocks[bounds[blocks] + rest >= least]] = True
             mine = chosen[block]
             at, each = spread(self.starts[entries[mine]], self.starts[entries[mine] + 1] - self.starts[entries[mine]])
-            found += np.bincount(self.places[at], np.repeat(weights[mine], each) * self.weights[at], len(self.ids))
-            least = float(np.partition(found, -k)[-k]) if len(found) >= k else 0.0
+            found += np.bincount(self.places[at], np.repeat(weights[mine], each) * self.weights[at], len(found))
+            held = found.reshape(-1, BLOCK)[found.reshape(-1, BLOCK).any(1)].ravel()
+            least = float(np.partition(held, -k)[-k]) if len(held) >= k else 0.0
         return found, least
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int | None = None) -> tuple[np.ndarray, np.ndarray]:
