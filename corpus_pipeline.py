@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import byte_bpe, decontaminate, exact_dedup, quality, simhash
-from quarry.llm.common import cut, table
+from quarry.llm.common import cut, small_batches, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,11 +20,13 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z lower-cased) the row with the largest id."""
+    small_batches(spark)
     return exact_dedup.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose fingerprints are linked by at most four differing bits."""
+    small_batches(spark)
     return simhash.drop_near_copies(docs, words=4, most=4)
 
 
@@ -35,6 +37,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of each document's token ids and of the bytes that they decode to."""
+    small_batches(spark)
     return byte_bpe.token_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 

@@ -12,10 +12,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of a batch whose rows become Python objects at once.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
+#: What small_batches lets Spark send to Python at once.
+SENT_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """For jobs, not for operators: has Spark send at most SENT_ROWS rows and BATCH_BYTES bytes to Python at once from this session, as rows are whole texts and Python works beside the executor's heap."""
+    for name, most in (("maxRecordsPerBatch", SENT_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        if not 0 < int(spark.conf.get(name).rstrip("bB")) <= most:
+            spark.conf.set(name, str(most))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -76,7 +87,7 @@ def slices(batch: pa.RecordBatch, most: int = BATCH_BYTES) -> Iterator[pa.Record
 
 
 def map_arrow(df: DataFrame, run, schema: T.StructType) -> DataFrame:
-    """df.mapInArrow, with batches cut to at most BATCH_BYTES before Python makes objects of them. What Spark sends at once is bounded by its own setting, spark.sql.execution.arrow.maxBytesPerBatch."""
+    """df.mapInArrow, with batches cut to at most BATCH_BYTES before Python makes objects of them. What Spark sends at once is bounded by its own settings, see small_batches."""
 
     def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(part for batch in batches for part in slices(batch))
