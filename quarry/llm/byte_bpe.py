@@ -209,7 +209,9 @@ def split_words(docs: DataFrame, pattern: str, buckets: int, block_chars: int =
             blocks += 1
             rows = []
             if spans:
-                first, second = (np.concatenate([s[i] for s in spans]) for i in (2, 3))
+                ends_of_pieces = np.cumsum([len(s[0]) for s in spans])
+                starts, ends, first, second = map(np.concatenate, zip(*spans))
+                spans.clear()  # the joined arrays are enough
                 codes, found = pd.factorize(first)
                 n = len(codes)
                 origin = np.empty(len(found), np.int64)
@@ -218,14 +220,14 @@ def split_words(docs: DataFrame, pattern: str, buckets: int, block_chars: int =
                     codes, _ = pd.factorize(pd.MultiIndex.from_arrays([first, second]))
                     origin = np.empty(codes.max() + 1, np.int64)
                     origin[codes[::-1]] = np.arange(n)[::-1]
+                del second
                 order = np.argsort(-np.bincount(codes), kind="stable")
                 rank = np.empty(len(order), np.int64)
                 rank[order] = np.arange(len(order))
                 sequence = rank[codes] + 1
                 sequence[origin] = 0
-                starts, ends = (np.concatenate([s[i] for s in spans]) for i in (0, 1))
-                piece = np.repeat(np.arange(len(spans)), [len(s[0]) for s in spans])
-                words = [texts[p][a:b].encode("utf-8", "surrogatepass") for p, a, b in zip(piece[origin].tolist(), starts[origin].tolist(), ends[origin].tolist())]
+                piece = np.searchsorted(ends_of_pieces, origin, side="right")
+                words = [texts[p][a:b].encode("utf-8", "surrogatepass") for p, a, b in zip(piece.tolist(), starts[origin].tolist(), ends[origin].tolist())]
                 bucket = (first[origin] % np.uint64(buckets)).astype(np.int64)
                 dealt = np.argsort(bucket, kind="stable")
                 cuts = np.flatnonzero(np.diff(bucket[dealt], prepend=-1, append=-1))
@@ -244,7 +246,8 @@ def split_words(docs: DataFrame, pattern: str, buckets: int, block_chars: int =
                 size = 0
                 for piece in pieces_of(text) if text else ():
                     texts.append(piece)
-                    spans.append(split(piece))
+                    starts, ends, *hashes = split(piece)
+                    spans.append((starts.astype(np.int32), ends.astype(np.int32), *hashes))  # a string holds less than 2^31 signs
                     size += len(spans[-1][0])
                     filled += len(piece)
                 ids.append(doc)
