@@ -382,6 +382,21 @@ def test_byte_bpe(spark):
     assert byte_bpe.encode(docs.limit(0), ranks, P.PATTERN).count() == 0
 
 
+def test_one_table_of_tokens_per_worker():
+    """A process that serves many jobs keeps the last job's table only, and never encodes by an older one."""
+
+    class Sent:
+        def __init__(self, value):
+            self.value = value
+
+    letters, pair = Sent({b"a": 0, b"b": 1}), Sent({b"a": 0, b"b": 1, b"ab": 2})
+    for _ in range(2):
+        assert byte_bpe.encoder(letters, P.PATTERN)(b"ab") == [0, 1]
+        assert byte_bpe.encoder(pair, P.PATTERN)(b"ab") == [2]
+        assert byte_bpe.encoder(pair, P.PATTERN) is byte_bpe.encoder(pair, P.PATTERN)
+        assert len(byte_bpe.LAST_ENCODER) == 3 and byte_bpe.LAST_ENCODER[0] is pair.value
+
+
 def test_other_patterns_and_hash_ties():
     split = byte_bpe.Splitter(r"\w+|\W+")
     text = "one two, three"
