@@ -14,7 +14,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
@@ -52,6 +52,8 @@ def share_ranks(spark: SparkSession, path: str, most: int = 1_000_000) -> Broadc
 KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 OTHER, LETTER, NUMBER, SPACE = range(4)
 PIECE_CHARS = 1 << 19
+#: Pre-tokens whose distinct words are taken out at once.
+CHUNK_WORDS = 1 << 16
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -73,14 +75,13 @@ class Splitter:
 
     def __init__(self, pattern: str):
         self.regex = None if pattern == KNOWN_PATTERN else regex.compile(pattern)
-        every = np.arange(0x110000, dtype=np.uint32)
         self.kinds = np.zeros(0x110000, np.uint8)
-        legal = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+        every = np.arange(0x110000, dtype="<u4")
+        legal = every[(every < 0xD800) | (every >= 0xE000)].tobytes().decode("utf-32-le")
         for kind, found in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
             for m in regex.finditer(found, legal):
                 a, b = (x if x < 0xD800 else x + 0x800 for x in m.span())
                 self.kinds[a:b] = kind
-        self.mixes = [mixed(every, salt) for salt in (1, 2)]
         self.powers = [np.ones(1, np.uint64) for _ in range(4)]
 
     def grow(self, n: int) -> None:
@@ -120,12 +121,12 @@ class Splitter:
         codes = codes_of(text)
         n = len(codes)
         if n >= len(self.powers[0]):
-            self.grow(max(n + 1, PIECE_CHARS + 1))
+            self.grow(max(n + 1, 2 * len(self.powers[0])))
         starts, ends = self.bounds(text, codes)
         hashes = []
-        for mix, power, inverse in zip(self.mixes, self.powers[:2], self.powers[2:]):
+        for salt, power, inverse in zip((1, 2), self.powers[:2], self.powers[2:]):
             sums = np.zeros(n + 1, np.uint64)
-            np.cumsum(mix[codes] * power[:n], out=sums[1:])
+            np.cumsum(mixed(codes, salt) * power[:n], out=sums[1:])
             hashes.append(mixed((sums[ends] - sums[starts]) * inverse[starts], 3))
         return starts, ends, *hashes
 
@@ -139,6 +140,60 @@ def pieces_of(text: str) -> Iterator[str]:
     yield text[at:]
 
 
+def numbered(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words, given by their two hashes, numbered as they first occur: the number of each, and where each number first stands."""
+
+    def firsts(codes: np.ndarray) -> np.ndarray:
+        at = np.empty(codes.max(initial=-1) + 1, np.int64)
+        at[codes[::-1]] = np.arange(len(codes))[::-1]
+        return at
+
+    codes, _ = pd.factorize(first)
+    origin = firsts(codes)
+    if (second != second[origin[codes]]).any():  # two words with one hash: both hashes together tell them apart
+        codes, _ = pd.factorize(pd.MultiIndex.from_arrays([first, second]))
+        origin = firsts(codes)
+    return codes.astype(np.int32), origin
+
+
+class Words:
+    """The pre-tokens of a block: for each the number of its word within its chunk, and each chunk's distinct words."""
+
+    def __init__(self):
+        self.texts, self.spans, self.numbers, self.distinct = [], [], [], []
+        self.pending = self.total = self.known = 0
+
+    def add(self, text: str, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, second: np.ndarray) -> None:
+        self.spans.append((np.full(len(starts), len(self.texts), np.int32), starts.astype(np.int32), ends.astype(np.int32), first, second))  # a string holds less than 2^31 signs
+        self.texts.append(text)
+        self.pending += len(starts)
+        if self.pending >= CHUNK_WORDS:
+            self.close_chunk()
+
+    def close_chunk(self) -> None:
+        """Of the pending pre-tokens only the distinct words keep their hashes and bounds."""
+        if not self.pending:
+            return
+        columns = [np.concatenate(c) for c in zip(*self.spans)]
+        codes, origin = numbered(*columns[3:])
+        self.numbers.append(codes + np.int32(self.known))
+        self.distinct.append((*(c[origin] for c in columns), origin + self.total))
+        self.known += len(origin)
+        self.total += len(codes)
+        self.spans, self.pending = [], 0
+
+    def finish(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """Number of each pre-token's word, where each word first stands, its first hash, and the words."""
+        self.close_chunk()
+        piece, starts, ends, first, second, stands = map(np.concatenate, zip(*self.distinct))
+        self.distinct = []
+        renumbered, origin = numbered(first, second)
+        codes = np.concatenate([renumbered[n] for n in self.numbers])
+        self.numbers = []
+        words = [self.texts[p][a:b].encode("utf-8", "surrogatepass") for p, a, b in zip(piece[origin].tolist(), starts[origin].tolist(), ends[origin].tolist())]
+        return codes, stands[origin], first[origin], words
+
+
 def packed(raw: bytes) -> bytes:
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
@@ -148,7 +203,7 @@ def unpacked(data: bytes) -> bytes:
 
 
 def pack_numbers(numbers: np.ndarray) -> bytes:
-    """Small numbers in a byte, others in four, each byte place apart; compressed."""
+    """Numbers below 2^31, small ones in a byte, others in four, each byte place apart; compressed."""
     small = numbers < 255
     head = np.where(small, numbers, 255).astype(np.uint8).tobytes()
     rest = numbers[~small].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
@@ -158,7 +213,7 @@ def pack_numbers(numbers: np.ndarray) -> bytes:
 def unpack_numbers(data: bytes) -> np.ndarray:
     raw = unpacked(data)
     n = int.from_bytes(raw[:8], "little")
-    out = np.frombuffer(raw, np.uint8, n, 8).astype(np.int64)
+    out = np.frombuffer(raw, np.uint8, n, 8).astype(np.int32)
     out[out == 255] = np.frombuffer(raw, np.uint8, -1, 8 + n).reshape(4, -1).T.copy().view("<u4").ravel()
     return out
 
@@ -201,41 +256,29 @@ def split_words(docs: DataFrame, pattern: str, buckets: int, block_chars: int =
         from pyspark import TaskContext
 
         split, part_id, blocks = Splitter(pattern), TaskContext.get().partitionId(), 0
-        ids, sizes, texts, spans, filled = [], [], [], [], 0
+        ids, sizes, block_words, filled = [], [], Words(), 0
 
         def flush() -> pa.RecordBatch:
             nonlocal blocks
             block = (part_id << 32) + blocks
             blocks += 1
             rows = []
-            if spans:
-                ends_of_pieces = np.cumsum([len(s[0]) for s in spans])
-                starts, ends, first, second = map(np.concatenate, zip(*spans))
-                spans.clear()  # the joined arrays are enough
-                codes, found = pd.factorize(first)
-                n = len(codes)
-                origin = np.empty(len(found), np.int64)
-                origin[codes[::-1]] = np.arange(n)[::-1]
-                if (second != second[origin[codes]]).any():  # two words with one hash: both hashes together tell them apart
-                    codes, _ = pd.factorize(pd.MultiIndex.from_arrays([first, second]))
-                    origin = np.empty(codes.max() + 1, np.int64)
-                    origin[codes[::-1]] = np.arange(n)[::-1]
-                del second
-                order = np.argsort(-np.bincount(codes), kind="stable")
-                rank = np.empty(len(order), np.int64)
-                rank[order] = np.arange(len(order))
-                sequence = rank[codes] + 1
+            if block_words.pending or block_words.total:
+                codes, origin, first, words = block_words.finish()
+                times = np.bincount(codes)
+                order = np.argsort(-times, kind="stable")
+                rank = np.empty(len(order), np.int32)
+                rank[order] = np.arange(1, len(order) + 1)
+                sequence = rank[codes]
                 sequence[origin] = 0
-                piece = np.searchsorted(ends_of_pieces, origin, side="right")
-                words = [texts[p][a:b].encode("utf-8", "surrogatepass") for p, a, b in zip(piece.tolist(), starts[origin].tolist(), ends[origin].tolist())]
-                bucket = (first[origin] % np.uint64(buckets)).astype(np.int64)
+                bucket = (first % np.uint64(buckets)).astype(np.int64)
                 dealt = np.argsort(bucket, kind="stable")
                 cuts = np.flatnonzero(np.diff(bucket[dealt], prepend=-1, append=-1))
                 for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                     own = np.sort(dealt[a:b])
                     rows.append((int(bucket[own[0]]), block, int(bucket[own[0]]), None, None, frame(pack_bytes([words[i] for i in own.tolist()]), pack_numbers(np.diff(own, prepend=0)))))
                 # ranks travel as the numbers of first occurrence in the order of frequency, for words that occur again
-                again = order[: int((np.bincount(codes) > 1).sum())]
+                again = order[: int((times > 1).sum())]
             else:
                 sequence = again = np.zeros(0, np.int64)
             rows.append((block % 1_000_003, block, -1, list(ids), list(sizes), frame(pack_numbers(sequence), pack_numbers(again))))
@@ -245,16 +288,15 @@ def split_words(docs: DataFrame, pattern: str, buckets: int, block_chars: int =
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 size = 0
                 for piece in pieces_of(text) if text else ():
-                    texts.append(piece)
-                    starts, ends, *hashes = split(piece)
-                    spans.append((starts.astype(np.int32), ends.astype(np.int32), *hashes))  # a string holds less than 2^31 signs
-                    size += len(spans[-1][0])
+                    starts, *others = split(piece)
+                    block_words.add(piece, starts, *others)
+                    size += len(starts)
                     filled += len(piece)
                 ids.append(doc)
                 sizes.append(size)
                 if filled >= block_chars or len(ids) >= 50_000:
                     yield flush()
-                    ids, sizes, texts, spans, filled = [], [], [], [], 0
+                    ids, sizes, block_words, filled = [], [], Words(), 0
         if ids:
             yield flush()
 
@@ -281,8 +323,9 @@ def encode_words(dealt: DataFrame, ranks: Broadcast, pattern: str) -> DataFrame:
                     if ids is None:
                         ids = known[word] = tuple(encode(word))
                     found.append(ids)
-                flat = np.array([x for ids in found for x in ids], np.int64)
-                columns["payload"][i] = frame(pack_numbers(flat), pack_numbers(np.fromiter(map(len, found), np.int64, len(found))), numbers)
+                sizes = np.fromiter(map(len, found), np.int32, len(found))
+                flat = np.fromiter(chain.from_iterable(found), np.int32, sizes.sum())
+                columns["payload"][i] = frame(pack_numbers(flat), pack_numbers(sizes), numbers)
             yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in batch.schema], batch.schema.names)
 
     return map_arrow(dealt, run, PACKED)
@@ -315,12 +358,16 @@ def reassemble(key: tuple, rows: pa.Table) -> pa.Table:
     new = sequence == 0
     words = np.cumsum(new) - 1
     words[~new] = again[sequence[~new] - 1]
-    flat, length = np.concatenate(flats).astype(np.int32), np.concatenate(lengths)
+    flat, length = np.concatenate(flats), np.concatenate(lengths)
     start, at = np.cumsum(length) - length, np.argsort(np.concatenate(numbers))
     start, length = start[at], length[at]  # by the word's number
     each = length[words]
     ends = np.cumsum(each)
-    taken = flat[np.repeat(start[words] - (ends - each), each) + np.arange(ends[-1])]
+    taken = np.empty(ends[-1], np.int32)
+    for a in range(0, len(words), CHUNK_WORDS):
+        size, begin = each[a : a + CHUNK_WORDS], ends[a] - each[a]
+        within = ends[a : a + CHUNK_WORDS] - size - begin
+        taken[begin : begin + size.sum()] = flat[np.repeat(start[words[a : a + CHUNK_WORDS]] - within, size) + np.arange(size.sum())]
     bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
     return pa.table([pa.array(docs, pa.int64()), pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), pa.array(taken)).cast(pa.list_(pa.int32()))], TOKENS.names)
 
