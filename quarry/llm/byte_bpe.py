@@ -30,8 +30,6 @@ from .common import map_arrow, struct
 PACKED = struct(("key", "int"), ("block", "bigint"), ("bucket", "int"), ("ids", "array<bigint>"), ("sizes", "array<int>"), ("payload", "binary"))
 TOKENS = struct(("doc_id", "bigint"), ("ids", "array<int>"))
 BLOCK_CHARS = 4 << 20
-#: The vocabulary that this worker process last encoded by, and its encoder; never more than one.
-LAST_ENCODER: list = []
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -332,13 +330,10 @@ def encode_words(dealt: DataFrame, ranks: Broadcast, pattern: str) -> DataFrame:
 
 
 def encoder(ranks: Broadcast, pattern: str):
-    """A function from the bytes of one pre-token to its ids. A worker process that serves many jobs keeps one table, the last."""
+    """A function from the bytes of one pre-token to its ids. Kept by the task that asks for it alone, as functions travel to workers with all globals that they name."""
     import tiktoken
 
-    if not LAST_ENCODER or LAST_ENCODER[0] is not ranks.value or LAST_ENCODER[1] != pattern:
-        LAST_ENCODER.clear()  # before the next is built
-        LAST_ENCODER.extend((ranks.value, pattern, tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})._core_bpe.encode_single_piece))
-    return LAST_ENCODER[2]
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})._core_bpe.encode_single_piece
 
 
 def reassemble(key: tuple, rows: pa.Table) -> pa.Table:

@@ -382,8 +382,8 @@ def test_byte_bpe(spark):
     assert byte_bpe.encode(docs.limit(0), ranks, P.PATTERN).count() == 0
 
 
-def test_one_table_of_tokens_per_worker():
-    """A process that serves many jobs keeps the last job's table only, and never encodes by an older one."""
+def test_encoder_stays_where_it_was_made(spark):
+    """An encoder never answers by another vocabulary, and one made on the driver travels with no job."""
 
     class Sent:
         def __init__(self, value):
@@ -393,8 +393,26 @@ def test_one_table_of_tokens_per_worker():
     for _ in range(2):
         assert byte_bpe.encoder(letters, P.PATTERN)(b"ab") == [0, 1]
         assert byte_bpe.encoder(pair, P.PATTERN)(b"ab") == [2]
-        assert byte_bpe.encoder(pair, P.PATTERN) is byte_bpe.encoder(pair, P.PATTERN)
-        assert len(byte_bpe.LAST_ENCODER) == 3 and byte_bpe.LAST_ENCODER[0] is pair.value
+    ranks = spark.sparkContext.broadcast(pair.value)
+    assert [r.ids for r in byte_bpe.encode(spark.createDataFrame([(1, "abab")], DOCS), ranks, P.PATTERN).collect()] == [[2, 2]]
+
+
+def test_distinct_words_of_chunks(monkeypatch):
+    """Chunks of any size, and words that share a hash, give the numbers of a plain dictionary."""
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice("ab c'") for _ in range(rnd.randint(1, 90))) for _ in range(40)]
+    for pattern, size, clash in ((P.PATTERN, 1, False), (P.PATTERN, 37, True), (P.PATTERN, 1 << 16, True), (r"[^ ]+", 50, True)):
+        monkeypatch.setattr(byte_bpe, "CHUNK_WORDS", size)
+        split, words, seen, numbers, firsts = byte_bpe.Splitter(pattern), byte_bpe.Words(), {}, [], []
+        for text in texts:
+            starts, ends, first, second = split(text)
+            words.add(text, starts, ends, first % np.uint64(3) if clash else first, second)
+            for a, b in zip(starts.tolist(), ends.tolist()):
+                if text[a:b] not in seen:
+                    firsts.append(len(numbers))
+                numbers.append(seen.setdefault(text[a:b], len(seen)))
+        codes, origin, _, found = words.finish()
+        assert (codes.tolist(), origin.tolist(), found) == (numbers, firsts, [w.encode() for w in seen])
 
 
 def test_other_patterns_and_hash_ties():
