@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, decontaminate, exact_dedup, html_extract, quality, simhash, suffix_dedup, toxicity, url_filters, warc
+from . import alignment, byte_bpe, collocations, decontaminate, exact_dedup, html_extract, language_model, quality, simhash, suffix_dedup, toxicity, url_filters, warc
 from .common import table
 
 
@@ -55,9 +55,22 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeat_digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op9_suffix_dedup": op9_suffix_dedup, "op1_decontaminate": op1_decontaminate, "op4_html_extract": op4_html_extract, "op5_warc": op5_warc, "op6_simhash": op6_simhash, "op2_quality": op2_quality, "op8_toxicity": op8_toxicity, "op10_byte_bpe": op10_byte_bpe, "op3_url_filters": op3_url_filters, "op7_exact_dedup": op7_exact_dedup}
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(table(spark, sf_dir, "documents"), ~language_model.held_out())
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {"op9_suffix_dedup": op9_suffix_dedup, "op1_decontaminate": op1_decontaminate, "op4_html_extract": op4_html_extract, "op5_warc": op5_warc, "op6_simhash": op6_simhash, "op2_quality": op2_quality, "op8_toxicity": op8_toxicity, "op10_byte_bpe": op10_byte_bpe, "op3_url_filters": op3_url_filters, "op7_exact_dedup": op7_exact_dedup, "op11_collocations": op11_collocations, "op12_language_model": op12_language_model, "op13_alignment": op13_alignment}
 
 ORACLES = {
+    "op11_collocations": collocations.ORACLE,
     "op3_url_filters": url_filters.ORACLE,
     "op5_warc": warc.ORACLE,
     "op7_exact_dedup": """
