@@ -7,16 +7,25 @@ import numpy as np
 ONE = np.uint64(1)
 
 
+def every(byte: int) -> np.uint64:
+    return np.uint64(byte * 0x0101010101010101)
+
+
+#: Place of set bit number r of byte b, at r * 256 + b.
+IN_BYTE = np.array([next((i for i in range(8) if b >> i & 1 and (b & ((1 << i) - 1)).bit_count() == r), 0) for r in range(8) for b in range(256)], np.int64)
+
+
 def kth_bit(words: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Where in each word its set bit number k (from 0) stands."""
-    at, k, words = np.zeros(len(words), np.int64), k.astype(np.int64), words.copy()
-    for width in (32, 16, 8, 4, 2, 1):
-        low = np.bitwise_count(words & np.uint64((1 << width) - 1)).astype(np.int64)
-        above = k >= low
-        k -= np.where(above, low, 0)
-        at += np.where(above, width, 0)
-        words = np.where(above, words >> np.uint64(width), words)
-    return at
+    """Where in each word its set bit number k (from 0) stands: first the byte, by sums over all bytes at once, then the bit in it."""
+    k = k.astype(np.uint64)
+    sums = words - ((words >> ONE) & every(0x55))
+    sums = (sums & every(0x33)) + ((sums >> np.uint64(2)) & every(0x33))
+    with np.errstate(over="ignore"):
+        sums = ((sums + (sums >> np.uint64(4))) & every(0x0F)) * every(1)  # in each byte, the set bits up to its end
+        at = np.bitwise_count(((k * every(1) | every(0x80)) - sums) & every(0x80)).astype(np.uint64) << np.uint64(3)
+    at = np.minimum(at, np.uint64(56))
+    rest = k - (((sums << np.uint64(8)) >> at) & np.uint64(255))
+    return at.astype(np.int64) + IN_BYTE[((rest & np.uint64(7)) << np.uint64(8) | ((words >> at) & np.uint64(255))).astype(np.int64)]
 
 
 class EliasFano:
@@ -28,7 +37,7 @@ class EliasFano:
         self.low = np.frombuffer(raw, "<u8", n_low, at)
         self.high = np.frombuffer(raw, "<u8", n_high, at + 8 * n_low)
         self.ones = np.frombuffer(raw, "<i8", n_high + 1, at + 8 * (n_low + n_high))
-        self.size = at + 8 * (n_low + 2 * n_high + 1)
+        self.zeros = np.arange(n_high + 1) * 64 - self.ones
 
     @staticmethod
     def pack(numbers: np.ndarray) -> bytes:
@@ -70,18 +79,21 @@ class EliasFano:
     def below(self, h: np.ndarray) -> np.ndarray:
         """How many numbers have a high part below h: what stands before zero number h - 1 of the high bits."""
         k = np.maximum(h - 1, 0)
-        zeros = np.arange(len(self.ones)) * 64 - self.ones
-        inside = (h > 0) & (k < zeros[-1])
+        inside = (h > 0) & (k < self.zeros[-1])
         k = np.where(inside, k, 0)
-        word = np.searchsorted(zeros, k, "right") - 1
-        place = word * 64 + kth_bit(~self.high[word], k - zeros[word])
+        word = np.searchsorted(self.zeros, k, "right") - 1
+        place = word * 64 + kth_bit(~self.high[word], k - self.zeros[word])
         return np.where(h <= 0, 0, np.where(inside, place - k, self.n))
 
     def successor(self, x: np.ndarray) -> np.ndarray:
         """Position of the first number that is at least x; n where there is none."""
-        x = np.asarray(x, np.int64)
+        return self.search(np.asarray(x, np.int64))[0]
+
+    def search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """successor(x), and where the numbers with the high part of x end."""
         h, want = x >> self.low_bits, x & ((1 << self.low_bits) - 1)
         a, b = self.below(h), self.below(h + 1)
+        end = b.copy()
         todo = np.flatnonzero(a < b)
         while len(todo):
             mid = (a[todo] + b[todo]) >> 1
@@ -89,13 +101,14 @@ class EliasFano:
             a[todo] = np.where(less, mid + 1, a[todo])
             b[todo] = np.where(less, b[todo], mid)
             todo = todo[a[todo] < b[todo]]
-        return a
+        return a, end
 
     def find(self, x: np.ndarray) -> np.ndarray:
         """Position of x, or -1."""
+        x = np.asarray(x, np.int64)
         if not self.n:
             return np.full(len(x), -1, np.int64)
-        at = self.successor(x)
-        there = at < self.n
-        there[there] = self.get(at[there]) == np.asarray(x)[there]
+        at, end = self.search(x)
+        there = at < end
+        there[there] = self.lows(at[there]) == x[there] & ((1 << self.low_bits) - 1)
         return np.where(there, at, -1)

@@ -36,7 +36,7 @@ M2, M3 = 20.0, 5.0
 #: A step of the quantised log10 probabilities: sixteen bits reach 32 orders of magnitude.
 STEP = 1 / 2048
 #: Tokens of a shard, on average.
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 19
 TEXT_BYTES = 1 << 20
 BEGIN, END = 0, 1  # ids of the marks around a text; words have ids from 2
 SHARDS = struct(("shard", "int"), ("block", "bigint"), ("payload", "binary"))
@@ -173,27 +173,35 @@ def spread_rows(b: View, mixed: np.ndarray, spread: np.ndarray, shards: int) ->
 
 
 def shard_payload(b: View, rows: np.ndarray, contexts: np.ndarray, sums: np.ndarray) -> bytes:
-    """Packed: trigrams as runs of v, runs of u, and w; their counts; the distinct w and v with their own counts; counts of spread contexts."""
+    """Packed: the distinct v, u and w with their ids, and the counts of v and w; trigrams as places in these, by runs of v and of u; their counts; spread contexts and theirs."""
     v, u, w = b.v[rows], b.u[rows], b.w[rows]
     rv, ru = runs(v), runs(u, v)
-    sv = np.unique(np.concatenate([v, b.v[contexts]]))
-    sw = np.unique(w)
-    fields = (b.ids[v[rv]], lengths(rv, len(v)), b.ids[u[ru]], lengths(ru, len(v)), b.ids[w], b.times[rows], b.ids[sw], b.counts[sw], b.ids[sv], b.counts[sv], b.ids[b.v[contexts]], b.ids[b.u[contexts]], sums)
+    V, U, W = np.unique(np.concatenate([v[rv], b.v[contexts]])), np.unique(np.concatenate([u[ru], b.u[contexts]])), np.unique(w)
+    at = lambda own, x: np.searchsorted(own, x)
+    fields = (b.ids[V], b.counts[V], b.ids[U], b.ids[W], b.counts[W], at(V, v[rv]), lengths(rv, len(v)), at(U, u[ru]), lengths(ru, len(v)), at(W, w), b.times[rows], at(V, b.v[contexts]), at(U, b.u[contexts]), sums)
     return frame(*map(pack_ints, fields))
 
 
 class Sent:
-    """What one block sent to a shard."""
+    """What one block sent to a shard: ids of the distinct V, U and W, and trigrams as places in these; v and u by runs."""
 
-    def __init__(self, payload: bytes):
-        v, nv, u, nu, self.w, self.times, words, counts, self.heads, self.head_counts, self.cv, self.cu, self.sums = map(unpack_ints, unframe(payload))
-        self.v, self.u = np.repeat(v, nv), np.repeat(u, nu)
-        order = np.argsort(words)
-        self.words, self.word_counts = words[order], counts[order]
+    def __init__(self, V, Vn, U, W, Wn, v, nv, u, nu, w, times, cv, cu, sums):
+        self.V, self.Vn, self.U, self.W, self.Wn, self.w, self.times, self.cv, self.cu, self.sums = V, Vn, U, W, Wn, w, times, cv, cu, sums
+        self.v, self.u, self.nu = np.repeat(v, nv), u, nu
 
-    def unigram(self, floor: float) -> np.ndarray:
-        """p(w) of each trigram's w."""
-        return (self.word_counts[np.searchsorted(self.words, self.w)] + 1) / floor
+    @staticmethod
+    def of(payload: bytes) -> Sent:
+        return Sent(*map(unpack_ints, unframe(payload)))
+
+    @staticmethod
+    def of_all(sent: list[Sent]) -> Sent:
+        """What several blocks sent, one after another, as places in the ids of all, ascending."""
+        join = lambda c: np.concatenate([getattr(s, c) for s in sent])
+        (V, at_v), U, (W, at_w) = np.unique(join("V"), return_index=True), np.unique(join("U")), np.unique(join("W"), return_index=True)
+        to_v, to_u, to_w = ([np.searchsorted(own, getattr(s, c)) for s in sent] for c, own in (("V", V), ("U", U), ("W", W)))
+        move = lambda to, c: np.concatenate([t[getattr(s, c)] for t, s in zip(to, sent)])
+        v = move(to_v, "v")
+        return Sent(V, join("Vn")[at_v], U, W, join("Wn")[at_w], v, np.ones(len(v), np.int64), move(to_u, "u"), join("nu"), move(to_w, "w"), join("times"), move(to_v, "cv"), move(to_u, "cu"), join("sums"))
 
 
 def codes_of(p: np.ndarray) -> np.ndarray:
@@ -204,20 +212,11 @@ def value_of(codes: np.ndarray) -> np.ndarray:
     return 10.0 ** (-STEP * codes.astype(np.float64))
 
 
-def lay_out(sent: list[Sent], floor: float) -> bytes:
+def lay_out(sent: Sent, floor: float) -> bytes:
     """The trie of a shard from what all blocks sent: levels in one buffer. floor: N + V + 1."""
-    v, u, w, n = (np.concatenate([getattr(s, c) for s in sent]) for c in ("v", "u", "w", "times"))
-    words, at = np.unique(np.concatenate([s.words for s in sent]), return_index=True)
-    word_p = (np.concatenate([s.word_counts for s in sent])[at] + 1) / floor
-    V, at = np.unique(np.concatenate([s.heads for s in sent]), return_index=True)
-    head_n = np.concatenate([s.head_counts for s in sent])[at]
-    cv, cu, cn = (np.concatenate([getattr(s, c) for s in sent]) for c in ("cv", "cu", "sums"))
-    seen = n > 0
-    v, u, w, n = v[seen], u[seen], w[seen], n[seen]
-    U, W = np.unique(np.concatenate([u, cu])), np.unique(w)
-    v, u, w = np.searchsorted(V, v), np.searchsorted(U, u), np.searchsorted(W, w)
-    cv, cu = np.searchsorted(V, cv), np.searchsorted(U, cu)
-    p1 = word_p[np.searchsorted(words, W)]
+    V, U, W, head_n = sent.V, sent.U, sent.W, sent.Vn
+    p1, seen = (sent.Wn + 1) / floor, sent.times > 0
+    v, u, w, n, cv, cu, cn = sent.v[seen], np.repeat(sent.u, sent.nu)[seen], sent.w[seen], sent.times[seen], sent.cv, sent.cu, sent.sums
     # successors of v
     pairs, pair = np.unique(v * len(W) + w, return_inverse=True)
     c2 = np.bincount(pair, weights=n, minlength=len(pairs))
@@ -225,9 +224,9 @@ def lay_out(sent: list[Sent], floor: float) -> bytes:
     p2 = (c2 + M2 * p1[pairs % max(len(W), 1)]) / (head_n[pv] + M2)
     start = np.searchsorted(pv, np.arange(len(V) + 1))
     # contexts (u, v): a spread one has its whole count, others the sum of their successors
-    own = np.unique(np.concatenate([v * len(U) + u, cv * len(U) + cu]))
-    inside = np.searchsorted(own, v * len(U) + u)
-    whole = np.bincount(np.searchsorted(own, cv * len(U) + cu), weights=cn, minlength=len(own))
+    own, inside = np.unique(np.concatenate([v * len(U) + u, cv * len(U) + cu]), return_inverse=True)
+    inside, spread = inside[: len(v)], inside[len(v) :]
+    whole = np.bincount(spread, weights=cn, minlength=len(own))
     part = np.bincount(inside, weights=n, minlength=len(own))
     c12 = np.where(whole > 0, whole, part)
     degree = np.diff(start)[own // max(len(U), 1)]
@@ -264,29 +263,25 @@ class Trie:
         with open(path, "rb") as file:
             return Trie(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ))
 
-    def codes(self, v: np.ndarray, u: np.ndarray, w: np.ndarray, p1: np.ndarray) -> np.ndarray:
-        """Quantised -log10 p(w|u,v), in steps, by backing off where a node is missing. p1: p(w)."""
-        # each level is asked once for a run of equal context words
-        rv, ru = runs(v), runs(u, v)
-        V = np.repeat(self.V.find(v[rv]), lengths(rv, len(v)))
-        Uu, again = np.unique(u[ru], return_inverse=True)
-        at_u, head = self.U.find(Uu)[again], V[ru]
-        own = np.full(len(ru), -1, np.int64)
+    def codes(self, s: Sent, floor: float) -> np.ndarray:
+        """Quantised -log10 p(w|u,v), in steps, of the trigrams that were sent, by backing off where a node is missing."""
+        # the words are looked up once each, contexts once for each run of them
+        V, U, W = self.V.find(s.V), self.U.find(s.U), self.W.find(s.W)
+        head, at_u = V[s.v[np.cumsum(s.nu) - s.nu]], U[s.u]
+        own = np.full(len(head), -1, np.int64)
         both = (at_u >= 0) & (head >= 0)
         own[both] = self.own.find(head[both] * self.U.n + at_u[both])
-        own = np.repeat(own, lengths(ru, len(v)))
-        Ww, again = np.unique(w, return_inverse=True)
-        W = self.W.find(Ww)[again]
+        span = np.zeros(len(head), np.int64)  # where the context's successors begin, less where those of v do
+        span[own >= 0] = self.base.get(own[own >= 0]) - self.start.get(head[own >= 0])
+        own, span = np.repeat(own, s.nu), np.repeat(span, s.nu)
+        v, w = V[s.v], W[s.w]
         pair = np.full(len(v), -1, np.int64)
-        both = (V >= 0) & (W >= 0)
-        pair[both] = self.pairs.find(V[both] * self.W.n + W[both])
+        both = (v >= 0) & (w >= 0)
+        pair[both] = self.pairs.find(v[both] * self.W.n + w[both])
         full = np.full(len(v), -1, np.int64)
         both = (pair >= 0) & (own >= 0)
-        full[both] = self.full.find(self.base.get(own[both]) + pair[both] - self.start.get(V[both]))
-        p = p1.copy()
-        known = V >= 0
-        p[known] *= value_of(self.back2[V[known]])
-        p[pair >= 0] = value_of(self.p2[pair[pair >= 0]])
+        full[both] = self.full.find(span[both] + pair[both])
+        p = np.where(pair >= 0, value_of(self.p2)[pair] if len(self.p2) else 0, np.where(v >= 0, value_of(self.back2)[v] if len(self.back2) else 1, 1) * ((s.Wn + 1) / floor)[s.w])
         p[own >= 0] *= value_of(self.back3[own[own >= 0]])
         found = codes_of(p)
         found[full >= 0] = self.p3[full[full >= 0]]
@@ -297,11 +292,11 @@ def answer(floor: float):
     """A function for groups: one shard's rows to each block's codes."""
 
     def run(rows: pa.Table) -> pa.Table:
-        shard, sent = rows.column("shard")[0].as_py(), [Sent(p.as_py()) for p in rows.column("payload")]
-        trie = Trie(lay_out(sent, floor))
-        out = []
-        for block, s in zip(rows.column("block").to_pylist(), sent):
-            out.append((block, shard, frame(b"", pack_ints(trie.codes(s.v, s.u, s.w, s.unigram(floor))))))
+        shard, sent = rows.column("shard")[0].as_py(), [Sent.of(p.as_py()) for p in rows.column("payload")]
+        whole = Sent.of_all(sent)
+        codes = Trie(lay_out(whole, floor)).codes(whole, floor)
+        ends = np.cumsum([len(s.w) for s in sent]).tolist()
+        out = [(block, shard, frame(b"", pack_ints(codes[a:b]))) for block, a, b in zip(rows.column("block").to_pylist(), [0, *ends], ends)]
         return reply_table(out)
 
     return run

@@ -134,32 +134,25 @@ def test_language_model(spark, block, shard):
         assert abs(got[6] - want[6]) <= got[2] * language_model.STEP
 
 
-def test_language_model_is_a_distribution():
-    """Over all known words and one unknown word the probabilities of a context add up to one, but for quantisation."""
-    v, u, w, n = np.array([2, 2, 3]), np.array([4, 4, 2]), np.array([3, 5, 5]), np.array([6, 2, 1])
-    counts = {2: 8, 3: 7, 4: 5, 5: 9}
-    total, kinds = sum(counts.values()), len(counts)
-    sent = language_model.Sent.__new__(language_model.Sent)
-    sent.v, sent.u, sent.w, sent.times = v, u, w, n
-    sent.words, sent.word_counts = np.array(list(counts)), np.array(list(counts.values()))
-    sent.heads, sent.head_counts = np.array([2, 3]), np.array([8, 1])
-    sent.cv = sent.cu = sent.sums = np.zeros(0, np.int64)
-    floor = total + kinds + 1
-    trie = language_model.Trie(language_model.lay_out([sent], floor))
-    words = np.array([2, 3, 4, 5, 99])
-    p1 = np.array([(counts.get(int(x), 0) + 1) / floor for x in words])
+def asked(trigrams, counts, heads):
+    """Trigrams (v, u, w, times) as a block sends them."""
+    V, U, W = (sorted({t[i] for t in trigrams}) for i in range(3))
+    trigrams = sorted(trigrams)
+    columns = [[V.index(t[0]) for t in trigrams], [1] * len(trigrams), [U.index(t[1]) for t in trigrams], [1] * len(trigrams), [W.index(t[2]) for t in trigrams], [t[3] for t in trigrams]]
+    return language_model.Sent(*(np.array(c, np.int64) for c in (V, [heads.get(x, 0) for x in V], U, W, [counts.get(x, 0) for x in W], *columns, [], [], [])))
+
+
+def test_language_model_is_a_distribution(tmp_path):
+    """Over all known words and one unknown word the probabilities of a context add up to one, but for quantisation; also from a mapped file."""
+    counts, heads = {2: 8, 3: 7, 4: 5, 5: 9}, {2: 8, 3: 1}
+    floor = sum(counts.values()) + len(counts) + 1
+    raw = language_model.lay_out(language_model.Sent.of_all([asked([(2, 4, 3, 6), (3, 2, 5, 1)], counts, heads), asked([(2, 4, 5, 2)], counts, heads)]), floor)
+    (tmp_path / "shard").write_bytes(raw)
     for context in ((2, 4), (2, 9), (3, 2), (3, 3), (77, 1)):
-        codes = trie.codes(*(np.full(5, c) for c in context), words, p1)
+        query = asked([(*context, w, 0) for w in (2, 3, 4, 5, 99)], counts, heads)
+        codes = language_model.Trie(raw).codes(query, floor)
         assert language_model.value_of(codes).sum() == pytest.approx(1, abs=2e-3)
-
-
-def test_trie_from_a_mapped_file(tmp_path):
-    test = language_model.Sent.__new__(language_model.Sent)
-    test.v = test.u = test.w = test.times = test.words = test.word_counts = test.heads = test.head_counts = np.array([5])
-    test.cv = test.cu = test.sums = np.zeros(0, np.int64)
-    (tmp_path / "shard").write_bytes(raw := language_model.lay_out([test], 100.0))
-    asked = [np.array([5, 5, 6]), np.array([5, 6, 5]), np.array([5, 5, 5]), np.full(3, 0.06)]
-    assert language_model.Trie.open(str(tmp_path / "shard")).codes(*asked).tolist() == language_model.Trie(raw).codes(*asked).tolist()
+        assert language_model.Trie.open(str(tmp_path / "shard")).codes(query, floor).tolist() == codes.tolist()
 
 
 def test_language_model_without_training_or_rows(spark):
