@@ -2,11 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarry.sources.scratch import staged
+from quarry.sources.scratch import new_path, staged
+
+
+class Counted:
+    """Rows that pass a place in a plan, counted by the action that runs it, so that no second pass is needed.
+
+    Spark drops the place from a plan whose result it finds to be empty on the way, and nothing is counted then: a fit place is one that has rows only if the result has.
+    """
+
+    def __init__(self, name: str):
+        self.name, self.seen = name, None
+
+    def on(self, df: DataFrame) -> DataFrame:
+        self.seen = Observation(self.name)
+        return df.observe(self.seen, F.count(F.lit(1)).alias("rows"))
+
+    @property
+    def rows(self) -> int:
+        """After the action; 0 if the place was never put into a plan, or dropped from one without rows."""
+        try:
+            return 0 if self.seen is None else int(self.seen.get.get("rows", 0))
+        except Py4JError:
+            return 0
 
 
 def new_failures(failed: DataFrame, ledger: DataFrame, key: str = "id") -> DataFrame:
@@ -53,9 +76,23 @@ def batch_progress(df: DataFrame, batch_size: int) -> DataFrame:
     return rows.select("batch", F.lit(total).cast("bigint").alias("total_batches"), done.cast("bigint").alias("processed"), F.round(done * 100.0 / max(n, 1), 1).cast("double").alias("percent"))
 
 
-def slice_rows(df: DataFrame, order: list[Column | str], first: int, last: int) -> DataFrame:
-    """L4: rows first to last (from 0, both included) of the ordered rows."""
-    return df.orderBy(*order).offset(first).limit(last - first + 1)
+def slice_rows(df: DataFrame, order: list[str], first: int, last: int) -> DataFrame:
+    """L4: rows first to last (from 0, both included) of the rows in a total order.
+
+    The rows are written once in ranges of the order; their counts, a number per range, tell which ranges hold the slice, and only those are read and sorted, each apart.
+    """
+    path = new_path(df.sparkSession, "ranges")
+    df.repartitionByRange(*order).withColumn("q_part", F.spark_partition_id()).write.partitionBy("q_part").parquet(path)
+    parts = df.sparkSession.read.schema(f"{', '.join(f'`{n}` {t}' for n, t in df.dtypes)}, q_part int").parquet(path)
+    before, wanted = 0, {}
+    for part, n in sorted((r["q_part"], r["count"]) for r in parts.groupBy("q_part").count().collect()):
+        if before <= last and before + n > first:
+            wanted[part] = before
+        before += n
+    if not wanted:
+        return parts.drop("q_part").limit(0)
+    at = F.element_at(F.create_map(*(F.lit(x) for pair in wanted.items() for x in pair)), F.col("q_part")) + F.row_number().over(Window.partitionBy("q_part").orderBy(*order)) - 1
+    return parts.filter(F.col("q_part").isin(list(wanted))).withColumn("q_at", at).filter(F.col("q_at").between(first, last)).drop("q_part", "q_at")
 
 
 def missing_ids(df: DataFrame, key: str, start: int, end: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as C
+from quarry.operators.accounting import Counted
 from quarry.sources.readers import read_batches
 from quarry.sources.writers import write_clean
 
@@ -81,6 +82,13 @@ def consolidate(spark: SparkSession, tables: list[tuple[str, str, str, str]], bl
     return spark.createDataFrame(outcomes, "name string, outcome string, detail string")
 
 
+def merge(batches: list[DataFrame], path: str, blank_as_null: bool = False) -> DataFrame:
+    """U2-U4, U8, K5 and L8 in one pass: writes the clean table and returns rows_in and rows_out, counted on the way."""
+    rows_in, rows_out = Counted("rows_in"), Counted("rows_out")
+    write_clean(rows_out.on(clean([rows_in.on(union_batches(batches))], blank_as_null)), path)
+    return batches[0].sparkSession.createDataFrame([(rows_in.rows, rows_out.rows)], "rows_in bigint, rows_out bigint")
+
+
 def merge_stats(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows before and after consolidation, in one row."""
     counts = before.agg(F.count("*").alias("n")).select(F.lit("rows_in").alias("k"), "n").unionByName(after.agg(F.count("*").alias("n")).select(F.lit("rows_out").alias("k"), "n"))

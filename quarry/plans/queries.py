@@ -14,7 +14,9 @@ from quarry.operators import events as E
 from quarry.operators import flatten as P
 from quarry.operators import model as M
 from quarry.plans import reshape as R
+from quarry.operators.runs import Registry
 from quarry.plans.reshape import table
+from quarry.sources.readers import read_ledger
 from quarry.sources.scratch import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,8 +166,30 @@ def u1_all_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("l6_run_summary", QUOTE_BASE + "SELECT (SELECT count(*) FROM h) AS processed, (SELECT count(*) FROM q WHERE malformed OR strings) AS failed, (SELECT count(*) FROM items) AS child_rows")
 def l6_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, bad = P.split_bad(R.quote_documents(spark, sf_dir), "quote_items")
-    return A.run_summary(good, bad, P.quote_items(good))
+    return Registry().run(spark, {"quotes": R.quote_documents(spark, sf_dir)}, new_path(spark, "run")).select("processed", "failed", "child_rows")
+
+
+@register(
+    "e1_ranged_run",
+    QUOTE_BASE
+    + """SELECT 'quotes' AS entity, 'done' AS outcome, (SELECT count(*) FROM h WHERE CAST(quote_number AS BIGINT) BETWEEN 50 AND 5000) AS processed,
+      (SELECT count(*) FROM q WHERE (malformed OR strings) AND o_orderkey BETWEEN 50 AND 5000) AS failed, (SELECT count(*) FROM items WHERE CAST(quote_number AS BIGINT) BETWEEN 50 AND 5000) AS child_rows,
+      (SELECT count(*) FROM q WHERE (malformed OR strings) AND o_orderkey BETWEEN 50 AND 5000) AS listed
+    UNION ALL SELECT 'orders', 'done', (SELECT count(*) FROM orders WHERE o_orderkey BETWEEN 50 AND 5000), 0, (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderkey BETWEEN 50 AND 5000), 0
+    UNION ALL SELECT 'contacts', 'done', (SELECT count(*) FROM customer WHERE c_custkey BETWEEN 50 AND 5000 AND c_custkey % 4 > 1), 0, 0, 0
+    UNION ALL SELECT 'accounts', 'failed', NULL, NULL, NULL, 0""",
+)
+def e1_ranged_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two entities of the contract, one with a transform of its own, and one whose transform fails; run twice, so the ledgers' second halves are found there."""
+    registry, root = Registry(), new_path(spark, "run")
+    registry.register("contacts", lambda docs: P.flat_fields(docs, "contacts").filter("email IS NOT NULL"))
+    registry.register("accounts", lambda docs: P.flat_fields(docs, "accounts").withColumn("url", F.raise_error(F.lit("refused"))))
+    people = R.customer_documents(spark, sf_dir).withColumn("revision", F.lit(None).cast("string"))
+    docs = {"quotes": R.quote_documents(spark, sf_dir), "orders": R.order_documents(spark, sf_dir), "contacts": people, "accounts": people}
+    for _ in range(2):
+        done = registry.run(spark, docs, root, 50, 5000)
+    listed = [read_ledger(spark, f"{root}/ledger/{name}").agg(F.lit(name).alias("entity"), F.count("*").alias("listed")) for name in docs]
+    return done.drop("error").join(U.union_batches(listed), "entity")
 
 
 @register("l1_new_failures", QUOTE_BASE + "SELECT CAST(o_orderkey AS VARCHAR) AS id FROM q WHERE (malformed OR strings) AND o_orderkey % 2 = 1")
@@ -264,7 +288,7 @@ def u3_blank_as_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("l8_merge_stats", BATCHES + "SELECT (SELECT count(*) FROM raw) AS rows_in, (SELECT count(*) FROM (SELECT DISTINCT id, name, segment, nation FROM raw)) AS rows_out")
 def l8_merge_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches = R.customer_batches(spark, sf_dir)
-    return U.merge_stats(U.union_batches(batches), U.clean(batches))
+    return U.merge(batches, new_path(spark, "clean"))
 
 
 @register("u9_dedup_keys", BATCHES + "SELECT id, name, segment, nation, CAST(batch AS INTEGER) AS batch FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY batch DESC) AS k FROM raw) WHERE k = 1")

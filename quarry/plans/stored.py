@@ -12,11 +12,11 @@ from quarry.operators import events as E
 from quarry.operators import flatten as P
 from quarry.operators import model as M
 from quarry.plans import reshape as S
-from quarry.plans.queries import BATCHES, EVENTS, ORACLES, ORDERS_LIVE, PERSON, QUERIES, QUOTES_LIVE, good_orders, people, register, w1_quote_snapshot, w2_order_snapshot
+from quarry.plans.queries import BATCHES, EVENTS, ORACLES, ORDERS_LIVE, PERSON, QUERIES, QUOTES_LIVE, people, register, w1_quote_snapshot, w2_order_snapshot
 from quarry.plans.reshape import table
 from quarry.sources import readers as R
 from quarry.sources import writers as W
-from quarry.sources.scratch import new_path
+from quarry.sources.scratch import new_path, staged
 from quarry.streaming.live import LiveTables, latest_by_key
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -81,22 +81,26 @@ def k1_order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("k2_order_pair", "SELECT CAST(o_orderkey AS VARCHAR) AS order_number, count(l_orderkey) AS items FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey")
 def k2_order_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_path(spark, "pair")
-    good = good_orders(spark, sf_dir)
-    W.write_pair(P.order_headers(P.parse(good)), P.order_items(good), f"{root}/orders", f"{root}/items", "orders", "order_items", shared=good)
+    # what is shared holds both parses
+    good = P.split_bad(P.parse(S.order_documents(spark, sf_dir)), "order_items")[0]
+    W.write_pair(P.order_headers(good), P.order_items(good), f"{root}/orders", f"{root}/items", "orders", "order_items", shared=good)
     items = written(spark, f"{root}/items").groupBy("order_number").agg(F.count("*").alias("items"))
     return written(spark, f"{root}/orders").select("order_number").join(items, "order_number", "left").fillna(0, ["items"])
 
 
-@register("k3_batches", "SELECT CASE WHEN o_orderkey BETWEEN 1 AND 1000 THEN '1_1000' WHEN o_orderkey % 2 = 0 THEN 'all' ELSE 'revised' END AS batch, count(*) AS n FROM orders GROUP BY 1")
+@register("k3_batches", "SELECT CASE WHEN o_orderkey BETWEEN 1 AND 1000 THEN '1_1000' WHEN o_orderkey % 2 = 0 THEN 'all' ELSE 'revised' END AS batch, count(*) AS n, CASE WHEN o_orderkey BETWEEN 1 AND 1000 THEN 2 ELSE 1 END AS written FROM orders GROUP BY ALL")
 def k3_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = new_path(spark, "batches")
+    """All batches by one job, then one of them again; written is by how many jobs, told by the names of the files that are there before and after."""
+    path = f"{new_path(spark, 'batches')}/orders"
     heads = P.order_headers(P.parse(S.order_documents(spark, sf_dir)))
     number = F.col("order_number").cast("bigint")
-    early = number.between(1, 1000)
-    W.write_batch(heads.filter(early), root, "orders", "orders", 1, 1000)
-    W.write_batch(heads.filter(~early & (number % 2 == 0)), root, "orders", "orders")
-    W.write_batch(heads.filter(~early & (number % 2 != 0)), root, "orders", "orders", revised=True)
-    return written(spark, f"{root}/orders").groupBy("batch").agg(F.count("*").alias("n"))
+    W.write_batches(heads.withColumn("number", number).withColumn("batch", W.batch_column("number", [(1, 1000)], number % 2 != 0)), path, "orders")
+    files = lambda: written(spark, path).select("batch", F.col("_metadata.file_name").alias("file"))
+    first = staged(files().distinct(), "names")
+    W.write_batches(heads.filter(number.between(1, 1000)).withColumn("batch", F.lit(W.batch_name(1, 1000))), path, "orders")
+    counts = files().groupBy("batch").agg(F.count("*").alias("n"), F.min("file").alias("file"))
+    kept = F.when(F.col("old").isNull(), 2).otherwise(1).alias("written")
+    return counts.join(first.select("batch", F.col("file").alias("old")), (counts["batch"] == first["batch"]) & (F.col("file") == F.col("old")), "left").select(counts["batch"], "n", kept)
 
 
 @register("k4_published_orders", ORDERS_LIVE.replace("SELECT * EXCLUDE (k) FROM", "SELECT * EXCLUDE (k, seq) FROM"))

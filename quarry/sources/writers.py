@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from py4j.protocol import Py4JError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.schemas import COLUMNS
@@ -25,15 +28,33 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_table(df: DataFrame, path: str, table: str | None = None, form: str = "csv") -> bool:
-    """K1: overwrites path with the contract's columns in order; False and nothing written if there are no rows."""
-    rows = df.select(COLUMNS[table]) if table else df
-    if rows.isEmpty():
+    """K1: overwrites path with the contract's columns in order; False, and the old table stays, if there are no rows.
+
+    The plan runs once: rows are counted while they are written aside, and the folder takes the table's name if there are any.
+    """
+    rows, seen = df.select(COLUMNS[table]) if table else df, Observation("written")
+    folder, _, name = path.rstrip("/").rpartition("/")
+    aside = f"{folder}/_{name}.{uuid.uuid4().hex}"  # readers of the folder pass over names that begin so
+    writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write
+    writer.csv(aside, **CSV) if form == "csv" else writer.format(form).save(aside)
+    fs, at = file_system(df.sparkSession, aside)
+    if not counted(seen):
+        fs.delete(at, True)
         return False
-    writer = rows.write.mode("overwrite")
-    writer.csv(path, **CSV) if form == "csv" else writer.format(form).save(path)
+    _, named = file_system(df.sparkSession, path)
+    fs.delete(named, True)
+    if not fs.rename(at, named):
+        raise OSError(f"{path} could not be replaced")
     return True
 
 
+def counted(seen: Observation) -> int:
+    try:
+        return seen.get.get("rows", 0)
+    except Py4JError:  # Spark found the plan to be empty and dropped the count
+        return 0
+
+
 def write_pair(parent: DataFrame, child: DataFrame, parent_path: str, child_path: str, parent_table: str, child_table: str, shared: DataFrame | None = None, form: str = "csv") -> tuple[bool, bool]:
     """K2: parent and child from one parse; shared is the parsed input of both, held while both are written."""
     if shared is not None:
@@ -45,16 +66,39 @@ def write_pair(parent: DataFrame, child: DataFrame, parent_path: str, child_path
             shared.unpersist()
 
 
-def batch_path(root: str, entity: str, start: int | None = None, end: int | None = None, revised: bool = False) -> str:
-    """K3: a batch's folder, named by its range, as a partition of column batch."""
+def batch_name(start: int | None = None, end: int | None = None, revised: bool = False) -> str:
+    """K3: the name of a range's batch."""
     name = "revised" if revised else ""
     if start is not None and end is not None:
         name = f"{name}_{start}_{end}".lstrip("_")
-    return f"{root.rstrip('/')}/{entity}/batch={name or 'all'}"
+    return name or "all"
+
+
+def batch_path(root: str, entity: str, start: int | None = None, end: int | None = None, revised: bool = False) -> str:
+    """K3: a batch's folder, named by its range, as a partition of column batch."""
+    return f"{root.rstrip('/')}/{entity}/batch={batch_name(start, end, revised)}"
+
+
+def batch_column(key: str, ranges: list[tuple[int, int]], revised: Column | None = None) -> Column:
+    """K3: the batch that a row belongs to: that of the first range that holds its key, else `revised` where that holds, else `all`."""
+    named = None
+    for start, end in ranges:
+        inside, name = F.col(key).between(start, end), F.lit(batch_name(start, end))
+        named = F.when(inside, name) if named is None else named.when(inside, name)
+    rest = F.lit(batch_name()) if revised is None else F.when(revised, F.lit(batch_name(revised=True))).otherwise(F.lit(batch_name()))
+    return rest if named is None else named.otherwise(rest)
+
+
+def write_batches(df: DataFrame, path: str, table: str | None = None, batch: str = "batch") -> None:
+    """K3: rows of any number of batches (column batch) in one job. Batches that have rows here are replaced; all others keep their files."""
+    rows = df.select(*COLUMNS[table], batch) if table else df
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(batch).csv(path, **CSV)
 
 
-def write_batch(df: DataFrame, root: str, entity: str, table: str, start: int | None = None, end: int | None = None, revised: bool = False) -> bool:
-    return write_table(df, batch_path(root, entity, start, end, revised), table)
+def write_partition(df: DataFrame, path: str, batch: str, table: str | None = None) -> None:
+    """K3: one batch; nothing is replaced if there are no rows."""
+    rows = df.select(COLUMNS[table]) if table in COLUMNS else df
+    write_batches(rows.withColumn("batch", F.lit(batch)), path)
 
 
 def publish(df: DataFrame, uri: str, form: str = "csv") -> None:

@@ -39,7 +39,8 @@ def test_tables_and_batches(spark, tmp_path):
     back = spark.read.csv(f"{tmp_path}/q", header=True, multiLine=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).first()
     assert list(back.asDict()) == COLUMNS["quotes"] and back.private_notes == note and back.contact_name == " "
     assert W.batch_path("r", "quotes", 1, 5) == "r/quotes/batch=1_5" and W.batch_path("r", "quotes") == "r/quotes/batch=all" and W.batch_path("r", "quotes", 1, 5, True) == "r/quotes/batch=revised_1_5"
-    assert W.write_batch(header, f"{tmp_path}/r", "quotes", "quotes", 1, 5) and spark.read.csv(f"{tmp_path}/r/quotes", header=True).columns[-1] == "batch"
+    W.write_partition(header, f"{tmp_path}/r/quotes", W.batch_name(1, 5), "quotes")
+    assert spark.read.csv(f"{tmp_path}/r/quotes", header=True).columns[-1] == "batch"
 
 
 def test_mixed_batches_and_bad_files(spark, tmp_path):
