@@ -16,8 +16,10 @@ from quarry.operators import model as M
 from quarry.plans import reshape as R
 from quarry.operators.runs import Registry
 from quarry.plans.reshape import table
-from quarry.sources.readers import read_ledger
+from quarry.sources.readers import read_ledger, read_snapshot
 from quarry.sources.scratch import new_path
+from quarry.streaming.arrivals import read_arrivals
+from quarry.streaming.live import LiveTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -424,16 +426,15 @@ def w5_export_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.numbered(live, ["seq"]).select("order_number", (F.col("index") + 1).alias("place"))
 
 
-@register("s6_stream_quotes", QUOTES_LIVE)
+@register("s6_stream_quotes", QUOTES_LIVE.replace("SELECT * EXCLUDE (k) FROM", "SELECT * EXCLUDE (k, seq) FROM"))
 def s6_stream_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quarry.sources.readers import read_events, read_snapshot
-    from quarry.streaming.live import LiveTables
-
+    """The events land without a seq, in files whose names follow their order; the source gives each its seq."""
     root = new_path(spark, "live")
-    R.event_rows(spark, sf_dir).write.json(f"{root}/landed")
+    R.event_rows(spark, sf_dir).repartitionByRange("seq").sortWithinPartitions("seq").drop("seq").write.json(f"{root}/landed")
     tables = LiveTables(spark, f"{root}/tables", R.SECRET)
-    tables.start(read_events(spark, f"{root}/landed"), f"{root}/checkpoint", once=True).awaitTermination()
-    return read_snapshot(spark, f"{root}/tables/quotes_live")
+    events = read_arrivals(spark, f"{root}/landed", f"{root}/log", order="name", files="3")
+    tables.start(events, f"{root}/checkpoint", once=True).awaitTermination()
+    return read_snapshot(spark, f"{root}/tables/quotes_live").drop("seq")
 
 
 # The model ----------------------------------------------------------------------------------------------------------

@@ -17,7 +17,8 @@ from quarry.plans.reshape import table
 from quarry.sources import readers as R
 from quarry.sources import writers as W
 from quarry.sources.scratch import new_path, staged
-from quarry.streaming.live import LiveTables, latest_by_key
+from quarry.streaming.latest import held_rows, latest_changes, with_store
+from quarry.streaming.live import LiveTables
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -208,11 +209,11 @@ def w4_handlers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("w6_latest_by_key", "SELECT user_id, event_id AS seq, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM events) WHERE k = 1")
 def w6_latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = new_path(spark, "latest")
+    """Files in no order, two to a batch, each batch putting out its changes only; what the state holds in the end is the result."""
+    root, session = new_path(spark, "latest"), with_store(spark)
     schema = "user_id bigint, seq bigint, event_type string"
     table(spark, sf_dir, "events").selectExpr("user_id", "event_id AS seq", "event_type").repartition(4).write.json(f"{root}/landed")
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).json(f"{root}/landed")
-    # complete mode: every batch writes the whole state, the last one stays
-    put = lambda batch, _: batch.write.mode("overwrite").parquet(f"{root}/out")
-    latest_by_key(stream, ["user_id"]).writeStream.outputMode("complete").foreachBatch(put).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    stream = session.readStream.schema(schema).option("maxFilesPerTrigger", 2).json(f"{root}/landed")
+    put = lambda batch, _: batch.write.mode("append").parquet(f"{root}/changes")
+    latest_changes(stream, ["user_id"]).writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return held_rows(spark, f"{root}/checkpoint")
