@@ -14,6 +14,7 @@ from quarry.operators import model as M
 from quarry.plans import reshape as S
 from quarry.plans.queries import BATCHES, EVENTS, ORACLES, ORDERS_LIVE, PERSON, QUERIES, QUOTES_LIVE, people, register, w1_quote_snapshot, w2_order_snapshot
 from quarry.plans.reshape import table
+from quarry.sources import live_tables as L
 from quarry.sources import readers as R
 from quarry.sources import writers as W
 from quarry.sources.scratch import new_path, staged
@@ -50,10 +51,13 @@ def s3_revision_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("s7_snapshot", QUOTES_LIVE)
 def s7_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches, the second folded with the first, so the result comes from buckets and from changes."""
     path, keys = new_path(spark, "snapshot"), ["quote_number", "revision_number"]
     rows = w1_quote_snapshot(spark, sf_dir)
-    W.write_snapshot(rows.filter("seq % 3 = 0"), path, 1, keys)
-    W.write_snapshot(rows, path, 2, keys)
+    for batch in range(4):
+        L.append(rows.filter(F.col("seq") % 4 <= batch), path, batch, keys)
+        if batch == 1:
+            L.fold(spark, path, bucket_rows=1000)
     return R.read_snapshot(spark, path)
 
 
@@ -106,10 +110,15 @@ def k3_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("k4_published_orders", ORDERS_LIVE.replace("SELECT * EXCLUDE (k) FROM", "SELECT * EXCLUDE (k, seq) FROM"))
 def k4_published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    uri = new_path(spark, "published")
-    for _ in range(2):  # the second takes the place of the first
-        W.publish(w2_order_snapshot(spark, sf_dir).orderBy("seq").select(COLUMNS["orders_live"]), uri)
-    return written(spark, uri)
+    """Published after each of three batches: the changed buckets only."""
+    path, uri = new_path(spark, "orders_live"), new_path(spark, "published")
+    rows = w2_order_snapshot(spark, sf_dir)
+    for batch in range(3):
+        L.append(rows.filter(F.col("seq") % 3 == batch), path, batch, ["order_number"])
+        if batch < 2:
+            L.fold(spark, path, bucket_rows=500)
+        L.publish_live(spark, path, uri, COLUMNS["orders_live"])
+    return L.read_published(spark, uri)
 
 
 @register("k6_s8_failure_ledger", "SELECT CAST(o_orderkey AS VARCHAR) AS id FROM orders WHERE o_orderkey % 97 = 5 OR o_orderkey % 11 = 2")

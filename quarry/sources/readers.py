@@ -71,16 +71,11 @@ def read_events(spark: SparkSession, path: str, schema: str = EVENT, files_per_t
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(path)
 
 
-def read_snapshot(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame | None:
-    """The current version of a live table (or those buckets of it that it has), or None before the first."""
-    from quarry.sources.writers import current_version, manifest
-
-    version = current_version(spark, path)
-    if version is None:
-        return None
-    held = manifest(spark, path, version)
-    paths = [f"{path}/v={w}/bucket={b}" for b, w in held.items() if buckets is None or b in buckets]
-    return spark.read.parquet(*paths) if paths else None
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
+    """The current version of a live table, or None before the first."""
+    from quarry.sources.live_tables import read_live
+
+    return read_live(spark, path)
 
 
 def read_ledger(spark: SparkSession, path: str, key: str = "id") -> DataFrame:

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from quarry.functions.schemas import COLUMNS
 
-#: Parts of a live table that are rewritten apart.
-BUCKETS = 64
 CSV = {"header": True, "emptyValue": "", "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
@@ -147,67 +145,6 @@ def top_fields(shape: str | None) -> list[str]:
     return [n for n in out if n]
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """The versions of a table that are complete, that is, have a manifest; ascending."""
-    fs, at = file_system(spark, f"{path}/manifests")
-    if not fs.exists(at):
-        return []
-    names = [f.getPath().getName() for f in fs.listStatus(at)]
-    return sorted(int(n) for n in names if n.isdigit())
-
-
-def current_version(spark: SparkSession, path: str) -> int | None:
-    """The highest complete version of a table."""
-    return max(versions(spark, path), default=None)
-
-
-def manifest(spark: SparkSession, path: str, version: int) -> dict[int, int]:
-    """Of a version: the version that wrote each bucket."""
-    return {r["bucket"]: r["written"] for r in spark.read.schema("bucket int, written bigint").json(f"{path}/manifests/{version}").collect()}
-
-
-def commit(spark: SparkSession, path: str, version: int, held: dict[int, int]) -> None:
-    """Makes a version current: its manifest, a row per bucket, is written aside and gets its name by one rename, so a version is there or not."""
-    fs, aside = file_system(spark, f"{path}/manifests/.{version}")
-    _, named = file_system(spark, f"{path}/manifests/{version}")
-    spark.createDataFrame(sorted(held.items()), "bucket int, written bigint").coalesce(1).write.mode("overwrite").json(str(aside))
-    if fs.exists(named) or not fs.rename(aside, named):
-        raise OSError(f"version {version} of {path} is there already")
-
-
-def bucket_of(keys: list[str]):
-    """The bucket of a key, a number below BUCKETS."""
-    return F.pmod(F.xxhash64(*(F.col(k).cast("string") for k in keys)), F.lit(BUCKETS)).cast("int")
-
-
-def write_buckets(df: DataFrame, path: str, version: int, keys: list[str], before: dict[int, int]) -> None:
-    """Writes the buckets of df as a version beside those that stay as they were, and commits. Readers see the old or the new table, never half of one."""
-    spark = df.sparkSession
-    df.withColumn("bucket", bucket_of(keys)).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/v={version}")
-    fs, at = file_system(spark, f"{path}/v={version}")
-    mine = [f.getPath().getName() for f in fs.listStatus(at)]
-    commit(spark, path, version, before | {int(n.removeprefix("bucket=")): version for n in mine if n.startswith("bucket=")})
-
-
-def write_snapshot(df: DataFrame, path: str, version: int, keys: list[str]) -> None:
-    """The whole table as a new version."""
-    write_buckets(df, path, version, keys, {})
-
-
-def vacuum(spark: SparkSession, path: str, keep: int = 2) -> None:
-    """Deletes what only versions before the last `keep` refer to; who still reads one of those must read again."""
-    all_versions = versions(spark, path)
-    old, kept = all_versions[:-keep], all_versions[-keep:]
-    used = {(w, b) for v in kept for b, w in manifest(spark, path, v).items()}
-    for v in old:
-        for b, w in manifest(spark, path, v).items():
-            if (w, b) not in used:
-                fs, at = file_system(spark, f"{path}/v={w}/bucket={b}")
-                fs.delete(at, True)
-        fs, at = file_system(spark, f"{path}/manifests/{v}")
-        fs.delete(at, True)
-
-
 def land_documents(docs: DataFrame, path: str) -> None:
     """Documents (item_id, revision, body) as JSON lines, many to a file, for read_landed."""
     docs.select("item_id", "revision", "body").write.json(path)

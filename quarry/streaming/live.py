@@ -10,64 +10,55 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from quarry.functions.schemas import COLUMNS, KEYS
 from quarry.operators import events as E
-from quarry.sources.readers import read_snapshot
-from quarry.sources.writers import bucket_of, current_version, manifest, publish, vacuum, write_buckets
+from quarry.sources.live_tables import BUCKET_ROWS, FOLD_AFTER, append, fold, newest, publish_live, vacuum
 
 Handler = Callable[[DataFrame], None]
 
 
 class LiveTables:
-    """quotes_live and orders_live below root. A registered handler replaces the default for its event type; its error stops only its own events of that batch, which go to the dead letters.
+    """quotes_live and orders_live below root. A registered handler replaces the default for its event type; its error stops only its own events of that batch, which go to the dead letters with the error's first line.
 
-    A table lies in buckets by key; a micro-batch rewrites only the buckets that its keys fall into.
+    A micro-batch appends its own rows; every fold_after batches they are folded into the buckets of their keys.
     """
 
-    def __init__(self, spark: SparkSession, root: str, secret: str, publish_to: str | None = None):
-        self.spark, self.root, self.secret, self.publish_to = spark, root.rstrip("/"), secret, publish_to
+    def __init__(self, spark: SparkSession, root: str, secret: str, publish_to: str | None = None, fold_after: int = FOLD_AFTER, bucket_rows: int = BUCKET_ROWS):
+        self.spark, self.root, self.secret, self.publish_to, self.fold_after, self.bucket_rows = spark, root.rstrip("/"), secret, publish_to, fold_after, bucket_rows
         self.handlers: dict[str, Handler] = {}
-        self.errors: list[tuple[str, str]] = []
 
     def register(self, event_type: str, handler: Handler) -> None:
         self.handlers[event_type] = handler
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """One micro-batch; the same batch_id again changes nothing, since a live table's version is the batch."""
+        """One micro-batch; the same batch_id again changes nothing, since a live table knows its last batch."""
         triaged = E.triage(batch, self.secret, tuple(self.handlers)).persist()
-        failed: list[str] = []
+        failed: dict[str, str] = {}
         try:
             for event_type, handler in self.handlers.items():
                 try:
                     handler(triaged.filter((F.col("type") == event_type) & F.col("applied")))
                 except Exception as error:  # a handler's fault must not lose other events
-                    self.errors.append((event_type, str(error)))
-                    failed.append(event_type)
+                    failed[event_type] = (str(error) or type(error).__name__).splitlines()[0]
             routed = E.route(triaged.filter(~F.col("type").isin(*self.handlers) | F.col("type").isNull()) if self.handlers else triaged)
             self.write("quotes_live", E.live_quotes(routed["quotes"]), batch_id)
             self.write("orders_live", E.live_orders(routed["orders"]), batch_id)
-            dead = routed["dead"].select("seq", "body", "status", "reason")
+            dead = routed["dead"].select("seq", "body", "status", "reason", F.lit(None).cast("string").alias("error"))
             if self.handlers:
                 own = triaged.filter(F.col("type").isin(*self.handlers))
-                unfit = own.filter(~F.col("applied")).select(*dead.columns)
-                dead = dead.unionByName(unfit).unionByName(own.filter(F.col("applied") & F.col("type").isin(failed)).select("seq", "body", F.lit(500).alias("status"), F.lit("handler failed").alias("reason")))
+                dead = dead.unionByName(own.filter(~F.col("applied")).select("seq", "body", "status", "reason", F.lit(None).cast("string").alias("error")))
+                for event_type, error in failed.items():
+                    lost = own.filter(F.col("applied") & (F.col("type") == event_type))
+                    dead = dead.unionByName(lost.select("seq", "body", F.lit(500).alias("status"), F.lit("handler failed").alias("reason"), F.lit(error).alias("error")))
             dead.write.mode("overwrite").parquet(f"{self.root}/dead/batch={batch_id}")
         finally:
             triaged.unpersist()
 
     def write(self, table: str, rows: DataFrame, batch_id: int) -> None:
         path = f"{self.root}/{table}"
-        version = current_version(self.spark, path)
-        if version is not None and version >= batch_id:
-            return
-        keys = KEYS[table]
-        # at most BUCKETS numbers
-        touched = [r[0] for r in rows.select(bucket_of(keys)).distinct().collect()]
-        if touched:
-            merged = E.upsert(read_snapshot(self.spark, path, touched), rows, keys)
-            write_buckets(merged, path, batch_id, keys, {} if version is None else manifest(self.spark, path, version))
+        if append(rows, path, batch_id, KEYS[table]) and len(newest(self.spark, path)[1]["changes"]) >= self.fold_after:
+            fold(self.spark, path, self.bucket_rows)
             vacuum(self.spark, path)
         if self.publish_to:
-            current = read_snapshot(self.spark, path)
-            publish((rows if current is None else current).orderBy("seq").select(COLUMNS[table]), f"{self.publish_to.rstrip('/')}/{table}")
+            publish_live(self.spark, path, f"{self.publish_to.rstrip('/')}/{table}", COLUMNS[table])
 
     def start(self, events: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
         writer = events.writeStream.foreachBatch(self.apply).option("checkpointLocation", checkpoint)

@@ -9,6 +9,7 @@ from quarry.functions.schemas import COLUMNS
 from quarry.operators import consolidate as U
 from quarry.operators import flatten as P
 from quarry.operators import model as M
+from quarry.sources import live_tables as L
 from quarry.sources import readers as R
 from quarry.sources import writers as W
 from quarry.streaming.live import LiveTables, latest_by_key
@@ -101,49 +102,79 @@ def test_live_tables(spark, tmp_path):
     run = lambda: tables.start(R.read_events(spark, f"file://{landed}"), f"file://{tmp_path}/checkpoint", once=True).awaitTermination()
     run()
     status = lambda: [(r.quote_number, r.status, r.seq) for r in R.read_snapshot(spark, f"{root}/quotes_live").collect()]
-    assert status() == [("7838", "sent", 3)] and seen == [4] and [k for k, _ in tables.errors] == ["bad.event"]
+    assert status() == [("7838", "sent", 3)] and seen == [4]
     land(landed, "2.json", (2, quote("late")), (7, {"type": "order.created", "data": {"order_number": "1", "status": "s"}}))
     run()
     assert status() == [("7838", "sent", 3)] and R.read_snapshot(spark, f"{root}/orders_live").count() == 1
-    before = W.current_version(spark, f"{root}/quotes_live")
+    before = L.current_batch(spark, f"{root}/quotes_live")
     tables.write("quotes_live", R.read_snapshot(spark, f"{root}/quotes_live").withColumn("status", F.lit("again")), before)  # the same batch again
     assert status() == [("7838", "sent", 3)]
-    assert sorted((r.seq, r.reason) for r in spark.read.parquet(f"{root}/dead").collect()) == [(5, "handler failed"), (6, "unsupported")]
-    assert spark.read.csv(f"file://{tmp_path}/out/quotes_live", header=True).columns == COLUMNS["quotes_live"]
+    assert sorted((r.seq, r.reason, r.error) for r in spark.read.parquet(f"{root}/dead").collect()) == [(5, "handler failed", "division by zero"), (6, "unsupported", None)]
+    assert [tuple(r)[2] for r in L.read_published(spark, f"file://{tmp_path}/out/quotes_live").collect()] == ["sent"]
 
 
-def test_snapshots_survive_a_stop_before_the_commit(spark, tmp_path, monkeypatch):
+ROWS = "k string, seq bigint, v string"
+
+
+def test_live_table_survives_a_stop_before_the_commit(spark, tmp_path, monkeypatch):
     path, keys = f"file://{tmp_path}/t", ["k"]
-    rows = lambda *ks, v: spark.createDataFrame([(k, v) for k in ks], "k string, v string")
-    current = lambda: sorted((r.k, r.v) for r in R.read_snapshot(spark, path).select("k", "v").collect())
-    assert R.read_snapshot(spark, path) is None
-    W.write_snapshot(rows("a", "b", "c", v="1"), path, 1, keys)
-    monkeypatch.setattr(W, "commit", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
-    with pytest.raises(KeyboardInterrupt):
-        W.write_snapshot(rows("a", v="2"), path, 2, keys)
-    assert W.current_version(spark, path) == 1 and current() == [("a", "1"), ("b", "1"), ("c", "1")]
+    rows = lambda seq, *ks: spark.createDataFrame([(k, seq, str(seq)) for k in ks], ROWS)
+    current = lambda: sorted((r.k, r.v) for r in R.read_snapshot(spark, path).collect())
+    assert R.read_snapshot(spark, path) is None and not L.fold(spark, path)
+    assert L.append(rows(1, "a", "b", "c"), path, 1, keys)
+    monkeypatch.setattr(L, "commit", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+    for stopped in (lambda: L.append(rows(2, "a"), path, 2, keys), lambda: L.fold(spark, path)):
+        with pytest.raises(KeyboardInterrupt):
+            stopped()
+    assert L.current_batch(spark, path) == 1 and current() == [("a", "1"), ("b", "1"), ("c", "1")]
     monkeypatch.undo()
-    W.write_snapshot(rows("a", v="3"), path, 2, keys)
-    assert current() == [("a", "3")]
+    assert L.append(rows(3, "a"), path, 2, keys) and not L.append(rows(9, "a"), path, 2, keys)
+    assert current() == [("a", "3"), ("b", "1"), ("c", "1")]
     with pytest.raises(OSError):
-        W.commit(spark, path, 2, {})
-
-
-def test_live_tables_rewrite_touched_buckets_only(spark, tmp_path):
-    tables = LiveTables(spark, f"file://{tmp_path}", SECRET)
-    order = lambda seq, key: (seq, key, *[None] * 9)
-    schema = "seq long, " + ", ".join(f"{c} string" for c in COLUMNS["orders_live"])
-    for batch in range(5):
-        tables.write("orders_live", spark.createDataFrame([order(10 * batch + i, str(i + batch)) for i in range(3)], schema), batch)
-    path = tmp_path / "orders_live"
-    found = R.read_snapshot(spark, f"file://{path}")
-    assert sorted((r.order_number, r.seq) for r in found.collect()) == [("0", 0), ("1", 10), ("2", 20), ("3", 30), ("4", 40), ("5", 41), ("6", 42)]
-    assert sorted(p.name for p in (path / "manifests").iterdir() if not p.name.startswith(".")) == ["3", "4"]
-    held = W.manifest(spark, f"file://{path}", 4)
-    assert set(held.values()) <= {0, 1, 2, 3, 4} and len(set(held.values())) > 1
-    assert len(list(path.glob("v=4/bucket=*"))) <= 3
-    tables.write("orders_live", spark.createDataFrame([], schema), 5)
-    assert W.current_version(spark, f"file://{path}") == 4
+        L.commit(spark, path, 2, {})
+    (tmp_path / "t/manifests/3.json").write_text('{"batch": 3')  # a writer that stopped halfway
+    assert current()[0] == ("a", "3") and L.append(rows(4, "d"), path, 3, keys) and len(current()) == 4
+
+
+def test_a_batch_writes_its_own_rows_and_folding_touches_its_buckets(spark, tmp_path):
+    path, keys = f"file://{tmp_path}/t", ["k"]
+    L.append(spark.range(2000).selectExpr("CAST(id AS string) AS k", "id AS seq", "'old' AS v"), path, 0, keys)
+    assert L.fold(spark, path, bucket_rows=100)
+    _, held = L.newest(spark, path)
+    assert held["buckets"] == 20 and sum(n for _, n in held["rows"].values()) == 2000 and max(n for _, n in held["rows"].values()) < 400
+    size = lambda folder: sum(p.stat().st_size for p in folder.rglob("*.parquet"))
+    L.append(spark.createDataFrame([("7", 5000, "new"), ("7", 4000, "older"), ("8", 1, "late")], ROWS), path, 1, keys)
+    assert size(tmp_path / "t/changes/batch=1") < size(tmp_path / "t/base/v=2") / 5
+    found = {r.k: r.v for r in R.read_snapshot(spark, path).collect()}
+    assert len(found) == 2000 and found["7"] == "new" and found["8"] == "old"
+    L.fold(spark, path, bucket_rows=100)
+    _, after = L.newest(spark, path)
+    # three rows more than 2000 as counted before folding: one bucket is split, and the keys' own are written anew
+    assert after["buckets"] == 21 and sum(v == 4 for v, _ in after["rows"].values()) <= 4 and after["changes"] == []
+    assert {r.k: r.v for r in R.read_snapshot(spark, path).collect()} == found
+    L.vacuum(spark, path, keep=1)
+    assert {r.k: r.v for r in R.read_snapshot(spark, path).collect()} == found and [p.name for p in (tmp_path / "t/manifests").glob("[0-9]*")] == ["4.json"]
+
+
+@pytest.mark.parametrize("buckets", [1, 2, 3, 5, 8, 13])
+def test_linear_hashing_moves_rows_from_one_bucket_only(spark, buckets):
+    rows = spark.range(500).selectExpr("CAST(id AS string) AS k").select(L.bucket_of(["k"], buckets).alias("a"), L.bucket_of(["k"], buckets + 1).alias("b")).distinct().collect()
+    assert all(r.a < buckets and (r.a == r.b or (r.b == buckets and r.a == L.parent(buckets))) for r in rows)
+
+
+def test_publication_writes_changed_buckets_only(spark, tmp_path):
+    path, uri, keys = f"file://{tmp_path}/t", f"file://{tmp_path}/out", ["k"]
+    assert L.publish_live(spark, path, uri, ["k", "v"]) == 0 and L.read_published(spark, uri) is None
+    L.append(spark.range(1000).selectExpr("CAST(id AS string) AS k", "id AS seq", "'old' AS v"), path, 0, keys)
+    L.fold(spark, path, bucket_rows=100)
+    assert L.publish_live(spark, path, uri, ["k", "v"]) == 10 and L.publish_live(spark, path, uri, ["k", "v"]) == 0
+    before = L.read_published(spark, uri)
+    L.append(spark.createDataFrame([("7", 5000, "new")], ROWS), path, 1, keys)
+    assert L.publish_live(spark, path, uri, ["k", "v"]) == 1
+    found = {r.k: r.v for r in L.read_published(spark, uri).collect()}
+    assert len(found) == 1000 and found["7"] == "new" and sum(v == "new" for v in found.values()) == 1
+    assert {r.v for r in before.collect()} == {"old"}  # who reads the old one goes on reading it
+    assert L.read_published(spark, uri).columns == ["k", "v"]
 
 
 def test_consolidation_job(spark, tmp_path):
