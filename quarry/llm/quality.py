@@ -127,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, grade_col: str = "quality", sample:
 
     More than MOST_GRADES grades are binned at quantiles, the lowest and the highest kept. Without labelled rows all weights are zero and the only grade is 1; with a single grade every document gets it.
     """
-    rows = cut(labelled_features(docs, labels, grade_col, sample, dims).coalesce(8), "rated")
+    rows = cut(labelled_features(docs, labels, grade_col, sample, dims), "rated").coalesce(8)  # after the cut: the texts are read by as many tasks as they have parts
     # the sample is bounded, so its distinct grades are
     counts = binned(sorted((r["grade"], r["count"]) for r in rows.groupBy("grade").count().collect()))
     grades = [g for g, _ in counts] or [1.0]
