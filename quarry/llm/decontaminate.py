@@ -3,7 +3,8 @@
 Numbers, units after numbers and names (capitalised words inside a sentence) become typed placeholders; what remains is lower-cased and cut into words.
 Windows of eight template words are hashed and joined with those of the benchmark. A document that holds at
 least half of an item's windows, or twenty of them, is a candidate. Where matched windows have placeholders, the values in the
-document must answer to the item's values consistently: a re-parameterised question puts one value for each of the item's.
+document must answer to the item's values consistently: a re-parameterised question puts one value for each of the item's. It may put
+one value for several of them, so where all windows match, only a value of the item that stands for several of the document counts against it.
 Each window is read where it was found, so partial, shifted and repeated copies keep their evidence.
 """
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, free_name, is_empty, is_small, sized
 
-WINDOW, LEAST_WORDS, LEAST_LITERAL = 8, 5, 3
+WINDOW, LEAST_WORDS, LEAST_LITERAL = 8, 3, 3
 LEAST_SHARE, LEAST_RUN, LEAST_CONSISTENT = 0.5, 20, 0.75
 MOST_BROADCAST = 500_000
 NUM, UNIT, NAME, MARK = "", "", "", ""
@@ -54,15 +55,15 @@ def templates(rows: DataFrame, text_col: str) -> DataFrame:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """h, size, item_id, at, n: the benchmark's windows with enough literal words. An item shorter than a window is one window of its own size."""
+    """h, size, item_id, at, n: the benchmark's windows with enough literal words. An item shorter than a window is one window of its own size; one of fewer than LEAST_WORDS must be a whole text."""
     items = benchmark.select("item_id", F.col("text").alias("i_text")).filter("item_id IS NOT NULL").distinct()
-    items = templates(items, "i_text").filter(F.size("t_words") >= LEAST_WORDS).withColumn("size", F.least(F.size("t_words"), F.lit(WINDOW)))
+    items = templates(items, "i_text").filter("array_join(t_words, '') <> ''").withColumn("size", F.least(F.size("t_words"), F.lit(WINDOW)))
     hashes = F.lit(None).cast("array<bigint>")
-    for size in range(LEAST_WORDS, WINDOW + 1):
+    for size in range(1, WINDOW + 1):
         hashes = F.when(F.col("size") == size, window_hashes("t_hashes", size)).otherwise(hashes)
     rows = items.select("item_id", "size", "t_words", F.posexplode(hashes).alias("at", "h"))
     literal = F.size(F.filter(F.slice("t_words", F.col("at") + 1, F.col("size")), lambda w: ~w.isin(NUM, UNIT, NAME)))
-    rows = rows.withColumn("literal", literal).filter(F.col("literal") >= LEAST_LITERAL)
+    rows = rows.withColumn("literal", literal).filter(F.col("literal") >= F.least(F.col("size"), F.lit(LEAST_LITERAL)))
     counts = rows.groupBy("item_id", "size").agg(F.countDistinct("h").alias("n"), F.max(F.col("literal") < F.col("size")).alias("item_slots"))
     return rows.join(counts, ["item_id", "size"]).select("h", "size", "item_id", "at", "n", (F.col("literal") < F.col("size")).alias("has_slots"), "item_slots")
 
@@ -70,9 +71,11 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 def matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """doc_id, key, item_id, size, at, place, h, n, has_slots, item_slots: the benchmark's windows found in docs (doc_id, key, text)."""
     small = sized(windows, MOST_BROADCAST)
-    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # four values at most
+    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # eight values at most
+    # a word or two are a leak only where they are the whole text
+    hashes_of = lambda n: window_hashes("t_hashes", n) if n >= LEAST_WORDS else F.when(F.size("t_hashes") == n, window_hashes("t_hashes", n)).otherwise(F.array().cast("array<bigint>"))
     # a document is made a template once; its windows of every size come out of the same word hashes
-    windowed = templates(docs, "text").select("doc_id", "key", F.posexplode(F.array(*(window_hashes("t_hashes", n) for n in sizes))).alias("which", "hashes"))
+    windowed = templates(docs, "text").select("doc_id", "key", F.posexplode(F.array(*map(hashes_of, sizes))).alias("which", "hashes"))
     exploded = windowed.select("doc_id", "key", F.element_at(F.array(*map(F.lit, sizes)), F.col("which") + 1).alias("size"), F.posexplode("hashes").alias("place", "h"))
     return exploded.join(small, ["h", "size"]).select("doc_id", "key", "item_id", "size", "at", "place", "h", "n", "has_slots", "item_slots")
 
@@ -98,8 +101,8 @@ def copies(pairs: DataFrame) -> DataFrame:
 
 
 def slot_shares(docs: DataFrame, pairs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, key, item_id, consistent: the share of slots in matched windows whose value is the one that most often stands for the item's value in the same copy (and the item's for it, the lesser counts),
-    over all copies or in the best of the copies that have enough windows. pairs: doc_id, key, item_id, n, places."""
+    """doc_id, key, item_id, consistent, forward: the share of slots in matched windows whose value is the one that most often stands for the item's value in the same copy (and the item's for it, the lesser counts; in
+    forward the first alone), over all copies or in the best of the copies that have enough windows. pairs: doc_id, key, item_id, n, places."""
     words = lambda df, text: templates(df, text).withColumn("raw", words_of(prepared(F.col(text))))
     wanted = pairs.select("doc_id", "key").distinct()
     held = docs.join(F.broadcast(wanted) if is_small(wanted, 50_000) else wanted, (docs["doc_id"].eqNullSafe(wanted["doc_id"])) & (docs["key"] == wanted["key"]), "left_semi")
@@ -115,16 +118,16 @@ def slot_shares(docs: DataFrame, pairs: DataFrame, benchmark: DataFrame) -> Data
     most = lambda side: counts.groupBy(*copy, side).agg(F.max("count").alias("most"), F.sum("count").alias("all"))
     ways = most("asked").withColumn("way", F.lit(1)).drop("asked").unionByName(most("told").withColumn("way", F.lit(2)).drop("told"))
     sums = ways.groupBy(*copy, "way").agg(F.sum("most").alias("most"), F.sum("all").alias("all"))
-    best = sums.groupBy(*copy).agg(F.min("most").alias("most"), F.max("all").alias("all"))
-    share = F.greatest(F.sum("most") / F.sum("all"), F.max(F.when(F.col("whole"), F.col("most") / F.col("all"))))
-    return best.groupBy("doc_id", "key", "item_id").agg(share.alias("consistent"))
+    best = sums.groupBy(*copy).agg(F.min("most").alias("most"), F.max(F.when(F.col("way") == 1, F.col("most"))).alias("ahead"), F.max("all").alias("all"))
+    share = lambda n: F.greatest(F.sum(n) / F.sum("all"), F.max(F.when(F.col("whole"), F.col(n) / F.col("all"))))
+    return best.groupBy("doc_id", "key", "item_id").agg(share("most").alias("consistent"), share("ahead").alias("forward"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document and benchmark item it holds: doc_id, key, item_id, windows (found), share, consistent (null without slots).
 
-    key is a hash of the text and tells rows with one doc_id apart; rows that repeat both are one. Null texts count as empty; null ids are kept as ids of their own. Items of fewer than five words,
-    or without a window of three literal words, match nothing. An empty benchmark or table of documents gives no rows.
+    key is a hash of the text and tells rows with one doc_id apart; rows that repeat both are one. Null texts count as empty; null ids are kept as ids of their own. Items of one or two words match texts that
+    are the item as a whole; windows need three literal words, or as many as they have if that is fewer, so items made of placeholders match nothing. Where all windows of an item are found, consistent is the share by the item's values alone. An empty benchmark or table of documents gives no rows.
     """
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     windows = cut(item_windows(benchmark), "windows")
@@ -136,8 +139,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     slotted = pairs.filter("has_slots")
     if is_empty(slotted):
         return plain
-    shares = slot_shares(docs, slotted.select("doc_id", "key", "item_id", "n", "places"), benchmark).select(F.col("doc_id").alias("s_id"), F.col("key").alias("s_key"), F.col("item_id").alias("s_item"), "consistent")
+    shares = slot_shares(docs, slotted.select("doc_id", "key", "item_id", "n", "places"), benchmark).select(F.col("doc_id").alias("s_id"), F.col("key").alias("s_key"), F.col("item_id").alias("s_item"), "consistent", "forward")
     checked = slotted.join(shares, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("key") == F.col("s_key")) & (F.col("item_id") == F.col("s_item")), "left")
+    checked = checked.withColumn("consistent", F.when(F.col("windows") == F.col("n"), F.col("forward")).otherwise(F.col("consistent")))
     checked = checked.filter(F.coalesce("consistent", F.lit(1.0)) >= LEAST_CONSISTENT)
     return plain.unionByName(checked.select("doc_id", "key", "item_id", "windows", (F.col("windows") / F.col("n")).alias("share"), "consistent"))
 

@@ -520,13 +520,75 @@ def test_grades_are_binned_with_both_ends():
     assert quality.binned(counts[:5]) == counts[:5]
 
 
-def test_slots_are_consistent_both_ways(spark):
+def test_slots_of_one_value_and_contradicting_slots(spark):
     item = "A train leaves Paris at 7 and another leaves Rome at 9 while a third waits in Paris until 7 and then goes on to Rome by 9 oclock sharp"
     swap = lambda *v: item.replace("Paris", v[0]).replace("Rome", v[1]).replace("7", v[2]).replace("9", v[3])
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     mixed = item.replace("Paris", "Oslo").replace("Rome", "Oslo").replace("7", "4").replace("9", "4")
-    docs = spark.createDataFrame([(1, swap("Oslo", "Bern", "3", "5")), (2, mixed), (3, "a plain text of no matter")], DOCS)
-    assert {r.doc_id for r in decontaminate.contaminated(docs, bench).collect()} == {1}
+    torn = item.replace("Paris", "Oslo", 1).replace("Paris", "Bern").replace("Rome", "Lima", 1).replace("Rome", "Wien").replace("7", "1", 1).replace("7", "2").replace("9", "3", 1).replace("9", "4")
+    docs = spark.createDataFrame([(1, swap("Oslo", "Bern", "3", "5")), (2, mixed), (3, "a plain text of no matter"), (4, torn)], DOCS)
+    assert {r.doc_id for r in decontaminate.contaminated(docs, bench).collect()} == {1, 2}
+    pears = "the shop sells 5 red apples on monday and then it sells 7 green pears on friday"
+    found = decontaminate.contaminated(spark.createDataFrame([(1, pears.replace("5", "3").replace("7", "3")), (2, pears.replace("5", "4").replace("7", "9"))], DOCS), spark.createDataFrame([(1, pears)], "item_id long, text string"))
+    assert {(r.doc_id, r.share) for r in found.collect()} == {(1, 1.0), (2, 1.0)}
+
+
+def test_short_items(spark):
+    bench = spark.createDataFrame([(1, "what is two plus"), (2, "Yes"), (3, "name three"), (4, "5 7"), (5, ""), (6, None), (7, "...")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "so what is two plus three"), (2, "yes"), (3, "yes it is"), (4, "Name three."), (5, "name three rivers"), (6, "6 8"), (7, ""), (8, None), (9, "what is twoplus")], DOCS)
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()} == {(1, 1), (2, 2), (4, 3)}
+
+
+def naive_leaks(docs, items):
+    """Windows of template words compared one by one, for items of plain lower-case words."""
+    words = lambda t: re.findall(r"[a-z]+", t)
+    for d, text in docs:
+        held = words(text)
+        for i, item in items:
+            own = words(item)
+            size = min(8, len(own))
+            windows = {tuple(own[a : a + size]) for a in range(len(own) - size + 1)}
+            found = windows & {tuple(held[a : a + size]) for a in range(len(held) - size + 1)}
+            if len(found) >= 0.5 * len(windows) or len(found) >= 20:
+                yield d, i, len(found), len(found) / len(windows)
+
+
+def test_plain_leaks_against_brute_force(spark):
+    rng = random.Random(5)
+    word = lambda: rng.choice("red green blue apple pear tree house river stone cloud".split())
+    items = [(i, " ".join(word() for _ in range(rng.randint(3, 60)))) for i in range(20)]
+    docs = []
+    for d in range(120):
+        own = items[rng.randrange(20)][1].split()
+        a = rng.randrange(len(own))
+        part = own[a : a + rng.randint(1, len(own))] if d % 3 else own
+        docs.append((d, " ".join([*(word() for _ in range(rng.randint(0, 15))), *part, *(word() for _ in range(rng.randint(0, 15)))])))
+    found = decontaminate.contaminated(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id, r.windows, r.share) for r in found.collect()) == sorted(naive_leaks(docs, items))
+
+
+def test_quality_reads_texts_by_all_their_parts(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    docs = spark.createDataFrame([(i, f"{'good' if i % 2 else 'bad'} text {i}") for i in range(40)], DOCS).repartition(20)
+    assert quality.labelled_features(docs, labels, "quality", 100, 1 << 10).rdd.getNumPartitions() == 20
+    model = quality.fit(docs, labels, dims=1 << 10)
+    rows = quality.labelled_features(docs, labels, "quality", 100, 1 << 10).cache()
+    # the gradient against finite differences of the negative log likelihood
+    def loss(weights, thresholds):
+        total = 0.0
+        for r in rows.collect():
+            x = sum(weights[a] * v for a, v in zip(r["at"], r["value"]))
+            p = 1 / (1 + math.exp(-(thresholds[0] - x)))
+            total -= math.log(p if r["grade"] == 0 else 1 - p)
+        return total
+
+    g, n = quality.gradient(rows.coalesce(8), model)
+    assert n == 40
+    for at in [*np.argsort(-np.abs(model.weights))[:3].tolist(), len(model.weights)]:
+        step = np.zeros(len(model.weights) + 1)
+        step[at] = 1e-3
+        ends = [loss(model.weights + s * step[:-1], model.thresholds + s * step[-1:]) for s in (1, -1)]
+        assert abs((ends[0] - ends[1]) / 2e-3 - g[at]) < 1e-2 * max(1, abs(g[at]))
 
 
 def test_batches_are_cut_by_bytes():
