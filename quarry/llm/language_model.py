@@ -99,17 +99,23 @@ class View:
         self.counts = np.concatenate([[documents, documents], by_number(replies, n, 1)])
         sizes = np.array(self.sizes, np.int64)
         ends = np.cumsum(sizes + 3)
-        self.stream = np.full(int(ends[-1]) if len(ends) else 0, BEGIN, np.int64)
+        # arrays over all tokens take four bytes a number
+        self.stream = np.full(int(ends[-1]) if len(ends) else 0, BEGIN, np.int32)
         self.stream[np.arange(len(sequence)) + np.repeat(3 * np.arange(len(sizes)) + 2, sizes)] = sequence + 2
         self.stream[ends - 1] = END
-        self.at = np.flatnonzero(self.stream != BEGIN)  # positions of tokens
-        self.doc = np.repeat(np.arange(len(sizes)), sizes + 1)
+        self.at = np.flatnonzero(self.stream != BEGIN).astype(np.int32)  # positions of tokens
+        self.doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
 
     def trigrams(self) -> None:
         """u, v, w and counts of the distinct trigrams, ordered by (v, u, w) as numbered here; `which` is each token's."""
         s, at = self.stream, self.at
-        pair, ctx = np.unique(s[at - 1] << 32 | s[at - 2], return_inverse=True)
-        full, self.which = np.unique(ctx << 32 | s[at], return_inverse=True)
+        pair, ctx = np.unique(s[at - 1].astype(np.int64) << 32 | s[at - 2], return_inverse=True)
+        ctx <<= 32
+        ctx |= s[at]
+        full, which = np.unique(ctx, return_inverse=True)
+        del ctx
+        self.which = which.astype(np.int32)
+        del which
         self.v, self.u, self.w = pair[full >> 32] >> 32, pair[full >> 32] & 0xFFFFFFFF, full & 0xFFFFFFFF
         train = np.array(self.marks)[self.doc] == 1
         self.times = np.bincount(self.which[train], minlength=len(full))
