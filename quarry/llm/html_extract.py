@@ -2,8 +2,9 @@
 
 Paragraphs pass points for their length and commas to their parent and, halved, on to the ancestors; a container's
 points are discounted by the share of its text that lies in links. The best container and those of its siblings that aren't mostly links
-are kept, without what is no article text: menus, headers, footers, sidebars, notices, adverts, forms, comments of readers. Names (class, id, role) and
-forms never take away what holds an article or main element, or most of the page's text.
+are kept, without what is no article text: menus, headers, footers, sidebars, notices, adverts, forms, comments of readers. What is named as comments goes
+wherever it stands and whatever it holds, unless the page has no other text. Other names (class, id, role) and forms take away an element unless the best
+container lies in it and nothing outside comes near its points. Articles in containers of their own are joined if their points come near the best one's.
 Pages are judged one by one where they lie, without a shuffle; a page becomes a small tree while it is read, in time linear in its length.
 """
 
@@ -37,6 +38,9 @@ NEUTRAL_NAMES = frozenset(
     "list box inner outer wrapper wrap container section block area bar item items links link top bottom left right main site page global primary secondary content module slot unit panel text button buttons"
     " post posts article articles user reader thread card row col column group title heading image img icon icons media the by my sub small large fixed sticky mobile desktop and in of for".split()
 )
+COMMENT_NAMES = frozenset("comment comments commentlist reply replies respond disqus discussion".split())
+#: A container with this share of the best one's points comes near it.
+NEAR = 0.25
 #: Closing one of these elements is implied when such another opens.
 CLOSES_P = BLOCKS - frozenset("br option optgroup body html caption tbody td tfoot th thead tr".split())
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -52,10 +56,10 @@ DEEPEST = 512
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "unwanted", "doubted", "depth", "block", "points", "size", "linked")
+    __slots__ = ("tag", "parent", "items", "unwanted", "doubted", "remark", "depth", "block", "points", "size", "linked")
 
-    def __init__(self, tag: str, parent: Node | None, unwanted: bool = False, doubted: bool = False):
-        self.tag, self.parent, self.unwanted, self.doubted = tag, parent, unwanted, doubted
+    def __init__(self, tag: str, parent: Node | None, unwanted: bool = False, doubted: bool = False, remark: bool = False):
+        self.tag, self.parent, self.unwanted, self.doubted, self.remark = tag, parent, unwanted, doubted, remark
         self.depth = parent.depth + 1 if parent else 0
         self.block = self if tag in BLOCKS else parent.block if parent else None  # the nearest block, itself included
         self.items: list = []
@@ -63,29 +67,34 @@ class Node:
         self.size = self.linked = 0
 
 
-def is_named_unwanted(value: str) -> bool:
-    """Whether one of the names says that an element is no article text: a name all of whose parts are unwanted or neutral words, one at least unwanted."""
+def is_named(value: str, words: frozenset[str]) -> bool:
+    """Whether one of the names is made of unwanted or neutral words only, at least one of them among the given."""
     for name in value.split():
         parts = [p.lower() for p in NAME_PART.findall(name)]
-        if any(p in UNWANTED_NAMES for p in parts) and all(p in UNWANTED_NAMES or p in NEUTRAL_NAMES or len(p) == 1 for p in parts):
+        if any(p in words for p in parts) and all(p in UNWANTED_NAMES or p in NEUTRAL_NAMES or len(p) == 1 for p in parts):
             return True
     return False
 
 
-def judged(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether an element is unwanted for certain, and whether it is so only by its name, role or as a form."""
-    doubted = tag == "form"
+def judged(tag: str, attributes: str) -> tuple[bool, bool, bool]:
+    """Whether an element is unwanted for certain; whether it is so only by its name, role or as a form; whether it is named as readers' comments, as an article may be too."""
+    doubted, remark = tag == "form", False
     if tag in UNWANTED and not doubted:
-        return True, False
+        return True, False, False
     for name, *values in ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), next(filter(None, values), "")
         if name == "hidden" or name == "style" and HIDING.search(value) or name == "aria-hidden" and value.lower() == "true":
-            return True, False
+            return True, False, False
+        if tag in ("body", "html", "main"):
+            continue
         if name == "role" and value.lower() in ROLES:
             doubted = True
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main") and is_named_unwanted(value):
-            doubted = True
-    return False, doubted
+        if name in ("class", "id"):
+            remark = remark or is_named(value, COMMENT_NAMES)
+            doubted = doubted or tag != "article" and is_named(value, UNWANTED_NAMES)
+        elif name == "itemprop" and value == "comment" or name == "itemtype" and value.endswith("/Comment"):
+            remark = True
+    return False, doubted and not remark, remark
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
@@ -196,25 +205,68 @@ def tree(page: str) -> Node:
 
 
 def settle(root: Node) -> None:
-    """Decides the elements in doubt: they are unwanted, unless they hold an article or main element or most of the page's text that isn't unwanted for certain."""
-    held: dict[int, tuple[int, bool]] = {}
-    doubted = []
-    todo = [(root, True)]
-    while todo:
-        node, begins = todo.pop()
-        inner = [x for x in node.items if isinstance(x, Node) and not x.unwanted]
-        if begins:
-            todo.append((node, False))
-            todo += [(x, True) for x in inner]
-            continue
-        size = sum(len(x.strip()) for x in node.items if isinstance(x, str)) + sum(held[id(x)][0] for x in inner)
-        article = any(held[id(x)][1] or x.tag in ("article", "main") for x in inner)
-        held[id(node)] = size, article
-        if node.doubted:
+    """Decides what names, roles and forms leave in doubt; twelve scorings at most, as elements nest at most DEEPEST deep."""
+    doubted, remarks = [], []
+    for node, begins in in_order(root):
+        if begins and node.remark:
+            remarks.append(node)
+        elif begins and node.doubted:
             doubted.append(node)
+    for node in remarks:
+        node.unwanted = True
+    if remarks and best_of(score(root)) is None:
+        for node in remarks:
+            node.unwanted = False
+    if not doubted or (best := best_of(score(root))) is None:
+        return
+    points, chain, marked, holds = best.points, [], set(), False
+    for node in around_of(best):
+        holds = holds or node.tag in ("article", "main")
+        if node.doubted:
+            chain.insert(0, node)
+            if holds:
+                marked.add(id(node))
     for node in doubted:
-        size, article = held[id(node)]
-        node.unwanted = not article and 2 * size <= held[id(root)][0]
+        node.unwanted = True
+    for node in chain:
+        node.unwanted = False
+    # the further in, the more lies outside: the outermost element goes that has a rival outside
+    low, high = 0, len(chain)
+    while low < high:
+        middle = (low + high) // 2
+        chain[middle].unwanted = True
+        rival = best_of(score(root))
+        chain[middle].unwanted = False
+        need = 1.0 if id(chain[middle]) in marked and rival is not None and not is_marked(rival) else NEAR
+        if rival is not None and rival.points >= need * points:
+            high = middle
+        else:
+            low = middle + 1
+    if low < len(chain):
+        chain[low].unwanted = True
+
+
+def around_of(node: Node) -> Iterator[Node]:
+    """An element and those around it, outwards."""
+    while node is not None:
+        yield node
+        node = node.parent
+
+
+def is_marked(node: Node) -> bool:
+    """Whether it is, or lies in, an article or main element."""
+    return any(n.tag in ("article", "main") for n in around_of(node))
+
+
+def best_of(found: list[Node]) -> Node | None:
+    """The container with most points, in the article or main element with most points if there are any; None without points."""
+    marked = [n for n in found if n.tag in ("article", "main") and n.points > 0]
+    if marked:
+        top = max(marked, key=lambda n: n.points)
+        within = {id(n) for n, begins in in_order(top) if begins}
+        found = [n for n in found if id(n) in within]
+    best = max(found, key=lambda n: n.points, default=None)
+    return best if best is not None and best.points > 0 else None
 
 
 def in_order(node: Node) -> Iterator[tuple[Node, bool]]:
@@ -235,6 +287,7 @@ def score(root: Node) -> list[Node]:
     for node, begins in in_order(root):
         if begins:
             links += node.tag == "a"
+            node.points, node.size, node.linked = 0.0, 0, 0
             continue
         texts = [x for x in node.items if isinstance(x, str)]
         own = sum(len(x.strip()) for x in texts)
@@ -278,6 +331,18 @@ def blocks_of(node: Node) -> Iterator[str]:
     yield "".join(held)
 
 
+def outermost(root: Node, chosen: set[int]) -> list[Node]:
+    """The chosen wanted elements in page order, without those inside others of them."""
+    out, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if id(node) in chosen:
+            out.append(node)
+        else:
+            todo += [x for x in reversed(node.items) if isinstance(x, Node) and not x.unwanted]
+    return out
+
+
 def main_text(page: str | None) -> str:
     """The article of a page: blocks joined by a line feed, white space in a block made one space, character references decoded; empty if there is none."""
     if not page:
@@ -292,7 +357,10 @@ def main_text(page: str | None) -> str:
         # articles of one main element, or side by side, belong together
         if best.parent is not None and best.parent.tag in ("article", "main"):
             best = best.parent
-        kept = [n for n in (best.parent.items if best.parent is not None else [best]) if isinstance(n, Node) and not n.unwanted and (n is best or n.tag in ("article", "main"))]
+        beside = {id(n) for n in (best.parent.items if best.parent is not None else ()) if isinstance(n, Node) and n.tag in ("article", "main")}
+        holders = {id(n) for n in around_of(best)}
+        near = {id(n) for n in marked if n.points >= NEAR * best.points and id(n) not in holders}
+        kept = outermost(root, beside | near | {id(best)})
     else:
         best = max(found, key=lambda n: n.points)
         # whatever lies beside the best container, in page order, unless it is mostly links

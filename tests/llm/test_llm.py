@@ -442,6 +442,22 @@ PLAIN = LONG.strip()
         (f"<main><article><p>{LONG}</p></article><article><p>Second.</p></article></main>", f"{PLAIN}\nSecond."),
         (f"<body><h1>Title</h1><div><p>{LONG}</p><p>{LONG}</p></div><ul><li>one</li></ul></body>", f"Title\n{PLAIN}\n{PLAIN}\none"),
         (f'<body><div id="nav-bar"><a href=x>Menu</a></div><p>{LONG}</p><form><p>Your name</p></form></body>', PLAIN),
+        (f'<main><article><p>{LONG}</p></article><section class="comments"><article class="comment"><p>{LONG}</p></article><article><p>{LONG}{LONG}</p></article></section></main>', PLAIN),
+        (f'<main><article><p>{LONG}</p></article><article class="comment byuser"><p>{LONG}</p></article></main>', PLAIN),
+        (f'<article><p>{LONG}</p><article itemtype="https://schema.org/Comment"><p>{LONG}</p></article></article>', PLAIN),
+        (f'<article><p>{LONG}</p><div class="comments">' + f"<p>{LONG}</p>" * 9 + "</div></article>", PLAIN),
+        (f'<article><p>{LONG}</p></article><div id="comments">' + f"<p>{LONG}</p>" * 9 + "</div>", PLAIN),
+        (f'<div class="content"><p>{LONG}</p></div><article class="comment"><p>{LONG}</p></article>', PLAIN),
+        (f'<article class="comment"><p>{LONG}</p></article>', PLAIN),
+        (f'<div class="discussion"><p>{LONG}</p></div>', PLAIN),
+        (f"<div><article><p>{LONG}</p></article></div><div><p>ad</p></div><div><article><p>{LONG}</p></article></div>", f"{PLAIN}\n{PLAIN}"),
+        (f"<div><article><p>{LONG}</p></article></div><div><article><p>A teaser.</p></article></div>", PLAIN),
+        (f'<main><p>Before.</p><div><article><p>{LONG}</p></article></div></main>', PLAIN),
+        (f"<form><div><p>{LONG}</p><p>{LONG}</p></div></form><div><p>Copyright</p></div>", f"{PLAIN}\n{PLAIN}"),
+        (f'<form><div class="text"><p>{LONG}</p></div><div class="sidebar"><div><p>{LONG}{LONG}</p></div></div></form>', PLAIN),
+        (f'<div class="sidebar"><p>{LONG}{LONG}</p></div><div class="text"><p>{LONG}</p></div>', PLAIN),
+        (f'<div class="text"><p>{LONG}</p></div><div class="related"><article><p>A teaser.</p></article></div>', PLAIN),
+        (f'<div class="page-header-content"><p>{LONG}</p></div>', PLAIN),
         ("<p>a &lt; b &amp;&#x20;c<!-- no --> <script>x</script>d", "a < b & c d"),
         ("1 < 2 <b>and</b> <", "1 < 2 and <"),
     ],
@@ -450,7 +466,7 @@ def test_odd_pages(page, want):
     assert html_extract.main_text(page) == want
 
 
-@pytest.mark.parametrize("page", ['<a "' * 250_000, "<div>" * 8_000 + "</p></b>" * 100_000, "<p><tbody>" + "<b>" * 90_000 + "<hr>" * 150_000, "<noscript>" * 100_000, "<!" * 500_000, "<div>" * 90_000 + "x" + "</div>" * 90_000, "<a '\">\"" * 150_000])
+@pytest.mark.parametrize("page", ['<a "' * 250_000, "<div>" * 8_000 + "</p></b>" * 100_000, "<p><tbody>" + "<b>" * 90_000 + "<hr>" * 150_000, "<noscript>" * 100_000, "<!" * 500_000, "<div class=menu>" * 60_000 + "<p>x" * 100_000, ("<form>" + "<p>text, text") * 40_000, "<article><div class=comment>" * 30_000 + "x", "<div>" * 90_000 + "x" + "</div>" * 90_000, "<a '\">\"" * 150_000])
 def test_hostile_pages_take_linear_time(page):
     began = time.process_time()
     html_extract.main_text(page)
