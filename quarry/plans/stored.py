@@ -193,6 +193,16 @@ def u7_consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("name", "outcome").join(sizes[0].unionByName(sizes[1]), "name", "left")
 
 
+@register("u7_incremental", BATCHES + "SELECT DISTINCT id, name, nullif(segment, '') AS segment, nation FROM raw")
+def u7_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that land one after another, each run reading the files of the last one only."""
+    folder, root = new_path(spark, "batches"), new_path(spark, "clean")
+    for i, batch in enumerate(S.customer_batches(spark, sf_dir)):
+        W.write_table(batch, f"{folder}/batch={i + 1}")
+        U.consolidate_new(spark, folder, "*", root, "id", blank_as_null=True)
+    return spark.read.option("mergeSchema", True).parquet(f"{root}/clean")
+
+
 # Streams ------------------------------------------------------------------------------------------------------------
 
 

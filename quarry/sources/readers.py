@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import csv
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.schemas import RELATIONSHIP
+from quarry.sources.batches import aligned, list_files, read_headers
+from quarry.sources.scratch import staged
 
 EVENT = "seq bigint, token string, signature string, body string"
 
@@ -36,34 +35,20 @@ def read_revision_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("quote bigint, revision bigint").json(path, multiLine=True).select("quote", "revision")
 
 
-def read_batches(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
+def read_batches(spark: SparkSession, path: str | list[str], pattern: str = "*.csv") -> DataFrame:
     """CSV files with headers, all columns strings, aligned by name; with file and _corrupt_record (a row that doesn't fit its header).
 
-    Files are grouped by header first, and each group is read with its own columns; the distinct headers are few. The list of files is on
-    the driver, where Spark's own listing has it too. Raises FileNotFoundError where no file matches.
+    path is a folder, or a list of files. Tasks read the headers from the files' first bytes; the rows are read once. Empty files count for nothing.
+    Raises FileNotFoundError where no file matches or all are empty.
     """
     from quarry.sources.writers import exists
 
-    if not exists(spark, path):
+    if isinstance(path, str) and not exists(spark, path):
         raise FileNotFoundError(f"no folder {path}")
-    lines = spark.read.text(path, pathGlobFilter=pattern, lineSep="\n", wholetext=False).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
-    # the first line of a file is the first row of its first block
-    first = lines.filter("at = 0").groupBy("file").agg(F.first("value").alias("header"))
-    headers: dict[str, list[str]] = {}
-    for r in first.select(F.regexp_replace("header", "^\ufeff|\r$", "").alias("header"), "file").collect():
-        headers.setdefault(r["header"], []).append(r["file"])
-    groups = []
-    for header, files in sorted(headers.items()):
-        columns = next(csv.reader([header]), [])
-        schema = ", ".join(f"`{c}` string" for c in [*columns, "_corrupt_record"])
-        read = spark.read.schema(schema).option("columnPruning", False).csv(files, header=True, multiLine=True, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", enforceSchema=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-        # all cells are referred to (the remainder is always 0), as Spark refuses to read the corrupt column alone
-        touched = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in columns)), F.lit(1)) == 0
-        corrupt = F.when(F.col("_corrupt_record").isNotNull() & touched, F.col("_corrupt_record"))
-        groups.append(read.withColumn("file", F.col("_metadata.file_path")).withColumn("_corrupt_record", corrupt))
-    if not groups:
-        raise FileNotFoundError(f"no file matches {pattern} in {path}")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)
+    headers = staged(read_headers(list_files(spark, path, pattern)), "headers")
+    if (rows := aligned(spark, path, pattern, headers)) is None:
+        raise FileNotFoundError(f"no file with a header matches {pattern} in {path}")
+    return rows
 
 
 def read_events(spark: SparkSession, path: str, schema: str = EVENT, files_per_trigger: int = 100) -> DataFrame:

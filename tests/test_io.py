@@ -1,6 +1,7 @@
 """Readers, writers and streams, written and read back in a temporary folder."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from quarry.operators import consolidate as U
 from quarry.operators import flatten as P
 from quarry.operators import model as M
 from quarry.sources import live_tables as L
+from quarry.sources import batches as B
 from quarry.sources import readers as R
 from quarry.sources import writers as W
 from quarry.streaming.live import LiveTables, latest_by_key
@@ -58,6 +60,57 @@ def test_mixed_batches_and_bad_files(spark, tmp_path):
         R.read_batches(spark, f"file://{tmp_path}", "nothing_*.csv")
 
 
+def test_headers_of_files(spark, tmp_path):
+    (tmp_path / "a b").mkdir()
+    (tmp_path / "a b/1.csv").write_text('\ufeffid,"two\nlines",c\n1,,x\n2,"",y\n')
+    (tmp_path / "a b/2.csv").write_text('c,id\r\nz,3\r\n"q,""r""",\r\n')
+    (tmp_path / "a b/3.csv").write_text("")
+    (tmp_path / "a b/4.csv").write_text("id")
+    (tmp_path / "a b/5.csv").write_text("id\n7\n8,9\n")
+    (tmp_path / "a b/6.csv").write_text("id,c\n5\n")
+    wide = ",".join(f"column_{i:06d}" for i in range(7_000))  # longer than what is read at first
+    assert B.first_record(wide, False) is None and len(B.first_record(wide, True)) == 7_000
+    (tmp_path / "wide.csv").write_text(wide + "\n")
+    assert len(B.header_of(f"file:{tmp_path}/wide.csv")) == 7_000
+    rows = R.read_batches(spark, f"file://{tmp_path}/a b").collect()
+    good = sorted((str((r["id"], r["two\nlines"], r["c"])) for r in rows if r._corrupt_record is None))
+    assert good == sorted(map(str, [("1", None, "x"), ("2", None, "y"), ("3", None, "z"), (None, None, 'q,"r"'), ("7", None, None)]))
+    assert sorted((r.file[-5], r._corrupt_record) for r in rows if r._corrupt_record) == [("5", "8,9"), ("6", "5")]
+    (tmp_path / "a b/9.csv").write_text("id,id\n1,2\n")
+    with pytest.raises(ValueError):
+        R.read_batches(spark, f"file://{tmp_path}/a b")
+
+
+def test_consolidation_by_increments(spark, tmp_path):
+    base, folder = f"file://{tmp_path}", tmp_path / "in"
+    run = lambda: tuple(U.consolidate_new(spark, f"{base}/in", "*.csv", f"{base}/out", "id").first())
+    table = lambda: sorted(str((r.id, r.v, r.asDict().get("w"))) for r in spark.read.option("mergeSchema", True).parquet(f"{base}/out/clean").collect())
+    assert run() == ("nothing", 0, 0, 0)
+    folder.mkdir()
+    (folder / "a 1.csv").write_text("id,v\n1, a\n2,b\n2,b\n,n\n")
+    (folder / "bad.csv").write_text("id,v\n9,z\n9,z,z\n")
+    assert run() == ("added", 2, 4, 3)
+    assert run() == ("nothing", 0, 0, 0)
+    was = (folder / "a 1.csv").read_text(), (folder / "a 1.csv").stat()
+    (folder / "a 1.csv").write_text(was[0].replace("2,b", "2,x"))  # as large and as old: the next run must not read it
+    os.utime(folder / "a 1.csv", ns=(was[1].st_atime_ns, was[1].st_mtime_ns))
+    (folder / "b.csv").write_text("w,id,v\n,2,b\nq,2,b\n,3,c\n,,n\n,,m\n")
+    assert run() == ("added", 1, 5, 3)
+    (folder / "a 1.csv").write_text(was[0])
+    os.utime(folder / "a 1.csv", ns=(was[1].st_atime_ns, was[1].st_mtime_ns))
+    whole = sorted(str((r.id, r.v, r.w)) for r in U.clean([U.drop_bad_files(R.read_batches(spark, f"{base}/in")).drop("file")]).collect())
+    assert table() == whole and len(whole) == 6
+    (folder / "c.csv").write_text("")
+    assert run() == ("nothing", 0, 0, 0)  # Spark doesn't list empty files
+    (folder / "bad.csv").write_text("id,v\n9,z\n")
+    assert run() == ("rebuilt", 3, 10, 7) and "('9', 'z', None)" in table()
+    for name in ("a 1.csv", "b.csv", "bad.csv", "c.csv"):
+        (folder / name).unlink()
+    (folder / "d.csv").write_text("id\n")
+    assert run()[0] == "rebuilt" and not (tmp_path / "out/clean").exists()
+    assert run() == ("nothing", 0, 0, 0)
+
+
 def test_pair_ledger_passthrough(spark, tmp_path):
     good, bad = P.split_bad(docs(spark, {"number": 1, "order_items": [{"id": 5}, {"id": 6}]}, "{bad"), "order_items")
     assert W.write_pair(P.order_headers(P.parse(good)), P.order_items(good), f"{tmp_path}/o", f"{tmp_path}/i", "orders", "order_items", shared=good) == (True, True)
