@@ -7,8 +7,9 @@ Equal strings choose alike, so positions with one choice form a block, ranked as
 2. by the whole block with the 400 bytes of its last string: repeated ones are done, all their strings are repeated;
 3. the rest, at the edges of repeats, by each of their 400-byte strings among blocks of equal first rank, sorted by
    what stands before the chosen position. Strings that agree to the left are neighbours, so only those that agree with the end of a batch stay undecided; they
-   are sorted by what follows, and what is then still undecided is counted by its hash.
-Ranks of 1 and 2 are names by hash, counted by shuffles; steps 2 and 3 compare 128 bits. Matches never cross documents.
+   are sorted by what follows, and what is then still undecided is counted by its digest.
+Ranks of 1 are names by a polynomial hash, which only has to bring equal strings together; steps 2 and 3 compare BLAKE2b digests of 128 bits, as no one can make two
+strings of one digest. Blocks of a periodic passage repeat their neighbours: all but two become one row, so equal bytes don't make a block per byte. Matches never cross documents.
 """
 
 from __future__ import annotations
@@ -40,31 +41,37 @@ def scrambled(x: np.ndarray) -> np.ndarray:
 
 
 class Hasher:
-    """Hashes of byte strings out of sums over all bytes before, for whole arrays of bounds."""
+    """Hashes of byte strings out of sums over all bytes before, for whole arrays of bounds. Equal strings have equal hashes; unlike ones may be made to collide."""
 
-    BASES = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
+    BASE = 0x5851F42D4C957F2D
 
     def __init__(self):
-        self.values = [scrambled(np.arange(256, dtype=np.uint64) + np.uint64(salt)) for salt in (1000, 2000)]
-        self.powers: list[np.ndarray] = []
+        self.values = scrambled(np.arange(256, dtype=np.uint64) + np.uint64(1000))
+        self.powers = self.inverse = np.zeros(0, np.uint64)
 
     def grow(self, n: int) -> None:
-        if not self.powers or len(self.powers[0]) < n:
-            self.powers = []
-            for base in (*self.BASES, *(pow(b, -1, 1 << 64) for b in self.BASES)):
-                steps = np.full(max(n, PIECE + 2 * LENGTH), base, np.uint64)
-                steps[0] = 1
-                self.powers.append(np.multiply.accumulate(steps))
-
-    def sums(self, data: np.ndarray, which: int) -> np.ndarray:
+        if len(self.powers) < n:
+            steps = np.full((2, max(n, PIECE + 2 * LENGTH)), self.BASE, np.uint64)
+            steps[1] = pow(self.BASE, -1, 1 << 64)
+            steps[:, 0] = 1
+            self.powers, self.inverse = np.multiply.accumulate(steps, axis=1)
+
+    def sums(self, data: np.ndarray) -> np.ndarray:
         n = len(data)
         self.grow(n + 1)
         out = np.zeros(n + 1, np.uint64)
-        np.cumsum(self.values[which][data] * self.powers[which][:n], out=out[1:])
+        np.cumsum(self.values[data] * self.powers[:n], out=out[1:])
         return out
 
-    def of(self, sums: np.ndarray, which: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return scrambled((sums[ends] - sums[starts]) * self.powers[2 + which][starts] + (ends - starts).astype(np.uint64))
+    def of(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return scrambled((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+
+
+def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Two numbers each: BLAKE2b of the bytes between the bounds."""
+    view = memoryview(data)
+    found = b"".join(hashlib.blake2b(view[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist()))
+    return np.frombuffer(found, np.int64).reshape(-1, 2)
 
 
 def least_of_next(keys: np.ndarray, width: int) -> np.ndarray:
@@ -80,23 +87,50 @@ def least_of_next(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def blocks(text: bytes, hasher: Hasher, stems_only: bool = False) -> Iterator[tuple[np.ndarray, ...]]:
-    """Of each piece of a text: stem, both block hashes, start and number of positions of its blocks."""
+    """Of each piece of a text: stem, both halves of the block's digest, start and number of positions of its blocks, and the place of the choice in it.
+
+    Of neighbours that are equal, the first two come; the others, whose strings are all repeated, come as one row with the place -1.
+    """
     for at in range(0, len(text) - LENGTH + 1, PIECE):
         data = np.frombuffer(text, np.uint8, min(PIECE + LENGTH - 1, len(text) - at), at)
         count = len(data) - LENGTH + 1
-        sums = hasher.sums(data, 0)
+        sums = hasher.sums(data)
         grams = np.arange(count + CHOICE - 1)
-        keys = (hasher.of(sums, 0, grams, grams + GRAM) & np.uint64(0xFFFFFFFF00000000)) | grams.astype(np.uint64)
+        keys = (hasher.of(sums, grams, grams + GRAM) & np.uint64(0xFFFFFFFF00000000)) | grams.astype(np.uint64)
         chosen = (least_of_next(keys, CHOICE) & np.uint64(0xFFFFFFFF)).astype(np.int64)
         starts = np.flatnonzero(np.diff(chosen, prepend=-1))
         chosen = chosen[starts]
-        stem = hasher.of(sums, 0, chosen, chosen + STEM)
+        stem = hasher.of(sums, chosen, chosen + STEM).view(np.int64)
         if stems_only:
-            yield (stem.view(np.int64),)
+            again = np.zeros(len(stem), bool)  # that a stem has more than two holders in a row tells no more
+            again[2:] = (stem[2:] == stem[1:-1]) & (stem[1:-1] == stem[:-2])
+            yield (stem[~again],)
             continue
-        ends = np.append(starts[1:], count) - 1 + LENGTH
-        more = hasher.sums(data, 1)
-        yield stem.view(np.int64), hasher.of(sums, 0, starts, ends).view(np.int64), hasher.of(more, 1, starts, ends).view(np.int64), starts + at, ends - LENGTH + 1 - starts, chosen - starts
+        n = np.diff(starts, append=count)
+        ends = starts + n - 1 + LENGTH
+        again = equal_to_previous(data, hasher.of(sums, starts, ends), starts, n, ends, chosen - starts)
+        again[1:] &= again[:-1].copy()
+        kept = np.flatnonzero(~again)
+        whole = digests(data, starts[kept], ends[kept])
+        yield stem[kept], whole[:, 0], whole[:, 1], starts[kept] + at, n[kept], (chosen - starts)[kept]
+        if again.any():
+            first = np.flatnonzero(again & ~np.append(False, again[:-1]))
+            last = np.flatnonzero(again & ~np.append(again[1:], False))
+            nothing = np.zeros(len(first), np.int64)
+            yield stem[first], nothing, nothing, starts[first] + at, starts[last] + n[last] - starts[first], nothing - 1
+
+
+def equal_to_previous(data: np.ndarray, hashes: np.ndarray, starts: np.ndarray, n: np.ndarray, ends: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """Whether each block equals the one before, by its bytes; the hash only tells where to look."""
+    again = np.zeros(len(starts), bool)
+    again[1:] = (hashes[1:] == hashes[:-1]) & (n[1:] == n[:-1]) & (offset[1:] == offset[:-1])
+    first = np.flatnonzero(again & ~np.append(False, again[:-1]))
+    last = np.flatnonzero(again & ~np.append(again[1:], False))
+    for a, b in zip(first.tolist(), last.tolist()):  # all blocks from a - 1 to b are equal if these bytes have the period n
+        low, high, period = starts[a - 1], ends[b], n[a]
+        if not np.array_equal(data[low : high - period], data[low + period : high]):
+            again[a : b + 1] = False
+    return again
 
 
 def all_stems(docs: DataFrame) -> DataFrame:
@@ -206,9 +240,13 @@ def judge(found: DataFrame, side: str) -> DataFrame:
         row = np.repeat(np.arange(len(rows)), n)
         offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         places = np.repeat(begin, n) + offset
-        h1, h2 = (hasher.of(hasher.sums(data, w), w, places, places + LENGTH) for w in (0, 1))
-        _, code = np.unique(np.stack([h1, h2], 1).view([("a", np.uint64), ("b", np.uint64)]).ravel(), return_inverse=True)
+        _, code = np.unique(hasher.of(hasher.sums(data), places, places + LENGTH), return_inverse=True)
         code = code.ravel()
+        # strings with one hash are told apart by their digests
+        alike = np.flatnonzero(np.bincount(code)[code] > 1)
+        if len(alike):
+            _, told = np.unique(digests(data, places[alike], places[alike] + LENGTH).view([("a", np.int64), ("b", np.int64)]).ravel(), return_inverse=True)
+            code[alike] = told.ravel() + len(code)
         repeated = np.bincount(code)[code] > 1
         out = []
         at = np.flatnonzero(repeated)
@@ -236,12 +274,14 @@ def judge(found: DataFrame, side: str) -> DataFrame:
             for i in ends_of:
                 own = slice(starts[i], starts[i] + n[i])
                 open_[own], done[own] = (np.unpackbits(np.frombuffer(rows[i][x], np.uint8), count=n[i]).astype(bool) for x in ("open", "done"))
-            for i in np.flatnonzero(open_ & beyond & ~repeated).tolist():
+            asking = np.flatnonzero(open_ & beyond & ~repeated)
+            for i, (h1, h2) in zip(asking.tolist(), digests(data, places[asking], places[asking] + LENGTH).tolist()):
                 r = rows[row[i]]
-                out.append((r["stem"], r["doc_id"], r["key"], r["start"], None, None, None, None, int(h1[i].view(np.int64)), int(h2[i].view(np.int64)), r["start"] + int(offset[i])))
+                out.append((r["stem"], r["doc_id"], r["key"], r["start"], None, None, None, None, h1, h2, r["start"] + int(offset[i])))
             partners = np.flatnonzero(beyond & (repeated | done))
-            for i in partners[np.unique(code[partners], return_index=True)[1]].tolist():
-                out.append((None, None, None, None, None, None, None, None, int(h1[i].view(np.int64)), int(h2[i].view(np.int64)), None))
+            partners = partners[np.unique(code[partners], return_index=True)[1]]
+            for h1, h2 in digests(data, places[partners], places[partners] + LENGTH).tolist():
+                out.append((None, None, None, None, None, None, None, None, h1, h2, None))
         whole = pa.int64()
         kinds = (whole, whole, whole, whole, pa.list_(whole), pa.list_(whole), pa.binary(), pa.binary(), whole, whole, whole)
         for at in range(0, len(out), 10_000):
@@ -257,11 +297,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     stems = cut(all_stems(docs).groupBy("stem").agg(F.count("*").alias("holders")).filter("holders > 1").select("stem"), "stems")
     alive = cut(all_blocks(docs).join(stems, "stem"), "alive")
     place = F.struct("doc_id", "key", "start", "n", "offset")
-    whole = alive.groupBy("stem", "b1", "b2").agg(F.count("*").alias("same"), F.min(place).alias("one")).filter("same > 1")
+    whole = alive.filter("offset >= 0").groupBy("stem", "b1", "b2").agg(F.count("*").alias("same"), F.min(place).alias("one")).filter("same > 1")
     whole = cut(whole, "whole")
     told = cut(alive.join(whole.drop("one"), ["stem", "b1", "b2"], "left"), "told")
-    covered = told.filter("same IS NOT NULL").select("doc_id", "key", F.array("start").alias("starts"), F.array(F.col("start") + F.col("n") - 1 + LENGTH).alias("ends"))
-    edges = told.filter("same IS NULL").select("stem", "doc_id", "key", "start", "n", "offset")
+    covered = told.filter("same IS NOT NULL OR offset < 0").select("doc_id", "key", F.array("start").alias("starts"), F.array(F.col("start") + F.col("n") - 1 + LENGTH).alias("ends"))
+    edges = told.filter("same IS NULL AND offset >= 0").select("stem", "doc_id", "key", "start", "n", "offset")
     # a string at an edge may be repeated inside a block that is repeated as a whole: one of each such block is a partner
     partners = whole.join(edges.select("stem").distinct(), "stem", "left_semi").select("stem", "one.*")
     at = edges.unionByName(partners).groupBy("doc_id", "key").agg(F.collect_list(F.struct("stem", "start", "n", "offset")).alias("at"))

@@ -354,6 +354,28 @@ def test_repeated_strings(spark, monkeypatch, seed, batch):
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got), key=str) == brute_repeats(rows)
 
 
+def test_periodic_and_crafted_strings(spark):
+    """Passages of many periods, alone and shared, and pairs that collide under any polynomial modulo a power of two."""
+    rnd = random.Random(9)
+    noise = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    rows = [(i, noise(50) + (noise(period) * 3000)[: rnd.randint(401, 1500) + period] + noise(80)) for i, period in enumerate([1, 1, 2, 3, 7, 50, 150, 161, 300, 399, 400, 401])]
+    ridge = "=-" * 700
+    rows += [(20, noise(90) + ridge), (21, ridge[:401] + noise(90)), (22, "x" + ridge[:400] + "y"), (23, " " * 399), (24, " " * 400), (25, " " * 402 + "e" + " " * 402), (26, "\n" * 401), (27, "-" * 400), (28, "q" + "\n" * 1000 + "r" + "\n" * 1000)]
+    morse = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    swapped = morse.translate(str.maketrans("ab", "ba"))
+    for width in (512, 1024, 2048):
+        for i, text in enumerate((morse[:width], swapped[:width])):
+            rows.append((width + i, f"{width:05d}" * 6 + text + f"{width:05d}" * 6))
+    got = suffix_dedup.repeat_digests(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got), key=str) == brute_repeats(rows)
+
+
+def test_equal_bytes_make_few_blocks():
+    for text in (b" " * 3_000_000, b"ab" * 1_500_000):
+        assert sum(len(b[0]) for b in suffix_dedup.blocks(text, suffix_dedup.Hasher())) < 100
+        assert sum(len(b[0]) for b in suffix_dedup.blocks(text, suffix_dedup.Hasher(), True)) < 100
+
+
 def test_no_documents_no_repeats(spark):
     assert suffix_dedup.repeat_digests(spark.createDataFrame([], DOCS)).count() == 0
     assert [bytes(r.kept) for r in suffix_dedup.without_repeats(spark.createDataFrame([(1, "a")], DOCS)).collect()] == [b"a"]
