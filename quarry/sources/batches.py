@@ -53,14 +53,16 @@ def header_of(uri: str) -> list[str] | None:
 
 
 def read_headers(files: DataFrame) -> DataFrame:
-    """file, header (array) of every file that isn't empty. Tasks read the heads; files tells size, from which the number of tasks doesn't depend."""
+    """file, header (array) of every file that isn't empty. Tasks read the heads, as many tasks as a shuffle has partitions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column("file").to_pylist()
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([header_of(n) for n in names], pa.list_(pa.string()))], ["file", "header"])
 
-    return files.select("file").mapInArrow(run, "file string, header array<string>").filter("header IS NOT NULL")
+    # a list of files is small for what reading them costs, so its partitions are numbered, which keeps Spark from merging them
+    dealt = files.select("file").repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "file")
+    return dealt.mapInArrow(run, "file string, header array<string>").filter("header IS NOT NULL")
 
 
 def aligned(spark: SparkSession, paths: str | list[str], pattern: str, headers: DataFrame) -> DataFrame | None:
