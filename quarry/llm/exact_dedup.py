@@ -13,13 +13,15 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .common import cut, free_name, is_empty, map_arrow, struct, with_row_bytes
 
+#: Digests of a shard; one takes some 280 bytes in memory.
+SHARD_ROWS = 400_000
 CHANGE = struct(("digest", "binary"), ("n_bytes", "bigint"), ("keep_id", "bigint"), ("n", "bigint"), ("deleted", "boolean"))
 LIVE = struct(("digest", "binary"), ("n_bytes", "bigint"), ("keep_id", "bigint"), ("n", "bigint"))
 
@@ -144,9 +146,16 @@ def combined(rows: DataFrame, most: int = 200_000) -> DataFrame:
     return map_arrow(rows.select("doc_id", "digest", "n_bytes"), run, CHANGE)
 
 
-def apply_changes(changes: DataFrame, live: DataFrame | None = None) -> DataFrame:
+def shards_for(spark: SparkSession, rows: int) -> int | None:
+    """Shards that keep each at SHARD_ROWS digests or fewer, by and large; None where Spark's own number of partitions does."""
+    needed = -(-rows // SHARD_ROWS)
+    return needed if needed > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def apply_changes(changes: DataFrame, live: DataFrame | None = None, shards: int | None = None) -> DataFrame:
     """The live keys after the changes: one row (digest, n_bytes, keep_id, n) per live digest.
 
+    A task holds the digests of its shard in memory; shards is their number (see shards_for), Spark's own if None.
     live holds the index so far (the result of an earlier call). A deletion removes its digest whole; deletions in a
     call are applied after its insertions. Insertions of one digest add up n and keep the largest keep_id; null ids count least.
     """
@@ -179,7 +188,7 @@ def apply_changes(changes: DataFrame, live: DataFrame | None = None) -> DataFram
     def rows_of(block: list[list]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*block), (pa.binary(), pa.int64(), pa.int64(), pa.int64()))], LIVE.names)
 
-    return map_arrow(changes.select(*CHANGE.names).repartition("digest"), run, LIVE)
+    return map_arrow(changes.select(*CHANGE.names).repartition(*([shards] if shards else []), "digest"), run, LIVE)
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -190,7 +199,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     An empty table gives no rows; other columns are ignored.
     """
     rows = cut(with_digest(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")), drop_text=True), "digests")
-    live = apply_changes(combined(rows)).withColumnRenamed("n", "group_size")
+    live = apply_changes(combined(rows), shards=shards_for(docs.sparkSession, rows.count())).withColumnRenamed("n", "group_size")
     # copies of one row (id and text both equal) become one row with a count; few, so that no hot key arises here
     same = rows.groupBy("doc_id", "digest", "n_bytes").count()
     out = same.join(live, ["digest", "n_bytes"]).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("count").cast("int"))))
@@ -204,7 +213,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     digest, size, number = (free_name(docs, n) for n in ("q_digest", "q_bytes", "q_number"))
     marked = with_digest(docs, text_col, digest, size)
     slim = cut(with_digest(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")), drop_text=True), "digests")
-    live = apply_changes(combined(slim)).select(F.col("digest").alias("l_digest"), F.col("keep_id").alias("l_keep"))
+    live = apply_changes(combined(slim), shards=shards_for(docs.sparkSession, slim.count())).select(F.col("digest").alias("l_digest"), F.col("keep_id").alias("l_keep"))
     stay = marked.join(live, F.col(id_col).eqNullSafe(F.col("l_keep")) & (F.col(digest) == F.col("l_digest")), "left_semi")
     one = stay.withColumn(number, F.row_number().over(Window.partitionBy(id_col, digest).orderBy(id_col)))
     return one.filter(F.col(number) == 1).select(*docs.columns)

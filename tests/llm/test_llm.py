@@ -376,6 +376,15 @@ def test_equal_bytes_make_few_blocks():
         assert sum(len(b[0]) for b in suffix_dedup.blocks(text, suffix_dedup.Hasher(), True)) < 100
 
 
+def test_shards_follow_the_rows(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i % 40}") for i in range(100)], DOCS)
+    want = sorted(map(str, exact_dedup.exact_groups(docs).collect()))
+    monkeypatch.setattr(exact_dedup, "SHARD_ROWS", 3)
+    assert exact_dedup.shards_for(spark, 100) == 34 and exact_dedup.shards_for(spark, 9) is None
+    assert sorted(map(str, exact_dedup.exact_groups(docs).collect())) == want and len(want) == 100
+    assert sorted(r.doc_id for r in exact_dedup.drop_copies(docs).collect()) == list(range(60, 100))
+
+
 def test_no_documents_no_repeats(spark):
     assert suffix_dedup.repeat_digests(spark.createDataFrame([], DOCS)).count() == 0
     assert [bytes(r.kept) for r in suffix_dedup.without_repeats(spark.createDataFrame([(1, "a")], DOCS)).collect()] == [b"a"]
