@@ -2,7 +2,7 @@
 
 Each page becomes a request, a response or revisit, and a metadata record; request and metadata name the response by WARC-Concurrent-To.
 Of equal payloads the response with the smallest page id is stored, the others become revisits that refer to it. Spark's
-text writer stores the records (their last line feed is the line's end), gzipped, in files of a bounded number of records.
+text writer stores the records (their last line feed is the line's end), gzipped, in files of a bounded number of bytes.
 Reading takes the records apart by their Content-Length, joins request and metadata to their response, and resolves revisits.
 """
 
@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from .common import cut, map_arrow, new_path, struct
 
 LEAST_REVISIT_BYTES = 100
-RECORDS_PER_FILE = 3_000
+#: Bytes of records, before gzip, at which a file ends; the record at hand still goes into it.
+FILE_BYTES = 32 << 20
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 WRITTEN = struct(("record", "binary"))
@@ -67,8 +68,8 @@ def records_of(page_id: int | None, url: str | None, payload: bytes, digest: str
     ]
 
 
-def write_warc(pages: DataFrame, path: str) -> None:
-    """Writes three records per row of pages (page_id, url, html) below path, which all executors must reach.
+def write_warc(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
+    """Writes three records per row of pages (page_id, url, html) below path, which all executors must reach, in files of at most `file_bytes` and one page's records before gzip.
 
     Of equal payloads of at least 100 bytes, those with the smallest page_id are responses and the others revisits (rows that repeat
     the smallest id are all responses; null ids count last). Null html is an empty payload. An empty table writes no records.
@@ -79,16 +80,26 @@ def write_warc(pages: DataFrame, path: str) -> None:
     first = groups.filter("n > 1").select(F.col("digest").alias("known"), F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url"))
     told = page.join(first, page["digest"] == first["known"], "left").withColumn("revisit", F.col("known").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id")))
 
+    def archive(records: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([b"".join(records)[:-1]], pa.binary())], WRITTEN.names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, held = [], 0
         for batch in batches:
             columns = [batch.column(n).to_pylist() for n in ("page_id", "url", "digest", "first_id", "first_url", "revisit")]
-            out = []
             for page_id, url, digest, first_id, first_url, revisit, payload in zip(*columns, batch.column("html").cast(pa.large_binary()).to_pylist()):
-                out += records_of(page_id, url, payload, digest, first_id, first_url, revisit)
-            yield pa.RecordBatch.from_arrays([pa.array([r[:-1] for r in out], pa.binary())], ["record"])
-
+                records = records_of(page_id, url, payload, digest, first_id, first_url, revisit)
+                out += records
+                held += sum(map(len, records))
+                if held >= file_bytes:
+                    yield archive(out)
+                    out, held = [], 0
+        if out:
+            yield archive(out)
+
+    # a row is a whole archive, so a file has one
     lines = map_arrow(told.select("page_id", "url", "digest", "first_id", "first_url", "revisit", "html"), run, WRITTEN).select(F.col("record").cast("string").alias("value"))
-    lines.write.option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    lines.write.option("compression", "gzip").option("maxRecordsPerFile", 1).text(path)
 
 
 def parse(archive: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:

@@ -1,6 +1,7 @@
 """The operators for training data against brute force, on small tables with nulls, empty and long texts, ties, repeated rows and clashing names."""
 
 import collections
+import gzip
 import hashlib
 import math
 import random
@@ -169,6 +170,16 @@ def test_warc_repeated_rows_and_payloads(spark, tmp_path):
     assert all(bytes(c.response.payload) == b"p" * 200 and c.request.http.startswith("GET /") for c in captures)
 
 
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    """As 1,000 pages of 2 MB would be: no file holds more than the bound and one page's records, and all come back."""
+    rows = [(i, f"http://h/{i}", f"<p>{i}</p>" + "x" * (20_000 if i % 7 else 90_000)) for i in range(300)]
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2), f"file://{tmp_path}/w", file_bytes=200_000)
+    sizes = [len(gzip.decompress(f.read_bytes())) for f in (tmp_path / "w").glob("*.gz")]
+    assert len(sizes) > 30 and max(sizes) < 200_000 + 92_000
+    captures = warc.assemble(warc.read_records(spark, f"file://{tmp_path}/w")).collect()
+    assert sorted((c.metadata.page_id, c.target_uri, bytes(c.response.payload).decode()) for c in captures) == rows
+
+
 # 6 ------------------------------------------------------------------------------------------------------------------
 
 
