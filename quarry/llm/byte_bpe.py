@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Iterator
 from itertools import accumulate, chain
 
@@ -30,6 +29,7 @@ from .common import map_arrow, struct
 PACKED = struct(("key", "int"), ("block", "bigint"), ("bucket", "int"), ("ids", "array<bigint>"), ("sizes", "array<int>"), ("payload", "binary"))
 TOKENS = struct(("doc_id", "bigint"), ("ids", "array<int>"))
 BLOCK_CHARS = 4 << 20
+MOST_BUCKETS = 4096
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -49,10 +49,10 @@ def share_ranks(spark: SparkSession, path: str, most: int = 1_000_000) -> Broadc
 #: Fixed value: the pattern whose matches the array form below finds; any other pattern is matched by the regex module.
 KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 OTHER, LETTER, NUMBER, SPACE = range(4)
-PIECE_CHARS = 1 << 19
+#: Characters of a text that are taken apart at once, by and large, and those searched at once for a place to cut.
+PIECE_CHARS, SEARCH_CHARS = 1 << 19, 1 << 12
 #: Pre-tokens whose distinct words are taken out at once.
 CHUNK_WORDS = 1 << 16
-LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
 def codes_of(text: str) -> np.ndarray:
@@ -88,6 +88,28 @@ class Splitter:
             steps[0] = 1
             self.powers[i] = np.multiply.accumulate(steps)
 
+    def pieces(self, text: str, most: int | None = None) -> Iterator[str]:
+        """A long text in pieces of some `most` signs whose pre-tokens are those of the text; with a pattern that isn't known it stays whole, and so does a run of one kind of signs.
+
+        A pre-token ends where a letter, number or other sign is followed by another kind, and looks no further, but for an apostrophe before letters. The place after white space is none, as the last of it may stand apart.
+        """
+        at, most = 0, most or PIECE_CHARS
+        while self.regex is None and len(text) - at > most:
+            cut = at + most
+            while cut < len(text):
+                codes = codes_of(text[cut - 1 : cut + SEARCH_CHARS])
+                kind = self.kinds[codes]
+                found = np.flatnonzero((kind[1:] != kind[:-1]) & (kind[:-1] != SPACE) & ~((codes[:-1] == 39) & (kind[1:] == LETTER)))
+                if len(found):
+                    cut += int(found[0])
+                    break
+                cut += SEARCH_CHARS
+            if cut >= len(text):
+                break
+            yield text[at:cut]
+            at = cut
+        yield text[at:]
+
     def bounds(self, text: str, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of the pre-tokens."""
         if self.regex:
@@ -129,15 +151,6 @@ class Splitter:
         return starts, ends, *hashes
 
 
-def pieces_of(text: str) -> Iterator[str]:
-    """A long text in pieces that end where a pre-token does: before a space between two other signs."""
-    at = 0
-    while len(text) - at > PIECE_CHARS and (m := LONE_SPACE.search(text, at + PIECE_CHARS)):
-        yield text[at : m.start()]
-        at = m.start()
-    yield text[at:]
-
-
 def numbered(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words, given by their two hashes, numbered as they first occur: the number of each, and where each number first stands."""
 
@@ -285,7 +298,7 @@ def split_words(docs: DataFrame, pattern: str, buckets: int, block_chars: int =
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 size = 0
-                for piece in pieces_of(text) if text else ():
+                for piece in split.pieces(text) if text else ():
                     starts, *others = split(piece)
                     block_words.add(piece, starts, *others)
                     size += len(starts)
@@ -367,10 +380,14 @@ def reassemble(key: tuple, rows: pa.Table) -> pa.Table:
     return pa.table([pa.array(docs, pa.int64()), pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), pa.array(taken)).cast(pa.list_(pa.int32()))], TOKENS.names)
 
 
+def buckets_for(docs: DataFrame) -> int:
+    """Buckets of words: more than a shuffle has partitions, as a task holds one bucket's words at a time, and as many as tasks read docs, up to MOST_BUCKETS; few otherwise, as small lists of words compress badly."""
+    return max(2 * max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), min(MOST_BUCKETS, docs.rdd.getNumPartitions()))
+
+
 def encode(docs: DataFrame, ranks: Broadcast, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document: doc_id and its token ids. Null texts count as empty and have no ids; repeated rows and ids are kept each."""
-    spark = docs.sparkSession
-    buckets = 2 * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))  # few, as small lists of words compress badly
+    buckets = buckets_for(docs)
     dealt = split_words(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")), pattern, buckets, block_chars).repartition("key").sortWithinPartitions("bucket")
     return encode_words(dealt, ranks, pattern).groupBy("block").applyInArrow(reassemble, TOKENS)
 

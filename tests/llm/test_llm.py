@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers as P
 import pytest
+import regex
 import tiktoken
 
 from quarry.llm import byte_bpe, decontaminate, exact_dedup, html_extract, quality, simhash, suffix_dedup, toxicity, url_filters, warc
@@ -457,6 +458,33 @@ def test_distinct_words_of_chunks(monkeypatch):
         assert (codes.tolist(), origin.tolist(), found) == (numbers, firsts, [w.encode() for w in seen])
 
 
+def test_long_texts_are_cut_where_no_pre_token_stands(monkeypatch):
+    """Pieces of any size have the pre-tokens of the whole text, without a space too; one run of one kind, and a text under another pattern, stay whole."""
+    rnd = random.Random(11)
+    split, whole = byte_bpe.Splitter(P.PATTERN), regex.compile(P.PATTERN)
+    signs = ["a", "Z", "é", "字", "1", "½", " ", "  ", "\n", "\n\n", "\t ", "　", "'", "'s", "'ll", "'re", "!", "-", "\u0301", "😀"]
+    for search in (1, 3, 1 << 12):
+        monkeypatch.setattr(byte_bpe, "SEARCH_CHARS", search)
+        for n in range(1200):
+            text = "".join(rnd.choice(signs if n % 3 else signs[:6] + signs[12:]) for _ in range(rnd.randint(0, 40)))
+            for most in (1, 2, 5):
+                pieces = list(split.pieces(text, most))
+                assert "".join(pieces) == text
+                assert [w for p in pieces for w in whole.findall(p)] == whole.findall(text)
+    monkeypatch.undo()
+    minified = "".join(f"var{i}=f({i});" for i in range(100_000))
+    assert max(map(len, split.pieces(minified, 10_000))) < 10_100
+    assert list(split.pieces("字" * 100_000, 1_000)) == ["字" * 100_000]
+    assert list(byte_bpe.Splitter(r"\w+ \w+|.").pieces("one two " * 1_000, 100)) == ["one two " * 1_000]
+
+
+def test_buckets_follow_the_scan(spark):
+    docs = spark.range(1).selectExpr("id AS doc_id", "'a' AS text")
+    assert byte_bpe.buckets_for(docs.coalesce(1)) == 16
+    assert byte_bpe.buckets_for(docs.repartition(300)) == 300
+    assert byte_bpe.buckets_for(docs.repartition(5_000)) == byte_bpe.MOST_BUCKETS
+
+
 def test_other_patterns_and_hash_ties():
     split = byte_bpe.Splitter(r"\w+|\W+")
     text = "one two, three"
