@@ -147,9 +147,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the documents that hold a benchmark item; columns as they were."""
-    bad = cut(contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("b_id"), F.col("key").alias("b_key")).distinct(), "bad")
-    key = free_name(docs, "q_key")
+    """docs without the documents that hold a benchmark item; columns as they were, whatever their names.
+
+    Null ids, null texts and rows that repeat are as in contaminated: rows of one id and text go or stay together. With an empty benchmark all stay; an empty table stays one.
+    """
+    key, b_id, b_key = (free_name(docs, n) for n in ("q_key", "b_id", "b_key"))
+    bad = cut(contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias(b_id), F.col("key").alias(b_key)).distinct(), "bad")
     marked = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    clean = marked.join(sized(bad, MOST_BROADCAST), F.col(id_col).eqNullSafe(F.col("b_id")) & (F.col(key) == F.col("b_key")), "left_anti")
+    clean = marked.join(sized(bad, MOST_BROADCAST), F.col(id_col).eqNullSafe(F.col(b_id)) & (F.col(key) == F.col(b_key)), "left_anti")
     return clean.select(*docs.columns)

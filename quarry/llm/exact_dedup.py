@@ -207,13 +207,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the copies that exact_groups drops; all columns stay, whatever their names."""
+    """docs without the copies that exact_groups drops; all columns stay, whatever their names.
+
+    Null texts count as empty; of equal texts the row with the largest id stays, null ids least; of rows that repeat id and text one stays. An empty table stays one.
+    """
     if is_empty(docs):
         return docs
-    digest, size, number = (free_name(docs, n) for n in ("q_digest", "q_bytes", "q_number"))
+    digest, size, number, l_digest, l_keep = (free_name(docs, n) for n in ("q_digest", "q_bytes", "q_number", "l_digest", "l_keep"))
     marked = with_digest(docs, text_col, digest, size)
     slim = cut(with_digest(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")), drop_text=True), "digests")
-    live = apply_changes(combined(slim), shards=shards_for(docs.sparkSession, slim.count())).select(F.col("digest").alias("l_digest"), F.col("keep_id").alias("l_keep"))
-    stay = marked.join(live, F.col(id_col).eqNullSafe(F.col("l_keep")) & (F.col(digest) == F.col("l_digest")), "left_semi")
+    live = apply_changes(combined(slim), shards=shards_for(docs.sparkSession, slim.count())).select(F.col("digest").alias(l_digest), F.col("keep_id").alias(l_keep))
+    stay = marked.join(live, F.col(id_col).eqNullSafe(F.col(l_keep)) & (F.col(digest) == F.col(l_digest)), "left_semi")
     one = stay.withColumn(number, F.row_number().over(Window.partitionBy(id_col, digest).orderBy(id_col)))
     return one.filter(F.col(number) == 1).select(*docs.columns)

@@ -197,7 +197,10 @@ def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text", grade: f
 
 
 def select_good(docs: DataFrame, labels: DataFrame, least: float = 0.5, grade_col: str = "quality") -> DataFrame:
-    """docs whose probability of the highest grade is at least `least`; columns as they were."""
+    """docs whose probability of the highest grade is at least `least`; columns as they were, whatever their names.
+
+    Null texts count as empty and are judged; equal texts are judged alike, so copies stay or go together. Null ids are judged, but teach nothing. Without labels, or with one grade, every row stays; an empty table stays one.
+    """
     a, b = free_name(docs, "q_expected"), free_name(docs, "q_tail")
     scored = score(docs, fit(docs, labels, grade_col), expected_col=a, tail_col=b)
     return scored.filter(F.col(b) >= least).select(*docs.columns)
