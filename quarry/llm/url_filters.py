@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import sized
+from .common import free_name, sized
 
 #: Rules of the query: action, host, path.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -56,11 +56,12 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = "allow", url_co
     )
     hits = asked.join(sized(rule_keys, MOST_BROADCAST_RULES), "h").filter("digest = r_digest AND s = r_host AND x = r_path")
     rank = F.struct(F.length(F.concat("r_host", "r_path")), F.length("r_host"), F.when(F.col("action") == "block", 1).otherwise(0), "r_host", "r_path")
-    best = hits.groupBy("u").agg(F.max_by(F.struct(F.concat("r_host", "r_path").alias("rule"), "action"), rank).alias("best"))
-    out = urls.join(best, urls[url_col] == best["u"], "left")
+    asked_url, found = free_name(urls, "u"), free_name(urls, "best")
+    best = hits.groupBy(F.col("u").alias(asked_url)).agg(F.max_by(F.struct(F.concat("r_host", "r_path").alias("rule"), "action"), rank).alias(found))
+    out = urls.join(best, urls[url_col] == best[asked_url], "left")
     mine = {"host", "path", "rule", "verdict"}
     kept = [urls[c] for c in urls.columns if c.lower() not in mine]
-    return out.select(*kept, host_of(urls[url_col]).alias("host"), path_of(urls[url_col]).alias("path"), F.col("best.rule").alias("rule"), F.coalesce(F.col("best.action"), F.lit(default)).alias("verdict"))
+    return out.select(*kept, host_of(urls[url_col]).alias("host"), path_of(urls[url_col]).alias("path"), F.col(found)["rule"].alias("rule"), F.coalesce(F.col(found)["action"], F.lit(default)).alias("verdict"))
 
 
 ORACLE = """

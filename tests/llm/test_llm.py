@@ -16,7 +16,9 @@ import pytest
 import regex
 import tiktoken
 
-from quarry.llm import byte_bpe, decontaminate, exact_dedup, html_extract, quality, simhash, suffix_dedup, toxicity, url_filters, warc
+from pyspark.sql import functions as F
+
+from quarry.llm import alignment, byte_bpe, collocations, decontaminate, exact_dedup, html_extract, language_model, quality, simhash, suffix_dedup, toxicity, url_filters, warc
 from quarry.llm.components import components
 
 DOCS = "doc_id long, text string"
@@ -714,3 +716,41 @@ def test_large_cells_are_refined_without_losing_links(spark):
         found = components(simhash.links(table, 4, large))
         got = {r.node: r.root for r in found.collect()}
         assert {f: got.get(f, f) for f in fps} == {f: root(f) for f in fps}
+
+
+# all ----------------------------------------------------------------------------------------------------------------
+
+#: Names of columns that the operators make inside.
+INNER = "u best p s x h digest r_host r_path r_digest action size known first_id revisit n_bytes keep_id n group_size fp root least node t_words t_hashes raw key place at n_items item_id i_text slot block label marks payload terms weights toxic vote found bucket ids sizes number first part run start stop span kept words phrase lang_ mark train grade".split()
+
+
+def test_columns_of_any_name(spark):
+    """Tables with columns named as those inside give what they give without them."""
+    rnd = random.Random(2)
+    word = lambda: "".join(rnd.choice("abcde") for _ in range(3))
+    base = " ".join(word() for _ in range(150))
+    docs = spark.createDataFrame([(i, base if i % 9 == 0 else " ".join(word() for _ in range(40)), "en") for i in range(40)], "doc_id long, text string, lang string")
+    pages = spark.createDataFrame([(i, f"http://h{i}.net/a/{i}?q", f"<p>{'Good words, and more. ' * 20}{i % 5}</p>") for i in range(20)], "page_id long, url string, html string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, toxic int")
+    items = spark.createDataFrame([(1, base[:200])], "item_id long, text string")
+    rules = spark.createDataFrame(url_filters.RULES, "action string, host string, path string")
+    more = lambda df: df.select("*", *[f.alias(c) for c in INNER if c not in df.columns for f in (F.lit("z"),)])
+    tokens = [P.path(n) for n in ("byte_bpe_50k.tiktoken", "byte_bpe_50k.json", "piece_bpe_32k.model")]
+    for run, given in (
+        (lambda d: url_filters.judge_urls(d, more(rules)), pages),
+        (lambda d: html_extract.extract(d), pages),
+        (lambda d: warc.round_trip(d), pages),
+        (lambda d: simhash.simhash_groups(d), docs),
+        (lambda d: exact_dedup.exact_groups(d), docs),
+        (lambda d: decontaminate.contaminated(d, more(items)), docs),
+        (lambda d: quality.score(d, quality.fit(d, more(labels), "toxic", dims=1 << 10)), docs),
+        (lambda d: toxicity.score(d, toxicity.fit(d, more(labels.select("doc_id")).drop("toxic").join(labels, "doc_id"))), docs),
+        (lambda d: suffix_dedup.repeat_digests(d), docs),
+        (lambda d: byte_bpe.token_digests(d, tokens[0], P.PATTERN), docs),
+        (lambda d: collocations.mine(d, least=5), docs),
+        (lambda d: language_model.score_texts(d, F.col("doc_id") % 3 > 0), docs),
+        (lambda d: alignment.align_texts(d, *tokens[1:]), docs),
+    ):
+        plain = run(given)
+        wanted, found = (sorted(map(str, df.select(*plain.columns).collect())) for df in (plain, run(more(given))))
+        assert found == wanted and wanted
