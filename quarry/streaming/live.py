@@ -61,8 +61,21 @@ class LiveTables:
             publish_live(self.spark, path, f"{self.publish_to.rstrip('/')}/{table}", COLUMNS[table])
 
     def start(self, events: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
+        """once: all that has landed, and the query that found nothing more. Spark gives a Python source one batch to a run of availableNow, so runs follow until one reads nothing."""
         writer = events.writeStream.foreachBatch(self.apply).option("checkpointLocation", checkpoint)
-        return (writer.trigger(availableNow=True) if once else writer).start()
+        if not once:
+            return writer.start()
+        while True:
+            query = writer.trigger(availableNow=True).start()
+            query.awaitTermination()
+            if not has_read(query):
+                return query
+
+
+def has_read(query: StreamingQuery) -> bool:
+    """Whether the query's last batch moved on in any of its sources."""
+    last = query.lastProgress
+    return last is not None and any(s["startOffset"] != s["endOffset"] for s in last["sources"])
 
 
 def latest_by_key(stream: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:

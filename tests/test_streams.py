@@ -6,8 +6,11 @@ import random
 
 import pytest
 
+from quarry.sources.live_tables import read_live
 from quarry.streaming.arrivals import PLACE_BITS, ArrivalReader, fields_of, lines_of, read_arrivals
 from quarry.streaming.latest import held_rows, latest_changes, with_store
+from quarry.streaming.live import LiveTables
+from tests.test_core import SECRET
 
 
 def land(folder, name, rows):
@@ -51,6 +54,15 @@ def test_seq_is_the_same_after_a_restart(spark, tmp_path):
     assert {r.body: r.seq for r in spark.read.parquet(f"{tmp_path}/again").collect()} == found
 
 
+def test_a_run_once_reads_more_files_than_a_batch_holds(spark, tmp_path):
+    body = lambda i: json.dumps({"type": "quote.created", "data": {"quote_number": str(i), "revision_number": 1, "status": "s"}})
+    for i in range(7):
+        land(tmp_path / "in", f"f{i}.json", [{"token": SECRET, "body": body(i)}])
+    tables, events = LiveTables(spark, f"{tmp_path}/tables", SECRET), read_arrivals(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/log", order="name", files="3")
+    tables.start(events, f"{tmp_path}/checkpoint", once=True).awaitTermination()
+    assert {(r.seq >> PLACE_BITS, r.quote_number) for r in read_live(spark, f"{tmp_path}/tables/quotes_live").collect()} == {(i, str(i)) for i in range(7)}
+
+
 def test_files_of_a_batch_are_bounded_and_ordered_by_time(tmp_path):
     import os
 
