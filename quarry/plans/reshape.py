@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SECRET = "test-secret"
@@ -13,17 +13,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def by_order(lines: DataFrame) -> DataFrame:
+    """Lines dealt by order before they are gathered: Spark would gather a few lines per task first and send the lists, which are wider and not fewer."""
+    return lines.repartition("l_orderkey")
+
+
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """item_id, revision, body: orders with their lines as items. Of a line's two components the second is the root; lines whose number is a multiple of four have no components."""
-    component = lambda flag, part: F.struct(F.lit(flag).alias("is_root_component"), part.alias("part_number"), F.concat(F.lit("u"), F.col("l_partkey")).alias("part_uuid"), F.lit("A").alias("revision"), F.struct(F.col("l_returnflag").alias("name")).alias("material"), F.struct(F.col("l_linestatus").alias("name")).alias("process"))
-    part = F.concat(F.lit("P"), F.col("l_partkey"))
-    components = F.when(F.col("l_linenumber") % 4 != 0, F.array(component(False, F.lit("other")), component(True, part)))
-    item = F.struct(
-        F.col("l_linenumber").alias("id"), F.concat(F.lit("line "), F.col("l_linenumber")).alias("description"), F.col("l_quantity").cast("bigint").alias("quantity"),
-        (F.col("l_extendedprice")).cast(PRICE).alias("unit_price"), (F.col("l_extendedprice")).cast(PRICE).alias("total_price"), (F.col("l_returnflag") == "R").alias("export_controlled"),
-        F.nullif(F.concat("l_linestatus", F.lit(".pdf")), F.lit("F.pdf")).alias("filename"), F.col("l_linenumber").alias("lead_days"), F.col("l_suppkey").alias("quote_item_id"), components.alias("components"),
-    )
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(item).alias("items"))
+    """item_id, revision, body: orders with their lines as items. Of a line's two components the second is the root; lines whose number is a multiple of four have no components.
+
+    A line's own columns go to its order, once and unpacked; items are made of them there.
+    """
+    component = lambda x, flag, part: F.struct(F.lit(flag).alias("is_root_component"), part.alias("part_number"), F.concat(F.lit("u"), x["l_partkey"]).alias("part_uuid"), F.lit("A").alias("revision"), F.struct(x["l_returnflag"].alias("name")).alias("material"), F.struct(x["l_linestatus"].alias("name")).alias("process"))
+
+    def item(x: Column) -> Column:
+        part, price = F.concat(F.lit("P"), x["l_partkey"]), x["l_extendedprice"].cast(PRICE)
+        components = F.when(x["l_linenumber"] % 4 != 0, F.array(component(x, False, F.lit("other")), component(x, True, part)))
+        return F.struct(
+            x["l_linenumber"].alias("id"), F.concat(F.lit("line "), x["l_linenumber"]).alias("description"), x["l_quantity"].cast("bigint").alias("quantity"),
+            price.alias("unit_price"), price.alias("total_price"), (x["l_returnflag"] == "R").alias("export_controlled"),
+            F.nullif(F.concat(x["l_linestatus"], F.lit(".pdf")), F.lit("F.pdf")).alias("filename"), x["l_linenumber"].alias("lead_days"), x["l_suppkey"].alias("quote_item_id"), components.alias("components"),
+        )
+
+    own = "l_linenumber l_partkey l_suppkey l_quantity l_extendedprice l_returnflag l_linestatus".split()
+    lines = by_order(table(spark, sf_dir, "lineitem").select("l_orderkey", *own)).groupBy("l_orderkey").agg(F.collect_list(F.struct(*own)).alias("lines"))
+    lines = lines.select("l_orderkey", F.transform("lines", item).alias("items"))
     o = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     doc = F.struct(
         F.col("o_orderkey").alias("number"), F.col("o_custkey").alias("quote_number"), (F.col("o_orderkey") % 3).alias("quote_revision_number"), F.col("o_orderstatus").alias("status"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("created"),
@@ -35,9 +48,10 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quote_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """item_id, revision, body: orders as quotes, their parts as items and lines as price breaks. Every third has a revision; item fields are lists, objects, lists of strings or absent; a few bodies are malformed."""
     line = F.struct(F.col("l_quantity").cast("bigint").alias("quantity"), F.col("l_extendedprice").cast(PRICE).alias("unit_price"), F.col("l_extendedprice").cast(PRICE).alias("total_price"), F.col("l_linenumber").alias("lead_time"))
-    parts = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_partkey").agg(F.collect_list(line).alias("lines"))
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    parts = parts.join(p, F.col("l_partkey") == F.col("p_partkey"), "left")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_linenumber").join(p, F.col("l_partkey") == F.col("p_partkey"), "left")
+    # the lines of an order stand in one task, so neither grouping moves them again
+    parts = by_order(lines.drop("p_partkey")).groupBy("l_orderkey", "l_partkey", "p_name", "p_brand", "p_type").agg(F.collect_list(line).alias("lines"))
     root = F.struct(
         (F.col("l_partkey") % 5 != 0).alias("is_root_component"), F.col("p_brand").alias("part_number"), F.concat(F.lit("u"), F.col("l_partkey")).alias("part_uuid"), F.col("p_name").alias("description"), F.col("p_type").alias("type"),
         F.when(F.col("l_partkey") % 3 != 0, F.struct(F.lit("steel").alias("name"))).alias("material"), F.struct(F.lit("mill").alias("name")).alias("process"), F.when(F.col("l_partkey") % 2 == 0, F.col("lines")).alias("quantities"),

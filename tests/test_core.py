@@ -14,6 +14,10 @@ from quarry.operators import consolidate as U
 from quarry.operators import events as E
 from quarry.operators import flatten as P
 from quarry.operators import model as M
+from quarry.plans import queries as Q
+from quarry.plans import reshape as S
+from quarry.sources import readers as RD
+from quarry.sources import writers as W
 
 SECRET = "test-secret"
 ROOT = {"is_root_component": True, "part_number": "P1", "part_uuid": "u", "description": "d", "revision": "B", "type": "t", "material": {"name": "steel"}, "process": {"name": "mill"}}
@@ -211,3 +215,27 @@ def test_model_joins(spark):
     assert [r.id for r in M.orphans(fact, dim, {"ref": "key"}).collect()] == [2]
     assert [(r.id, r.month) for r in M.calendar_join(fact, "at").orderBy("id").collect()] == [(1, 1), (2, 3), (3, None)]
     assert [tuple(r) for r in M.duplicate_keys(dim.unionAll(dim.limit(1)), ["key"]).collect()] == [(10, 2)]
+
+
+def test_unusable_items_parse_once(spark):
+    rows = spark.createDataFrame([(1, '{"quote_items": {}}'), (2, '{"quote_items": []}'), (3, "{}")], "item_id int, body string")
+    found = P.unusable_items(P.parse(rows), "quote_items").select("item_id")
+    assert [r.item_id for r in found.collect()] == [1]
+    assert found._jdf.queryExecution().optimizedPlan().toString().lower().replace("_", "").count("parsejson") == 1
+
+
+@pytest.mark.parametrize("documents", [S.order_documents, S.quote_documents])
+def test_lines_go_to_their_order_before_they_are_gathered(spark, documents):
+    plan = documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = [b for a, b in zip(plan, plan[1:]) if "Exchange hashpartitioning(l_orderkey" in a or "Exchange hashpartitioning(l_partkey" in a]
+    assert below and not any("Aggregate" in b for b in below)
+
+
+@pytest.mark.parametrize("name", ["l1_new_failures", "l10_childless_orders"])
+def test_documents_of_two_branches_are_parsed_before(spark, name):
+    assert "from_json" not in Q.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_landed_documents_are_compressed(spark, tmp_path):
+    W.land_documents(spark.createDataFrame([(1, None, "{}")], "item_id bigint, revision string, body string"), f"{tmp_path}/landed")
+    assert list((tmp_path / "landed").glob("part-*.json.gz")) and RD.read_landed(spark, f"{tmp_path}/landed").collect() == [(1, None, "{}")]
