@@ -81,11 +81,14 @@ def quote_items(good: DataFrame, keep_unpriced: bool = True) -> DataFrame:
 
 def order_headers(parsed: DataFrame) -> DataFrame:
     """11 columns per order."""
-    doc = F.col("doc")
+    return parsed.select(*order_fields(F.col("doc")))
+
+
+def order_fields(doc: Column) -> list[Column]:
     get = lambda *k: C.safe_get(doc, *k)
     plain = [get(n).alias(n) for n in "quote_number quote_revision_number status created deliver_by ships_on".split()]
     paid = [get("payment_details", n).alias(n) for n in ("payment_terms", "purchase_order_number")]
-    return parsed.select(get("number").alias("order_number"), *plain, *paid, get("salesperson", "email").alias("salesperson_email"), get("shipping_info", "business_name").alias("customer_name"))
+    return [get("number").alias("order_number"), *plain, *paid, get("salesperson", "email").alias("salesperson_email"), get("shipping_info", "business_name").alias("customer_name")]
 
 
 def order_items(good: DataFrame) -> DataFrame:

@@ -86,9 +86,9 @@ def k1_order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("k2_order_pair", "SELECT CAST(o_orderkey AS VARCHAR) AS order_number, count(l_orderkey) AS items FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey")
 def k2_order_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_path(spark, "pair")
-    # what is shared holds both parses
-    good = P.split_bad(P.parse(S.order_documents(spark, sf_dir)), "order_items")[0]
-    W.write_pair(P.order_headers(good), P.order_items(good), f"{root}/orders", f"{root}/items", "orders", "order_items", shared=good)
+    # what is shared holds the results of both parses, and neither the text nor the whole document
+    good = P.parse(P.split_bad(S.order_documents(spark, sf_dir), "order_items")[0]).select("number", "items", *P.order_fields(F.col("doc")))
+    W.write_pair(good, P.order_items(good), f"{root}/orders", f"{root}/items", "orders", "order_items", shared=good)
     items = written(spark, f"{root}/items").groupBy("order_number").agg(F.count("*").alias("items"))
     return written(spark, f"{root}/orders").select("order_number").join(items, "order_number", "left").fillna(0, ["items"])
 
