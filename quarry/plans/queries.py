@@ -17,7 +17,7 @@ from quarry.plans import reshape as R
 from quarry.operators.runs import Registry
 from quarry.plans.reshape import table
 from quarry.sources.readers import read_ledger, read_snapshot
-from quarry.sources.scratch import new_path
+from quarry.sources.scratch import new_path, staged
 from quarry.streaming.arrivals import read_arrivals
 from quarry.streaming.live import LiveTables
 
@@ -80,8 +80,8 @@ def n2_root_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("l10_childless_orders", "SELECT CAST(o_orderkey AS VARCHAR) AS order_number FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
 def l10_childless_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good = good_orders(spark, sf_dir)
-    return A.childless(P.order_headers(P.parse(good)), P.order_items(good), "order_number")
+    good = staged(good_orders(spark, sf_dir).select("number", "items"), "orders")  # parsed once for both sides
+    return A.childless(good.select(F.col("number").alias("order_number")), P.order_items(good), "order_number")
 
 
 # Quotes -------------------------------------------------------------------------------------------------------------
