@@ -198,6 +198,7 @@ def e1_ranged_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def l1_new_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = P.split_bad(R.quote_documents(spark, sf_dir), "quote_items")[1].selectExpr("item_id AS id")
     known = table(spark, sf_dir, "orders").filter("o_orderkey % 2 = 0").selectExpr("concat(' ', o_orderkey) AS id")
+    bad = staged(bad, "failed")
     return A.new_failures(bad.unionAll(bad), known)
 
 
