@@ -111,8 +111,9 @@ items AS (SELECT quote_number, quote_revision, item_id, workflow_status, part_nu
 HEAD = "h.* EXCLUDE (payload)"
 
 
-def good_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.split_bad(R.quote_documents(spark, sf_dir), "quote_items")[0]
+def good_quotes(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    """where goes before the parse: Spark moves no filter below the generator that keeps good rows."""
+    return P.split_bad(R.quote_documents(spark, sf_dir).filter(where), "quote_items")[0]
 
 
 @register("p1_quote_headers", QUOTE_BASE + f"SELECT {HEAD} FROM h WHERE revision_number IS NULL")
@@ -162,8 +163,8 @@ def f9_fully_configured(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("u1_all_quotes", QUOTE_BASE + f"SELECT {HEAD} FROM h")
 def u1_all_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good = P.parse(good_quotes(spark, sf_dir))
-    return P.all_quotes(P.quote_headers(good.filter("revision IS NULL")), P.revised_quote_headers(good.filter("revision IS NOT NULL")))
+    regular, revised = (P.parse(good_quotes(spark, sf_dir, where)) for where in ("revision IS NULL", "revision IS NOT NULL"))
+    return P.all_quotes(P.quote_headers(regular), P.revised_quote_headers(revised))
 
 
 @register("l6_run_summary", QUOTE_BASE + "SELECT (SELECT count(*) FROM h) AS processed, (SELECT count(*) FROM q WHERE malformed OR strings) AS failed, (SELECT count(*) FROM items) AS child_rows")
