@@ -118,12 +118,12 @@ def good_quotes(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFr
 
 @register("p1_quote_headers", QUOTE_BASE + f"SELECT {HEAD} FROM h WHERE revision_number IS NULL")
 def p1_quote_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.quote_headers(P.parse(good_quotes(spark, sf_dir).filter("revision IS NULL")))
+    return P.quote_headers(P.parse(good_quotes(spark, sf_dir, "revision IS NULL")))
 
 
 @register("p2_revised_quote_headers", QUOTE_BASE + f"SELECT quote_number || '-' || revision_number AS quote_id, {HEAD} FROM h WHERE revision_number IS NOT NULL")
 def p2_revised_quote_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.revised_quote_headers(P.parse(good_quotes(spark, sf_dir).filter("revision IS NOT NULL")))
+    return P.revised_quote_headers(P.parse(good_quotes(spark, sf_dir, "revision IS NOT NULL")))
 
 
 @register("p9_payload_revision", QUOTE_BASE + f"SELECT {HEAD} REPLACE (CAST(payload AS VARCHAR) AS revision_number) FROM h")
@@ -133,7 +133,7 @@ def p9_payload_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("n5_quote_items", QUOTE_BASE + "SELECT * FROM items WHERE quote_revision IS NULL")
 def n5_quote_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.quote_items(good_quotes(spark, sf_dir).filter("revision IS NULL"))
+    return P.quote_items(good_quotes(spark, sf_dir, "revision IS NULL"))
 
 
 @register("n6_priced_quote_items", QUOTE_BASE + "SELECT * FROM items WHERE quantity IS NOT NULL")
@@ -143,7 +143,7 @@ def n6_priced_quote_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("n7_revised_quote_items", QUOTE_BASE + "SELECT * FROM items WHERE quote_revision IS NOT NULL")
 def n7_revised_quote_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.quote_items(good_quotes(spark, sf_dir).filter("revision IS NOT NULL"))
+    return P.quote_items(good_quotes(spark, sf_dir, "revision IS NOT NULL"))
 
 
 @register("f7_unusable_items", QUOTE_BASE + "SELECT o_orderkey AS item_id FROM q WHERE unlisted")
@@ -198,8 +198,8 @@ def e1_ranged_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("l1_new_failures", QUOTE_BASE + "SELECT CAST(o_orderkey AS VARCHAR) AS id FROM q WHERE (malformed OR strings) AND o_orderkey % 2 = 1")
 def l1_new_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = P.split_bad(R.quote_documents(spark, sf_dir), "quote_items")[1].selectExpr("item_id AS id")
-    known = table(spark, sf_dir, "orders").filter("o_orderkey % 2 = 0").selectExpr("concat(' ', o_orderkey) AS id")
     bad = staged(bad, "failed")
+    known = table(spark, sf_dir, "orders").filter("o_orderkey % 2 = 0").selectExpr("concat(' ', o_orderkey) AS id")
     return A.new_failures(bad.unionAll(bad), known)
 
 
