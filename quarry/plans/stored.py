@@ -124,7 +124,7 @@ def k4_published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("k6_s8_failure_ledger", "SELECT CAST(o_orderkey AS VARCHAR) AS id FROM orders WHERE o_orderkey % 97 = 5 OR o_orderkey % 11 = 2")
 def k6_failure_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "ledger")
-    failed = P.split_bad(S.quote_documents(spark, sf_dir), "quote_items")[1].selectExpr("item_id AS id")
+    failed = staged(P.split_bad(S.quote_documents(spark, sf_dir), "quote_items")[1].selectExpr("item_id AS id"), "failed")
     for run in (failed.filter("id % 2 = 0"), failed):  # the second run finds half of its ids there
         W.append_ledger(A.new_failures(run, R.read_ledger(spark, path)), path)
     return R.read_ledger(spark, path)
