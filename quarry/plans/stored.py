@@ -133,7 +133,8 @@ def k6_failure_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("k7_revision_ledger", "SELECT o_orderkey || '-' || o_orderkey % 3 AS id FROM orders WHERE o_orderkey % 3 <> 0 AND (o_orderkey % 97 = 5 OR o_orderkey % 11 = 2)")
 def k7_revision_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "ledger")
-    failed = P.split_bad(S.quote_documents(spark, sf_dir), "quote_items")[1].filter("revision IS NOT NULL")
+    failed = P.split_bad(S.quote_documents(spark, sf_dir).filter("revision IS NOT NULL"), "quote_items")[1]
+    failed = staged(failed.select("item_id", "revision"), "failed")
     for run in (failed.filter("item_id % 2 = 0"), failed):  # the second takes the place of the first
         W.write_revision_failures(run, path, "item_id", "revision")
     return R.read_ledger(spark, path)
