@@ -145,6 +145,10 @@ def top_fields(shape: str | None) -> list[str]:
     return [n for n in out if n]
 
 
+#: Documents in a landed file at most.
+LANDED_ROWS = 200_000
+
+
 def land_documents(docs: DataFrame, path: str) -> None:
-    """Documents (item_id, revision, body) as JSON lines, many to a file, for read_landed."""
-    docs.select("item_id", "revision", "body").write.json(path)
+    """Documents (item_id, revision, body) as gzipped JSON lines, many to a file, for read_landed. A file is read by one task, so it ends at LANDED_ROWS."""
+    docs.select("item_id", "revision", "body").write.option("maxRecordsPerFile", LANDED_ROWS).json(path, compression="gzip")
