@@ -53,7 +53,7 @@ def s3_revision_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s7_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four batches, the second folded with the first, so the result comes from buckets and from changes."""
     path, keys = new_path(spark, "snapshot"), ["quote_number", "revision_number"]
-    rows = w1_quote_snapshot(spark, sf_dir)
+    rows = staged(w1_quote_snapshot(spark, sf_dir), "live")  # triaged once for all batches
     for batch in range(4):
         L.append(rows.filter(F.col("seq") % 4 <= batch), path, batch, keys)
         if batch == 1:
@@ -114,7 +114,7 @@ def k3_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def k4_published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published after each of three batches: the changed buckets only."""
     path, uri = new_path(spark, "orders_live"), new_path(spark, "published")
-    rows = w2_order_snapshot(spark, sf_dir)
+    rows = staged(w2_order_snapshot(spark, sf_dir), "live")
     for batch in range(3):
         L.append(rows.filter(F.col("seq") % 3 == batch), path, batch, ["order_number"])
         if batch < 2:
