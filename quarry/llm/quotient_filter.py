@@ -59,11 +59,12 @@ def pack_filter(high: np.ndarray, low: np.ndarray, counts: np.ndarray, bits: int
     """Sorted permuted keys whose high half lies in a range of `slots` quotient values that begins at `first`. The quotient is the high half's top bits, as many as make about one entry a quotient."""
     half = half_bits(bits)
     cut = max(0, (max(slots, 1) // max(len(high), 1)).bit_length() - 1)  # remainder bits taken from the high half
-    quotient = (high - np.uint64(first)) >> np.uint64(cut)
+    inside = high - np.uint64(first)  # quotient and remainder are both of this, as first may have any low bits
+    quotient = inside >> np.uint64(cut)
     runs = np.bincount(quotient.astype(np.int64), minlength=1)
     unary = np.zeros(int(runs.sum()) + len(runs), np.uint8)
     unary[np.cumsum(runs + 1) - 1] = 1  # a zero for each entry, a one where its quotient ends
-    remainder = [place(high & np.uint64((1 << cut) - 1), (cut + 7) // 8), place(low, (half + 7) // 8)]
+    remainder = [place(inside & np.uint64((1 << cut) - 1), (cut + 7) // 8), place(low, (half + 7) // 8)]
     small = np.minimum(counts, 255).astype(np.uint8)
     head = np.array([len(high), len(runs), cut, first], np.uint64).view(np.int64)
     return frame(pack_ints(head), packed(np.packbits(unary).tobytes()), *map(packed, remainder), packed(small.tobytes()), pack_ints(counts[small == 255]))

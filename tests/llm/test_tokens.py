@@ -59,6 +59,17 @@ def test_quotient_filter_gives_its_keys_back(bits):
     assert len(ph) == len(set(keys))
 
 
+@pytest.mark.parametrize("parts", [3, 14])
+def test_quotient_filters_of_ranges_give_their_keys_back(parts):
+    bits, size = 40, -(-(1 << 20) // parts)
+    draw = np.random.default_rng(parts)
+    high, low, counts = summed(draw.integers(0, 1 << 20, 500, np.uint64), draw.integers(0, 1 << 20, 500, np.uint64), np.ones(500, np.int64), bits)
+    for first in range(0, 1 << 20, size):
+        own = (high >= first) & (high < first + size)
+        packed = unpack_filter(pack_filter(high[own], low[own], counts[own], bits, first, size), bits)
+        assert [x.tolist() for x in packed] == [high[own].tolist(), low[own].tolist(), counts[own].tolist()]
+
+
 def test_packed_numbers():
     numbers = np.array([0, 1, -1, 2**62, 255, 256])
     assert unpack_ints(pack_ints(numbers)).tolist() == numbers.tolist() and unpack_ints(pack_ints(numbers[:0])).tolist() == []
@@ -82,6 +93,15 @@ def test_collocations(spark, least, kept, block):
     assert sorted(tuple(r) for r in found.collect()) == collocations_by_sql(rows, least, kept)
 
 
+def test_collocations_counted_in_several_ranges(spark, monkeypatch):
+    """More tokens than a range holds, and their number of ranges no power of two."""
+    rows = [(babble(i % 12, 60), ("en", None)[i % 2]) for i in range(72)]
+    tokens = sum(len(re.findall(r"[^\s.,;:!?]+", t)) for t, _ in rows)
+    monkeypatch.setattr(collocations, "RANGE", tokens // 5)
+    found = collocations.mine(spark.createDataFrame(rows, "text string, lang string"), least=5, kept=500)
+    assert sorted(tuple(r) for r in found.collect()) == collocations_by_sql(rows, 5, 500)
+
+
 def test_collocations_exact_beyond_64_bits(spark):
     n, a, part = 10**14 + 7, 10**13 + 1, 10**13 + 3
     phrases = spark.createDataFrame([([1, 2], a)], "ids array<int>, f bigint")
