@@ -111,24 +111,24 @@ items AS (SELECT quote_number, quote_revision, item_id, workflow_status, part_nu
 HEAD = "h.* EXCLUDE (payload)"
 
 
-def good_quotes(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+def good_quotes(spark: SparkSession, sf_dir: str, where: str = "true", items: bool = True) -> DataFrame:
     """where goes before the parse: Spark moves no filter below the generator that keeps good rows."""
-    return P.split_bad(R.quote_documents(spark, sf_dir).filter(where), "quote_items")[0]
+    return P.split_bad(R.quote_documents(spark, sf_dir).filter(where), "quote_items", items)[0]
 
 
 @register("p1_quote_headers", QUOTE_BASE + f"SELECT {HEAD} FROM h WHERE revision_number IS NULL")
 def p1_quote_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.quote_headers(P.parse(good_quotes(spark, sf_dir, "revision IS NULL")))
+    return P.quote_headers(P.parse(good_quotes(spark, sf_dir, "revision IS NULL", items=False)))
 
 
 @register("p2_revised_quote_headers", QUOTE_BASE + f"SELECT quote_number || '-' || revision_number AS quote_id, {HEAD} FROM h WHERE revision_number IS NOT NULL")
 def p2_revised_quote_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.revised_quote_headers(P.parse(good_quotes(spark, sf_dir, "revision IS NOT NULL")))
+    return P.revised_quote_headers(P.parse(good_quotes(spark, sf_dir, "revision IS NOT NULL", items=False)))
 
 
 @register("p9_payload_revision", QUOTE_BASE + f"SELECT {HEAD} REPLACE (CAST(payload AS VARCHAR) AS revision_number) FROM h")
 def p9_payload_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.quote_headers(P.parse(good_quotes(spark, sf_dir)), revision_from="payload")
+    return P.quote_headers(P.parse(good_quotes(spark, sf_dir, items=False)), revision_from="payload")
 
 
 @register("n5_quote_items", QUOTE_BASE + "SELECT * FROM items WHERE quote_revision IS NULL")
@@ -163,7 +163,7 @@ def f9_fully_configured(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("u1_all_quotes", QUOTE_BASE + f"SELECT {HEAD} FROM h")
 def u1_all_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    regular, revised = (P.parse(good_quotes(spark, sf_dir, where)) for where in ("revision IS NULL", "revision IS NOT NULL"))
+    regular, revised = (P.parse(good_quotes(spark, sf_dir, where, items=False)) for where in ("revision IS NULL", "revision IS NOT NULL"))
     return P.all_quotes(P.quote_headers(regular), P.revised_quote_headers(revised))
 
 

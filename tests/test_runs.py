@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from quarry.operators import accounting as A
 from quarry.operators import consolidate as U
 from quarry.operators import flatten as P
-from quarry.operators.runs import Registry
+from quarry.operators.runs import Registry, parsed_documents
 from quarry.sources import writers as W
 from quarry.sources.readers import read_ledger
 
@@ -97,3 +97,12 @@ def test_merge_counts_in_one_pass(spark, tmp_path):
     a, b = spark.createDataFrame([("1", " x"), ("1", "x")], "id string, v string"), spark.createDataFrame([("2",)], "id string")
     assert tuple(U.merge([a, b], f"{tmp_path}/m").first()) == (3, 2) and read(spark, f"{tmp_path}/m").count() == 2
     assert tuple(U.merge([a.limit(0)], f"{tmp_path}/n").first()) == (0, 0)
+
+
+def test_what_is_held_has_no_copies(spark):
+    """Header queries take no typed items along; runs don't hold the text beside the parsed document."""
+    docs = spark.createDataFrame([(1, None, QUOTE % 1), (2, None, "{bad"), (3, None, '{"number": 3, "quote_items": ["x"]}')], DOCS)
+    good, bad = P.split_bad(docs, "quote_items", items=False)
+    assert good.columns == bad.columns == ["item_id", "revision", "body"]
+    assert [r.item_id for r in good.collect()] == [1] and sorted(r.item_id for r in bad.collect()) == [2, 3]
+    assert parsed_documents(docs, "quote_items").columns == ["item_id", "revision", "doc", "items", "bad", "number"]
