@@ -38,6 +38,7 @@ class EliasFano:
         self.high = np.frombuffer(raw, "<u8", n_high, at + 8 * n_low)
         self.ones = np.frombuffer(raw, "<i8", n_high + 1, at + 8 * (n_low + n_high))
         self.zeros = np.arange(n_high + 1) * 64 - self.ones
+        self.table = None
 
     @staticmethod
     def pack(numbers: np.ndarray) -> bytes:
@@ -77,7 +78,12 @@ class EliasFano:
         return (place - i) << self.low_bits | self.lows(i)
 
     def below(self, h: np.ndarray) -> np.ndarray:
-        """How many numbers have a high part below h: what stands before zero number h - 1 of the high bits."""
+        """How many numbers have a high part below h: what stands before zero number h - 1 of the high bits. Many queries share a table of all zeros, few look up their own."""
+        if self.table is None and len(h) * 4 >= self.n:
+            places = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little") == 0)
+            self.table = np.concatenate([[0], places - np.arange(len(places)), [self.n]])
+        if self.table is not None:
+            return self.table[np.clip(h, 0, len(self.table) - 1)]
         k = np.maximum(h - 1, 0)
         inside = (h > 0) & (k < self.zeros[-1])
         k = np.where(inside, k, 0)

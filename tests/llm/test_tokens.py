@@ -43,6 +43,9 @@ def test_elias_fano(numbers):
     asked = np.array(sorted({0, 1, 2**41, *numbers, *(x + 1 for x in numbers)}))
     assert found.successor(asked).tolist() == np.searchsorted(np.array(numbers, np.int64), asked).tolist()
     assert [p >= 0 for p in found.find(asked).tolist()] == [x in set(numbers) for x in asked.tolist()]
+    alone = EliasFano(memoryview(EliasFano.pack(np.array(numbers, np.int64))))  # few queries: no table
+    assert [int(alone.successor(np.array([x]))[0]) for x in asked[:50].tolist()] == np.searchsorted(np.array(numbers, np.int64), asked[:50]).tolist()
+    assert alone.table is None or len(numbers) <= 4
 
 
 @pytest.mark.parametrize("bits", [2, 13, 64, 65, 128])
