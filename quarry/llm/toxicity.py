@@ -4,8 +4,8 @@ Terms are the lower-cased words of a text; every word counts, none is cut off. A
 frequency over all documents times its bearing on the label: a floor plus the squared z-score of how far the share of toxic rows
 among labelled rows with the term departs from that among all (a supervised TF-IDF: no term falls out, but those that say nothing of the label weigh little).
 Terms are hashed to a fixed number of slots, so both statistics are two arrays of bounded size.
-The index holds a bounded sample of labelled examples in blocks: per term and block the largest weight bounds what the block can reach, so blocks are
-visited from the highest bound down until no other can hold a nearer example; the result is exact. Votes are weighted by
+The index holds a bounded sample of labelled examples in blocks: per frequent term and block the largest weight, with what the rare terms' postings add, bounds what the
+block can reach, so blocks are visited from the highest bound down until no other can hold a nearer example; the result is exact. Votes are weighted by
 closeness and calibrated on the labelled rows, each without itself. Index and weights are bounded, so they are broadcast.
 
 Null and empty texts have no terms and get the calibrated share of such labelled texts. Rows that repeat each get their row. Ties are
@@ -31,24 +31,79 @@ from .common import cut, map_arrow, struct
 #: Bounds of the fit: labelled rows read for the weights of terms and for calibration, examples in the index, slots of terms.
 SAMPLE, EXAMPLES, SLOTS = 20_000, 4_096, 1 << 18
 NEIGHBOURS, BLOCK, FIRST, BINS = 15, 64, 4, 10
+#: Terms whose weights a block holds in full; queries searched at once, and postings read for them (more only for a single query).
+HEAD, QUERIES, POSTINGS = 512, 256, 1 << 20
 #: The length of the part of a query whose terms are read only for examples that the other terms found.
 NEGLIGIBLE = 0.02
 #: What a term weighs that says nothing of the label.
 FLOOR = 0.02
-SEPARATOR = r"[^\pL\pN_]+"
+SEPARATOR, WORD = r"[^\pL\pN_]+", r"^[\pL\pN_]"
+#: What a byte does to a CRC-32; words of more bytes are hashed one by one.
+CRC = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    CRC = np.where(CRC & 1, CRC >> 1 ^ np.uint32(0xEDB88320), CRC >> 1)
+LONG = 64
+ASCII_WORDS = np.array([c < 128 and (chr(c).isalnum() or chr(c) == "_") for c in range(256)])
 COUNTS = struct(("slot", "int"), ("n", "bigint"), ("toxic", "bigint"))
 VECTORS = struct(("doc_id", "bigint"), ("toxic", "int"), ("digest", "bigint"), ("terms", "array<int>"), ("weights", "array<float>"))
 SCORES = struct(("doc_id", "bigint"), ("vote", "double"), ("found", "int"), ("evidence", "array<bigint>"), ("toxic", "int"))
 
 
+def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """The lower-cased words of a column of texts, what SEPARATOR leaves of them: row and word of each. Words are told by their bytes, all texts at once."""
+    lower = pc.utf8_lower(texts.cast(pa.large_string()).fill_null(""))
+    _, bounds, held = lower.buffers()
+    bounds = np.frombuffer(bounds, np.int64)[lower.offset : lower.offset + len(lower) + 1] if len(lower) else np.zeros(1, np.int64)
+    data = np.frombuffer(held, np.uint8)[bounds[0] : bounds[-1]] if held else np.zeros(0, np.uint8)
+    bounds = bounds - bounds[0]
+    inside = ASCII_WORDS[data]
+    lead = np.flatnonzero(data >= 192)
+    if len(lead):  # letters and digits beyond ASCII, by their code points
+        size = 2 + (data[lead] >= 224) + (data[lead] >= 240)
+        code = (data[lead] & (255 >> (size + 1))).astype(np.int64)
+        for j in (1, 2, 3):
+            on = size > j
+            code[on] = code[on] << 6 | data[lead[on] + j] & 63
+        distinct, back = np.unique(code, return_inverse=True)
+        known = pc.match_substring_regex(pa.array([chr(c) for c in distinct.tolist()], pa.string()), WORD).to_numpy(zero_copy_only=False)[back.ravel()]
+        for j in (0, 1, 2, 3):
+            on = size > j
+            inside[lead[on] + j] = known[on]
+    begin, end = inside.copy(), inside.copy()
+    begin[1:] &= ~inside[:-1]
+    end[:-1] &= ~inside[1:]
+    cuts = bounds[(bounds > 0) & (bounds < len(data))]  # words end with their text
+    begin[cuts], end[cuts - 1] = inside[cuts], inside[cuts - 1]
+    at = np.flatnonzero(begin)
+    offsets = np.append(0, np.cumsum(np.flatnonzero(end) + 1 - at)).astype(np.int64)
+    words = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data[inside]))
+    return np.repeat(np.arange(len(lower)), np.diff(np.searchsorted(at, bounds))), words.dictionary_encode()
+
+
+def slots_of(words: pa.Array) -> np.ndarray:
+    """The slot of each word: its CRC-32, a byte of all words at a time; long words one by one."""
+    _, bounds, held = words.buffers()
+    if not len(words):
+        return np.zeros(0, np.int64)
+    bounds = np.frombuffer(bounds, np.int64)[words.offset : words.offset + len(words) + 1]
+    data, sizes = np.frombuffer(held, np.uint8), np.diff(bounds)
+    order = np.argsort(-sizes, kind="stable")
+    order = order[sizes[order] <= LONG]
+    begins, crc = bounds[order], np.full(len(order), 0xFFFFFFFF, np.uint32)
+    holders = len(order) - np.cumsum(np.bincount(sizes[order], minlength=1))
+    for j, n in enumerate(holders.tolist()):  # the first n words have a byte j
+        crc[:n] = CRC[(crc[:n] ^ data[begins[:n] + j]) & 255] ^ (crc[:n] >> 8)
+    out = np.zeros(len(words), np.int64)
+    out[order] = ~crc % SLOTS
+    for i in np.flatnonzero(sizes > LONG).tolist():
+        out[i] = zlib.crc32(data[bounds[i] : bounds[i + 1]]) % SLOTS
+    return out
+
+
 def slot_counts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a column of texts: row, slot and number of each slot that a text holds, in the order of rows and slots. A batch's distinct words are hashed once."""
-    lists = pc.split_pattern_regex(pc.utf8_lower(texts.cast(pa.large_string()).fill_null("")), SEPARATOR)
-    words = lists.flatten().dictionary_encode()
-    known = np.fromiter((zlib.crc32(w.encode()) % SLOTS if w else -1 for w in words.dictionary.to_pylist()), np.int64, len(words.dictionary))
-    row = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
-    slot = known[words.indices.to_numpy()] if len(row) else np.zeros(0, np.int64)
-    keys = np.sort((row * SLOTS + slot)[slot >= 0])
+    row, words = words_of(texts)
+    keys = np.sort(row * SLOTS + slots_of(words.dictionary)[words.indices.to_numpy()])
     first = np.flatnonzero(np.diff(keys, prepend=-1))
     n = np.diff(first, append=len(keys))
     return keys[first] // SLOTS, keys[first] % SLOTS, n.astype(np.float64)
@@ -103,16 +158,24 @@ def bearing(seen: np.ndarray, toxic: np.ndarray, rows: int, bad: int) -> np.ndar
 
 def weigh(slots: np.ndarray, n: np.ndarray, worth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Slots and their unit-length weights."""
+    return weigh_rows(np.zeros(len(slots), np.int64), slots, n, worth)[1:]
+
+
+def weigh_rows(row: np.ndarray, slots: np.ndarray, n: np.ndarray, worth: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, slot and weight, of unit length in each row; rows without any weight have no terms."""
     weights = (1 + np.log(n)) * worth[slots]
-    norm = np.sqrt((weights**2).sum())
-    return (slots, weights / norm) if norm else (slots[:0], weights[:0])
+    norm = np.sqrt(np.bincount(row, weights**2))[row]
+    some = norm > 0
+    return row[some], slots[some], weights[some] / norm[some]
 
 
 class BlockMaxIndex:
-    """Examples in blocks. An entry is a term in a block: its largest weight there, and its postings; entries lie in the order of terms, then blocks.
+    """Examples in blocks. Of the HEAD terms that most examples have, a block holds all weights and the largest; of all others, which few have, there are postings.
 
-    A search reads the postings of the terms that can add most. What all others together can add is bounded, which leaves few
-    examples whose cosine is then computed in full. Where that bound doesn't suffice, all terms are read.
+    Queries are searched many at a time. The postings of a query's rare terms are read first, but for those that together add less than
+    NEGLIGIBLE. With the head terms' largest weights they bound what a block can reach; the blocks that can hold one of the nearest are
+    multiplied, the highest bound first. That leaves few examples whose cosine is then computed in full. Where what was left out could
+    matter, all terms are read.
     """
 
     def __init__(self, ids: list, labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], size: int, digests: list[int] | None = None):
@@ -137,60 +200,118 @@ class BlockMaxIndex:
         self.query = np.zeros(self.slots, np.float32)
         self.bounds = np.append(0, np.cumsum(self.sizes))
         places = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.sizes)
-        by_term = np.argsort(self.own_terms, kind="stable")
-        terms, self.places, self.weights = self.own_terms[by_term].astype(np.int64), places[by_term], self.own_weights[by_term]
-        starts = np.flatnonzero(np.diff(terms * self.blocks + self.places // BLOCK, prepend=-1))
-        self.block = (self.places[starts] // BLOCK).astype(np.int32)
-        self.top = np.maximum.reduceat(self.weights, starts) if len(starts) else self.weights
-        self.starts = np.append(starts, len(terms)).astype(np.int32)
-        self.first = np.searchsorted(terms[starts], np.arange(self.slots + 1)).astype(np.int32)  # entries of term t: from first[t] to first[t + 1]
-
-    def partial(self, terms: np.ndarray, weights: np.ndarray, k: int, rest: float) -> tuple[np.ndarray, float]:
-        """The cosine of every example as far as these terms go, in blocks that may hold one of the k nearest if others add at most `rest`; and the k-th highest."""
-        begins = self.first[terms]
-        entries, sizes = spread(begins, self.first[terms + 1] - begins)
-        weights, block = np.repeat(weights, sizes), self.block[entries]
-        bounds = np.bincount(block, weights * self.top[entries], self.blocks) * (1 + 1e-6) + 1e-6  # above what rounding can make of a sum
-        order = np.argsort(-bounds, kind="stable")
-        found, least = np.zeros(self.blocks * BLOCK), 0.0
-        # the blocks with the highest bounds first, then all others that can hold a nearer example
-        for blocks in (order[:FIRST], order[FIRST:]):
-            chosen = np.zeros(self.blocks, bool)
-            chosen[blocks[bounds[blocks] + rest >= least]] = True
-            mine = chosen[block]
-            at, each = spread(self.starts[entries[mine]], self.starts[entries[mine] + 1] - self.starts[entries[mine]])
-            found += np.bincount(self.places[at], np.repeat(weights[mine], each) * self.weights[at], len(found))
-            held = found.reshape(-1, BLOCK)[found.reshape(-1, BLOCK).any(1)].ravel()
-            least = float(np.partition(held, -k)[-k]) if len(held) >= k else 0.0
-        return found, least
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the k nearest examples with a positive cosine, the nearest first, ties by place; never the example `but`."""
-        known = self.first[terms + 1] > self.first[terms]
-        terms, weights = terms[known], weights[known]
-        if not len(terms):
-            return np.zeros(0, np.int64), np.zeros(0)
+        self.held = np.bincount(self.own_terms, minlength=self.slots)  # examples that have a term
+        head = np.argsort(-self.held, kind="stable")[:HEAD]
+        head = head[self.held[head] > 0]
+        self.rank = np.full(self.slots, -1, np.int32)  # of a head term, its row
+        self.rank[head] = np.arange(len(head))
+        row = self.rank[self.own_terms]
+        mine, others = np.flatnonzero(row >= 0), np.flatnonzero(row < 0)
+        self.dense = np.zeros((self.blocks, len(head), BLOCK), np.float32)
+        self.dense[places[mine] // BLOCK, row[mine], places[mine] % BLOCK] = self.own_weights[mine]
+        self.top = self.dense.max(2, initial=0).T.copy()  # head terms x blocks
+        by_term = others[np.argsort(self.own_terms[others], kind="stable")]
+        self.places, self.weights = places[by_term], self.own_weights[by_term]
+        few = np.where(self.rank < 0, self.held, 0)
+        self.begins = np.cumsum(few) - few  # postings of a rare term t: held[t] from begins[t] on
+        # float32 sums of so many products of two unit vectors are off by less
+        self.slack = 4 * (len(head) + 4) * 2.0**-24
+
+    def multiply(self, found: np.ndarray, heads: np.ndarray, chosen: np.ndarray) -> None:
+        """Adds the head terms' part of the cosines in the blocks chosen for each query."""
+        for block in range(self.blocks):
+            rows = np.flatnonzero(chosen[:, block])
+            if len(rows):
+                found[rows, block] += heads[rows] @ self.dense[block]
+
+    def candidates(self, row: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int, negligible: float = NEGLIGIBLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query and place of all examples that may be among the k nearest of n queries, in order; and of which queries others may be, too."""
+        common = self.rank[terms]
+        mine = common >= 0
+        heads = np.zeros((n, self.top.shape[0]), np.float32)
+        heads[row[mine], common[mine]] = weights[mine]
+        row, terms, weights = row[~mine], terms[~mine], weights[~mine]
+        # what is left out of a query has at most the length `negligible`, so adds at most that (Cauchy-Schwarz, as examples have length 1)
+        small = weights**2 * np.bincount(row, minlength=n)[row] <= negligible**2
+        rest = np.sqrt(np.bincount(row[small], weights[small] ** 2, n))
+        row, terms, weights = row[~small], terms[~small], weights[~small]
+        at, sizes = spread(self.begins[terms], self.held[terms])
+        width = self.blocks * BLOCK
+        found = np.bincount(np.repeat(row * width, sizes) + self.places[at], np.repeat(weights, sizes) * self.weights[at], n * width).astype(np.float32).reshape(n, self.blocks, BLOCK)
+        bounds = found.max(2) + heads @ self.top
+        unread = (rest + self.slack)[:, None]
+        first = np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST]
+        chosen = np.zeros(bounds.shape, bool)
+        np.put_along_axis(chosen, first, True, 1)
+        self.multiply(found, heads, chosen)
+        least = kth_highest(np.take_along_axis(found, first[:, :, None], 1).reshape(n, -1), k)
+        self.multiply(found, heads, (bounds + unread >= least[:, None]) & ~chosen)
+        found = found.reshape(n, width)
+        least = kth_highest(found, k)
+        query, place = np.nonzero((found >= least[:, None] - unread) & (found > 0))
+        unsure = (rest > 0) & (least <= unread[:, 0])  # an example without any of these terms could be among the nearest
+        return query, place, unsure
+
+    def search(self, row: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int, but: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Of each of n queries (terms in the order of their row) the places and cosines of the k nearest examples with a positive cosine, the nearest first, ties by place; never the example `but`.
+
+        Where there are fewer the place is -1 and the cosine 0.
+        """
+        places, cosines = np.full((n, k), -1, np.int64), np.zeros((n, k))
+        known = self.held[terms] > 0
+        row, terms, weights = row[known], terms[known], weights[known]
+        read = np.cumsum(np.bincount(row, np.where(self.rank[terms] < 0, self.held[terms], 0), n))
+        low = 0
+        while low < n:
+            most = (read[low - 1] if low else 0) + POSTINGS
+            high = min(n, low + QUERIES, max(low + 1, int(np.searchsorted(read, most, "right"))))
+            a, b = np.searchsorted(row, (low, high))
+            if a < b:
+                self.search_some(row[a:b] - low, terms[a:b], weights[a:b], places[low:high], cosines[low:high], None if but is None else but[low:high])
+            low = high
+        return places, cosines
+
+    def search_some(self, row: np.ndarray, terms: np.ndarray, weights: np.ndarray, places: np.ndarray, cosines: np.ndarray, but: np.ndarray | None) -> None:
+        n, k = places.shape
         more = k + (but is not None)  # one of those found may be the example left out
-        order = np.argsort(-weights)
-        # all other terms add at most the length of their part of the query (Cauchy-Schwarz, as examples have length 1)
-        left = np.sqrt(np.maximum(0, np.cumsum(weights[order][::-1] ** 2)[::-1]))
-        part = max(1, int(np.searchsorted(-left, -NEGLIGIBLE)))
-        lead, rest = order[:part], (float(left[part]) if part < len(left) else 0.0) + 1e-6
-        found, least = self.partial(terms[lead], weights[lead], more, rest)
-        if least <= rest:  # an example without any of these terms could be among the nearest
-            rest = 1e-6
-            found, least = self.partial(terms, weights, more, rest)
-        places = np.flatnonzero((found >= least - rest) & (found > 0))
+        query, place, unsure = self.candidates(row, terms, weights, n, more)
+        if unsure.any():
+            again = unsure[row]
+            sure = ~unsure[query]
+            query_2, place_2, _ = self.candidates(row[again], terms[again], weights[again], n, more, 0.0)
+            query, place = np.append(query[sure], query_2), np.append(place[sure], place_2)
         if but is not None:
-            places = places[self.ids[places] != but]
-        if not len(places):
-            return np.zeros(0, np.int64), np.zeros(0)
-        self.query[terms] = weights
-        at, sizes = spread(self.bounds[places], self.bounds[places + 1] - self.bounds[places])
-        scores = np.round(np.add.reduceat(self.query[self.own_terms[at]] * self.own_weights[at], np.cumsum(sizes) - sizes, dtype=np.float64), 7)
-        self.query[terms] = 0
-        best = np.lexsort((places, -scores))[:k]
-        return places[best], scores[best]
+            other = self.ids[place] != but[query]
+            query, place = query[other], place[other]
+        order = np.argsort(query, kind="stable")
+        query, place = query[order], place[order]
+        edges, of_terms = np.searchsorted(query, np.arange(n + 1)).tolist(), np.searchsorted(row, np.arange(n + 1)).tolist()
+        scores = np.zeros(len(query))
+        for i in np.unique(query).tolist():
+            mine = place[edges[i] : edges[i + 1]]
+            own = terms[of_terms[i] : of_terms[i + 1]]
+            self.query[own] = weights[of_terms[i] : of_terms[i + 1]]
+            bounds = list(zip(self.bounds[mine].tolist(), self.bounds[mine + 1].tolist()))
+            products = self.query.take(np.concatenate([self.own_terms[a:b] for a, b in bounds])) * np.concatenate([self.own_weights[a:b] for a, b in bounds])
+            sizes = self.sizes[mine]
+            scores[edges[i] : edges[i + 1]] = np.add.reduceat(products, np.cumsum(sizes) - sizes, dtype=np.float64)
+            self.query[own] = 0
+        scores = np.round(scores, 7)
+        order = np.lexsort((place, -scores, query))
+        query, place, scores = query[order], place[order], scores[order]
+        nth = np.arange(len(query)) - np.searchsorted(query, query)
+        best = nth < k
+        places[query[best], nth[best]], cosines[query[best], nth[best]] = place[best], scores[best]
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """As search, of one query, without places that are -1."""
+        places, cosines = self.search(np.zeros(len(terms), np.int64), terms, weights, 1, k, None if but is None else np.array([but]))
+        return places[0][places[0] >= 0], cosines[0][places[0] >= 0]
+
+
+def kth_highest(rows: np.ndarray, k: int) -> np.ndarray:
+    """Of each row; 0 if it is shorter."""
+    return np.partition(rows, -k, axis=1)[:, -k] if rows.shape[1] >= k else np.zeros(len(rows), rows.dtype)
 
 
 def spread(begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,12 +335,15 @@ class ToxicityModel:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"sent": None}
 
-    def vote(self, vector: tuple[np.ndarray, np.ndarray], but: int | None = None) -> tuple[float, int, list[int]]:
-        """Share of toxic neighbours weighted by closeness, drawn towards the prior; number of neighbours; the five nearest."""
-        places, scores = self.index.nearest(*vector, NEIGHBOURS, but)
-        weights = scores**2
-        vote = ((weights * self.index.labels[places]).sum() + 0.1 * self.prior) / (weights.sum() + 0.1)
-        return float(vote), len(places), self.index.ids[places[:5]].tolist()
+    def vote(self, row: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, but: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
+        """Of n vectors: share of toxic neighbours weighted by closeness, drawn towards the prior; number of neighbours; the five nearest."""
+        if not len(self.index.ids):
+            return np.full(n, float(self.prior)), np.zeros(n, np.int64), [[]] * n
+        places, scores = self.index.search(row, terms, weights, n, NEIGHBOURS, but)
+        closeness = scores**2  # 0 where there is no neighbour
+        vote = ((closeness * self.index.labels[places]).sum(1) + 0.1 * self.prior) / (closeness.sum(1) + 0.1)
+        found = (places >= 0).sum(1)
+        return vote, found, [ids[:m] for ids, m in zip(self.index.ids[places[:, :5]].tolist(), found.tolist())]
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -274,18 +398,14 @@ def vectorize(texts: DataFrame, worth: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [weigh(slots, n, shared.value) for slots, n in per_text(batch.column("text"))]
-            vectors = [pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())), pa.array([f[1].astype(np.float32) for f in found], pa.list_(pa.float32()))]
+            row, slots, weights = weigh_rows(*slot_counts(batch.column("text")), shared.value)
+            bounds = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32))
+            vectors = [pa.ListArray.from_arrays(bounds, pa.array(slots.astype(np.int32))), pa.ListArray.from_arrays(bounds, pa.array(weights.astype(np.float32)))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("toxic").cast(pa.int32()), batch.column("digest"), *vectors], VECTORS.names)
 
     return map_arrow(texts.select("doc_id", "text", "toxic", F.xxhash64("text").alias("digest")), run, VECTORS)
 
 
-def arrays(lists: pa.ListArray) -> list[np.ndarray]:
-    """Each row's list as an array."""
-    return np.split(lists.flatten().to_numpy(), (lists.offsets.to_numpy() - lists.offsets[0].as_py())[1:-1]) if len(lists) else []
-
-
 def votes(rows: DataFrame, model: ToxicityModel, leave_out: bool = False) -> DataFrame:
     """doc_id, vote, found (neighbours), evidence (ids of the nearest examples), toxic, of vectors or of texts. leave_out: no text is its own neighbour."""
     shared = model.shared(rows.sparkSession)
@@ -294,13 +414,14 @@ def votes(rows: DataFrame, model: ToxicityModel, leave_out: bool = False) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = pickle.loads(shared.value)
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
             if ready:
-                vectors = ((t.astype(np.int64), w) for t, w in zip(arrays(batch.column("terms")), arrays(batch.column("weights"))))
+                terms, weights = batch.column("terms"), batch.column("weights")
+                row = np.repeat(np.arange(batch.num_rows), np.diff(terms.offsets.to_numpy()))
+                vectors = row, terms.flatten().to_numpy().astype(np.int64), weights.flatten().to_numpy()
             else:
-                vectors = (weigh(slots, n, own.worth) for slots, n in per_text(batch.column("text")))
-            found = [own.vote(v, i if leave_out else None) for i, v in zip(ids, vectors)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.int32()), pa.array([f[2] for f in found], pa.list_(pa.int64())), batch.column("toxic")], SCORES.names)
+                vectors = weigh_rows(*slot_counts(batch.column("text")), own.worth)
+            vote, found, evidence = own.vote(*vectors, batch.num_rows, batch.column("doc_id").to_numpy() if leave_out else None)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(vote), pa.array(found.astype(np.int32)), pa.array(evidence, pa.list_(pa.int64())), batch.column("toxic")], SCORES.names)
 
     return map_arrow(rows, run, SCORES)
 

@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers as P
 import pytest
 import regex
@@ -337,6 +338,43 @@ def test_block_max_search_is_exact():
         assert np.allclose(found, want, atol=1e-6) and np.allclose(dense[index.ids[places]] @ query, found, atol=1e-6)
 
 
+@pytest.mark.parametrize("head,negligible,postings", [(0, 0.02, 40), (5, 0.02, 1 << 20), (5, 0.9, 40), (60, 0.02, 1)])
+def test_many_queries_at_once_find_what_dense_search_finds(monkeypatch, head, negligible, postings):
+    monkeypatch.setattr(toxicity, "HEAD", head)
+    monkeypatch.setattr(toxicity, "POSTINGS", postings)
+    monkeypatch.setattr(toxicity.BlockMaxIndex.candidates, "__defaults__", (negligible,))
+    rng = np.random.default_rng(7)
+    dense = np.where(rng.random((300, 80)) < 0.06, rng.random((300, 80)) ** 4 + 1e-3, 0)
+    dense[:, :3] *= 20
+    dense[dense.any(1)] /= np.sqrt((dense[dense.any(1)] ** 2).sum(1, keepdims=True))
+    held = [(np.flatnonzero(v), v[v > 0]) for v in dense]
+    index = toxicity.BlockMaxIndex([i for i in range(200) if dense[i].any()], [0] * sum(dense[:200].any(1)), [v for v in held[:200] if len(v[0])], 80)
+    row = np.repeat(np.arange(300), [len(t) for t, _ in held])
+    for but in (None, np.arange(300)):
+        places, cosines = index.search(row, np.concatenate([t for t, _ in held]), np.concatenate([w for _, w in held]), 300, 15, but)
+        for i in range(300):
+            scores = dense[:200] @ dense[i]
+            if but is not None and i < 200:
+                scores[i] = 0
+            want = np.sort(scores)[::-1][:15]
+            some = places[i] >= 0
+            assert some.sum() == (want > 0).sum() and np.allclose(cosines[i], want, atol=1e-6)
+            assert np.allclose(scores[index.ids[places[i][some]]], cosines[i][some], atol=1e-6)
+
+
+def test_toxicity_words_are_what_the_pattern_leaves():
+    rnd = random.Random(3)
+    signs = [*map(chr, range(0, 0x250)), *"\u0130\u03a3\u1e9e\u2160\u0660\u0301\u4e00\U0001f600\U00010400\U0001d7d8\ufffd"]
+    texts = [None, "", "_", "a" * 200 + "\u00e9" + " Ab", *("".join(rnd.choice(signs if rnd.random() < 0.5 else "aB 1_.") for _ in range(rnd.randint(0, 60))) for _ in range(300))]
+    for column in (pa.array(texts), pa.array(texts).slice(3, 100), pa.array(texts[:2]), pa.array([], pa.string())):
+        lists = pc.split_pattern_regex(pc.utf8_lower(column.cast(pa.large_string()).fill_null("")), toxicity.SEPARATOR).to_pylist()
+        want = [(i, s, n) for i, ws in enumerate(lists) for s, n in sorted(collections.Counter(zlib.crc32(w.encode()) % toxicity.SLOTS for w in ws if w).items())]
+        assert [(int(i), int(s), int(n)) for i, s, n in zip(*toxicity.slot_counts(column))] == want
+    # a batch's distinct words are hashed together, not each in Python
+    words = pa.array([f"word{i}" for i in range(1000)] + ["x" * 1000], pa.large_string())
+    assert toxicity.slots_of(words).tolist() == [zlib.crc32(w.encode()) % toxicity.SLOTS for w in words.to_pylist()]
+
+
 # 9 ------------------------------------------------------------------------------------------------------------------
 
 
