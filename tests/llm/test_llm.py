@@ -392,6 +392,21 @@ def brute_repeats(rows, length=400):
     return sorted(out, key=str)
 
 
+def test_blocks_alike_on_both_sides_are_many_tasks(spark):
+    # one stem, one right side, one beginning of the left side: told apart only by what stands 40 bytes before
+    rows = [(7, i, 0, 0, 10, b"l" * 40 + i.to_bytes(4, "big"), b"m" * 81, b"r" * 100) for i in range(2000)]
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        for side in ("left", "right"):
+            found = spark.createDataFrame(rows if side == "right" else [(*r[:5], r[7], r[6], r[5]) for r in rows], suffix_dedup.CONTEXTS)
+            held = suffix_dedup.in_order(found, side).groupBy(F.spark_partition_id()).count().collect()
+            assert max(r["count"] for r in held) < 1000 and sum(r["count"] for r in held) == 2000
+    finally:
+        spark.conf.set(coalesce, before)
+
+
 @pytest.mark.parametrize(("seed", "batch"), [(1, 1 << 21), (2, 3000), (3, 1000)])
 def test_repeated_strings(spark, monkeypatch, seed, batch):
     monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", batch)
