@@ -21,6 +21,10 @@ PRICE = "decimal(18,4)"
 COMPONENT = "is_root_component string, part_number string, part_uuid string, description string, revision string, type string, material struct<name string>, process struct<name string>"
 QUANTITY = f"quantity string, unit_price {PRICE}, total_price {PRICE}, total_price_with_required_add_ons {PRICE}, lead_time string"
 QUOTE_ITEMS = f"array<struct<id string, workflow_status string, export_controlled boolean, components array<struct<{COMPONENT}, quantities array<struct<{QUANTITY}>>>>>>"
+QUOTE_HEAD = (
+    "struct<number string, revision_number string, status string, created string, due_date string, sent_date string, expired_date string, expired boolean, rfq_number string, priority string, private_notes string, authenticated_pdf_quote_url string, "
+    "contact struct<first_name string, last_name string, email string, account struct<name string>>, estimator struct<email string>, salesperson struct<email string>>"
+)
 ORDER_ITEMS = f"array<struct<id string, description string, quantity string, unit_price {PRICE}, total_price {PRICE}, export_controlled boolean, filename string, lead_days string, quote_item_id string, components array<struct<{COMPONENT}>>>>"
 
 RELATIONSHIP = (

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import columns as C
-from quarry.functions.schemas import COLUMNS, ORDER_ITEMS, QUOTE_ITEMS
+from quarry.functions.schemas import COLUMNS, ORDER_ITEMS, QUOTE_HEAD, QUOTE_ITEMS
 
 def parse(docs: DataFrame) -> DataFrame:
     """docs with the parsed body; null if malformed."""
@@ -44,22 +44,21 @@ def unusable_items(parsed: DataFrame, field: str) -> DataFrame:
     return C.rows_where(parsed, C.type_of(F.col("doc"), field).isNotNull() & ~C.is_array(F.col("doc"), field))
 
 
-def quote_fields(doc: Column) -> list[Column]:
-    get = lambda *k: C.safe_get(doc, *k)
-    plain = [get(n).alias(n) for n in "status created due_date sent_date expired_date".split()]
-    more = [get(n).alias(n) for n in "rfq_number priority private_notes authenticated_pdf_quote_url".split()]
+def quote_fields(head: Column) -> list[Column]:
+    plain = [head[n].alias(n) for n in "status created due_date sent_date expired_date expired rfq_number priority private_notes authenticated_pdf_quote_url".split()]
+    contact = head["contact"]
     return [
-        *plain, C.safe_get(doc, "expired", kind="boolean").alias("expired"), *more,
-        C.full_name(get("contact", "first_name"), get("contact", "last_name")).alias("contact_name"), get("contact", "email").alias("contact_email"),
-        get("contact", "account", "name").alias("customer_name"), get("estimator", "email").alias("estimator_email"), get("salesperson", "email").alias("salesperson_email"),
+        *plain, C.full_name(contact["first_name"], contact["last_name"]).alias("contact_name"), contact["email"].alias("contact_email"),
+        contact["account"]["name"].alias("customer_name"), head["estimator"]["email"].alias("estimator_email"), head["salesperson"]["email"].alias("salesperson_email"),
     ]
 
 
 def quote_headers(parsed: DataFrame, revision_from: str = "request") -> DataFrame:
-    """17 columns per quote. The revision is the request's (null for regular quotes) or the payload's."""
-    doc = F.col("doc")
-    revision = F.col("revision").cast("string") if revision_from == "request" else C.safe_get(doc, "revision_number")
-    return parsed.select(C.safe_get(doc, "number").alias("quote_number"), revision.alias("revision_number"), *quote_fields(doc))
+    """17 columns per quote. The revision is the request's (null for regular quotes) or the payload's. All fields are taken by one cast of doc, as each path alone goes through the keys anew."""
+    head = F.col("head")
+    revision = F.col("revision").cast("string") if revision_from == "request" else head["revision_number"]
+    rows = parsed.withColumn("head", C.safe_get(F.col("doc"), kind=QUOTE_HEAD))
+    return rows.select(head["number"].alias("quote_number"), revision.alias("revision_number"), *quote_fields(head))
 
 
 def revised_quote_headers(parsed: DataFrame) -> DataFrame:

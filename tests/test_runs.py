@@ -1,8 +1,11 @@
 """Ranged runs, counts taken on the way, batches and slices."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
+from quarry.functions import columns as C
 from quarry.operators import accounting as A
 from quarry.operators import consolidate as U
 from quarry.operators import flatten as P
@@ -106,3 +109,37 @@ def test_what_is_held_has_no_copies(spark):
     assert good.columns == bad.columns == ["item_id", "revision", "body"]
     assert [r.item_id for r in good.collect()] == [1] and sorted(r.item_id for r in bad.collect()) == [2, 3]
     assert parsed_documents(docs, "quote_items").columns == ["item_id", "revision", "doc", "items", "bad", "number"]
+
+
+def test_documents_wait_in_the_shared_folder_and_not_in_memory(spark, tmp_path):
+    plans, before = {}, set(shared_files(spark))
+    docs = spark.createDataFrame([(1, QUOTE % 1), (2, "{bad")], "item_id bigint, body string").withColumn("revision", F.lit(None))  # a column without a type, too
+
+    def noted(name, transform):
+        def run(rows):
+            plans[name] = transform(rows)._jdf.queryExecution().optimizedPlan().toString()
+            return transform(rows)
+
+        return run
+
+    registry = Registry()
+    registry.register("quotes", noted("parents", lambda d: P.quote_headers(d).filter("status = 'sent'")), children=noted("children", P.quote_items))
+    registry.register("orders", lambda d: d.select(F.raise_error(F.lit("refused")).alias("x")), children=P.quote_items, field="quote_items")
+    assert [tuple(r)[1:5] for r in registry.run(spark, {"quotes": docs, "orders": docs}, str(tmp_path)).collect()] == [("done", 1, 1, 3), ("failed", None, None, None)]
+    assert not [n for n, p in plans.items() if "InMemoryRelation" in p] and spark.sparkContext._jsc.sc().getPersistentRDDs().isEmpty()
+    assert plans["parents"].count("parseJson") == 1 and "parseJson" not in plans["children"]
+    assert set(shared_files(spark)) == before
+
+
+def shared_files(spark):
+    return [p for p in Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://")).iterdir() if p.name.startswith("run-")]
+
+
+def test_header_fields_by_one_cast_equal_those_path_by_path(spark):
+    bodies = ['{"number": 1.50, "status": {"a": [1, null]}, "expired": "true", "contact": {"first_name": 2, "account": "x"}, "estimator": "uuid", "salesperson": {"email": [1]}}', "[1]", "null", "{bad", '{"contact": [{"email": "a"}], "Status": "s", "expired": "maybe"}', '{"contact": {"email": null, "account": {"name": false}}, "due_date": 1e300, "priority": ""}']
+    docs = P.parse(spark.createDataFrame([(i, "7", b) for i, b in enumerate(bodies)], DOCS))
+    heads = P.quote_headers(docs, "payload")
+    paths = {"quote_number": "number", "customer_name": "contact.account.name", "contact_email": "contact.email", "estimator_email": "estimator.email", "salesperson_email": "salesperson.email"}
+    plain = [C.safe_get(F.col("doc"), *paths.get(n, n).split("."), kind=t).alias(n) for n, t in heads.dtypes if n != "contact_name"]
+    assert heads.drop("contact_name").collect() == docs.select(plain).collect()
+    assert heads._jdf.queryExecution().optimizedPlan().toString().count("variant_get") == 1
